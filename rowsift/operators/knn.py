@@ -155,3 +155,68 @@ def evaluate_population(table: DataFrame, sample: KnnSample, solutions: list[int
         for r in rows:
             result[r["solution"]] = (int(r["correct"]), int(r["total"]))
     return result
+
+
+def collect_train(train: DataFrame, *, feature_col: str = "features", id_col: str = "row_id",
+                  label_col: str = "label", classes: list | None = None,
+                  budget: int = 512 << 20) -> KnnSample:
+    """Fetch a bounded training set (size checked before it is fetched)."""
+    n = train.count()
+    if n == 0:
+        raise ValueError("empty training set")
+    first = train.select(F.size(feature_col)).first()[0] or 1
+    if n * first * 8 > budget:
+        raise ValueError(f"training set of {n} rows x {first} exceeds the broadcast budget")
+    rows = train.select(id_col, label_col, feature_col).orderBy(id_col).collect()
+    cls = np.array(sorted(classes if classes is not None else {r[1] for r in rows}))
+    pos = {c: i for i, c in enumerate(cls.tolist())}
+    smp = KnnSample(cls)
+    smp.feats[0] = np.asarray([r[2] for r in rows], dtype=np.float64)
+    smp.ids[0] = np.asarray([r[0] for r in rows], dtype=np.int64)
+    smp.labels[0] = np.asarray([pos[r[1]] for r in rows], dtype=np.int64)
+    return smp
+
+
+def _predict_fn(bc, feature_col, id_col, k, chunk, neighbours_out):
+    def run(batches):
+        smp: KnnSample = bc.value
+        xt, tid, tlab = smp.feats[0], smp.ids[0], smp.labels[0]
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = _features(pdf, feature_col)
+            ids = pdf[id_col].to_numpy()
+            for lo in range(0, len(pdf), chunk):
+                xq = x[lo:lo + chunk]
+                top = neighbours(xq, xt, tid, k)
+                if neighbours_out:
+                    diff = xq[:, None, :] - xt[top]
+                    dist = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+                    kk = top.shape[1]
+                    yield pd.DataFrame({
+                        id_col: np.repeat(ids[lo:lo + chunk], kk),
+                        "rank": np.tile(np.arange(1, kk + 1, dtype=np.int32), len(xq)),
+                        "train_id": tid[top].ravel(),
+                        "distance": dist.ravel()})
+                else:
+                    pred = smp.classes[vote(tlab[top], len(smp.classes))]
+                    yield pd.DataFrame({id_col: ids[lo:lo + chunk], "prediction": pred})
+    return run
+
+
+def knn_predict(table: DataFrame, sample: KnnSample, *, k: int = 5, feature_col: str = "features",
+                id_col: str = "row_id", label_type: str = "int") -> DataFrame:
+    """``(id, prediction)`` for every row of ``table``."""
+    bc = table.sparkSession.sparkContext.broadcast(sample)
+    schema = f"{id_col} long, prediction {label_type}"
+    return table.select(id_col, feature_col).mapInPandas(
+        _predict_fn(bc, feature_col, id_col, k, 2048, False), schema)
+
+
+def knn_neighbours(table: DataFrame, sample: KnnSample, *, k: int = 5,
+                   feature_col: str = "features", id_col: str = "row_id") -> DataFrame:
+    """``(id, rank, train_id, distance)``: the k nearest training rows per row."""
+    bc = table.sparkSession.sparkContext.broadcast(sample)
+    schema = f"{id_col} long, rank int, train_id long, distance double"
+    return table.select(id_col, feature_col).mapInPandas(
+        _predict_fn(bc, feature_col, id_col, k, 2048, True), schema)

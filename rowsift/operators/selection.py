@@ -305,11 +305,11 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
             break
         if variant == "parallel":
             par = [int(s) for _, s in ranked[-parents:]]
-            slots = parallel_plan(rng, par, population, n, mutation_rate)
+            slots = parallel_plan(rng, par, population, mutation_rate)
         else:
             par = [int(s) for _, s in reversed(ranked[-parents:])]
-            slots = steady_state_plan(rng, par, population, n, mutation_rate * 100)
-        bits = [slot_bit(sl, seed, g) for sl in slots]
+            slots = steady_state_plan(rng, par, population, mutation_rate * 100)
+        bits = [slot_bit(sl, n, seed, g) for sl in slots]
         nxt = pop.select(*base_cols, *pack_bits(bits), best_bit.alias("best"))
         if checkpoint_every and (g + 1) % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)
