@@ -80,3 +80,69 @@ SELECT p.solution AS solution, CAST(p.n_sel AS BIGINT) AS n_selected,
                   ELSE 0.0 END, 6) AS fitness
 FROM plan2 p CROSS JOIN tot LEFT JOIN acc a USING (solution)
 """
+
+
+def fitness_table_sql(pop_sql: str, population: int, seed: int = 42) -> str:
+    """Unrounded fitness (for rankings inside other oracles)."""
+    return fitness_knn_sql(pop_sql, population, seed=seed).replace(
+        "CASE WHEN p.eligible THEN round(coalesce(a.accuracy, 0.0), 6) END AS accuracy",
+        "CASE WHEN p.eligible THEN coalesce(a.accuracy, 0.0) END AS accuracy").replace(
+        "round(CASE WHEN p.eligible", "(CASE WHEN p.eligible").replace(
+        "ELSE 0.0 END, 6) AS fitness", "ELSE 0.0 END) AS fitness")
+
+
+def next_population_sql(pop_sql: str, slots, population: int, seed: int, generation: int,
+                        parent_sql: dict | None = None) -> str:
+    """Population built from ``slots``; ``parent_sql`` maps a solution id used
+    in the slots to a SQL expression of the actual solution (rank lookups)."""
+    from ..functions.bits import WORD_BITS
+    from ..operators.population import sql_slot_bit
+    if population > WORD_BITS:
+        raise ValueError("oracle supports one mask word")
+    n = "(SELECT count(*) FROM prev_rows)"
+    ps = parent_sql or {}
+    bits = [sql_slot_bit(sl, n, seed, generation, "row_id", ps.get(sl.p0), ps.get(sl.p1))
+            for sl in slots]
+    packed = " | ".join(f"({b} << {i})" for i, b in enumerate(bits))
+    return (f"WITH prev_rows AS ({pop_sql}) SELECT row_id, label, features, "
+            f"CAST({packed} AS BIGINT) AS mask_0 FROM prev_rows")
+
+
+def evolve_two_generations_sql(seed: int, population: int, parents: int, rate: float,
+                               base: str = EMBEDDINGS_BASE) -> dict[str, str]:
+    """Oracles of a two-generation parallel search: per-generation fitness,
+    history and the chosen rows. The driver-side draws are replayed here."""
+    import numpy as np
+
+    from ..operators.population import parallel_plan
+    slots = parallel_plan(np.random.default_rng(seed), list(range(parents)), population, rate)
+    par = {j: f"(SELECT solution FROM par WHERE pos = {j})" for j in range(parents)}
+    g1 = next_population_sql("SELECT * FROM g0", slots, population, seed, 0, par)
+    head = f"""
+WITH g0 AS ({population_sql(seed, population, base)}),
+f0 AS ({fitness_table_sql("SELECT * FROM g0", population, seed)}),
+par AS (SELECT solution, pos FROM (
+          SELECT solution, row_number() OVER (ORDER BY fitness, solution) - 1 - {population - parents} AS pos
+          FROM f0) WHERE pos >= 0),
+g1 AS ({g1}),
+f1 AS ({fitness_table_sql("SELECT * FROM g1", population, seed)}),
+b0 AS (SELECT solution, fitness FROM f0 ORDER BY fitness DESC, solution DESC LIMIT 1),
+b1 AS (SELECT solution, fitness FROM f1 ORDER BY fitness DESC, solution DESC LIMIT 1)"""
+    fit = f"""{head}
+SELECT 0 AS generation, solution, n_selected, round(accuracy, 6) AS accuracy, round(fitness, 6) AS fitness FROM f0
+UNION ALL
+SELECT 1, solution, n_selected, round(accuracy, 6), round(fitness, 6) FROM f1"""
+    hist = f"""{head}
+SELECT 0 AS generation, round(b0.fitness, 6) AS best, round(b0.fitness, 6) AS best_so_far, 0 AS stall FROM b0
+UNION ALL
+SELECT 1, round(b1.fitness, 6), round(greatest(b0.fitness, b1.fitness), 6),
+       CASE WHEN b1.fitness > b0.fitness THEN 0 ELSE 1 END FROM b0, b1"""
+    rows = f"""{head}
+SELECT row_id, label FROM g1
+WHERE (SELECT fitness FROM b1) > (SELECT fitness FROM b0)
+  AND ((mask_0 >> (SELECT solution FROM b1)) & 1) = 1
+UNION ALL
+SELECT row_id, label FROM g0
+WHERE NOT ((SELECT fitness FROM b1) > (SELECT fitness FROM b0))
+  AND ((mask_0 >> (SELECT solution FROM b0)) & 1) = 1"""
+    return {"fitness": fit, "history": hist, "rows": rows}
