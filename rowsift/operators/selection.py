@@ -213,7 +213,7 @@ def fitness_forest(table: DataFrame, solutions: list[int], cfg: ForestFitness |
             model = fit_forest(train, num_trees=cfg.num_trees, max_depth=cfg.max_depth,
                                seed=cfg.seed, feature_col=cfg.feature_col)
             pred = predict(model, test, feature_col=cfg.feature_col)
-            acc = pred.agg(F.avg((F.col("prediction") == F.col("label").cast("double"))
+            acc = pred.agg(F.avg((F.col("prediction") == F.col("label"))
                                  .cast("double"))).first()[0] or 0.0
         except Exception:          # the reference scores any failure as 0
             out.append((s, n_sel, None, 0.0))

@@ -31,3 +31,4 @@ def load_all() -> None:
     from . import q_selection  # noqa: F401
     from . import q_vectors  # noqa: F401
     from . import q_tabular  # noqa: F401
+    from . import q_forest  # noqa: F401
