@@ -1,7 +1,7 @@
 """Delimited-file datasets: discovery, delimiter choice, typed scan, sink.
 
 Discovery lists ``*.csv``, ``*.data`` and ``*.txt`` (case-sensitive) under a
-folder, recursively, without reading contents. The delimiter is chosen from
+folder, recursively, from file-system metadata. The delimiter is chosen from
 ``,`` ``;`` tab and whitespace with one aggregate over the lines: a candidate
 fails when a later line has more fields than the wider of the first two lines
 (the rule of the usual C CSV reader), when the first data line is wider than
@@ -32,11 +32,24 @@ class LoadError(ValueError):
 
 
 def list_datasets(spark: SparkSession, folder: str) -> DataFrame:
-    """``(path, length)`` of every dataset file under ``folder``."""
-    return (spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.{" + ",".join(SUFFIXES) + "}")
-            .load(folder).select("path", "length"))
+    """``(path, length)`` of every dataset file under ``folder``, recursively.
+
+    A metadata listing through the Hadoop FileSystem of the path (local, HDFS,
+    object stores alike); contents are not read, and empty files are listed so
+    that the batch can report them.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(conf)
+    it = fs.listFiles(root, True)
+    rows = []
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if any(name.endswith("." + sfx) for sfx in SUFFIXES):
+            rows.append((st.getPath().toString(), int(st.getLen())))
+    return spark.createDataFrame(rows, "path string, length bigint")
 
 
 def _fields(value, cand: str):
