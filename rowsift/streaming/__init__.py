@@ -1,0 +1,2 @@
+"""No streaming operators: the reference has no stream, watermark, window of
+time or state. The genetic search is an iterative batch job."""
