@@ -17,6 +17,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.literals import lookup
 from . import metrics
 
 MAX_SPARK_DEPTH = 30
@@ -37,10 +38,7 @@ def _vec(df: DataFrame, feature_col: str) -> DataFrame:
 
 
 def _index(classes):
-    items = []
-    for i, c in enumerate(classes):
-        items += [F.lit(c), F.lit(float(i))]
-    return F.element_at(F.create_map(*items), F.col("label"))
+    return lookup({c: float(i) for i, c in enumerate(classes)}, F.col("label"))
 
 
 def fit_forest(train: DataFrame, *, task: str = "classification", num_trees: int = 100,
@@ -75,10 +73,8 @@ def predict(fm: ForestModel, df: DataFrame, feature_col: str | None = None) -> D
     fc = feature_col or fm.feature_col
     out = fm.model.transform(_vec(df, fc)).drop("__vec", "rawPrediction", "probability")
     if fm.task == "classification":
-        items = []
-        for i, c in enumerate(fm.classes):
-            items += [F.lit(float(i)), F.lit(c)]
-        out = out.withColumn("prediction", F.element_at(F.create_map(*items), F.col("prediction")))
+        out = out.withColumn("prediction", lookup({float(i): c for i, c in enumerate(fm.classes)},
+                                                  F.col("prediction")))
     return out
 
 

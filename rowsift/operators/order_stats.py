@@ -17,27 +17,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bits import HASH_BITS
+from ..functions.literals import in_set, lookup
 
 ALL = None  # cut-off meaning "every row of the group qualifies"
 
 
 def _lookup(mapping: dict, key_col, default):
-    if not mapping:
-        return F.lit(default)
-    items = []
-    for k, v in mapping.items():
-        items += [F.lit(k), F.lit(v)]
-    return F.coalesce(F.element_at(F.create_map(*items), key_col), F.lit(default))
+    return lookup(mapping, key_col, default)
 
 
 def smallest_k_cutoffs(df: DataFrame, k_by_group: dict[int, int], *, group_col: str = "grp",
                        order_col: str = "h", id_col: str = "row_id",
-                       bits_per_level: int = 8, collect_limit: int = 200_000) -> dict:
+                       bits_per_level: int = 8, collect_limit: int = 200_000,
+                       total_rows: int | None = None) -> dict:
     """For each group g, the ``(h, id)`` of its ``k_by_group[g]``-th smallest row.
 
     ``df`` holds ``group_col`` (bigint), ``order_col`` (60-bit non-negative
     bigint) and ``id_col`` (unique per group). Returns ``{g: (h, id)}``; groups
     with no more than k rows map to ``ALL``; groups with k <= 0 are omitted.
+    ``total_rows`` (rows of ``df``, when known) lets a small input skip the
+    histogram levels and be fetched at once.
     """
     want = {g: k for g, k in k_by_group.items() if k > 0}
     cut: dict = {}
@@ -49,11 +48,21 @@ def smallest_k_cutoffs(df: DataFrame, k_by_group: dict[int, int], *, group_col:
     need = dict(want)                         # rank still to find below prefix
     shift = HASH_BITS                         # number of free low bits
     first = True
+    if total_rows is not None and total_rows <= collect_limit:
+        rows = df.where(in_set(need, g)).select(g.alias("g"), h.alias("h"),
+                                                   F.col(id_col).alias("i")).collect()
+        by = {}
+        for r in rows:
+            by.setdefault(r["g"], []).append((r["h"], r["i"]))
+        for gr, k in need.items():
+            lst = sorted(by.get(gr, []))
+            cut[gr] = ALL if len(lst) <= k else lst[k - 1]
+        return cut
     while need:
         active = list(need)
         in_prefix = (F.shiftright(h, shift) == _lookup(prefix, g, -1)) if shift < HASH_BITS \
             else F.lit(True)
-        scope = df.where(g.isin(active) & in_prefix)
+        scope = df.where(in_set(active, g) & in_prefix)
         if not first:
             total = sum(prev_counts[gr] for gr in active)
             if total <= collect_limit:
@@ -104,10 +113,23 @@ def within_cutoff(cut: dict, *, group_col: str = "grp", order_col: str = "h",
     g = F.col(group_col)
     all_groups = [gr for gr, c in cut.items() if c is ALL]
     bounded = {gr: c for gr, c in cut.items() if c is not ALL}
-    cond = g.isin(all_groups) if all_groups else F.lit(False)
+    cond = in_set(all_groups, g)
     if bounded:
         ch = _lookup({gr: c[0] for gr, c in bounded.items()}, g, -1)
         ci = _lookup({gr: c[1] for gr, c in bounded.items()}, g, -1)
         h, i = F.col(order_col), F.col(id_col)
-        cond = cond | (g.isin(list(bounded)) & ((h < ch) | ((h == ch) & (i <= ci))))
+        cond = cond | (in_set(bounded, g) & ((h < ch) | ((h == ch) & (i <= ci))))
+    return cond
+
+
+def within_cutoff_of(cut: dict, key, h, i):
+    """Same predicate as :func:`within_cutoff` for a key given as a Column
+    (usable inside higher-order lambdas)."""
+    all_groups = [gr for gr, c in cut.items() if c is ALL]
+    bounded = {gr: c for gr, c in cut.items() if c is not ALL}
+    cond = in_set(all_groups, key)
+    if bounded:
+        ch = _lookup({gr: c[0] for gr, c in bounded.items()}, key, -1)
+        ci = _lookup({gr: c[1] for gr, c in bounded.items()}, key, -1)
+        cond = cond | (in_set(bounded, key) & ((h < ch) | ((h == ch) & (i <= ci))))
     return cond

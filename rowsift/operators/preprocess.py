@@ -104,10 +104,8 @@ def vocabulary(df: DataFrame, cols: list[str], limit: int = MAX_CATEGORIES
 
 def encode_expr(col: str, values: list[str]):
     """Code of each value = its position in the sorted vocabulary."""
-    pairs = []
-    for i, v in enumerate(values):
-        pairs += [F.lit(v), F.lit(i)]
-    return F.element_at(F.create_map(*pairs), F.col(col).cast("string")) if pairs else F.lit(None)
+    from ..functions.literals import lookup
+    return lookup({v: i for i, v in enumerate(values)}, F.col(col).cast("string"))
 
 
 def detect_target(columns: list[str], target: str | None = None) -> str:

@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bits import getbit, pack_bits, random_masks, seeded_hash, word_cols
+from ..functions.literals import lookup
 from .knn import KnnSample, evaluate_population
-from .order_stats import smallest_k_cutoffs, within_cutoff
+from .order_stats import smallest_k_cutoffs, within_cutoff, within_cutoff_of
 from .population import Slot, parallel_plan, slot_bit, steady_state_plan
 
 FITNESS_COLUMNS = ["solution", "n_selected", "accuracy", "fitness"]
@@ -110,8 +111,7 @@ def plan_knn_training(counts: dict, cfg: KnnFitness) -> dict[int, TrainPlan]:
 def _group_key_expr(plans: dict[int, TrainPlan], classes: list):
     """Per row, the sample groups it belongs to: solution * (C+1) + class slot."""
     C = len(classes)
-    cls_idx = F.element_at(F.create_map(*[x for i, c in enumerate(classes)
-                                          for x in (F.lit(c), F.lit(i))]), F.col("label"))
+    cls_idx = lookup({c: i for i, c in enumerate(classes)}, F.col("label"))
     items = []
     for s, p in plans.items():
         if not p.eligible:
@@ -131,24 +131,30 @@ def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: l
                 slot = C if lab is None else classes.index(lab)
                 k_by_group[s * (C + 1) + slot] = a
     h = seeded_hash(cfg.seed, "split", "row_id")
-    exploded = (table.select("row_id", "label", h.alias("h"), cfg.feature_col,
-                             F.explode(_group_key_expr(plans, classes)).alias("grp")))
-    cut = smallest_k_cutoffs(exploded.select("grp", "h", "row_id"), k_by_group)
-    rows = (exploded.where(within_cutoff(cut))
-            .select("grp", "row_id", "label", cfg.feature_col).collect())
+    keys = _group_key_expr(plans, classes)
+    keyed = table.select("row_id", h.alias("h"), F.explode(keys).alias("grp"))
+    total = sum(p.n_selected for p in plans.values() if p.eligible)
+    cut = smallest_k_cutoffs(keyed, k_by_group, total_rows=total)
+    # keep only the sampled (row, group) pairs before the feature column is
+    # exploded, then fetch the bounded sample through Arrow
+    hh, rid = F.col("h"), F.col("row_id")
+    picked = (table.select("row_id", "label", cfg.feature_col, h.alias("h"), keys.alias("keys"))
+              .select("row_id", "label", cfg.feature_col,
+                      F.filter("keys", lambda k: within_cutoff_of(cut, k, hh, rid)).alias("keys"))
+              .where(F.size("keys") > 0)
+              .select(F.explode("keys").alias("grp"), "row_id", "label", cfg.feature_col))
+    pdf = picked.toPandas()
     cls = np.array(sorted(classes))
     pos = {c: i for i, c in enumerate(cls.tolist())}
-    per: dict[int, list] = {}
-    for r in rows:
-        per.setdefault(r["grp"] // (C + 1), []).append(r)
     sample = KnnSample(cls)
-    for s, rs in per.items():
-        rs.sort(key=lambda r: r["row_id"])
-        sample.feats[s] = np.asarray([r[cfg.feature_col] for r in rs], dtype=np.float64)
-        sample.ids[s] = np.asarray([r["row_id"] for r in rs], dtype=np.int64)
-        sample.labels[s] = np.asarray([pos[r["label"]] for r in rs], dtype=np.int64)
-        if len(rs) != plans[s].train_size:
-            raise RuntimeError(f"sample of solution {s}: {len(rs)} rows, "
+    pdf["s"] = pdf["grp"] // (C + 1)
+    for s, part in pdf.sort_values("row_id").groupby("s", sort=False):
+        s = int(s)
+        sample.feats[s] = np.vstack(part[cfg.feature_col].to_numpy()).astype(np.float64)
+        sample.ids[s] = part["row_id"].to_numpy(dtype=np.int64)
+        sample.labels[s] = np.asarray([pos[x] for x in part["label"].tolist()], dtype=np.int64)
+        if len(part) != plans[s].train_size:
+            raise RuntimeError(f"sample of solution {s}: {len(part)} rows, "
                                f"expected {plans[s].train_size}")
     return sample
 
@@ -158,11 +164,13 @@ def weighted_fitness(accuracy: float, n_selected: int, n_total: int, alpha: floa
     return alpha * accuracy + beta * (1.0 - n_selected / n_total)
 
 
-def fitness_knn(table: DataFrame, solutions: list[int], cfg: KnnFitness | None = None
-                ) -> pd.DataFrame:
-    """Fitness of the listed solutions (parallel variant); one row per solution."""
+def fitness_knn(table: DataFrame, solutions: list[int], cfg: KnnFitness | None = None,
+                counts: tuple | None = None) -> pd.DataFrame:
+    """Fitness of the listed solutions (parallel variant); one row per solution.
+    ``counts`` may carry a ``population_counts`` result already computed."""
     cfg = cfg or KnnFitness()
-    n, counts = population_counts(table, solutions)
+    n, counts = counts if counts is not None else population_counts(table, solutions)
+    counts = {s: counts[s] for s in solutions}
     classes = sorted({lab for c in counts.values() for lab in c})
     plans = plan_knn_training(counts, cfg)
     ok = [s for s in solutions if plans[s].eligible]
@@ -183,14 +191,15 @@ def fitness_knn(table: DataFrame, solutions: list[int], cfg: KnnFitness | None =
     return pd.DataFrame(out, columns=FITNESS_COLUMNS)
 
 
-def fitness_forest(table: DataFrame, solutions: list[int], cfg: ForestFitness | None = None
-                   ) -> pd.DataFrame:
+def fitness_forest(table: DataFrame, solutions: list[int], cfg: ForestFitness | None = None,
+                   counts: tuple | None = None) -> pd.DataFrame:
     """Fitness of the sequential variant: per solution a seeded hold-out of
     ``ceil(test_fraction * n)`` rows, a random forest on the rest, accuracy on the
     hold-out, weighted with the share of removed rows."""
     from .forest import fit_forest, predict
     cfg = cfg or ForestFitness()
-    n, counts = population_counts(table, solutions)
+    n, counts = counts if counts is not None else population_counts(table, solutions)
+    counts = {s: counts[s] for s in solutions}
     sizes = {s: sum(c.values()) for s, c in counts.items()}
     n_test = {s: math.ceil(cfg.test_fraction * sizes[s]) for s in solutions}
     h = seeded_hash(cfg.seed, "holdout", "row_id")
@@ -231,6 +240,11 @@ class SearchResult:
     history: pd.DataFrame         # generation, best, best_so_far, stall
     fitness: pd.DataFrame         # every evaluated (generation, solution, ...)
     n_rows: int
+    cached: DataFrame | None = None   # the persisted last population under ``table``
+
+    def release(self) -> None:
+        if self.cached is not None:
+            self.cached.unpersist()
 
 
 def _order_key(f: pd.DataFrame):
@@ -260,7 +274,7 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
     base_cols = [c for c in table.columns if not c.startswith("mask_") and c != "best"]
     pop = table.select(*base_cols, *random_masks(seed, population), F.lit(0).alias("best"))
     pop = pop.persist()
-    n = pop.count()
+    n, counts = population_counts(pop, list(range(population)))   # also fills the cache
     if n < 3:
         raise ValueError("the search needs at least 3 rows")
     known: dict[int, float] = {}
@@ -272,7 +286,7 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
     for g in range(rounds):
         todo = [s for s in range(population) if s not in known]
         if todo:
-            f = score(pop, todo, fitness)
+            f = score(pop, todo, fitness, counts=(n, counts))
             for r in f.itertuples(index=False):
                 known[r.solution] = r.fitness
                 known_rows[r.solution] = (r.n_selected, r.accuracy)
@@ -297,11 +311,8 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
                     (variant == "sequential" and (last or stop)) else F.col("best"))
         if last or stop:
             final_best = gen_best if variant == "sequential" else best_so_far
-            pop_next = pop.select(*base_cols, *word_cols(population), best_bit.alias("best"))
-            pop_next = pop_next.persist()
-            pop_next.count()
-            pop.unpersist()
-            pop = pop_next
+            # a lazy projection over the cached population; no extra pass
+            final = pop.select(*base_cols, *word_cols(population), best_bit.alias("best"))
             break
         if variant == "parallel":
             par = [int(s) for _, s in ranked[-parents:]]
@@ -314,13 +325,13 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
         if checkpoint_every and (g + 1) % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)
         nxt = nxt.persist()
-        nxt.count()
+        _, counts = population_counts(nxt, list(range(population)))  # fills the cache
         pop.unpersist()
         pop = nxt
         known = {i: known[sl.p0] for i, sl in enumerate(slots) if sl.kind == "copy"}
         known_rows = {i: known_rows[sl.p0] for i, sl in enumerate(slots) if sl.kind == "copy"}
-    return SearchResult(pop, float(final_best), pd.DataFrame(history),
-                        pd.concat(all_fit, ignore_index=True), n)
+    return SearchResult(final, float(final_best), pd.DataFrame(history),
+                        pd.concat(all_fit, ignore_index=True), n, pop)
 
 
 def select_instances(table: DataFrame, **kw) -> tuple[DataFrame, SearchResult]:

@@ -19,10 +19,8 @@ from .rowid import ordered_positions
 
 
 def _label_map(values: dict, key: str = "label"):
-    items = []
-    for k, v in values.items():
-        items += [F.lit(k), F.lit(v)]
-    return F.element_at(F.create_map(*items), F.col(key))
+    from ..functions.literals import lookup
+    return lookup(values, F.col(key))
 
 
 def holdout_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42,
@@ -118,10 +116,11 @@ def stratified_folds(df: DataFrame, k: int = 5, label: str = "label",
     pos = ordered_positions(df.withColumn("__g", _label_map(grp_order, label)),
                             ["__g", id_col], out_col="__pos")
     r = F.col("__pos") - _label_map(off_by, label)
-    items = []
-    for lab, cum in cum_by.items():
-        items += [F.lit(lab), F.array(*[F.lit(x) for x in cum])]
-    cums = F.element_at(F.create_map(*items), F.col(label))
+    from ..functions.literals import sql_literal
+    keys = ", ".join(sql_literal(lab) for lab in cum_by)
+    vals = ", ".join("array(" + ", ".join(sql_literal(x) for x in cum) + ")"
+                     for cum in cum_by.values())
+    cums = F.element_at(F.expr(f"map_from_arrays(array({keys}), array({vals}))"), F.col(label))
     fold = F.size(F.filter(cums, lambda x: x <= r)).cast("int")
     return pos.withColumn("fold", fold).drop("__pos", "__g")
 
