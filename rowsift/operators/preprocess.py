@@ -11,8 +11,8 @@ Policy (one dataset at a time):
 5. every other column is standardised with the population standard deviation
    (a constant column becomes 0).
 
-Exactly two eager aggregates run: one for the category vocabularies (a single
-unpivot + distinct, bounded by the cardinality limit), one for the moments.
+Exactly two eager aggregates run (see :func:`preprocess`); vocabularies are
+applied as literal maps, so no join touches the data.
 """
 
 from __future__ import annotations
@@ -91,15 +91,16 @@ def vocabulary(df: DataFrame, cols: list[str], limit: int = MAX_CATEGORIES
     exact = [c for c in cols if card[c] < 2 * limit]
     if not exact:
         return {}, card
-    vals = category_values(df, exact)
-    counts = vals.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    small = counts.where(F.col("n") < limit).select("column")
-    rows = (vals.join(F.broadcast(small), "column")
-            .groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("values"))
-            .collect())
-    for r in counts.collect():
-        card[r["column"]] = int(r["n"])
-    return {r["column"]: list(r["values"]) for r in rows}, card
+    per: dict[str, list] = {}
+    for r in category_values(df, exact).collect():
+        per.setdefault(r["column"], []).append(r["value"])
+    vocab = {}
+    for c in exact:
+        vals = sorted(per.get(c, []))
+        card[c] = len(vals)
+        if len(vals) < limit:
+            vocab[c] = vals
+    return vocab, card
 
 
 def encode_expr(col: str, values: list[str]):
@@ -151,6 +152,12 @@ def preprocess(df: DataFrame, target: str | None = None, task: str | None = None
                limit: int = MAX_CATEGORIES, assign_row_id: bool = False) -> Prepared:
     """The whole policy of the module docstring; returns the prepared table.
 
+    Two eager aggregates: (1) row count, a HyperLogLog sketch per categorical
+    column and mean / population std per numeric column; (2) the
+    ``(column, value, count)`` table of the categorical columns that may be
+    under the limit (bounded by ``2 * limit`` values per column). Code moments
+    follow from the value counts, so nothing else is scanned.
+
     ``assign_row_id=True`` numbers the rows left after the missing-value drop
     densely, in their current (file) order, as column ``row_id`` (the positions
     the search works on); it is carried along and is not a feature.
@@ -158,27 +165,59 @@ def preprocess(df: DataFrame, target: str | None = None, task: str | None = None
     from .rowid import with_row_id
     if df is None:
         raise PreprocessError("no table")
-    if df.isEmpty():
-        raise PreprocessError("empty table")
     clean = drop_missing(df)
-    if clean.isEmpty():
-        raise PreprocessError("no row without missing values")
     ids = []
+    num, cat = classify_columns(clean)
+    clean = as_text(clean, cat)
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs += [F.approx_count_distinct(c, 0.01).alias(f"h_{c}") for c in cat]
+    for c in num:
+        aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
+                 F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")]
+    st = clean.agg(*aggs).first()
+    n = int(st["__n"])
+    if n == 0:
+        raise PreprocessError("empty table" if df.isEmpty() else "no row without missing values")
+    card = {c: int(st[f"h_{c}"]) for c in cat}
+    exact = [c for c in cat if card[c] < 2 * limit]
+    vocab, freq = {}, {}
+    if exact:
+        stacked = clean.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in exact
+        ])).alias("kv")).select("kv.column", "kv.value")
+        per = {}
+        for r in stacked.groupBy("column", "value").count().collect():
+            per.setdefault(r["column"], []).append((r["value"], int(r["count"])))
+        for c in exact:
+            vals = sorted(per.get(c, []))
+            card[c] = len(vals)
+            if len(vals) < limit:
+                vocab[c] = [v for v, _ in vals]
+                freq[c] = [k for _, k in vals]
+    dropped = [c for c in cat if card.get(c, 0) >= limit]
     if assign_row_id:
         clean = with_row_id(clean)
         ids = ["row_id"]
-    num, cat = classify_columns(clean.drop(*ids))
-    clean = as_text(clean, cat)
-    vocab, card = vocabulary(clean, cat, limit)
-    dropped = [c for c in cat if card.get(c, 0) >= limit]
     kept = [c for c in clean.columns if c not in dropped and c not in ids]
-    proj = [encode_expr(c, vocab[c]).cast("int").alias(c) if c in vocab else F.col(c)
-            for c in kept]
-    enc = clean.select(*ids, *proj)
     tgt = detect_target(kept, target)
     feats = [c for c in kept if c != tgt and (c in num or c in vocab)]
-    std = standardize_exprs(enc, feats)
-    table = enc.select(*ids, F.col(tgt), *std)
+    moments = {}
+    for c in feats:
+        if c in vocab:
+            mean = sum(i * k for i, k in enumerate(freq[c])) / n
+            var = sum(k * (i - mean) ** 2 for i, k in enumerate(freq[c])) / n
+            moments[c] = (mean, var ** 0.5)
+        else:
+            moments[c] = (st[f"m_{c}"], st[f"s_{c}"])
+
+    def col_expr(c):
+        x = encode_expr(c, vocab[c]).cast("int") if c in vocab else F.col(c)
+        if c == tgt:
+            return x.alias(c)
+        m, sd = moments[c]
+        sd = 1.0 if not sd else sd
+        return ((x.cast("double") - F.lit(m)) / F.lit(sd)).alias(c)
+    table = clean.select(*ids, col_expr(tgt), *[col_expr(c) for c in feats])
     return Prepared(table, tgt, feats, task or "classification", dropped, vocab, card)
 
 

@@ -1,10 +1,11 @@
 """Dense positions (0..n-1) and running sums without a global window.
 
 ``row_number() OVER (ORDER BY ...)`` without PARTITION BY runs in one task. Here
-the table is range-partitioned on the order keys, each partition counts its
-rows (or sums a weight), the driver turns the per-partition totals (one number
-per partition) into offsets, and a second narrow pass adds the offset to the
-local running position. Only ``#partitions`` numbers reach the driver.
+the table is range-partitioned on the order keys (the sample-based bounds split
+even a hot key range over many partitions), each partition counts its rows (or
+sums a weight), the driver turns the per-partition totals (one number per
+partition) into offsets, and a second narrow pass adds the offset to the local
+running position. Only ``#partitions`` numbers reach the driver.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.literals import lookup
+
 
 def _local_fn(order_cols, weight_col, out_col, offsets_bc, exclusive):
     def run(batches):
@@ -45,6 +48,12 @@ def ordered_positions(df: DataFrame, order_cols: list[str], *, out_col: str = "r
 
     ``keep_partitioning=True`` keeps the current partition order instead of
     range partitioning (e.g. file order of a freshly read delimited file).
+
+    Unit weights stay in the JVM: after the per-partition sort,
+    ``monotonically_increasing_id()`` is ``(partition << 33) + local position``,
+    so the position is that id plus a per-partition offset looked up from the
+    collected partition counts (one number per partition). Weighted running sums
+    use an Arrow-batched pass that carries the running total across batches.
     """
     spark = df.sparkSession
     if keep_partitioning:
@@ -53,7 +62,10 @@ def ordered_positions(df: DataFrame, order_cols: list[str], *, out_col: str = "r
         n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     ranged = ranged.withColumn("__pid", F.spark_partition_id())
-    ranged = ranged.persist()
+    if weight_col is None:
+        ranged = ranged.withColumn("__mid", F.monotonically_increasing_id())
+    if not keep_partitioning:
+        ranged = ranged.persist()      # both passes must see the same partitions
     w = F.col(weight_col).cast("bigint") if weight_col else F.lit(1).cast("bigint")
     totals = {r["__pid"]: int(r["t"] or 0)
               for r in ranged.groupBy("__pid").agg(F.sum(w).alias("t")).collect()}
@@ -61,6 +73,12 @@ def ordered_positions(df: DataFrame, order_cols: list[str], *, out_col: str = "r
     for pid in sorted(totals):
         offsets[pid] = run
         run += totals[pid]
+    if weight_col is None:
+        shift = {pid: off - (pid << 33) for pid, off in offsets.items()}
+        pos = F.col("__mid") + lookup(shift, F.col("__pid"), 0)
+        if not exclusive:
+            pos = pos + 1
+        return ranged.withColumn(out_col, pos.cast("bigint")).drop("__pid", "__mid")
     bc = spark.sparkContext.broadcast(offsets)
     schema = T.StructType([f for f in ranged.schema.fields if f.name != "__pid"] +
                           [T.StructField(out_col, T.LongType(), False)])

@@ -275,8 +275,7 @@ p AS (SELECT q.row_id, q.label, t.row_id AS train_id, t.label AS tlabel,
 
 def _knn_model(spark, d):
     emb = prepared_embeddings(spark, d)
-    flagged = split.stratified_split(emb.select("row_id", "label"), seed=42)
-    train = emb.join(flagged.where("in_train").select("row_id"), "row_id", "left_semi")
+    train = split.stratified_split(emb, seed=42).where("in_train")
     return emb, collect_train(train)
 
 
