@@ -240,3 +240,72 @@ def q_fitness_history(spark, d):
 def q_select_instances(spark, d):
     """Rows of the best solution found by a 2-generation parallel search."""
     return flagship(spark, d, generations=2)
+
+
+# ------------------------------------------------------------------ more selection operators
+
+@register("gather_rows", f"""
+SELECT row_id, label FROM ({POP0}) WHERE (mask_0 & 1) = 1""")
+def q_gather_rows(spark, d):
+    """Rows kept by solution 0 of the initial population (a bit filter on the
+    row, no join)."""
+    return _population(spark, d).where(getbit(0) == 1).select("row_id", "label")
+
+
+@register("select_parents", f"""
+SELECT CAST(row_number() OVER (ORDER BY fitness, solution) - 1 - {POPULATION - PARENTS} AS INTEGER) AS slot,
+       solution FROM ({FIT0}) QUALIFY slot >= 0""")
+def q_select_parents(spark, d):
+    """The 4 parents in the order they take slots 0..3 of the next population
+    (ascending fitness, ties to the larger index last)."""
+    f = _gen0_fitness(spark, d).orderBy(F.col("fitness").desc(), F.col("solution").desc()) \
+        .limit(PARENTS).collect()
+    return spark.createDataFrame([(PARENTS - 1 - i, r["solution"]) for i, r in enumerate(f)],
+                                 "slot int, solution int")
+
+
+EVO_FIT = EVO["fitness"]
+
+
+@register("best_of_generation", f"""
+SELECT generation, arg_max(solution, (fitness, solution)) AS solution, max(fitness) AS fitness
+FROM ({EVO_FIT}) GROUP BY generation""")
+def q_best_of_generation(spark, d):
+    """Best fitness and its solution (ties to the larger index) per generation."""
+    f = q_evolve(spark, d)
+    return f.groupBy("generation").agg(
+        F.max_by("solution", F.struct("fitness", "solution")).alias("solution"),
+        F.max("fitness").alias("fitness"))
+
+
+@register("selection_summary", f"""
+SELECT (SELECT count(*) FROM embeddings) AS original_rows, count(*) AS selected_rows,
+       round((1 - count(*) / (SELECT count(*) FROM embeddings)) * 100, 2) AS reduction_pct
+FROM ({EVO["rows"]})""")
+def q_selection_summary(spark, d):
+    """Original and kept rows of the 2-generation search and the reduction in
+    percent (2 decimals), from one aggregate over the flagged table."""
+    from ..operators.selection import selection_summary
+    res = _search(spark, d)
+    return selection_summary(res.table, "best")
+
+
+@register("track_best", f"""
+{EVO["rows"].split("SELECT row_id, label FROM g1")[0]}
+SELECT CASE WHEN b1.fitness > b0.fitness THEN 1 ELSE 0 END AS generation,
+       CASE WHEN b1.fitness > b0.fitness THEN b1.solution ELSE b0.solution END AS solution,
+       round(greatest(b0.fitness, b1.fitness), 6) AS fitness
+FROM b0, b1""")
+def q_track_best(spark, d):
+    """Best-ever solution of the search (strict improvement): the generation
+    it was found in, its index then, its fitness."""
+    res = _search(spark, d)
+    f = res.fitness
+    best, where = -1.0, None
+    for g in sorted(f.generation.unique()):
+        gf = f[f.generation == g]
+        top = max(zip(gf.fitness, gf.solution))
+        if top[0] > best:
+            best, where = top[0], (int(g), int(top[1]))
+    return spark.createDataFrame([(where[0], where[1], round(best, 6))],
+                                 "generation int, solution int, fitness double")

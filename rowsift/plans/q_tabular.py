@@ -297,3 +297,44 @@ def q_knn_rank(spark, d):
     """The 5 nearest training rows of every embedding row."""
     emb, model = _knn_model(spark, d)
     return _round(knn_neighbours(emb, model), ["distance"])
+
+
+# ------------------------------------------------------------------ scans, splits
+
+@register("scan_table", """
+SELECT l_orderkey, l_quantity, l_extendedprice FROM lineitem
+WHERE l_shipdate < TIMESTAMP '1997-01-01 00:00:00' AND l_returnflag = 'R'""")
+def q_scan_table(spark, d):
+    """Parquet scan with a projection and a filter that both reach the reader
+    (ReadSchema of 5 columns, PushedFilters on shipdate and returnflag)."""
+    li = scan_table(spark, d, "lineitem")
+    return (li.where((F.col("l_shipdate") < F.lit("1997-01-01 00:00:00").cast("timestamp_ntz"))
+                     & (F.col("l_returnflag") == "R"))
+            .select("l_orderkey", "l_quantity", "l_extendedprice"))
+
+
+@register("split_xy", f"""
+SELECT {_std('c_custkey', CUST)}, {_std('c_nationkey', CUST)}, {_std('c_acctbal', CUST)}
+FROM {CUST}""")
+def q_split_xy(spark, d):
+    """The feature part X of the prepared customer table (all but the target)."""
+    c = scan_table(spark, d, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", F.col("c_mktsegment").alias("class"))
+    prep = pp.preprocess(c)
+    return _round(prep.table.select(*prep.features), prep.features)
+
+
+H_CUST = sql_seeded_hash(42, "split", "c_custkey")
+
+
+@register("stratify_fallback", f"""
+SELECT c_custkey AS row_id,
+       row_number() OVER (ORDER BY {H_CUST}, c_custkey)
+         <= least(1000, (3 * (SELECT count(*) FROM customer)) // 4) AS in_train
+FROM customer""")
+def q_stratify_fallback(spark, d):
+    """Stratifying customer by c_name (every class has one member) is
+    impossible, so the seeded sample falls back to an unstratified one."""
+    c = scan_table(spark, d, "customer").select(F.col("c_custkey").alias("row_id"),
+                                                F.col("c_name").alias("label"))
+    return split.stratified_split(c, seed=42).select("row_id", "in_train")
