@@ -26,6 +26,10 @@ from pyspark.sql import types as T
 # Accepted target names and the cardinality limit.
 TARGET_NAMES = ("target", "class", "label", "y", "outcome", "diagnosis", "status")
 MAX_CATEGORIES = 100
+# Relative error of the cardinality sketch. Columns are only skipped from the
+# exact count when the estimate is at least twice the limit; with 5% error a
+# column under the limit would need a 20-sigma overestimate to be skipped.
+HLL_RSD = 0.05
 
 
 class PreprocessError(ValueError):
@@ -79,14 +83,14 @@ def vocabulary(df: DataFrame, cols: list[str], limit: int = MAX_CATEGORIES
                ) -> tuple[dict[str, list[str]], dict[str, int]]:
     """Sorted values of the columns under the limit, and every column's count.
 
-    A HyperLogLog sketch (one small aggregate, rsd 1%) first rules out columns
+    A HyperLogLog sketch (one small aggregate, rsd 5%) first rules out columns
     far above the limit (estimate >= 2*limit), so a free-text column is never
     shuffled through a distinct; the rest are counted exactly. Only columns
     under the limit ship their values (at most limit-1 each).
     """
     if not cols:
         return {}, {}
-    est = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in cols]).first()
+    est = df.agg(*[F.approx_count_distinct(c, HLL_RSD).alias(c) for c in cols]).first()
     card = {c: int(est[c]) for c in cols}
     exact = [c for c in cols if card[c] < 2 * limit]
     if not exact:
@@ -170,7 +174,7 @@ def preprocess(df: DataFrame, target: str | None = None, task: str | None = None
     num, cat = classify_columns(clean)
     clean = as_text(clean, cat)
     aggs = [F.count(F.lit(1)).alias("__n")]
-    aggs += [F.approx_count_distinct(c, 0.01).alias(f"h_{c}") for c in cat]
+    aggs += [F.approx_count_distinct(c, HLL_RSD).alias(f"h_{c}") for c in cat]
     for c in num:
         aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
                  F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")]
