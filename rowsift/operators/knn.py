@@ -5,8 +5,9 @@ stacked sample of all solutions has a proven size bound of
 ``P * train_cap * d * 8`` bytes; it is broadcast when that bound fits the
 budget, otherwise the solutions are split into groups that fit and evaluated
 in several passes (same result). Query rows never leave their partition: one
-``mapInPandas`` pass emits ``(solution, correct, total)`` per Arrow batch and a
-tiny aggregate sums them.
+``mapInArrow`` pass (feature lists reshaped from the Arrow buffer, no Python
+object per row) emits ``(solution, correct, total)`` per batch and a tiny
+aggregate sums them.
 
 Neighbour order is (Euclidean distance, training row id); the vote picks the
 most frequent label, ties to the smallest label. Distances are first ranked by
@@ -86,19 +87,41 @@ def _features(pdf: pd.DataFrame, feature_col: str) -> np.ndarray:
     return np.vstack(col).astype(np.float64) if len(col) else np.zeros((0, 0))
 
 
+def arrow_matrix(arr) -> np.ndarray:
+    """(rows, d) float64 matrix of an Arrow list column, without a Python
+    object per row when all lists have the same length (the common case)."""
+    import pyarrow as pa
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    n = len(arr)
+    if n == 0:
+        return np.zeros((0, 0))
+    offsets = np.asarray(arr.offsets)
+    lengths = np.diff(offsets)
+    if arr.null_count == 0 and (lengths == lengths[0]).all():
+        flat = np.asarray(arr.values)[offsets[0]:offsets[-1]]
+        return flat.astype(np.float64).reshape(n, int(lengths[0]))
+    return np.vstack([np.asarray(x, dtype=np.float64) for x in arr.to_pylist()])
+
+
 def _eval_fn(bc, solutions: list[int], feature_col: str, k: int, chunk_rows: int):
+    import pyarrow as pa
+
     def run(batches):
         smp: KnnSample = bc.value
         n_cls = len(smp.classes)
-        for pdf in batches:
-            if pdf.empty:
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            x_all = _features(pdf, feature_col)
-            lab = pdf["label"].to_numpy()
+            x_all = arrow_matrix(rb.column(feature_col))
+            lab = np.asarray(rb.column("label"))
+            words = {}
             out_s, out_c, out_t = [], [], []
             for s in solutions:
                 w, b = divmod(s, WORD_BITS)
-                sel = np.nonzero((pdf[f"mask_{w}"].to_numpy() >> b) & 1)[0]
+                if w not in words:
+                    words[w] = np.asarray(rb.column(f"mask_{w}"))
+                sel = np.nonzero((words[w] >> b) & 1)[0]
                 if len(sel) == 0:
                     continue
                 xt, tid, tlab = smp.feats[s], smp.ids[s], smp.labels[s]
@@ -112,9 +135,9 @@ def _eval_fn(bc, solutions: list[int], feature_col: str, k: int, chunk_rows: int
                 out_c.append(correct)
                 out_t.append(len(sel))
             if out_s:
-                yield pd.DataFrame({"solution": np.array(out_s, dtype=np.int32),
-                                    "correct": np.array(out_c, dtype=np.int64),
-                                    "total": np.array(out_t, dtype=np.int64)})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out_s, pa.int32()), pa.array(out_c, pa.int64()),
+                     pa.array(out_t, pa.int64())], names=["solution", "correct", "total"])
     return run
 
 
@@ -146,7 +169,7 @@ def evaluate_population(table: DataFrame, sample: KnnSample, solutions: list[int
             d = max(1, next(iter(part.feats.values())).shape[1])
             t = max(1, max(len(v) for v in part.ids.values()))
             chunk = int(max(16, min(4096, 4_000_000 // (t * max(1, d // 16)))))
-            rows = (narrow.mapInPandas(_eval_fn(bc, grp, feature_col, k, chunk), EVAL_SCHEMA)
+            rows = (narrow.mapInArrow(_eval_fn(bc, grp, feature_col, k, chunk), EVAL_SCHEMA)
                     .groupBy("solution")
                     .agg(F.sum("correct").alias("correct"), F.sum("total").alias("total"))
                     .collect())
@@ -177,40 +200,55 @@ def collect_train(train: DataFrame, *, feature_col: str = "features", id_col: st
     return smp
 
 
-def _predict_fn(bc, feature_col, id_col, k, chunk, neighbours_out):
+ARROW_TYPES = {"int": "int32", "integer": "int32", "long": "int64", "bigint": "int64",
+               "double": "float64", "float": "float32", "string": "string"}
+
+
+def _predict_fn(bc, feature_col, id_col, k, chunk, neighbours_out, label_type="int", keep=()):
+    import pyarrow as pa
+    out_type = pa.type_for_alias(ARROW_TYPES.get(label_type, label_type))
+
     def run(batches):
         smp: KnnSample = bc.value
         xt, tid, tlab = smp.feats[0], smp.ids[0], smp.labels[0]
-        for pdf in batches:
-            if pdf.empty:
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            x = _features(pdf, feature_col)
-            ids = pdf[id_col].to_numpy()
-            for lo in range(0, len(pdf), chunk):
+            x = arrow_matrix(rb.column(feature_col))
+            ids = np.asarray(rb.column(id_col))
+            for lo in range(0, rb.num_rows, chunk):
                 xq = x[lo:lo + chunk]
                 top = neighbours(xq, xt, tid, k)
                 if neighbours_out:
                     diff = xq[:, None, :] - xt[top]
                     dist = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
                     kk = top.shape[1]
-                    yield pd.DataFrame({
-                        id_col: np.repeat(ids[lo:lo + chunk], kk),
-                        "rank": np.tile(np.arange(1, kk + 1, dtype=np.int32), len(xq)),
-                        "train_id": tid[top].ravel(),
-                        "distance": dist.ravel()})
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.repeat(ids[lo:lo + chunk], kk), pa.int64()),
+                        pa.array(np.tile(np.arange(1, kk + 1, dtype=np.int32), len(xq))),
+                        pa.array(tid[top].ravel(), pa.int64()),
+                        pa.array(dist.ravel(), pa.float64())],
+                        names=[id_col, "rank", "train_id", "distance"])
                 else:
                     pred = smp.classes[vote(tlab[top], len(smp.classes))]
-                    yield pd.DataFrame({id_col: ids[lo:lo + chunk], "prediction": pred})
+                    extra = [rb.column(c).slice(lo, len(xq)) for c in keep]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[lo:lo + chunk], pa.int64()), *extra,
+                         pa.array(pred.tolist(), out_type)],
+                        names=[id_col, *keep, "prediction"])
     return run
 
 
 def knn_predict(table: DataFrame, sample: KnnSample, *, k: int = 5, feature_col: str = "features",
-                id_col: str = "row_id", label_type: str = "int") -> DataFrame:
-    """``(id, prediction)`` for every row of ``table``."""
+                id_col: str = "row_id", label_type: str = "int", keep: tuple = ()) -> DataFrame:
+    """``(id, *keep, prediction)`` for every row of ``table``; ``keep`` columns
+    travel with the batches (no join back)."""
     bc = table.sparkSession.sparkContext.broadcast(sample)
-    schema = f"{id_col} long, prediction {label_type}"
-    return table.select(id_col, feature_col).mapInPandas(
-        _predict_fn(bc, feature_col, id_col, k, 2048, False), schema)
+    fields = {f.name: f.dataType.simpleString() for f in table.schema.fields}
+    schema = ", ".join([f"{id_col} long"] + [f"`{c}` {fields[c]}" for c in keep] +
+                       [f"prediction {label_type}"])
+    return table.select(id_col, *keep, feature_col).mapInArrow(
+        _predict_fn(bc, feature_col, id_col, k, 2048, False, label_type, tuple(keep)), schema)
 
 
 def knn_neighbours(table: DataFrame, sample: KnnSample, *, k: int = 5,
@@ -218,5 +256,119 @@ def knn_neighbours(table: DataFrame, sample: KnnSample, *, k: int = 5,
     """``(id, rank, train_id, distance)``: the k nearest training rows per row."""
     bc = table.sparkSession.sparkContext.broadcast(sample)
     schema = f"{id_col} long, rank int, train_id long, distance double"
-    return table.select(id_col, feature_col).mapInPandas(
+    return table.select(id_col, feature_col).mapInArrow(
         _predict_fn(bc, feature_col, id_col, k, 2048, True), schema)
+
+
+def _candidates_fn(bc, feature_col, id_col, k, chunk, label_type="int"):
+    import pyarrow as pa
+    out_type = pa.type_for_alias(ARROW_TYPES.get(label_type, label_type))
+
+    def run(batches):
+        smp: KnnSample = bc.value
+        xt, tid, tlab = smp.feats[0], smp.ids[0], smp.labels[0]
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            x = arrow_matrix(rb.column(feature_col))
+            ids = np.asarray(rb.column(id_col))
+            for lo in range(0, rb.num_rows, chunk):
+                xq = x[lo:lo + chunk]
+                top = neighbours(xq, xt, tid, k)
+                diff = xq[:, None, :] - xt[top]
+                d2 = np.einsum("ijk,ijk->ij", diff, diff)
+                kk = top.shape[1]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(ids[lo:lo + chunk], kk), pa.int64()),
+                    pa.array(tid[top].ravel(), pa.int64()),
+                    pa.array(d2.ravel(), pa.float64()),
+                    pa.array(smp.classes[tlab[top]].ravel().tolist(), out_type)],
+                    names=[id_col, "train_id", "d2", "train_label"])
+    return run
+
+
+def knn_topk(table: DataFrame, train: DataFrame, *, k: int = 5, feature_col: str = "features",
+             id_col: str = "row_id", label_col: str = "label", label_type: str = "int",
+             budget: int = 512 << 20) -> DataFrame:
+    """``(id, rank, train_id, distance, train_label)``: the k nearest training
+    rows of every row of ``table``, for a training set of any size.
+
+    The training set is cut into chunks whose matrix fits ``budget``; each
+    chunk is broadcast in turn and yields k candidates per row; the union
+    (k * chunks rows per query id) is reduced to the exact k nearest by
+    (distance, train id) with a window over those few rows.
+    """
+    n = train.count()
+    if n == 0:
+        raise ValueError("empty training set")
+    d = train.select(F.size(feature_col)).first()[0] or 1
+    per_chunk = max(k, budget // (d * 8 + 16))
+    chunks = -(-n // per_chunk)
+    if chunks > 1:
+        from .rowid import ordered_positions
+        keyed = ordered_positions(train.select(id_col, label_col, feature_col), [id_col],
+                                  out_col="__pos")
+        keyed = keyed.withColumn("__chunk", F.floor(F.col("__pos") / F.lit(per_chunk))).persist()
+    else:
+        keyed = train.select(id_col, label_col, feature_col, F.lit(0).alias("__chunk"))
+    classes = sorted(r[0] for r in keyed.select(label_col).distinct().collect())
+    schema = f"{id_col} long, train_id long, d2 double, train_label {label_type}"
+    parts = []
+    sc = table.sparkSession.sparkContext
+    for c in range(chunks):
+        smp = collect_train(keyed.where(F.col("__chunk") == c), feature_col=feature_col,
+                            id_col=id_col, label_col=label_col, classes=classes, budget=budget)
+        bc = sc.broadcast(smp)
+        parts.append(table.select(id_col, feature_col).mapInArrow(
+            _candidates_fn(bc, feature_col, id_col, k, 2048, label_type), schema))
+    cand = parts[0]
+    for p in parts[1:]:
+        cand = cand.unionByName(p)
+    from pyspark.sql import Window
+    w = Window.partitionBy(id_col).orderBy("d2", "train_id")
+    # each id has at most k * chunks candidate rows, so no window group is large
+    cand = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return cand.select(id_col, F.col("rank").cast("int").alias("rank"), "train_id",
+                       F.sqrt("d2").alias("distance"), "train_label")
+
+
+def vote_predictions(cand: DataFrame, id_col: str = "row_id") -> DataFrame:
+    """Majority label of each id's neighbours, ties to the smallest label."""
+    votes = cand.groupBy(id_col, "train_label").agg(F.count(F.lit(1)).alias("votes"))
+    return votes.groupBy(id_col).agg(
+        F.min_by("train_label", F.struct(-F.col("votes"), F.col("train_label")))
+        .alias("prediction"))
+
+
+def _fits(train: DataFrame, feature_col: str, budget: int) -> bool:
+    n = train.count()
+    d = train.select(F.size(feature_col)).first()[0] or 1 if n else 1
+    return n * d * 8 <= budget
+
+
+def knn_classify(table: DataFrame, train: DataFrame, *, k: int = 5, feature_col: str = "features",
+                 id_col: str = "row_id", label_type: str = "int", keep: tuple = (),
+                 budget: int = 512 << 20) -> DataFrame:
+    """``(id, prediction)`` of k-NN trained on ``train``: one broadcast pass when
+    the training matrix fits ``budget`` (size checked first), else the chunked
+    exact path of :func:`knn_topk`."""
+    if _fits(train, feature_col, budget):
+        return knn_predict(table, collect_train(train, feature_col=feature_col, id_col=id_col,
+                                                budget=budget),
+                           k=k, feature_col=feature_col, id_col=id_col, label_type=label_type,
+                           keep=keep)
+    cand = knn_topk(table, train, k=k, feature_col=feature_col, id_col=id_col,
+                    label_type=label_type, budget=budget)
+    pred = vote_predictions(cand, id_col)
+    return table.select(id_col, *keep).join(pred, id_col) if keep else pred
+
+
+def knn_rank(table: DataFrame, train: DataFrame, *, k: int = 5, feature_col: str = "features",
+             id_col: str = "row_id", budget: int = 512 << 20) -> DataFrame:
+    """``(id, rank, train_id, distance)`` of the k nearest training rows."""
+    if _fits(train, feature_col, budget):
+        return knn_neighbours(table, collect_train(train, feature_col=feature_col, id_col=id_col,
+                                                   budget=budget),
+                              k=k, feature_col=feature_col, id_col=id_col)
+    return knn_topk(table, train, k=k, feature_col=feature_col, id_col=id_col,
+                    budget=budget).drop("train_label")

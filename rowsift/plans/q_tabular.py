@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bits import sql_seeded_hash
 from ..operators import metrics, preprocess as pp, split
-from ..operators.knn import collect_train, knn_neighbours, knn_predict
+from ..operators.knn import knn_classify, knn_rank
 from ..sources.tables import prepared_embeddings, scan_table
 from .catalog import register
 
@@ -275,8 +275,8 @@ p AS (SELECT q.row_id, q.label, t.row_id AS train_id, t.label AS tlabel,
 
 def _knn_model(spark, d):
     emb = prepared_embeddings(spark, d)
-    train = split.stratified_split(emb, seed=42).where("in_train")
-    return emb, collect_train(train)
+    train = split.stratified_split(emb, seed=42).where("in_train").drop("in_train")
+    return emb, train
 
 
 @register("knn_classify", f"""{KNN_PAIRS},
@@ -285,9 +285,8 @@ w AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY votes DESC, tlab
 SELECT row_id, label, tlabel AS prediction FROM w WHERE o = 1""")
 def q_knn_classify(spark, d):
     """5-NN trained on the stratified sample, predicting every embedding row."""
-    emb, model = _knn_model(spark, d)
-    pred = knn_predict(emb, model)
-    return emb.select("row_id", "label").join(pred, "row_id")
+    emb, train = _knn_model(spark, d)
+    return knn_classify(emb, train, keep=("label",))
 
 
 @register("knn_rank", f"""{KNN_PAIRS}
@@ -295,8 +294,8 @@ SELECT row_id, CAST(rank AS INTEGER) AS rank, train_id, round(distance, 6) AS di
 FROM p WHERE rank <= 5""")
 def q_knn_rank(spark, d):
     """The 5 nearest training rows of every embedding row."""
-    emb, model = _knn_model(spark, d)
-    return _round(knn_neighbours(emb, model), ["distance"])
+    emb, train = _knn_model(spark, d)
+    return _round(knn_rank(emb, train), ["distance"])
 
 
 # ------------------------------------------------------------------ scans, splits

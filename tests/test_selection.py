@@ -140,3 +140,16 @@ def test_hash_is_stable(spark):
     df = spark.range(3).select(seeded_hash(42, "t", F.col("id")).alias("h"))
     hs = [r.h for r in df.orderBy("h").collect()]
     assert all(0 <= h < (1 << 60) for h in hs) and len(set(hs)) == 3
+
+
+def test_knn_chunked_equals_single_broadcast(spark):
+    from rowsift.operators.knn import collect_train, knn_neighbours, knn_predict, knn_topk, vote_predictions
+    q = table(spark, 300, [0, 1, 2], d=6, seed=4)
+    t = table(spark, 120, [0, 1, 2, 2], d=6, seed=5)
+    one = {(r.row_id, r.rank): r.train_id for r in knn_neighbours(q, collect_train(t)).collect()}
+    small = knn_topk(q, t, budget=20 * (6 * 8 + 16))          # forces 6 chunks
+    many = {(r.row_id, r.rank): r.train_id for r in small.collect()}
+    assert one == many
+    p1 = {r.row_id: r.prediction for r in knn_predict(q, collect_train(t)).collect()}
+    p2 = {r.row_id: r.prediction for r in vote_predictions(small).collect()}
+    assert p1 == p2
