@@ -153,3 +153,18 @@ def test_knn_chunked_equals_single_broadcast(spark):
     p1 = {r.row_id: r.prediction for r in knn_predict(q, collect_train(t)).collect()}
     p2 = {r.row_id: r.prediction for r in vote_predictions(small).collect()}
     assert p1 == p2
+
+
+def test_population_wider_than_one_word(spark):
+    emb = prepared_embeddings(spark, SF_SMALL)
+    pop = emb.select("*", *random_masks(9, 64)).persist()
+    assert [c for c in pop.columns if c.startswith("mask_")] == ["mask_0", "mask_1"]
+    wide = fitness_knn(pop, [61, 62]).set_index("solution")
+    narrow_pop = pop.select("row_id", "label", "features", *pack_bits([getbit(61), getbit(62)]))
+    narrow = fitness_knn(narrow_pop, [0, 1]).set_index("solution")
+    assert list(wide["fitness"]) == list(narrow["fitness"])
+    res = evolve(emb, generations=2, population=64, parents=4, seed=9)
+    f = res.fitness
+    prev = f[f.generation == 0].sort_values(["fitness", "solution"]).tail(4)
+    cur = f[f.generation == 1].set_index("solution")
+    assert sorted(cur.loc[[0, 1, 2, 3], "fitness"]) == sorted(prev["fitness"])
