@@ -1,0 +1,21 @@
+"""Bounds on what may reach the driver."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# A classification target with more distinct values than this is treated as
+# continuous (the classifiers of the search reject it up front).
+MAX_CLASSES = 10_000
+
+
+class TooManyClasses(ValueError):
+    """The target has too many distinct values for classification."""
+
+
+def collect_per_class(df: DataFrame, limit: int = MAX_CLASSES) -> list:
+    """Collect a per-class aggregate, refusing more than ``limit`` rows."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise TooManyClasses(f"more than {limit} classes: the target looks continuous")
+    return rows

@@ -190,13 +190,14 @@ def collect_train(train: DataFrame, *, feature_col: str = "features", id_col: st
     first = train.select(F.size(feature_col)).first()[0] or 1
     if n * first * 8 > budget:
         raise ValueError(f"training set of {n} rows x {first} exceeds the broadcast budget")
-    rows = train.select(id_col, label_col, feature_col).orderBy(id_col).collect()
-    cls = np.array(sorted(classes if classes is not None else {r[1] for r in rows}))
+    pdf = train.select(id_col, label_col, feature_col).toPandas().sort_values(id_col)
+    labels = pdf[label_col].tolist()
+    cls = np.array(sorted(classes if classes is not None else set(labels)))
     pos = {c: i for i, c in enumerate(cls.tolist())}
     smp = KnnSample(cls)
-    smp.feats[0] = np.asarray([r[2] for r in rows], dtype=np.float64)
-    smp.ids[0] = np.asarray([r[0] for r in rows], dtype=np.int64)
-    smp.labels[0] = np.asarray([pos[r[1]] for r in rows], dtype=np.int64)
+    smp.feats[0] = np.vstack(pdf[feature_col].to_numpy()).astype(np.float64)
+    smp.ids[0] = pdf[id_col].to_numpy(dtype=np.int64)
+    smp.labels[0] = np.asarray([pos[x] for x in labels], dtype=np.int64)
     return smp
 
 
@@ -311,7 +312,8 @@ def knn_topk(table: DataFrame, train: DataFrame, *, k: int = 5, feature_col: str
         keyed = keyed.withColumn("__chunk", F.floor(F.col("__pos") / F.lit(per_chunk))).persist()
     else:
         keyed = train.select(id_col, label_col, feature_col, F.lit(0).alias("__chunk"))
-    classes = sorted(r[0] for r in keyed.select(label_col).distinct().collect())
+    from .guards import collect_per_class
+    classes = sorted(r[0] for r in collect_per_class(keyed.select(label_col).distinct()))
     schema = f"{id_col} long, train_id long, d2 double, train_label {label_type}"
     parts = []
     sc = table.sparkSession.sparkContext

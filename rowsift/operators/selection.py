@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bits import getbit, pack_bits, random_masks, seeded_hash, word_cols
 from ..functions.literals import lookup
+from .guards import collect_per_class
 from .knn import KnnSample, evaluate_population
 from .order_stats import smallest_k_cutoffs, within_cutoff, within_cutoff_of
 from .population import Slot, parallel_plan, slot_bit, steady_state_plan
@@ -57,7 +58,7 @@ class ForestFitness:
 def population_counts(table: DataFrame, solutions: list[int]) -> tuple[int, dict]:
     """``(n_rows, {solution: {label: count}})`` from a single aggregate."""
     aggs = [F.sum(getbit(s)).alias(f"c{s}") for s in solutions] + [F.count(F.lit(1)).alias("n")]
-    rows = table.groupBy("label").agg(*aggs).collect()
+    rows = collect_per_class(table.groupBy("label").agg(*aggs))
     n = sum(int(r["n"]) for r in rows)
     counts = {s: {} for s in solutions}
     for r in rows:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bits import seeded_hash
+from .guards import collect_per_class
 from .order_stats import smallest_k_cutoffs, within_cutoff
 from .rowid import ordered_positions
 
@@ -41,7 +42,7 @@ def holdout_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42,
 def class_counts(df: DataFrame, label: str = "label", id_col: str = "row_id") -> dict:
     """``{label: (count, first row id)}`` from one aggregate."""
     return {r[0]: (int(r[1]), int(r[2])) for r in
-            df.groupBy(label).agg(F.count(F.lit(1)), F.min(id_col)).collect()}
+            collect_per_class(df.groupBy(label).agg(F.count(F.lit(1)), F.min(id_col)))}
 
 
 def stratified_split(df: DataFrame, train_size: int | None = None, seed: int = 42,
