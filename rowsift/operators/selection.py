@@ -40,6 +40,7 @@ class KnnFitness:
     seed: int = 42
     feature_col: str = "features"
     broadcast_budget: int = 512 << 20
+    small_fetch_bytes: int = 64 << 20     # below: one fetch picks the samples
 
 
 @dataclass
@@ -55,9 +56,13 @@ class ForestFitness:
 
 # ---------------------------------------------------------------- aggregates
 
-def population_counts(table: DataFrame, solutions: list[int]) -> tuple[int, dict]:
-    """``(n_rows, {solution: {label: count}})`` from a single aggregate."""
+def population_counts(table: DataFrame, solutions: list[int], width_col: str | None = None
+                      ) -> tuple[int, dict]:
+    """``(n_rows, {solution: {label: count}})`` from a single aggregate. With
+    ``width_col`` the result is ``(n_rows, counts, max array length)``."""
     aggs = [F.sum(getbit(s)).alias(f"c{s}") for s in solutions] + [F.count(F.lit(1)).alias("n")]
+    if width_col:
+        aggs.append(F.max(F.size(width_col)).alias("__w"))
     rows = collect_per_class(table.groupBy("label").agg(*aggs))
     n = sum(int(r["n"]) for r in rows)
     counts = {s: {} for s in solutions}
@@ -66,6 +71,8 @@ def population_counts(table: DataFrame, solutions: list[int]) -> tuple[int, dict
             c = int(r[f"c{s}"] or 0)
             if c:
                 counts[s][r["label"]] = c
+    if width_col:
+        return n, counts, max((int(r["__w"] or 0) for r in rows), default=0)
     return n, counts
 
 
@@ -123,7 +130,15 @@ def _group_key_expr(plans: dict[int, TrainPlan], classes: list):
 
 
 def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: list,
-                       cfg: KnnFitness) -> KnnSample:
+                       cfg: KnnFitness, width: int | None = None) -> KnnSample:
+    """Exact stratified sample of every eligible solution: per (solution,
+    class) the ``alloc`` rows with the smallest (seeded hash, row id).
+
+    Large inputs: radix cut-offs, then a fetch of the chosen rows only. When
+    the candidate rows of all solutions, at the known feature width, fit
+    ``cfg.small_fetch_bytes``, they are fetched in one pass and the smallest
+    hashes are picked on the driver (same rows, one job fewer).
+    """
     C = len(classes)
     k_by_group = {}
     for s, p in plans.items():
@@ -135,6 +150,13 @@ def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: l
     keys = _group_key_expr(plans, classes)
     keyed = table.select("row_id", h.alias("h"), F.explode(keys).alias("grp"))
     total = sum(p.n_selected for p in plans.values() if p.eligible)
+    if width is not None and total * (width * 8 + 48) <= cfg.small_fetch_bytes:
+        allrows = table.select("row_id", "label", cfg.feature_col, h.alias("h"),
+                               F.explode(keys).alias("grp")).toPandas()
+        allrows = allrows.sort_values(["grp", "h", "row_id"], kind="stable")
+        rank = allrows.groupby("grp", sort=False).cumcount().to_numpy()
+        limit = allrows["grp"].map(k_by_group).fillna(0).to_numpy()
+        return _sample_from(allrows[rank < limit].copy(), plans, classes, cfg, C)
     cut = smallest_k_cutoffs(keyed, k_by_group, total_rows=total)
     # keep only the sampled (row, group) pairs before the feature column is
     # exploded, then fetch the bounded sample through Arrow
@@ -144,7 +166,10 @@ def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: l
                       F.filter("keys", lambda k: within_cutoff_of(cut, k, hh, rid)).alias("keys"))
               .where(F.size("keys") > 0)
               .select(F.explode("keys").alias("grp"), "row_id", "label", cfg.feature_col))
-    pdf = picked.toPandas()
+    return _sample_from(picked.toPandas(), plans, classes, cfg, C)
+
+
+def _sample_from(pdf: pd.DataFrame, plans, classes, cfg, C) -> KnnSample:
     cls = np.array(sorted(classes))
     pos = {c: i for i, c in enumerate(cls.tolist())}
     sample = KnnSample(cls)
@@ -170,14 +195,16 @@ def fitness_knn(table: DataFrame, solutions: list[int], cfg: KnnFitness | None =
     """Fitness of the listed solutions (parallel variant); one row per solution.
     ``counts`` may carry a ``population_counts`` result already computed."""
     cfg = cfg or KnnFitness()
-    n, counts = counts if counts is not None else population_counts(table, solutions)
+    if counts is None:
+        counts = population_counts(table, solutions, cfg.feature_col)
+    n, counts, width = counts if len(counts) == 3 else (*counts, None)
     counts = {s: counts[s] for s in solutions}
     classes = sorted({lab for c in counts.values() for lab in c})
     plans = plan_knn_training(counts, cfg)
     ok = [s for s in solutions if plans[s].eligible]
     scores = {}
     if ok:
-        sample = collect_knn_sample(table, plans, classes, cfg)
+        sample = collect_knn_sample(table, plans, classes, cfg, width)
         scores = evaluate_population(table, sample, ok, feature_col=cfg.feature_col, k=cfg.k,
                                      broadcast_budget=cfg.broadcast_budget)
     out = []
@@ -199,7 +226,9 @@ def fitness_forest(table: DataFrame, solutions: list[int], cfg: ForestFitness |
     hold-out, weighted with the share of removed rows."""
     from .forest import fit_forest, predict
     cfg = cfg or ForestFitness()
-    n, counts = counts if counts is not None else population_counts(table, solutions)
+    if counts is None:
+        counts = population_counts(table, solutions)
+    n, counts = counts[0], counts[1]
     counts = {s: counts[s] for s in solutions}
     sizes = {s: sum(c.values()) for s, c in counts.items()}
     n_test = {s: math.ceil(cfg.test_fraction * sizes[s]) for s in solutions}
@@ -275,7 +304,8 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
     base_cols = [c for c in table.columns if not c.startswith("mask_") and c != "best"]
     pop = table.select(*base_cols, *random_masks(seed, population), F.lit(0).alias("best"))
     pop = pop.persist()
-    n, counts = population_counts(pop, list(range(population)))   # also fills the cache
+    n, counts, width = population_counts(pop, list(range(population)),
+                                         fitness.feature_col)   # also fills the cache
     if n < 3:
         raise ValueError("the search needs at least 3 rows")
     known: dict[int, float] = {}
@@ -287,7 +317,7 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
     for g in range(rounds):
         todo = [s for s in range(population) if s not in known]
         if todo:
-            f = score(pop, todo, fitness, counts=(n, counts))
+            f = score(pop, todo, fitness, counts=(n, counts, width))
             for r in f.itertuples(index=False):
                 known[r.solution] = r.fitness
                 known_rows[r.solution] = (r.n_selected, r.accuracy)
@@ -326,7 +356,8 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
         if checkpoint_every and (g + 1) % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)
         nxt = nxt.persist()
-        _, counts = population_counts(nxt, list(range(population)))  # fills the cache
+        _, counts, width = population_counts(nxt, list(range(population)),
+                                             fitness.feature_col)  # fills the cache
         pop.unpersist()
         pop = nxt
         known = {i: known[sl.p0] for i, sl in enumerate(slots) if sl.kind == "copy"}

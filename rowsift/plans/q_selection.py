@@ -309,3 +309,18 @@ def q_track_best(spark, d):
             best, where = top[0], (int(g), int(top[1]))
     return spark.createDataFrame([(where[0], where[1], round(best, 6))],
                                  "generation int, solution int, fitness double")
+
+
+@register("search_defaults")
+def q_search_defaults(spark, d):
+    """The reference's configuration of the parallel search: 50 generations of
+    20 solutions, 4 parents, 10% mutation, 5-NN fitness; rows of the best-ever
+    solution (lineage cut by a checkpoint every 10 generations)."""
+    rows, _ = select_instances_defaults(spark, d)
+    return rows.select("row_id", "label")
+
+
+def select_instances_defaults(spark, d):
+    from ..operators.selection import select_instances
+    return select_instances(prepared_embeddings(spark, d), generations=50, population=POPULATION,
+                            parents=PARENTS, mutation_rate=RATE, seed=SEED, checkpoint_every=10)

@@ -11,7 +11,7 @@ import __spark_entry__ as E
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()
 SLOW_ROWS_ONLY = {"rf_classifier", "rf_regressor", "rf_evaluate", "feature_importance",
-                  "cross_validate", "fitness_rf", "evolve_sequential"}
+                  "cross_validate", "fitness_rf", "evolve_sequential", "search_defaults"}
 
 
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
