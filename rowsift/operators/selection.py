@@ -26,6 +26,12 @@ from .order_stats import smallest_k_cutoffs, within_cutoff, within_cutoff_of
 from .population import Slot, parallel_plan, slot_bit, steady_state_plan
 
 FITNESS_COLUMNS = ["solution", "n_selected", "accuracy", "fitness"]
+SPLIT_HASH = "__h_split"       # cached seeded hash of the training-sample order
+HOLD_HASH = "__h_holdout"      # cached seeded hash of the hold-out order
+
+
+def _hash_col(table: DataFrame, name: str, seed: int, tag: str):
+    return F.col(name) if name in table.columns else seeded_hash(seed, tag, "row_id")
 
 
 @dataclass
@@ -146,7 +152,7 @@ def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: l
             for lab, a in p.alloc.items():
                 slot = C if lab is None else classes.index(lab)
                 k_by_group[s * (C + 1) + slot] = a
-    h = seeded_hash(cfg.seed, "split", "row_id")
+    h = _hash_col(table, SPLIT_HASH, cfg.seed, "split")
     keys = _group_key_expr(plans, classes)
     keyed = table.select("row_id", h.alias("h"), F.explode(keys).alias("grp"))
     total = sum(p.n_selected for p in plans.values() if p.eligible)
@@ -232,7 +238,7 @@ def fitness_forest(table: DataFrame, solutions: list[int], cfg: ForestFitness |
     counts = {s: counts[s] for s in solutions}
     sizes = {s: sum(c.values()) for s, c in counts.items()}
     n_test = {s: math.ceil(cfg.test_fraction * sizes[s]) for s in solutions}
-    h = seeded_hash(cfg.seed, "holdout", "row_id")
+    h = _hash_col(table, HOLD_HASH, cfg.seed, "holdout")
     keyed = table.select("row_id", h.alias("h"),
                          F.explode(F.filter(F.array(*[F.when(getbit(s) == 1, F.lit(s))
                                                       for s in solutions]),
@@ -270,7 +276,7 @@ class SearchResult:
     history: pd.DataFrame         # generation, best, best_so_far, stall
     fitness: pd.DataFrame         # every evaluated (generation, solution, ...)
     n_rows: int
-    cached: DataFrame | None = None   # the persisted last population under ``table``
+    cached: DataFrame | None = None   # the persisted base under ``table``
 
     def release(self) -> None:
         if self.cached is not None:
@@ -285,7 +291,9 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
            mutation_rate: float = 0.10, seed: int = 42, variant: str = "parallel",
            fitness: KnnFitness | ForestFitness | None = None,
            on_generation: Callable[[dict], None] | None = None,
-           checkpoint_every: int = 10, patience: int | None = None) -> SearchResult:
+           checkpoint_every: int = 10, patience: int | None = None,
+           cache_generations: bool | None = None,
+           cache_bytes: int = 2 << 30) -> SearchResult:
     """Genetic search for a row subset.
 
     ``variant="parallel"``: all parents kept, one-point crossover, exactly
@@ -293,6 +301,15 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
     not evaluated. ``variant="sequential"``: one elite, uniform crossover of
     parents (i, i+1), at least one flip, the best of the last (evaluated)
     population returned.
+
+    Storage: the features are cached once (with the sample-order hash). Each
+    generation's masks are a narrow projection of the previous ones. When the
+    table is small (``rows * (feature width * 4 + 64) <= cache_bytes``, both
+    known from the first counts aggregate) each generation is cached too, which
+    keeps the plans shallow; otherwise generations stay lazy projections over
+    the cached base (the feature vectors are never rewritten per generation)
+    and a reliable checkpoint every ``checkpoint_every`` generations bounds
+    lineage and plan depth. ``cache_generations`` forces either mode.
     """
     if variant not in ("parallel", "sequential"):
         raise ValueError(variant)
@@ -301,13 +318,26 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
     score = fitness_knn if isinstance(fitness, KnnFitness) else fitness_forest
     spark = table.sparkSession
     rng = np.random.default_rng(seed)
-    base_cols = [c for c in table.columns if not c.startswith("mask_") and c != "best"]
-    pop = table.select(*base_cols, *random_masks(seed, population), F.lit(0).alias("best"))
-    pop = pop.persist()
+    base_cols = [c for c in table.columns if not c.startswith("mask_") and c != "best"
+                 and c not in (SPLIT_HASH, HOLD_HASH)]
+    # The features and the sample-order hash are cached ONCE; every generation
+    # is a lazy narrow projection of the mask words over this base, so the
+    # feature vectors are never rewritten per generation. A reliable
+    # checkpoint every ``checkpoint_every`` generations cuts lineage and plan.
+    if isinstance(fitness, KnnFitness):
+        hcol = seeded_hash(fitness.seed, "split", "row_id").alias(SPLIT_HASH)
+    else:
+        hcol = seeded_hash(fitness.seed, "holdout", "row_id").alias(HOLD_HASH)
+    base = table.select(*base_cols, hcol).persist()
+    carry = base.columns
+    pop = base.select(*carry, *random_masks(seed, population), F.lit(0).alias("best"))
     n, counts, width = population_counts(pop, list(range(population)),
                                          fitness.feature_col)   # also fills the cache
     if n < 3:
         raise ValueError("the search needs at least 3 rows")
+    if cache_generations is None:
+        cache_generations = n * ((width or 1) * 4 + 64) <= cache_bytes
+    gen_cache = None
     known: dict[int, float] = {}
     known_rows: dict[int, tuple] = {}
     history, all_fit = [], []
@@ -352,18 +382,31 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
             par = [int(s) for _, s in reversed(ranked[-parents:])]
             slots = steady_state_plan(rng, par, population, mutation_rate * 100)
         bits = [slot_bit(sl, n, seed, g) for sl in slots]
-        nxt = pop.select(*base_cols, *pack_bits(bits), best_bit.alias("best"))
+        nxt = pop.select(*carry, *pack_bits(bits), best_bit.alias("best"))
         if checkpoint_every and (g + 1) % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
-        nxt = nxt.persist()
-        _, counts, width = population_counts(nxt, list(range(population)),
-                                             fitness.feature_col)  # fills the cache
-        pop.unpersist()
+            nxt = nxt.checkpoint(eager=True).persist()
+            _, counts, width = population_counts(nxt, list(range(population)),
+                                                 fitness.feature_col)  # fills the cache
+            if gen_cache is not None:
+                gen_cache.unpersist()
+                gen_cache = None
+            base.unpersist()
+            base = nxt
+        elif cache_generations:
+            nxt = nxt.persist()
+            _, counts, width = population_counts(nxt, list(range(population)),
+                                                 fitness.feature_col)  # fills the cache
+            if gen_cache is not None:
+                gen_cache.unpersist()
+            gen_cache = nxt
+        else:
+            _, counts, width = population_counts(nxt, list(range(population)),
+                                                 fitness.feature_col)
         pop = nxt
         known = {i: known[sl.p0] for i, sl in enumerate(slots) if sl.kind == "copy"}
         known_rows = {i: known_rows[sl.p0] for i, sl in enumerate(slots) if sl.kind == "copy"}
     return SearchResult(final, float(final_best), pd.DataFrame(history),
-                        pd.concat(all_fit, ignore_index=True), n, pop)
+                        pd.concat(all_fit, ignore_index=True), n, base)
 
 
 def select_instances(table: DataFrame, **kw) -> tuple[DataFrame, SearchResult]:

@@ -183,3 +183,15 @@ def test_small_fetch_and_radix_paths_pick_the_same_sample(spark):
     for s in range(5):
         assert list(a.ids[s]) == list(b.ids[s]) and list(a.labels[s]) == list(b.labels[s])
         assert np.array_equal(a.feats[s], b.feats[s])
+
+
+def test_lazy_and_cached_generations_agree(spark):
+    emb = prepared_embeddings(spark, SF_SMALL)
+    a = evolve(emb, generations=4, population=6, parents=2, seed=12, cache_generations=True,
+               checkpoint_every=3)
+    b = evolve(emb, generations=4, population=6, parents=2, seed=12, cache_generations=False,
+               checkpoint_every=3)
+    assert a.fitness.equals(b.fitness)
+    ra = sorted(r.row_id for r in a.table.where("best = 1").collect())
+    rb = sorted(r.row_id for r in b.table.where("best = 1").collect())
+    assert ra == rb
