@@ -46,3 +46,26 @@ def test_write_reduced_csv(spark):
     write_reduced_csv(df, out, "class", ["x", "z"])
     back = spark.read.option("header", True).csv(out)
     assert back.columns == ["class", "x", "z"] and back.count() == 2
+
+
+def test_forest_fitness_edge_cases(spark):
+    from rowsift.functions.bits import pack_bits
+    from rowsift.operators.selection import ForestFitness, fitness_forest
+    emb = prepared_embeddings(spark, SF_SMALL)
+    bits = [F.lit(0).cast("bigint"),                                  # empty selection
+            (F.col("row_id") == 7).cast("bigint"),                    # one row: no train part
+            (F.col("row_id") < 200).cast("bigint")]
+    pop = emb.select("*", *pack_bits(bits)).persist()
+    f = fitness_forest(pop, [0, 1, 2], ForestFitness(num_trees=5, max_depth=4)).set_index("solution")
+    assert f.loc[0, "fitness"] == 0.0 and f.loc[0, "n_selected"] == 0
+    assert f.loc[1, "fitness"] == 0.0 and f.loc[1, "n_selected"] == 1
+    assert 0.0 < f.loc[2, "fitness"] <= 1.0 and f.loc[2, "n_selected"] == 200
+    assert 0.0 <= f.loc[2, "accuracy"] <= 1.0
+
+
+def test_patience_stops_early(spark):
+    from rowsift.operators.selection import evolve
+    res = evolve(prepared_embeddings(spark, SF_SMALL), generations=30, population=4, parents=2,
+                 seed=3, patience=2)
+    h = res.history
+    assert len(h) < 30 and h["stall"].iloc[-1] == 2
