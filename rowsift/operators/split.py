@@ -53,12 +53,21 @@ def stratified_split(df: DataFrame, train_size: int | None = None, seed: int = 4
     ties to the smallest label, smallest seeded hashes within each class. Falls
     back to an unstratified sample when a class has one member or there are
     fewer train or test slots than classes."""
+    from .guards import TooManyClasses
     from .selection import largest_remainder
-    counts = {k: c for k, (c, _) in class_counts(df, label, id_col).items()}
-    n = sum(counts.values())
+    try:
+        counts = {k: c for k, (c, _) in class_counts(df, label, id_col).items()}
+        n, ncls, minc = sum(counts.values()), len(counts), min(counts.values())
+    except TooManyClasses:
+        # too many classes to ship: feasibility from one aggregate row
+        st = (df.groupBy(label).count()
+              .agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("k"),
+                   F.min("count").alias("m")).first())
+        counts, n, ncls, minc = None, int(st["n"]), int(st["k"]), int(st["m"])
     t = train_size if train_size is not None else min(cap, int(fraction * n))
-    ncls = len(counts)
-    strat = min(counts.values()) >= 2 and t >= ncls and n - t >= ncls
+    strat = minc >= 2 and t >= ncls and n - t >= ncls
+    if strat and counts is None:
+        raise TooManyClasses(f"stratified allocation over {ncls} classes")
     h = seeded_hash(seed, "split", id_col)
     if strat:
         alloc = largest_remainder(t, counts)
