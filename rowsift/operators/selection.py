@@ -46,7 +46,6 @@ class KnnFitness:
     seed: int = 42
     feature_col: str = "features"
     broadcast_budget: int = 512 << 20
-    small_fetch_bytes: int = 64 << 20     # below: one fetch picks the samples
 
 
 @dataclass
@@ -140,10 +139,9 @@ def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: l
     """Exact stratified sample of every eligible solution: per (solution,
     class) the ``alloc`` rows with the smallest (seeded hash, row id).
 
-    Large inputs: radix cut-offs, then a fetch of the chosen rows only. When
-    the candidate rows of all solutions, at the known feature width, fit
-    ``cfg.small_fetch_bytes``, they are fetched in one pass and the smallest
-    hashes are picked on the driver (same rows, one job fewer).
+    Cut-offs come from the bounded radix histogram; only the chosen sample
+    rows (at most ``train_cap`` per solution) are fetched, whatever the table
+    size.
     """
     C = len(classes)
     k_by_group = {}
@@ -155,15 +153,7 @@ def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: l
     h = _hash_col(table, SPLIT_HASH, cfg.seed, "split")
     keys = _group_key_expr(plans, classes)
     keyed = table.select("row_id", h.alias("h"), F.explode(keys).alias("grp"))
-    total = sum(p.n_selected for p in plans.values() if p.eligible)
-    if width is not None and total * (width * 8 + 48) <= cfg.small_fetch_bytes:
-        allrows = table.select("row_id", "label", cfg.feature_col, h.alias("h"),
-                               F.explode(keys).alias("grp")).toPandas()
-        allrows = allrows.sort_values(["grp", "h", "row_id"], kind="stable")
-        rank = allrows.groupby("grp", sort=False).cumcount().to_numpy()
-        limit = allrows["grp"].map(k_by_group).fillna(0).to_numpy()
-        return _sample_from(allrows[rank < limit].copy(), plans, classes, cfg, C)
-    cut = smallest_k_cutoffs(keyed, k_by_group, total_rows=total)
+    cut = smallest_k_cutoffs(keyed, k_by_group)
     # keep only the sampled (row, group) pairs before the feature column is
     # exploded, then fetch the bounded sample through Arrow
     hh, rid = F.col("h"), F.col("row_id")

@@ -170,21 +170,6 @@ def test_population_wider_than_one_word(spark):
     assert sorted(cur.loc[[0, 1, 2, 3], "fitness"]) == sorted(prev["fitness"])
 
 
-def test_small_fetch_and_radix_paths_pick_the_same_sample(spark):
-    from rowsift.operators.selection import collect_knn_sample, population_counts
-    df = table(spark, 600, [0, 1, 1, 2, 3], d=3, seed=8)
-    pop = df.select("*", *random_masks(6, 5)).persist()
-    n, counts, width = population_counts(pop, list(range(5)), "features")
-    assert width == 3 and n == 600
-    plans = plan_knn_training(counts, KnnFitness())
-    classes = sorted({0, 1, 2, 3})
-    a = collect_knn_sample(pop, plans, classes, KnnFitness(), width)
-    b = collect_knn_sample(pop, plans, classes, KnnFitness(small_fetch_bytes=0), width)
-    for s in range(5):
-        assert list(a.ids[s]) == list(b.ids[s]) and list(a.labels[s]) == list(b.labels[s])
-        assert np.array_equal(a.feats[s], b.feats[s])
-
-
 def test_lazy_and_cached_generations_agree(spark):
     emb = prepared_embeddings(spark, SF_SMALL)
     a = evolve(emb, generations=4, population=6, parents=2, seed=12, cache_generations=True,
