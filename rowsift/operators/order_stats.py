@@ -28,12 +28,16 @@ def _lookup(mapping: dict, key_col, default):
 
 def smallest_k_cutoffs(df: DataFrame, k_by_group: dict[int, int], *, group_col: str = "grp",
                        order_col: str = "h", id_col: str = "row_id",
-                       bits_per_level: int = 8, collect_limit: int = 200_000) -> dict:
+                       bits_per_level: int = 8, collect_limit: int = 200_000,
+                       first_level: dict | None = None) -> dict:
     """For each group g, the ``(h, id)`` of its ``k_by_group[g]``-th smallest row.
 
     ``df`` holds ``group_col`` (bigint), ``order_col`` (60-bit non-negative
     bigint) and ``id_col`` (unique per group). Returns ``{g: (h, id)}``; groups
     with no more than k rows map to ``ALL``; groups with k <= 0 are omitted.
+    ``first_level`` may carry the histogram of the top ``bits_per_level`` hash
+    bits per group (``{g: [(bucket, count), ...]}``) when an earlier aggregate
+    already produced it; the first scan is then skipped.
     """
     want = {g: k for g, k in k_by_group.items() if k > 0}
     cut: dict = {}
@@ -64,10 +68,13 @@ def smallest_k_cutoffs(df: DataFrame, k_by_group: dict[int, int], *, group_col:
         step = min(bits_per_level, shift)
         shift -= step
         bucket = F.shiftright(h, shift).bitwiseAND(F.lit((1 << step) - 1))
-        agg = scope.groupBy(g.alias("g"), bucket.alias("b")).count().collect()
-        per = {}
-        for r in agg:
-            per.setdefault(r["g"], []).append((r["b"], r["count"]))
+        if first and first_level is not None:
+            per = first_level
+        else:
+            agg = scope.groupBy(g.alias("g"), bucket.alias("b")).count().collect()
+            per = {}
+            for r in agg:
+                per.setdefault(r["g"], []).append((r["b"], r["count"]))
         prev_counts = {}
         for gr in active:
             buckets = sorted(per.get(gr, []))

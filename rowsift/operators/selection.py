@@ -18,18 +18,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bits import getbit, pack_bits, random_masks, seeded_hash, word_cols
+from ..functions.bits import HASH_BITS, getbit, pack_bits, random_masks, seeded_hash, word_cols
 from ..functions.literals import lookup
-from .guards import collect_per_class
+from .guards import TooManyClasses, collect_per_class
 from .knn import KnnSample, evaluate_population
 from .order_stats import smallest_k_cutoffs, within_cutoff, within_cutoff_of
-from .population import Slot, parallel_plan, slot_bit, steady_state_plan
+from .population import Slot, pack_slots_sql, parallel_plan, slot_bit, steady_state_plan
 
 FITNESS_COLUMNS = ["solution", "n_selected", "accuracy", "fitness"]
 SPLIT_HASH = "__h_split"       # cached seeded hash of the training-sample order
 HOLD_HASH = "__h_holdout"      # cached seeded hash of the hold-out order
 
 
+def _hist_source(table: DataFrame, cfg) -> str | None:
+    """The cached sample-order hash column, when the table carries it."""
+    return SPLIT_HASH if SPLIT_HASH in table.columns else None
+
+
 def _hash_col(table: DataFrame, name: str, seed: int, tag: str):
     return F.col(name) if name in table.columns else seeded_hash(seed, tag, "row_id")
 
@@ -61,23 +66,58 @@ class ForestFitness:
 
 # ---------------------------------------------------------------- aggregates
 
-def population_counts(table: DataFrame, solutions: list[int], width_col: str | None = None
-                      ) -> tuple[int, dict]:
-    """``(n_rows, {solution: {label: count}})`` from a single aggregate. With
-    ``width_col`` the result is ``(n_rows, counts, max array length)``."""
+HIST_ROWS = 1 << 16   # most (label, bucket) rows the fused counts may ship
+
+
+@dataclass
+class PopStats:
+    """One aggregate's worth of population statistics."""
+    n: int
+    counts: dict                      # {solution: {label: rows}}
+    width: int | None = None          # longest feature array
+    hist: dict | None = None          # {(solution, label): {bucket: rows}}
+    hist_bits: int = 8
+
+
+def population_counts(table: DataFrame, solutions: list[int], width_col: str | None = None,
+                      hist_col: str | None = None, hist_bits: int = 8):
+    """``(n_rows, {solution: {label: count}})`` from a single aggregate.
+
+    With ``width_col`` and/or ``hist_col`` a :class:`PopStats` is returned; the
+    histogram of the top ``hist_bits`` bits of ``hist_col`` per (solution,
+    label) comes from the same aggregate (grouping by label and bucket; output
+    bounded by classes * 2**hist_bits rows, independent of the table size) and
+    serves as the first level of the exact sample cut-offs.
+    """
     aggs = [F.sum(getbit(s)).alias(f"c{s}") for s in solutions] + [F.count(F.lit(1)).alias("n")]
     if width_col:
         aggs.append(F.max(F.size(width_col)).alias("__w"))
-    rows = collect_per_class(table.groupBy("label").agg(*aggs))
+    keys = [F.col("label")]
+    if hist_col:
+        keys.append(F.shiftright(F.col(hist_col), HASH_BITS - hist_bits).alias("__b"))
+    if hist_col:
+        try:
+            rows = collect_per_class(table.groupBy(*keys).agg(*aggs), limit=HIST_ROWS)
+        except TooManyClasses:
+            # many classes: counts alone; the cut-offs then scan their own first level
+            return population_counts(table, solutions, width_col or "__none__", None) \
+                if width_col else PopStats(*population_counts(table, solutions))
+    else:
+        rows = collect_per_class(table.groupBy(*keys).agg(*aggs))
     n = sum(int(r["n"]) for r in rows)
     counts = {s: {} for s in solutions}
+    hist = {} if hist_col else None
     for r in rows:
+        lab = r["label"]
         for s in solutions:
             c = int(r[f"c{s}"] or 0)
             if c:
-                counts[s][r["label"]] = c
-    if width_col:
-        return n, counts, max((int(r["__w"] or 0) for r in rows), default=0)
+                counts[s][lab] = counts[s].get(lab, 0) + c
+                if hist_col:
+                    hist.setdefault((s, lab), {})[int(r["__b"])] = c
+    if width_col or hist_col:
+        width = max((int(r["__w"] or 0) for r in rows), default=0) if width_col else None
+        return PopStats(n, counts, width, hist, hist_bits)
     return n, counts
 
 
@@ -135,7 +175,7 @@ def _group_key_expr(plans: dict[int, TrainPlan], classes: list):
 
 
 def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: list,
-                       cfg: KnnFitness, width: int | None = None) -> KnnSample:
+                       cfg: KnnFitness, stats: PopStats | None = None) -> KnnSample:
     """Exact stratified sample of every eligible solution: per (solution,
     class) the ``alloc`` rows with the smallest (seeded hash, row id).
 
@@ -153,7 +193,20 @@ def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: l
     h = _hash_col(table, SPLIT_HASH, cfg.seed, "split")
     keys = _group_key_expr(plans, classes)
     keyed = table.select("row_id", h.alias("h"), F.explode(keys).alias("grp"))
-    cut = smallest_k_cutoffs(keyed, k_by_group)
+    first = None
+    if stats is not None and stats.hist is not None:
+        first = {}
+        for s, p in plans.items():
+            if not p.eligible:
+                continue
+            for lab in stats.counts[s]:
+                slot = classes.index(lab) if p.stratified else C
+                dst = first.setdefault(s * (C + 1) + slot, {})
+                for b, c in stats.hist.get((s, lab), {}).items():
+                    dst[b] = dst.get(b, 0) + c
+        first = {g: sorted(v.items()) for g, v in first.items()}
+    cut = smallest_k_cutoffs(keyed, k_by_group, first_level=first,
+                             bits_per_level=stats.hist_bits if first is not None else 8)
     # keep only the sampled (row, group) pairs before the feature column is
     # exploded, then fetch the bounded sample through Arrow
     hh, rid = F.col("h"), F.col("row_id")
@@ -192,15 +245,20 @@ def fitness_knn(table: DataFrame, solutions: list[int], cfg: KnnFitness | None =
     ``counts`` may carry a ``population_counts`` result already computed."""
     cfg = cfg or KnnFitness()
     if counts is None:
-        counts = population_counts(table, solutions, cfg.feature_col)
-    n, counts, width = counts if len(counts) == 3 else (*counts, None)
+        stats = population_counts(table, solutions, cfg.feature_col,
+                                  _hist_source(table, cfg))
+    elif isinstance(counts, PopStats):
+        stats = counts
+    else:
+        stats = PopStats(counts[0], counts[1])
+    n, counts = stats.n, stats.counts
     counts = {s: counts[s] for s in solutions}
     classes = sorted({lab for c in counts.values() for lab in c})
     plans = plan_knn_training(counts, cfg)
     ok = [s for s in solutions if plans[s].eligible]
     scores = {}
     if ok:
-        sample = collect_knn_sample(table, plans, classes, cfg, width)
+        sample = collect_knn_sample(table, plans, classes, cfg, stats)
         scores = evaluate_population(table, sample, ok, feature_col=cfg.feature_col, k=cfg.k,
                                      broadcast_budget=cfg.broadcast_budget)
     out = []
@@ -224,7 +282,7 @@ def fitness_forest(table: DataFrame, solutions: list[int], cfg: ForestFitness |
     cfg = cfg or ForestFitness()
     if counts is None:
         counts = population_counts(table, solutions)
-    n, counts = counts[0], counts[1]
+    n, counts = (counts.n, counts.counts) if isinstance(counts, PopStats) else counts[:2]
     counts = {s: counts[s] for s in solutions}
     sizes = {s: sum(c.values()) for s, c in counts.items()}
     n_test = {s: math.ceil(cfg.test_fraction * sizes[s]) for s in solutions}
@@ -321,8 +379,10 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
     base = table.select(*base_cols, hcol).persist()
     carry = base.columns
     pop = base.select(*carry, *random_masks(seed, population), F.lit(0).alias("best"))
-    n, counts, width = population_counts(pop, list(range(population)),
-                                         fitness.feature_col)   # also fills the cache
+    knn = isinstance(fitness, KnnFitness)
+    stats = population_counts(pop, list(range(population)), fitness.feature_col,
+                              SPLIT_HASH if knn else None)   # also fills the cache
+    n, width = stats.n, stats.width
     if n < 3:
         raise ValueError("the search needs at least 3 rows")
     if cache_generations is None:
@@ -337,7 +397,7 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
     for g in range(rounds):
         todo = [s for s in range(population) if s not in known]
         if todo:
-            f = score(pop, todo, fitness, counts=(n, counts, width))
+            f = score(pop, todo, fitness, counts=stats)
             for r in f.itertuples(index=False):
                 known[r.solution] = r.fitness
                 known_rows[r.solution] = (r.n_selected, r.accuracy)
@@ -371,12 +431,11 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
         else:
             par = [int(s) for _, s in reversed(ranked[-parents:])]
             slots = steady_state_plan(rng, par, population, mutation_rate * 100)
-        bits = [slot_bit(sl, n, seed, g) for sl in slots]
-        nxt = pop.select(*carry, *pack_bits(bits), best_bit.alias("best"))
+        nxt = pop.select(*carry, *pack_slots_sql(slots, n, seed, g), best_bit.alias("best"))
         if checkpoint_every and (g + 1) % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True).persist()
-            _, counts, width = population_counts(nxt, list(range(population)),
-                                                 fitness.feature_col)  # fills the cache
+            stats = population_counts(nxt, list(range(population)), fitness.feature_col,
+                                      SPLIT_HASH if knn else None)  # fills the cache
             if gen_cache is not None:
                 gen_cache.unpersist()
                 gen_cache = None
@@ -384,14 +443,14 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
             base = nxt
         elif cache_generations:
             nxt = nxt.persist()
-            _, counts, width = population_counts(nxt, list(range(population)),
-                                                 fitness.feature_col)  # fills the cache
+            stats = population_counts(nxt, list(range(population)), fitness.feature_col,
+                                      SPLIT_HASH if knn else None)  # fills the cache
             if gen_cache is not None:
                 gen_cache.unpersist()
             gen_cache = nxt
         else:
-            _, counts, width = population_counts(nxt, list(range(population)),
-                                                 fitness.feature_col)
+            stats = population_counts(nxt, list(range(population)), fitness.feature_col,
+                                      SPLIT_HASH if knn else None)
         pop = nxt
         known = {i: known[sl.p0] for i, sl in enumerate(slots) if sl.kind == "copy"}
         known_rows = {i: known_rows[sl.p0] for i, sl in enumerate(slots) if sl.kind == "copy"}

@@ -180,3 +180,31 @@ def test_lazy_and_cached_generations_agree(spark):
     ra = sorted(r.row_id for r in a.table.where("best = 1").collect())
     rb = sorted(r.row_id for r in b.table.where("best = 1").collect())
     assert ra == rb
+
+
+def test_fused_histogram_gives_the_same_sample(spark):
+    from rowsift.operators.selection import SPLIT_HASH, collect_knn_sample, population_counts
+    df = table(spark, 700, [0, 1, 1, 2, 3], d=3, seed=8)
+    pop = df.select("*", seeded_hash(42, "split", "row_id").alias(SPLIT_HASH),
+                    *random_masks(6, 5)).persist()
+    fused = population_counts(pop, list(range(5)), "features", SPLIT_HASH)
+    plain = population_counts(pop, list(range(5)), "features")
+    assert fused.counts == plain.counts and fused.n == plain.n == 700 and fused.hist
+    plans = plan_knn_training(fused.counts, KnnFitness())
+    a = collect_knn_sample(pop, plans, [0, 1, 2, 3], KnnFitness(), fused)
+    b = collect_knn_sample(pop, plans, [0, 1, 2, 3], KnnFitness(), plain)
+    for s in range(5):
+        assert list(a.ids[s]) == list(b.ids[s])
+
+
+def test_sql_text_slots_equal_column_slots(spark):
+    from rowsift.operators.population import pack_slots_sql, parallel_plan, steady_state_plan
+    n = 333
+    df = spark.range(n).withColumnRenamed("id", "row_id").select(
+        "row_id", *random_masks(4, 70))
+    rng = np.random.default_rng(5)
+    for slots in (parallel_plan(rng, [3, 61, 8, 65], 70, 0.1),
+                  steady_state_plan(rng, [62, 1, 2, 69], 70, 10.0)):
+        a = df.select("row_id", *pack_bits([slot_bit(sl, n, 4, 2) for sl in slots]))
+        b = df.select("row_id", *pack_slots_sql(slots, n, 4, 2))
+        assert sorted(a.collect()) == sorted(b.collect())
