@@ -161,17 +161,48 @@ def plan_knn_training(counts: dict, cfg: KnnFitness) -> dict[int, TrainPlan]:
     return plans
 
 
+def _slot_expr(p: TrainPlan, classes: list):
+    C = len(classes)
+    if not p.stratified:
+        return F.lit(C)
+    return lookup({c: i for i, c in enumerate(classes)}, F.col("label"))
+
+
 def _group_key_expr(plans: dict[int, TrainPlan], classes: list):
-    """Per row, the sample groups it belongs to: solution * (C+1) + class slot."""
+    """Array of the sample groups a row belongs to: solution * (C+1) + class
+    slot (C when the solution's sample is not stratified); ``array_compact``
+    keeps it in generated code."""
+    C = len(classes)
+    items = [F.when(getbit(s) == 1, F.lit(s * (C + 1)) + _slot_expr(p, classes))
+             for s, p in plans.items() if p.eligible]
+    return F.array_compact(F.array(*items))
+
+
+def _chosen_key_expr(plans: dict[int, TrainPlan], classes: list, cut: dict, h, rid):
+    """Groups in which the row is among the sampled ones. Cut-offs are looked up
+    by class slot in per-solution literal arrays (O(1), generated code)."""
     C = len(classes)
-    cls_idx = lookup({c: i for i, c in enumerate(classes)}, F.col("label"))
+    big = 1 << 62
     items = []
     for s, p in plans.items():
         if not p.eligible:
             continue
-        slot = cls_idx if p.stratified else F.lit(C)
-        items.append(F.when(getbit(s) == 1, F.lit(s * (C + 1)) + slot))
-    return F.filter(F.array(*items), lambda x: x.isNotNull())
+        ch, ci = [], []
+        for slot in range(C + 1):
+            c = cut.get(s * (C + 1) + slot, "absent")
+            if c == "absent":
+                ch.append(-1), ci.append(-1)            # no row of this group is taken
+            elif c is None:
+                ch.append(big), ci.append(big)          # the whole group is taken
+            else:
+                ch.append(c[0]), ci.append(c[1])
+        slot = _slot_expr(p, classes)
+        pos = (slot + 1).cast("int")
+        chv = F.element_at(F.expr("array(" + ", ".join(f"{x}L" for x in ch) + ")"), pos)
+        civ = F.element_at(F.expr("array(" + ", ".join(f"{x}L" for x in ci) + ")"), pos)
+        take = (getbit(s) == 1) & ((h < chv) | ((h == chv) & (rid <= civ)))
+        items.append(F.when(take, F.lit(s * (C + 1)) + slot))
+    return F.array_compact(F.array(*items))
 
 
 def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: list,
@@ -209,10 +240,8 @@ def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: l
                              bits_per_level=stats.hist_bits if first is not None else 8)
     # keep only the sampled (row, group) pairs before the feature column is
     # exploded, then fetch the bounded sample through Arrow
-    hh, rid = F.col("h"), F.col("row_id")
-    picked = (table.select("row_id", "label", cfg.feature_col, h.alias("h"), keys.alias("keys"))
-              .select("row_id", "label", cfg.feature_col,
-                      F.filter("keys", lambda k: within_cutoff_of(cut, k, hh, rid)).alias("keys"))
+    chosen = _chosen_key_expr(plans, classes, cut, h, F.col("row_id"))
+    picked = (table.select("row_id", "label", cfg.feature_col, chosen.alias("keys"))
               .where(F.size("keys") > 0)
               .select(F.explode("keys").alias("grp"), "row_id", "label", cfg.feature_col))
     return _sample_from(picked.toPandas(), plans, classes, cfg, C)
