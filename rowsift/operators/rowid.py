@@ -18,6 +18,17 @@ from pyspark.sql import types as T
 
 from ..functions.literals import lookup
 
+_PINNED: list = []   # range-partitioned inputs kept for the two passes
+
+
+def release_pinned() -> int:
+    """Unpersist the inputs pinned by :func:`ordered_positions`. Call once the
+    results built on them have been consumed; returns how many were released."""
+    n = len(_PINNED)
+    while _PINNED:
+        _PINNED.pop().unpersist()
+    return n
+
 
 def _local_fn(order_cols, weight_col, out_col, offsets_bc, exclusive):
     def run(batches):
@@ -66,6 +77,7 @@ def ordered_positions(df: DataFrame, order_cols: list[str], *, out_col: str = "r
         ranged = ranged.withColumn("__mid", F.monotonically_increasing_id())
     if not keep_partitioning:
         ranged = ranged.persist()      # both passes must see the same partitions
+        _PINNED.append(ranged)
     w = F.col(weight_col).cast("bigint") if weight_col else F.lit(1).cast("bigint")
     totals = {r["__pid"]: int(r["t"] or 0)
               for r in ranged.groupBy("__pid").agg(F.sum(w).alias("t")).collect()}
