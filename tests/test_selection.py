@@ -208,3 +208,12 @@ def test_sql_text_slots_equal_column_slots(spark):
         a = df.select("row_id", *pack_bits([slot_bit(sl, n, 4, 2) for sl in slots]))
         b = df.select("row_id", *pack_slots_sql(slots, n, 4, 2))
         assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_string_labels_search(spark):
+    emb = prepared_embeddings(spark, SF_SMALL).withColumn(
+        "label", F.concat(F.lit("c"), F.col("label").cast("string")))
+    res = evolve(emb, generations=2, population=6, parents=2, seed=2)
+    assert ((res.fitness["fitness"] >= 0) & (res.fitness["fitness"] <= 1)).all()
+    assert res.fitness["accuracy"].notna().any()
+    assert res.table.where("best = 1").count() > 0
