@@ -324,3 +324,35 @@ def select_instances_defaults(spark, d):
     from ..operators.selection import select_instances
     return select_instances(prepared_embeddings(spark, d), generations=50, population=POPULATION,
                             parents=PARENTS, mutation_rate=RATE, seed=SEED, checkpoint_every=10)
+
+
+from .sql_selection import evolve_sequential_sql  # noqa: E402
+
+SEQ = evolve_sequential_sql(SEED, POPULATION, PARENTS, RATE, 2)
+
+
+def _sequential_knn(spark, d):
+    from ..operators.selection import evolve
+    return evolve(prepared_embeddings(spark, d), generations=2, population=POPULATION,
+                  parents=PARENTS, mutation_rate=RATE, seed=SEED, variant="sequential",
+                  fitness=KnnFitness(seed=SEED))
+
+
+@register("evolve_sequential_knn", SEQ["fitness"])
+def q_evolve_sequential_knn(spark, d):
+    """Sequential variant (one elite, uniform crossover, at-least-one-gene
+    mutation) scored by 5-NN: fitness of the 3 evaluated populations of a
+    2-generation search."""
+    res = _sequential_knn(spark, d)
+    f = spark.createDataFrame(res.fitness, "generation int, solution int, n_selected bigint, "
+                                           "accuracy double, fitness double")
+    return f.select("generation", "solution", "n_selected", F.round("accuracy", 6).alias("accuracy"),
+                    F.round("fitness", 6).alias("fitness"))
+
+
+@register("select_instances_sequential", SEQ["rows"])
+def q_select_instances_sequential(spark, d):
+    """Rows of the best solution of the last population of the sequential
+    variant (5-NN fitness, 2 generations)."""
+    res = _sequential_knn(spark, d)
+    return res.table.where(F.col("best") == 1).select("row_id", "label")

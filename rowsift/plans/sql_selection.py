@@ -146,3 +146,35 @@ SELECT row_id, label FROM g0
 WHERE NOT ((SELECT fitness FROM b1) > (SELECT fitness FROM b0))
   AND ((mask_0 >> (SELECT solution FROM b0)) & 1) = 1"""
     return {"fitness": fit, "history": hist, "rows": rows}
+
+
+def evolve_sequential_sql(seed: int, population: int, parents: int, rate: float,
+                          generations: int, base: str = EMBEDDINGS_BASE) -> dict[str, str]:
+    """Oracles of the sequential variant with 5-NN fitness: ``generations + 1``
+    evaluated populations; one elite (the best parent), uniform children of
+    parents (i, i+1) in descending fitness, at least one flipped gene; the
+    chosen rows are those of the best solution of the last population."""
+    import numpy as np
+
+    from ..operators.population import steady_state_plan
+    rng = np.random.default_rng(seed)
+    ctes = [f"g0 AS ({population_sql(seed, population, base)})",
+            f"f0 AS ({fitness_table_sql('SELECT * FROM g0', population, seed)})"]
+    for g in range(generations):
+        slots = steady_state_plan(rng, list(range(parents)), population, rate * 100)
+        ctes.append(f"""par{g} AS (SELECT solution, pos FROM (
+          SELECT solution, row_number() OVER (ORDER BY fitness DESC, solution DESC) - 1 AS pos
+          FROM f{g}) WHERE pos < {parents})""")
+        par = {j: f"(SELECT solution FROM par{g} WHERE pos = {j})" for j in range(parents)}
+        nxt = next_population_sql(f"SELECT * FROM g{g}", slots, population, seed, g, par)
+        ctes.append(f"g{g + 1} AS ({nxt})")
+        ctes.append(f"f{g + 1} AS ({fitness_table_sql(f'SELECT * FROM g{g + 1}', population, seed)})")
+    last = generations
+    head = "WITH " + ",\n".join(ctes)
+    fit = head + "\n" + "\nUNION ALL\n".join(
+        f"SELECT {g} AS generation, solution, n_selected, round(accuracy, 6) AS accuracy, "
+        f"round(fitness, 6) AS fitness FROM f{g}" for g in range(last + 1))
+    rows = head + f""",
+b AS (SELECT solution FROM f{last} ORDER BY fitness DESC, solution DESC LIMIT 1)
+SELECT row_id, label FROM g{last} WHERE ((mask_0 >> (SELECT solution FROM b)) & 1) = 1"""
+    return {"fitness": fit, "rows": rows}
