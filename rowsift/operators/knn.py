@@ -82,11 +82,6 @@ def vote(nbr_labels: np.ndarray, n_classes: int) -> np.ndarray:
     return counts.argmax(axis=1)
 
 
-def _features(pdf: pd.DataFrame, feature_col: str) -> np.ndarray:
-    col = pdf[feature_col].to_numpy()
-    return np.vstack(col).astype(np.float64) if len(col) else np.zeros((0, 0))
-
-
 def arrow_matrix(arr) -> np.ndarray:
     """(rows, d) float64 matrix of an Arrow list column, without a Python
     object per row when all lists have the same length (the common case)."""

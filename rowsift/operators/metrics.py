@@ -81,7 +81,3 @@ def mean_std(df: DataFrame, score: str = "score") -> DataFrame:
     """Mean and population standard deviation of fold scores."""
     return df.agg(F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"))
 
-
-def metric_rows(**metrics) -> list[tuple]:
-    """Tidy ``(metric, class, value)`` rows of scalar metrics."""
-    return [(k, None, float(v) if v is not None else None) for k, v in metrics.items()]

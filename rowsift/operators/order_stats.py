@@ -115,15 +115,3 @@ def within_cutoff(cut: dict, *, group_col: str = "grp", order_col: str = "h",
         cond = cond | (in_set(bounded, g) & ((h < ch) | ((h == ch) & (i <= ci))))
     return cond
 
-
-def within_cutoff_of(cut: dict, key, h, i):
-    """Same predicate as :func:`within_cutoff` for a key given as a Column
-    (usable inside higher-order lambdas)."""
-    all_groups = [gr for gr, c in cut.items() if c is ALL]
-    bounded = {gr: c for gr, c in cut.items() if c is not ALL}
-    cond = in_set(all_groups, key)
-    if bounded:
-        ch = _lookup({gr: c[0] for gr, c in bounded.items()}, key, -1)
-        ci = _lookup({gr: c[1] for gr, c in bounded.items()}, key, -1)
-        cond = cond | (in_set(bounded, key) & ((h < ch) | ((h == ch) & (i <= ci))))
-    return cond

@@ -18,12 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bits import HASH_BITS, getbit, pack_bits, random_masks, seeded_hash, word_cols
+from ..functions.bits import HASH_BITS, getbit, random_masks, seeded_hash, word_cols
 from ..functions.literals import lookup
 from .guards import TooManyClasses, collect_per_class
 from .knn import KnnSample, evaluate_population
-from .order_stats import smallest_k_cutoffs, within_cutoff, within_cutoff_of
-from .population import Slot, pack_slots_sql, parallel_plan, slot_bit, steady_state_plan
+from .order_stats import smallest_k_cutoffs, within_cutoff
+from .population import pack_slots_sql, parallel_plan, steady_state_plan
 
 FITNESS_COLUMNS = ["solution", "n_selected", "accuracy", "fitness"]
 SPLIT_HASH = "__h_split"       # cached seeded hash of the training-sample order

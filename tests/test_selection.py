@@ -1,7 +1,5 @@
 """Row-selection operators: fitness rules, genetic operators, search invariants."""
 
-import math
-
 import numpy as np
 import pytest
 from pyspark.sql import Window

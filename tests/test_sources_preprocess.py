@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rowsift.operators import metrics
 from rowsift.operators.batch import batch_datasets
-from rowsift.operators.preprocess import PreprocessError, preprocess, to_model_table
+from rowsift.operators.preprocess import PreprocessError, preprocess
 from rowsift.sources.delimited import (LoadError, dataset_name, list_datasets, scan_delimited,
                                        sniff_delimiter)
 
