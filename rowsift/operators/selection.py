@@ -35,6 +35,10 @@ def _hist_source(table: DataFrame, cfg) -> str | None:
     return SPLIT_HASH if SPLIT_HASH in table.columns else None
 
 
+def hcol_name(fitness) -> str:
+    return SPLIT_HASH if isinstance(fitness, KnnFitness) else HOLD_HASH
+
+
 def _hash_col(table: DataFrame, name: str, seed: int, tag: str):
     return F.col(name) if name in table.columns else seeded_hash(seed, tag, "row_id")
 
@@ -405,9 +409,10 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
         hcol = seeded_hash(fitness.seed, "split", "row_id").alias(SPLIT_HASH)
     else:
         hcol = seeded_hash(fitness.seed, "holdout", "row_id").alias(HOLD_HASH)
-    base = table.select(*base_cols, hcol).persist()
-    carry = base.columns
-    pop = base.select(*carry, *random_masks(seed, population), F.lit(0).alias("best"))
+    base = table.select(*base_cols, hcol, *random_masks(seed, population),
+                        F.lit(0).alias("best")).persist()
+    carry = base_cols + [hcol_name(fitness)]
+    pop = base
     knn = isinstance(fitness, KnnFitness)
     stats = population_counts(pop, list(range(population)), fitness.feature_col,
                               SPLIT_HASH if knn else None)   # also fills the cache
