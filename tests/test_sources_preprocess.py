@@ -110,3 +110,12 @@ def test_metrics_report(spark):
     r2 = metrics.r2(spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (3.0, 3.0)],
                                           "label double, prediction double")).first()[0]
     assert r2 == 1.0
+
+
+def test_cli_select(spark, folder, capsys):
+    from rowsift.__main__ import main
+    out = tempfile.mkdtemp(prefix="rowsift-cli-")
+    assert main(["select", "--input", os.path.join(folder, "a", "b"), "--output", out,
+                 "--generations", "1", "--population", "4", "--parents", "2"]) == 0
+    printed = capsys.readouterr().out
+    assert "semi.data" in printed and "elapsed" in printed
