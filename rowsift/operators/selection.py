@@ -30,7 +30,7 @@ SPLIT_HASH = "__h_split"       # cached seeded hash of the training-sample order
 HOLD_HASH = "__h_holdout"      # cached seeded hash of the hold-out order
 
 
-def _hist_source(table: DataFrame, cfg) -> str | None:
+def _hist_source(table: DataFrame, _cfg=None) -> str | None:
     """The cached sample-order hash column, when the table carries it."""
     return SPLIT_HASH if SPLIT_HASH in table.columns else None
 
@@ -104,8 +104,9 @@ def population_counts(table: DataFrame, solutions: list[int], width_col: str | N
             rows = collect_per_class(table.groupBy(*keys).agg(*aggs), limit=HIST_ROWS)
         except TooManyClasses:
             # many classes: counts alone; the cut-offs then scan their own first level
-            return population_counts(table, solutions, width_col or "__none__", None) \
-                if width_col else PopStats(*population_counts(table, solutions))
+            if width_col:
+                return population_counts(table, solutions, width_col)
+            return PopStats(*population_counts(table, solutions))
     else:
         rows = collect_per_class(table.groupBy(*keys).agg(*aggs))
     n = sum(int(r["n"]) for r in rows)
