@@ -1,5 +1,7 @@
 """Random forests through ``pyspark.ml`` (trees are grown level-wise by a
-distributed job; nothing is collected but the model).
+distributed job; nothing is collected but the model). Deep trees keep each
+row's node id cached between levels (``cacheNodeIds``), checkpointed every 10
+levels into ``spark.checkpoint.dir``.
 
 Labels may be any integers; they are mapped to class indices 0..K-1 with a
 small literal map (K is bounded) and predictions are mapped back.
@@ -57,12 +59,14 @@ def fit_forest(train: DataFrame, *, task: str = "classification", num_trees: int
         data = data.withColumn("__y", _index(classes))
         est = RandomForestClassifier(featuresCol="__vec", labelCol="__y", numTrees=num_trees,
                                      maxDepth=depth, seed=seed, impurity="gini", maxBins=max_bins,
-                                     featureSubsetStrategy="sqrt")
+                                     featureSubsetStrategy="sqrt", cacheNodeIds=True,
+                                     checkpointInterval=10)
     else:
         data = data.withColumn("__y", F.col("label").cast("double"))
         est = RandomForestRegressor(featuresCol="__vec", labelCol="__y", numTrees=num_trees,
                                     maxDepth=depth, seed=seed, maxBins=max_bins,
-                                    featureSubsetStrategy="all")
+                                    featureSubsetStrategy="all", cacheNodeIds=True,
+                                    checkpointInterval=10)
     model = est.fit(data)
     return ForestModel(model, task, classes, time.time() - t0, started, feature_col)
 
