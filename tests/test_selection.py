@@ -215,3 +215,16 @@ def test_string_labels_search(spark):
     assert ((res.fitness["fitness"] >= 0) & (res.fitness["fitness"] <= 1)).all()
     assert res.fitness["accuracy"].notna().any()
     assert res.table.where("best = 1").count() > 0
+
+
+def test_selected_rows_match_the_best_solution(spark):
+    from rowsift.operators.selection import select_instances, selection_summary
+    emb = prepared_embeddings(spark, SF_SMALL)
+    rows, res = select_instances(emb, generations=3, population=8, parents=4, seed=21)
+    f = res.fitness
+    best = f[f.fitness == res.best_fitness].sort_values(["generation", "solution"]).iloc[0]
+    assert rows.count() == best.n_selected
+    summ = selection_summary(res.table).first()
+    assert summ.original_rows == 500 and summ.selected_rows == best.n_selected
+    assert summ.reduction_pct == round((1 - best.n_selected / 500) * 100, 2)
+    res.release()
