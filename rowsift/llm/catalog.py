@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("token_counts",)
+MODULES = ("token_counts", "sharding")
 
 
 def queries() -> dict:
