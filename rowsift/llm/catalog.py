@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("token_counts", "sharding")
+MODULES = ("token_counts", "sharding", "quality_rules", "url_filter")
 
 
 def queries() -> dict:
