@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("token_counts", "sharding", "quality_rules", "url_filter")
+MODULES = ("token_counts", "sharding", "quality_rules", "url_filter", "quality_classifier")
 
 
 def queries() -> dict:
