@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("token_counts", "sharding", "quality_rules", "url_filter", "quality_classifier")
+MODULES = ("token_counts", "sharding", "quality_rules", "url_filter", "quality_classifier",
+           "packing")
 
 
 def queries() -> dict:

@@ -10,11 +10,18 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
 
 WORD_CACHE = 200_000
+# Fixed value: the pre-token pattern for which plain words can skip the normaliser.
+PLAIN_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# Letters whose lower case and composed form are the letter itself or one fixed
+# letter, then punctuation: two pre-tokens at most, for any such word.
+PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?$%&*#|]*)$")
 _loaded: dict = {}
 
 
@@ -49,7 +56,7 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.by_word = splits_at_space(path)
-        self._mark = None
+        self._mark = self._model = None
         if path.endswith(".json"):
             from tokenizers import Tokenizer
             tok = Tokenizer.from_file(path)
@@ -63,6 +70,12 @@ class Encoder:
             marks = [t for t in added if t.get("special") and not t.get("normalized")]
             if self.by_word and marks:
                 self._mark = (marks[0]["content"], marks[0]["id"])
+            if self.by_word and self._is_plain(path):
+                from tokenizers.pre_tokenizers import ByteLevel
+                level = ByteLevel(add_prefix_space=False, use_regex=False)
+                letters = [chr(c) for c in range(0xC0, 0x100)]
+                self._bytes = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
+                self._model = tok.model
         elif path.endswith(".model"):
             import sentencepiece
             model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -75,7 +88,42 @@ class Encoder:
     def ids(self, texts: list[str]) -> list[list[int]]:
         return self._ids(texts) if texts else []
 
+    @staticmethod
+    def _is_plain(path: str) -> bool:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pre, norm = spec["pre_tokenizer"], spec.get("normalizer") or {}
+        return (spec["model"].get("type") == "BPE"
+                and [x["type"] for x in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+                and [x["type"] for x in pre.get("pretokenizers", [])] == ["Split", "ByteLevel"]
+                and pre["pretokenizers"][0]["pattern"].get("Regex") == PLAIN_SPLIT)
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.translate(self._bytes)
+        return array("I", [t.id for t in self._model.tokenize(piece)]).tobytes()
+
     def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids of single words; plain ones go straight to the merges."""
+        if self._model is None:
+            return self._encode_any(words)
+        out, others, marks = [], [], {"": b""}
+        for w in words:
+            m = PLAIN_WORD.match(w)
+            if m is None:
+                others.append(w)
+                out.append(None)
+                continue
+            end = marks.get(m[2])
+            if end is None:
+                end = marks[m[2]] = self._piece(m[2])
+            out.append(self._piece(m[1].lower()) + end)
+        if others:
+            rest = iter(self._encode_any(others))
+            out = [next(rest) if x is None else x for x in out]
+        return out
+
+    def _encode_any(self, words: list[str]) -> list[bytes]:
         """Ids of single words. Words are encoded as one text with a special
         token between them (it is cut out before anything else happens to the
         text, so it separates exactly); words that hold one go alone."""
