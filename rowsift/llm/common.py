@@ -35,13 +35,21 @@ def fold(doc_id: str, k: int = 5) -> Column:
     return F.crc32(F.coalesce(quoted(doc_id).cast("string"), F.lit(""))) % k
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, batch_rows: int = 0) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared checkpoint folder and
     read it back: cuts the lineage, survives lost executors, computes ``df``
-    only once and is identical for every later reader."""
+    only once and is identical for every later reader. ``batch_rows`` bounds the
+    rows that a task hands to Python at once while it is written."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    if batch_rows:
+        spark.conf.set(setting, str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -52,8 +60,8 @@ def texts_of(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int = 0,
-           max_bytes: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+def slices(batches: Iterator[pa.RecordBatch], column: int = 0, max_bytes: int = SLICE_BYTES,
+           max_rows: int = 60_000) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """(rows, their texts) in slices of at most ``max_bytes`` of text or one row."""
     for batch in batches:
         if not batch.num_rows:
@@ -64,6 +72,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int = 0,
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, base + max_bytes, "right")))
+            stop = min(stop, start + max_rows)
             yield batch.slice(start, stop - start), texts.slice(start, stop - start)
             start = stop
 
