@@ -20,6 +20,12 @@ from pyspark.sql import functions as F
 from rowsift.session import ensure_checkpoint_dir
 
 SLICE_BYTES = 4 << 20
+HASH_BLOCK = 1 << 19
+_FACTOR = 0x9E3779B97F4A7C15
+_IS_WORD = np.ones(256, bool)
+_IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
+_A_TO_Z = np.arange(256, dtype=np.uint8)
+_A_TO_Z[65:91] += 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,3 +124,61 @@ def segment_sum(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sum of ``values`` between consecutive offsets (0 for empty texts)."""
     total = np.concatenate((np.zeros(1, values.dtype), np.cumsum(values)))
     return total[starts[1:]] - total[starts[:-1]]
+
+
+def word_spans(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' bytes, begin and end of every word in them, and offsets per text.
+
+    ``lower`` turns A-Z into a-z."""
+    n = len(texts)
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + n + 1]
+    buf = (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8))[at[0]:at[-1]]
+    at = at - at[0]
+    if lower:
+        buf = _A_TO_Z[buf]
+    word = _IS_WORD[buf]
+    if not len(buf):
+        none = np.zeros(0, np.int64)
+        return buf, none, none, np.zeros(n + 1, np.int64)
+    edge = np.zeros(len(buf), bool)
+    edge[1:] = word[:-1]
+    edge[at[:-1][at[:-1] < len(buf)]] = False
+    begin = np.flatnonzero(word & ~edge)
+    edge[:-1] = word[1:]
+    edge[-1] = False
+    edge[at[1:][at[1:] > 0] - 1] = False
+    end = np.flatnonzero(word & ~edge) + 1
+    return buf, begin, end, np.searchsorted(begin, at)
+
+
+def _powers(n: int, cache: dict = {}) -> tuple[np.ndarray, np.ndarray]:
+    if cache.get("n", 0) < n:
+        up = np.full(n, _FACTOR, np.uint64)
+        down = np.full(n, pow(_FACTOR, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        cache |= {"n": n, "up": np.cumprod(up), "down": np.cumprod(down)}
+    return cache["up"][:n], cache["down"][:n]
+
+
+def span_hashes(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of every span: a polynomial in its bytes, from running sums over
+    blocks of bounded size, mixed with its length."""
+    out = np.empty(len(begin), np.uint64)
+    i = 0
+    while i < len(begin):
+        first = int(begin[i])
+        j = max(i + 1, int(np.searchsorted(end, first + HASH_BLOCK, "right")))
+        a, b = begin[i:j] - first, end[i:j] - first
+        up, down = _powers(int(b[-1]))
+        run = np.zeros(int(b[-1]) + 1, np.uint64)
+        np.cumsum((buf[first:first + int(b[-1])].astype(np.uint64) + np.uint64(1)) * up, out=run[1:])
+        out[i:j] = mix((run[b] - run[a]) * down[a] ^ (b - a).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+        i = j
+    return out
+
+
+def hash_texts(words: list[str]) -> np.ndarray:
+    """``span_hashes`` of whole strings without white space."""
+    buf, begin, end, _ = word_spans(pa.array(words, pa.large_string()))
+    return span_hashes(buf, begin, end)

@@ -40,25 +40,23 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import coded, fold, hash_words, mix, per_text, quoted, segment_sum, slices, stored, table, words_of
+from .common import fold, mix, per_text, quoted, segment_sum, slices, span_hashes, stored, table, word_spans
 
 DEPTH = 3
 SHARE = 2e-6
 DISCOUNT = 0.5
 BLOCK = 2_000_000
 GROUP = 2_000_000
-END = hash_words([" end"])[0]
+END = np.uint64(0x656E64206F662074)  # stands for the end token
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes with an end token before and after each text's words, and offsets."""
-    flat, starts = words_of(pc.ascii_lower(texts))
-    words, codes = coded(flat)
+    buf, begin, end, starts = word_spans(texts, lower=True)
     bounds = starts + 2 * np.arange(len(starts))
     out = np.full(bounds[-1], END, np.uint64)
-    if len(codes):
-        out[np.arange(len(codes)) + 2 * per_text(starts) + 1] = hash_words(words)[codes]
+    out[np.arange(len(begin)) + 2 * per_text(starts) + 1] = span_hashes(buf, begin, end)
     return out, bounds
 
 

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import coded, hash_words, mix, per_text, quoted, slices, stored, table, words_of
+from .common import mix, per_text, quoted, slices, span_hashes, stored, table, word_spans
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -61,13 +61,12 @@ _tables: dict = {}
 
 def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of every text: (48-bit hashes, how often, offsets)."""
-    flat, starts = words_of(pc.utf8_lower(texts))
+    buf, begin, end, starts = word_spans(pc.utf8_lower(texts))
     n = np.diff(starts)
-    words, codes = coded(flat)
     out = np.zeros(0, np.uint64)
     doc = np.zeros(0, np.int64)
-    if len(codes):
-        h = hash_words(words, 3)[codes]
+    if len(begin):
+        h = span_hashes(buf, begin, end)
         text = per_text(starts)
         if len(h) >= WORDS:
             g = h[:len(h) - WORDS + 1].copy()

@@ -34,13 +34,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import quoted, slices, stored, table, words_of
-from .token_counts import frequent_words, lookup
+from .common import quoted, slices, stored, table, word_spans
+from .token_counts import lookup, word_table
 from .tokenizer import WordTable, encoder
 
 CAPACITY = 2048
-TABLE_SIZE = 1 << 19
-TASK_SUMMARY = 1 << 16
+TABLE_SIZE = 1 << 18
 BLOCK_WORDS = 500_000
 
 
@@ -60,15 +59,13 @@ def encode_texts(texts: pa.Array, words: WordTable | None, enc, separator: int
         lists = [np.asarray([*x, separator], np.uint32) for x in enc.ids(texts.to_pylist())]
         return (np.concatenate(lists) if lists else np.zeros(0, np.uint32),
                 np.concatenate(([0], np.cumsum([len(x) for x in lists], dtype=np.int64))))
-    flat, starts = words_of(texts)
-    known = len(words.words)
-    sizes, parts, counts = [], [], []
-    for a in range(0, max(len(flat), 1), BLOCK_WORDS):
-        block = flat.slice(a, BLOCK_WORDS)
-        index, miss, extra = lookup(block, words, enc)
+    buf, begin, end, starts = word_spans(texts)
+    parts, counts = [], []
+    for a in range(0, max(len(begin), 1), BLOCK_WORDS):
+        block = slice(a, a + BLOCK_WORDS)
+        index, _, extra = lookup((buf, begin[block], end[block]), words, enc)
         more = np.frombuffer(b"".join(extra), np.uint32)
-        size = np.concatenate((words.lengths[:known], [len(x) // 4 for x in extra])).astype(np.int64)
-        index[miss] = known - 1 - index[miss]
+        size = np.concatenate((words.sizes, [len(x) // 4 for x in extra])).astype(np.int64)
         parts.append(gather(index, size, np.concatenate((words.ids, more))))
         counts.append(size[index])
     n = np.concatenate((*counts, [0]))
@@ -81,15 +78,11 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, separator: int, te
               with_ids: bool, table_size: int) -> DataFrame:
     spark = docs.sparkSession
     enc = encoder(tokenizer)
-    frequent = frequent_words(docs, text_col, table_size, TASK_SUMMARY) if enc.by_word else []
-    rows = enc.words(frequent)
-    shared = spark.sparkContext.broadcast(
-        ("\n".join(frequent), np.array([len(x) // 4 for x in rows], np.uint16), b"".join(rows)))
+    shared = spark.sparkContext.broadcast(word_table(docs, enc, text_col, table_size))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        blob, lengths, ids = shared.value
-        words = WordTable(blob.split("\n") if blob else [], [ids], lengths) if enc.by_word else None
+        words = shared.value if enc.by_word else None
         split = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch, texts in slices(batches):

@@ -20,12 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted, segment_sum, slices, table, words_of
+from .common import hash_texts, quoted, segment_sum, slices, span_hashes, table, word_spans
 from .tokenizer import WordTable, encoder
 
 MAX_WORD_BYTES = 64
@@ -38,40 +37,52 @@ def frequent_words(docs: DataFrame, text_col: str = "text", table_size: int = TA
     """Most frequent words over all texts, from bounded summaries per task."""
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, int] = {}
+        seen: dict[int, int] = {}
+        names: dict[int, bytes] = {}
         for _, texts in slices(batches):
-            flat, _ = words_of(texts)
-            if not len(flat):
-                continue
-            counts = pc.value_counts(flat)
-            words, n = counts.field("values"), np.asarray(counts.field("counts"))
-            few = np.flatnonzero((n > 1) & (np.asarray(pc.binary_length(words)) <= MAX_WORD_BYTES))
-            for w, k in zip(words.take(pa.array(few)).to_pylist(), n[few].tolist()):
-                seen[w] = seen.get(w, 0) + k
+            buf, begin, end, _ = word_spans(texts)
+            u, first, n = np.unique(span_hashes(buf, begin, end), return_index=True, return_counts=True)
+            few = np.flatnonzero((n > 1) & (end[first] - begin[first] <= MAX_WORD_BYTES))
+            for key, k, i in zip(u[few].tolist(), n[few].tolist(), first[few].tolist()):
+                if key in seen:
+                    seen[key] += k
+                else:
+                    seen[key] = k
+                    names[key] = buf[begin[i]:end[i]].tobytes()
             if len(seen) > 4 * task_summary:
                 seen = dict(sorted(seen.items(), key=lambda x: -x[1])[:2 * task_summary])
-        top = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:task_summary]
+                names = {k: names[k] for k in seen}
+        top = sorted(seen.items(), key=lambda x: -x[1])[:task_summary]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([w for w, _ in top], pa.string()), pa.array([k for _, k in top], pa.int64())],
+            [pa.array([names[k].decode() for k, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())],
             names=["word", "n"])
 
     top = (docs.select(quoted(text_col).alias("text")).mapInArrow(summary, "word string, n long")
            .groupBy("word").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "word").limit(table_size).select("word"))
-    return [r[0] for r in top.collect()]
+    return top.toArrow().column("word").to_pylist()
 
 
-def lookup(flat: pa.Array, words: WordTable, enc) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Index of every word in the table, or -1 - (its index among the misses),
-    and the misses' ids."""
-    found = pc.index_in(flat, value_set=words.words)
-    index = np.asarray(pc.fill_null(found, -1), dtype=np.int64)
+def word_table(docs: DataFrame, enc, text_col: str, table_size: int, task_summary: int = TASK_SUMMARY) -> WordTable:
+    """The broadcast tier: ids of the most frequent words (empty for other tokenizers)."""
+    words = frequent_words(docs, text_col, table_size, task_summary) if enc.by_word else []
+    return WordTable(hash_texts(words), enc.words(words))
+
+
+def lookup(words: tuple, known: WordTable, enc) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """For the words (bytes, begins, ends): each one's index in the table, or the table's
+    size plus its index among the distinct misses; where they miss; the misses' ids."""
+    buf, begin, end = words
+    h = span_hashes(buf, begin, end)
+    index = known.find(h)
     miss = np.flatnonzero(index < 0)
     if not len(miss):
         return index, miss, []
-    d = flat.take(pa.array(miss)).dictionary_encode()
-    index[miss] = -1 - np.asarray(d.indices, dtype=np.int64)
-    return index, miss, enc.words(d.dictionary.to_pylist())
+    u, first, inverse = np.unique(h[miss], return_index=True, return_inverse=True)
+    index[miss] = len(known) + inverse
+    at = miss[first]
+    return index, miss, enc.hashed_words(
+        u, lambda i: buf[begin[at[i]]:end[at[i]]].tobytes().decode())
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", id_col: str = "doc_id",
@@ -79,22 +90,19 @@ def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", id_col
     """(id, n_bytes, n_tokens) of every row of ``docs``."""
     spark = docs.sparkSession
     enc = encoder(tokenizer)
-    words = frequent_words(docs, text_col, table_size) if enc.by_word else []
-    sizes = np.array([len(x) // 4 for x in enc.words(words)], np.int64)
-    shared = spark.sparkContext.broadcast(("\n".join(words), sizes.astype(np.uint16)))
+    words = word_table(docs, enc, text_col, table_size)
+    words.ids = None  # only the lengths are needed
+    shared = spark.sparkContext.broadcast(words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        blob, lengths = shared.value
-        known = WordTable(blob.split("\n") if blob else [], None, lengths)
+        known = shared.value
         for rows, texts in slices(batches):
             if enc.by_word:
-                flat, starts = words_of(texts)
-                index, miss, ids = lookup(flat, known, enc)
-                n = known.lengths[np.maximum(index, -1)]
-                if len(miss):
-                    n[miss] = np.array([len(x) // 4 for x in ids], np.int64)[-1 - index[miss]]
-                n_tokens = segment_sum(n, starts)
+                buf, begin, end, starts = word_spans(texts)
+                index, _, ids = lookup((buf, begin, end), known, enc)
+                sizes = np.concatenate((known.sizes, [len(x) // 4 for x in ids])).astype(np.int64)
+                n_tokens = segment_sum(sizes[index], starts)
             else:
                 n_tokens = np.array([len(x) for x in enc.ids(texts.to_pylist())], np.int64)
             yield pa.RecordBatch.from_arrays(

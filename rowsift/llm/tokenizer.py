@@ -12,9 +12,9 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 import numpy as np
-import pyarrow as pa
 
 WORD_CACHE = 200_000
 # Fixed value: the pre-token pattern for which plain words can skip the normaliser.
@@ -82,8 +82,8 @@ class Encoder:
             self._ids = lambda texts: model.encode(texts, num_threads=1)
         else:
             raise ValueError(f"unknown kind of tokenizer: {path}")
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._young: dict[int, bytes] = {}
+        self._old: dict[int, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return self._ids(texts) if texts else []
@@ -136,31 +136,35 @@ class Encoder:
         starts = [0, *((cuts + 1) * 4).tolist()]
         return [raw[a:b] for a, b in zip(starts, [*(cuts * 4).tolist(), len(raw)])]
 
-    def words(self, words: list[str]) -> list[bytes]:
-        """Ids of single words as uint32 bytes, through a cache of two bounded
-        generations: words in use move to the young one, the old one is dropped
-        whenever the young one is full."""
+    def hashed_words(self, keys: np.ndarray, word_at: Callable[[int], str]) -> list[bytes]:
+        """Ids of words as uint32 bytes by their hashes; ``word_at(i)`` gives the i-th
+        word's text. Two bounded generations of a cache: words in use move to the young one,
+        the old one is dropped whenever the young one is full."""
         young, old, out, new = self._young, self._old, [], []
-        for w in words:
-            x = young.get(w)
+        for i, k in enumerate(keys.tolist()):
+            x = young.get(k)
             if x is None:
-                x = old.get(w)
+                x = old.get(k)
                 if x is None:
-                    new.append(w)
+                    new.append(i)
                 else:
-                    young[w] = x
+                    young[k] = x
             out.append(x)
-        fresh = {}
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            fresh.update(zip(part, self._encode(part)))
-        if fresh:
-            out = [fresh[w] if x is None else x for w, x in zip(words, out)]
-            young.update(fresh)
+        for a in range(0, len(new), 10_000):
+            part = new[a:a + 10_000]
+            for i, x in zip(part, self._encode([word_at(i) for i in part])):
+                out[i] = young[int(keys[i])] = x
         if len(young) > WORD_CACHE:
             self._old, self._young = young, {}
         return out
 
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of single words as uint32 bytes."""
+        out = []
+        for a in range(0, len(words), 10_000):
+            out += self._encode(words[a:a + 10_000])
+        return out
+
 
 def encoder(path: str) -> Encoder:
     if path not in _loaded:
@@ -169,9 +173,27 @@ def encoder(path: str) -> Encoder:
 
 
 class WordTable:
-    """Frequent words with their ids: plain arrays, cheap to broadcast."""
-
-    def __init__(self, words: list[str], ids: list[bytes] | None, lengths: np.ndarray):
-        self.words = pa.array(words, pa.large_string())
-        self.lengths = np.append(np.asarray(lengths, np.int64), 0)
-        self.ids = None if ids is None else np.frombuffer(b"".join(ids), np.uint32)
+    """Frequent words with their ids: a compact hash table of plain arrays.
+
+    Hashes in order, an index by their leading bits, number of ids, all ids in a row."""
+
+    def __init__(self, hashes: np.ndarray, ids: list[bytes]):
+        order = np.argsort(hashes)
+        self.hashes = np.append(hashes[order], np.uint64(0xFFFFFFFFFFFFFFFF))
+        self.sizes = np.array([len(ids[i]) // 4 for i in order.tolist()], np.uint16)
+        self.ids = np.frombuffer(b"".join(ids[i] for i in order.tolist()), np.uint32)
+        self.bits = max(1, int(len(hashes)).bit_length())
+        slots = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
+        self.first = np.searchsorted(self.hashes[:-1], slots).astype(np.int32)
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Index of every hash in the table, -1 where absent."""
+        at = self.first[(h >> np.uint64(64 - self.bits)).astype(np.int64)].astype(np.int64)
+        left = np.flatnonzero(self.hashes[at] < h)
+        while len(left):
+            at[left] += 1
+            left = left[self.hashes[at[left]] < h[left]]
+        return np.where((self.hashes[at] == h) & (at < len(self)), at, -1)
