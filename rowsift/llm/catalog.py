@@ -5,7 +5,8 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("token_counts", "sharding", "quality_rules", "url_filter", "quality_classifier",
-           "packing", "toxicity", "lm_scoring", "near_dedup")
+           "packing", "toxicity", "lm_scoring", "near_dedup",
+           "decontamination")
 
 
 def queries() -> dict:
