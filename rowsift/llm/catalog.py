@@ -10,14 +10,18 @@ MODULES = ("token_counts", "sharding", "quality_rules", "url_filter", "quality_c
 
 
 def queries() -> dict:
+    import corpus_pipeline
+
     out = {}
     for name in MODULES:
         out |= import_module(f"rowsift.llm.{name}").QUERIES
-    return out
+    return out | {"pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
     out = {}
     for name in MODULES:
         out |= getattr(import_module(f"rowsift.llm.{name}"), "ORACLES", {})
-    return out
+    import corpus_pipeline
+
+    return out | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

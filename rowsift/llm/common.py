@@ -8,7 +8,7 @@ single text larger than a slice forms a slice of its own).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,18 @@ def stored(df: DataFrame, name: str, batch_rows: int = 0) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep_rows(docs: DataFrame, text_col: str, decide: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of ``docs`` whose text ``decide`` keeps (a mask for an array of
+    texts); all columns stay. One scan, no shuffle."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in slices(batches, at):
+            yield rows.filter(pa.array(np.asarray(decide(texts), bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def texts_of(column: pa.Array) -> pa.Array:
     """The column as plain strings, null texts as empty ones."""
     if isinstance(column, pa.ChunkedArray):

@@ -129,8 +129,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   item_text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without the rows whose text holds an item; all columns stay."""
     pairs = contaminated_texts(docs, benchmark, text_col, item_text_col, similarity)
-    bad = stored(pairs.select("key").distinct(), "leaking-texts")
-    return docs.join(small(bad, 40, BROADCAST_BYTES), text_key(text_col) == bad["key"], "left_anti")
+    name = "leaking_key"
+    while name in docs.columns:
+        name += "_"
+    bad = stored(pairs.select(F.col("key").alias(name)).distinct(), "leaking-texts")
+    kept = docs.withColumn(name, text_key(text_col)).join(small(bad, 40, BROADCAST_BYTES), name, "left_anti")
+    return kept.select(*(quoted(c) for c in docs.columns))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

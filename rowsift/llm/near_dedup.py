@@ -274,14 +274,16 @@ def ordered(a: str, b: str) -> list:
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                    similarity: float = SIMILARITY) -> DataFrame:
+                    similarity: float = SIMILARITY, row_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: (id, row, class_id, class_size, keep).
 
-    ``row`` is the row's position key in ``docs``; ``keep`` marks one row of each class."""
+    ``row`` is a unique number, taken from ``row_col`` if named; ``keep`` marks one row
+    of each class."""
     spark = docs.sparkSession
     text = F.coalesce(quoted(text_col), F.lit("")).alias("text")
-    plain = docs.select(text, quoted(id_col).alias("id"), F.monotonically_increasing_id().alias("row")
-                        ).withColumn("key", F.unhex(F.md5("text")))
+    row = quoted(row_col) if row_col else F.monotonically_increasing_id()
+    plain = docs.select(text, quoted(id_col).alias("id"), row.alias("row"))
+    plain = plain.withColumn("key", F.unhex(F.md5("text")))
     cells, rows = document_frequencies(plain)
     idf = spark.sparkContext.broadcast(idf_levels(cells, rows))
     base = stored(signed_rows(plain, idf), "signatures")
@@ -356,6 +358,21 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                     (F.col("row") == F.col("first.row")).alias("keep")))
 
 
+def deduplicate(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one row of each class; all columns stay. The numbered rows are
+    written first, so that the numbers are the same wherever they are read."""
+    name = "row_number"
+    while name in docs.columns:
+        name += "_"
+    numbered = stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    out = near_duplicates(numbered, text_col, id_col, similarity, row_col=name)
+    dropped = stored(out.filter(~F.col("keep")).select(F.col("row").alias(name)), "duplicates")
+    if dropped.count() * 16 <= BROADCAST_BYTES:
+        dropped = F.broadcast(dropped)
+    return numbered.join(dropped, name, "left_anti").select(*(quoted(c) for c in docs.columns))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "class_id", "class_size", "keep")

@@ -28,12 +28,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, hash_words, mix, per_text, quoted, slices, table, words_of
+from .common import fold, hash_words, keep_rows, mix, per_text, quoted, slices, table, words_of
 from .linear import DIM, Families, ftrl, logistic, margins, sparse_rows
 
 MAX_TRAIN = 8000
 REPLICAS = 4
 EPOCHS = 4
+THRESHOLD = 0.3
 
 
 def ngrams(h: np.ndarray, starts: np.ndarray, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +113,7 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
 
 def score(docs: DataFrame, weights: np.ndarray, bias: float, text_col: str = "text",
           id_col: str = "doc_id") -> DataFrame:
-    """(id, score) of every row; ``id`` may be a list of columns to pass on."""
+    """(id, score) of every row: one scan, no shuffle."""
     model = docs.sparkSession.sparkContext.broadcast((weights, bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,12 +128,24 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, text_col: str = "te
     return kept.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
+def keep_good(docs: DataFrame, weights: np.ndarray, bias: float, threshold: float = THRESHOLD,
+              text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more; all columns stay."""
+    model = docs.sparkSession.sparkContext.broadcast((weights, bias))
+
+    def decide(texts: pa.Array) -> np.ndarray:
+        w, b = model.value
+        return logistic(margins(quality_features(texts), w, b, presence=False)) >= threshold
+
+    return keep_rows(docs, text_col, decide)
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(fold("doc_id") != 0)
     scored = score(docs, *train(docs, labels))
     return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score",
-                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 QUERIES = {"op1_quality": op1_quality}

@@ -20,8 +20,8 @@ all training rows; the bound holds for mining and fitting only.
 
 Defined cases: null and empty texts get the logistic of the bias; null ids are scored but not
 learnt from; null labels are not used; an id labelled twice counts with its smallest
-label, an id with several texts trains with its smallest text; without labels only the
-public lexicon votes; other columns are ignored; an empty table gives an empty result.
+label, an id with several texts trains with its smallest text; without labels every
+score is the prior 0.05; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, hash_words, mix, per_text, quoted, segment_sum, slices, stored, table, words_of
+from .common import fold, hash_words, keep_rows, mix, per_text, quoted, segment_sum, slices, stored, table, words_of
 from .linear import DIM, Families, ftrl, logistic, margins, sparse_rows
 from .quality_classifier import bounded_labels
 
@@ -42,6 +42,8 @@ MAX_TRAIN = 10_000
 REPLICAS = 2
 EPOCHS = 5
 EM_STEPS = 6
+THRESHOLD = 0.5
+PRIOR = 0.05
 PREFIXES = (5, 6, 7)
 MINED_WORDS, MINED_PREFIXES = 84, 16
 LANE = 62  # voters per long
@@ -170,7 +172,7 @@ class LabelModel:
     """Firing rates per class, class prior and evidence discounts."""
 
     def __init__(self, count: int):
-        self.prior = 0.05
+        self.prior = PRIOR
         self.rates = np.array([np.full(count, 0.002), np.full(count, 0.2)])
         self.discount = np.ones(count)
 
@@ -296,6 +298,7 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, text_col: str
     models = groups.groupBy("replica").applyInArrow(fit, "slot long, w double").groupBy("slot").agg(
         F.sum("w").alias("w"), F.count("*").alias("n")).collect()
     weights = np.zeros(DIM + 1)
+    weights[DIM] = np.log(PRIOR / (1 - PRIOR))  # stands if there is nothing to learn from
     made = next((r.n for r in models if r.slot == DIM), 1)
     for r in models:
         weights[r.slot] = r.w / made
@@ -318,11 +321,23 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, voters: Voters, tex
     return kept.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
+def keep_clean(docs: DataFrame, weights: np.ndarray, bias: float, voters: Voters,
+               threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``; all columns stay."""
+    model = docs.sparkSession.sparkContext.broadcast((weights, bias, voters))
+
+    def decide(texts: pa.Array) -> np.ndarray:
+        w, b, voters = model.value
+        return logistic(margins(features(texts, voters), w, b, presence=True)) < threshold
+
+    return keep_rows(docs, text_col, decide)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score(docs, *train(docs, table(spark, sf_dir, "labels"), fold("doc_id") != 0))
     return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 QUERIES = {"op4_toxicity": op4_toxicity}
