@@ -12,8 +12,9 @@ shingle's hash, so a sample costs one multiplication and one lookup. 16 bands
 of 4 samples: two texts with weighted similarity 0.8 meet in a band with
 probability 0.9998.
 
-A candidate pair is verified on its whole texts: it is a link if the weighted Jaccard
-similarity is 0.8 or more, or the plain one of the same shingles is (idf lowers the
+Pairs that meet in a band and whose signatures do not rule the similarity out (five
+standard errors below it) are verified on their whole texts: a pair is a link if the
+weighted Jaccard similarity is 0.8 or more, or the plain one of the same shingles is (idf lowers the
 weights of what a large group of copies shares, which must not split the group).
 
 Links become classes without comparing all pairs of a group. Equal texts are
@@ -21,7 +22,8 @@ one node. In each bucket every member is compared with a few leaders (the smalle
 seeded hashes); connected components follow; then, where a bucket still holds
 several components, members meet new leaders of other components, and at last
 every member outside the bucket's largest component meets all members of other
-components. So every pair of a bucket is either compared, or already in one
+components: as pairs in buckets of up to 32 members, block against block inside tasks
+in larger ones, where only links come out. So every pair of a bucket is either compared, or already in one
 class: no cap, no lost link. Components are found by label propagation with pointer jumping
 over written tables.
 
@@ -42,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, per_text, quoted, slices, span_hashes, stored, table, word_spans
+from .common import mix, per_text, quoted, slices, span_hashes, stored, table, texts_of, word_spans
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -53,6 +55,9 @@ BLOCK_BITS = 12
 GRID = 0.05
 LEVELS = 80
 LEADERS = 3
+SMALL = 32
+BLOCK_ROWS = 512
+BLOCK_WEIGHT = 400_000
 BROADCAST_BYTES = 32 << 20
 ODD = (mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
        | np.uint64(1))
@@ -237,23 +242,28 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def agreement_needed(similarity: float) -> float:
+    """Samples that must agree: they estimate the similarity; five standard errors are left."""
+    return similarity * SAMPLES - 5 * (similarity * (1 - similarity) * SAMPLES) ** 0.5
+
+
+def whole_texts(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, text) of the representatives in ``nodes`` (column ``rep``)."""
+    wanted = stored(nodes.distinct().join(reps.select("rep", "key"), "rep"), "wanted")
+    few = wanted.count() * 40 <= BROADCAST_BYTES
+    return stored(docs.select("key", "text").join(F.broadcast(wanted) if few else wanted, "key")
+                  .groupBy("rep").agg(F.first("text").alias("text")), "pair-texts")
+
+
 def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, idf, similarity: float) -> DataFrame:
     """The pairs (a, b) that are links, checked on whole texts."""
-    spark = docs.sparkSession
     sig = reps.select("rep", "sig")
     agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0),
                         lambda x, y: x + y)
-    # The samples that agree estimate the similarity; five standard errors are left to it.
-    slack = 5 * (similarity * (1 - similarity) / SAMPLES) ** 0.5
     likely = stored(
         pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
-        .filter(agree >= (similarity - slack) * SAMPLES).select("a", "b"), "likely-pairs")
-    wanted = (likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct()
-              .join(reps.select("rep", "key"), "rep"))
-    wanted = stored(wanted, "wanted")
-    few = wanted.count() * 40 <= BROADCAST_BYTES
-    texts = stored(docs.select("key", "text").join(F.broadcast(wanted) if few else wanted, "key")
-                   .groupBy("rep").agg(F.first("text").alias("text")), "pair-texts")
+        .filter(agree >= agreement_needed(similarity)).select("a", "b"), "likely-pairs")
+    texts = whole_texts(likely.select(F.col("a").alias("rep")).union(likely.select("b")), reps, docs)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf_level = idf.value
@@ -269,6 +279,63 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, idf, similarity
     return stored(full.mapInArrow(check, "a long, b long"), "links", batch_rows=1000)
 
 
+def block_links(rows: DataFrame, reps: DataFrame, docs: DataFrame, idf, similarity: float) -> DataFrame:
+    """Links of members outside their bucket's main component with members of other
+    components, found block against block inside tasks: only links come out.
+
+    A bucket of n members is cut into blocks of bounded size (rows and text), its outside
+    members too; every pair of blocks is one group, so no group grows with a bucket."""
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("w") / BLOCK_WEIGHT)).cast("int")
+    out = rows.filter("outside").groupBy("bucket").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("weight") / BLOCK_WEIGHT)).cast("int").alias("nq"))
+    texts = whole_texts(rows.select("rep"), reps, docs)
+    cut = (rows.join(out, "bucket").withColumn("nm", blocks)
+           .select("bucket", "rep", "label", "outside", "nq", "nm",
+                   F.pmod(F.xxhash64("rep", F.lit(71)), F.col("nm")).alias("bm"),
+                   F.pmod(F.xxhash64("rep", F.lit(72)), F.col("nq")).alias("bq")))
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    members = cut.select("bucket", "rep", "label", F.lit(False).alias("asks"), "bm", every("nq").alias("bq"))
+    asking = cut.filter("outside").select("bucket", "rep", "label", F.lit(True).alias("asks"),
+                                          every("nm").alias("bm"), "bq")
+    cells = (members.unionByName(asking.select(*members.columns)).join(texts, "rep")
+             .join(reps.select("rep", "sig"), "rep"))
+    needed = agreement_needed(similarity)
+
+    def link(cell: pa.Table) -> pa.Table:
+        ask = np.asarray(cell.column("asks"))
+        rep, label = np.asarray(cell.column("rep")), np.asarray(cell.column("label"))
+        sig = np.asarray(cell.column("sig").combine_chunks().flatten()).reshape(-1, SAMPLES)
+        s, often, offsets = shingles(texts_of(cell.column("text")))
+        w = np.exp(levels(s, often, idf.value) * GRID)
+        keys, column = np.unique(s, return_inverse=True)
+        where = [slice(a, b) for a, b in zip(offsets[:-1], offsets[1:])]
+        total = np.array([w[x].sum() for x in where])
+        others = np.flatnonzero(~ask)
+        found = []
+        mine = np.zeros(len(keys))
+        for q in np.flatnonzero(ask):
+            near = others[((sig[others] == sig[q]).sum(axis=1) >= needed) & (label[others] != label[q])]
+            if not len(near):
+                continue
+            mine[column[where[q]]] = w[where[q]]
+            for m in near:
+                theirs = w[where[m]]
+                both = mine[column[where[m]]]
+                low = np.minimum(both, theirs).sum()
+                shared = np.count_nonzero(both)
+                size = offsets[q + 1] - offsets[q] + offsets[m + 1] - offsets[m] - shared
+                if max(low / (total[q] + total[m] - low), shared / size) >= similarity - 1e-9:
+                    found.append((min(rep[q], rep[m]), max(rep[q], rep[m])))
+            mine[column[where[q]]] = 0
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    links = cells.groupBy("bucket", "bm", "bq").applyInArrow(link, "a long, b long").distinct()
+    return stored(links, "links")
+
+
 def ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -295,19 +362,16 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     buckets = (reps.filter(F.size("sig") > 0).select("rep", "weight", F.explode(bands).alias("bucket")))
 
     def leaders(rows: DataFrame, seed: int, n: int, *extra: str) -> list:
-        what = F.struct("rep", "weight", *extra)
+        what = F.struct("rep", *extra)
         return [F.min_by(what, F.xxhash64("rep", F.lit(seed + i))).alias(f"l{i}") for i in range(n)]
 
     shared = buckets.groupBy("bucket").agg(
         *leaders(buckets, 0, LEADERS), F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high")
     members = stored(buckets.join(shared.drop("low", "high"), "bucket"), "buckets")
 
-    def close(a: str, b: str):
-        return F.least(a, b) >= F.greatest(a, b) * (similarity * 0.75)
-
     def with_leaders(rows: DataFrame, n: int, other) -> DataFrame:
         tall = rows.withColumn("l", F.explode(F.array_distinct(F.array(*(f"l{i}" for i in range(n))))))
-        return (tall.filter((F.col("rep") != F.col("l.rep")) & close("weight", "l.weight") & other)
+        return (tall.filter((F.col("rep") != F.col("l.rep")) & other)
                 .select(*ordered("rep", "l.rep")).distinct())
 
     links = verified(with_leaders(members, LEADERS, F.lit(True)), reps, plain, idf, similarity)
@@ -334,18 +398,23 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     rows_open = labelled()
     chosen = rows_open.groupBy("bucket").agg(*leaders(rows_open, 100, LEADERS, "label"))
     grow(with_leaders(rows_open.join(chosen, "bucket"), LEADERS, F.col("label") != F.col("l.label")))
-    # Everything that is left: members outside the largest component against the others.
+    # Everything that is left: in small buckets as pairs, in others block against block.
     rows_open = labelled()
-    sizes = rows_open.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("most")).select(
-        "bucket", F.col("most.label").alias("main"))
-    outside = rows_open.join(largest, "bucket").filter("label <> main").select(
-        "bucket", F.col("rep").alias("x"), F.col("weight").alias("wx"), F.col("label").alias("lx"), "main")
-    pairs = (outside.join(rows_open, "bucket")
-             .filter((F.col("label") != F.col("lx")) & ((F.col("label") == F.col("main")) | (F.col("x") < F.col("rep")))
-                     & close("weight", "wx"))
+    sizes = rows_open.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    largest = sizes.groupBy("bucket").agg(
+        F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.sum("w").alias("w")).select(
+        "bucket", F.col("most.label").alias("main"), "n", "w")
+    rows_open = stored(rows_open.join(largest, "bucket").withColumn("outside", F.col("label") != F.col("main")),
+                       "open-buckets")
+    little = rows_open.filter(F.col("n") <= SMALL)
+    mine = little.filter("outside").select("bucket", F.col("rep").alias("x"), F.col("label").alias("lx"))
+    pairs = (mine.join(little, "bucket")
+             .filter((F.col("label") != F.col("lx")) & (~F.col("outside") | (F.col("x") < F.col("rep"))))
              .select(*ordered("rep", "x")).distinct())
-    grow(pairs)
+    new = verified(pairs, reps, plain, idf, similarity).union(
+        block_links(rows_open.filter(F.col("n") > SMALL), reps, plain, idf, similarity))
+    if not new.isEmpty():
+        labels = components(links.union(new))
 
     own = (base.select("id", "row", "key").join(reps.select("key", "rep"), "key")
            .join(labels, F.col("rep") == F.col("node"), "left")
