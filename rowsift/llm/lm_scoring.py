@@ -233,7 +233,7 @@ class SuffixTree:
 def learn(texts: DataFrame, depth: int = DEPTH, share: float = SHARE, discount: float = DISCOUNT
           ) -> tuple[SuffixTree, DataFrame]:
     """The tree and the table of unigram counts (h, c) from the column ``text``."""
-    spark = texts.sparkSession
+    spark, texts = texts.sparkSession, texts.select("text")
     counts = stored(unigram_counts(texts), "unigrams")
     row = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     floor = max(2, int(np.ceil(share * row.n)))

@@ -192,7 +192,14 @@ class LabelModel:
             total = max(mass[y], 1)
             p = fired[y] / total
             spread = np.sqrt(p * (1 - p) + 3 / total)  # a few joint firings prove nothing
-            linked = np.minimum(linked, (pairs[y] / total - np.outer(p, p)) / np.outer(spread, spread))
+            together = (pairs[y] / total - np.outer(p, p)) / np.outer(spread, spread)
+            always = p > 0.95  # nothing varies there, so nothing speaks against a link
+            linked = np.minimum(linked, np.where(always[:, None] | always, 1, together))
+        total = max(mass.sum(), 1)
+        p = fired.sum(axis=0) / total
+        spread = np.sqrt(p * (1 - p) + 3 / total)
+        overall = (pairs.sum(axis=0) / total - np.outer(p, p)) / np.outer(spread, spread)
+        linked = np.where(overall > 0.8, overall, linked)  # as good as copies, whatever the classes
         np.fill_diagonal(linked, 0)
         self.discount = 1 / (1 + np.where(linked > 0.2, linked, 0).sum(axis=1))
 
