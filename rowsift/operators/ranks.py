@@ -17,9 +17,13 @@ from .rowid import ordered_positions
 
 def rank_positions(df: DataFrame, value: str = "value", out_col: str = "position") -> DataFrame:
     """0-based position = count of strictly smaller values; ties share it."""
+    return df.join(_starts(df, value, out_col), on=value, how="inner")
+
+
+def _starts(df: DataFrame, value: str, out_col: str) -> DataFrame:
+    """``(value, out_col)`` per distinct value: how many elements are smaller."""
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__cnt"))
-    cum = ordered_positions(counts, [value], out_col=out_col, weight_col="__cnt")
-    return df.join(cum.select(value, out_col), on=value, how="inner")
+    return ordered_positions(counts, [value], out_col=out_col, weight_col="__cnt").select(value, out_col)
 
 
 def count_smaller(df: DataFrame, value: str = "value") -> DataFrame:
@@ -37,8 +41,7 @@ def scatter_by_position(df: DataFrame, n: int, value: str = "value") -> DataFram
     output of n slots; equal values land on the same slot, so the slots after
     it stay 0 (the counting-sort collision)."""
     spark = df.sparkSession
-    placed = count_smaller(df, value).select(F.col("n_smaller").alias("slot"),
-                                             F.col(value).alias("v")).distinct()
+    placed = _starts(df, value, "slot").select("slot", F.col(value).alias("v"))
     slots = spark.range(n).withColumnRenamed("id", "slot")
     return slots.join(placed, on="slot", how="left").select(
         "slot", F.coalesce(F.col("v"), F.lit(0)).alias(value))

@@ -2,50 +2,38 @@
 
 ``row_number() OVER (ORDER BY ...)`` without PARTITION BY runs in one task. Here
 the table is range-partitioned on the order keys (the sample-based bounds split
-even a hot key range over many partitions), each partition counts its rows (or
-sums a weight), the driver turns the per-partition totals (one number per
-partition) into offsets, and a second narrow pass adds the offset to the local
-running position. Only ``#partitions`` numbers reach the driver.
+even a hot key range over many partitions) and written once to the shared
+checkpoint folder together with each row's partition number and its local
+position or running sum. Everything after that reads this written table, so ids
+do not depend on a cache, a re-sampled range partitioning or a lost executor.
+The per-partition totals (one number per partition) become an array of offsets,
+indexed by the partition number.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.literals import lookup
-
-_PINNED: list = []   # range-partitioned inputs kept for the two passes
-
+from ..session import write_once
 
-def release_pinned() -> int:
-    """Unpersist the inputs pinned by :func:`ordered_positions`. Call once the
-    results built on them have been consumed; returns how many were released."""
-    n = len(_PINNED)
-    while _PINNED:
-        _PINNED.pop().unpersist()
-    return n
+LOCAL_BITS = 33        # monotonically_increasing_id(): partition << 33 | place
 
 
-def _local_fn(order_cols, weight_col, out_col, offsets_bc, exclusive):
-    def run(batches):
-        offsets = offsets_bc.value
-        running = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["__pid"].iloc[0])
-            if running is None:
-                running = offsets.get(pid, 0)
-            w = (pdf[weight_col].to_numpy(dtype=np.int64) if weight_col
-                 else np.ones(len(pdf), dtype=np.int64))
-            csum = np.cumsum(w) + running
-            pdf[out_col] = csum - w if exclusive else csum
-            running = int(csum[-1])
-            yield pdf.drop(columns=["__pid"])
+def _running(weight_col: str):
+    """Adds the running sum of ``weight_col`` within the partition, in row order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for b in batches:
+            w = np.asarray(b.column(weight_col), dtype=np.int64)
+            sums = np.cumsum(w) + total
+            total = int(sums[-1]) if len(sums) else total
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sums)], names=[*b.schema.names, "__sum"])
     return run
 
 
@@ -59,12 +47,6 @@ def ordered_positions(df: DataFrame, order_cols: list[str], *, out_col: str = "r
 
     ``keep_partitioning=True`` keeps the current partition order instead of
     range partitioning (e.g. file order of a freshly read delimited file).
-
-    Unit weights stay in the JVM: after the per-partition sort,
-    ``monotonically_increasing_id()`` is ``(partition << 33) + local position``,
-    so the position is that id plus a per-partition offset looked up from the
-    collected partition counts (one number per partition). Weighted running sums
-    use an Arrow-batched pass that carries the running total across batches.
     """
     spark = df.sparkSession
     if keep_partitioning:
@@ -72,29 +54,28 @@ def ordered_positions(df: DataFrame, order_cols: list[str], *, out_col: str = "r
     else:
         n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    ranged = ranged.withColumn("__pid", F.spark_partition_id())
-    if weight_col is None:
-        ranged = ranged.withColumn("__mid", F.monotonically_increasing_id())
-    if not keep_partitioning:
-        ranged = ranged.persist()      # both passes must see the same partitions
-        _PINNED.append(ranged)
-    w = F.col(weight_col).cast("bigint") if weight_col else F.lit(1).cast("bigint")
-    totals = {r["__pid"]: int(r["t"] or 0)
-              for r in ranged.groupBy("__pid").agg(F.sum(w).alias("t")).collect()}
-    offsets, run = {}, 0
-    for pid in sorted(totals):
-        offsets[pid] = run
-        run += totals[pid]
-    if weight_col is None:
-        shift = {pid: off - (pid << 33) for pid, off in offsets.items()}
-        pos = F.col("__mid") + lookup(shift, F.col("__pid"), 0)
-        if not exclusive:
-            pos = pos + 1
-        return ranged.withColumn(out_col, pos.cast("bigint")).drop("__pid", "__mid")
-    bc = spark.sparkContext.broadcast(offsets)
-    schema = T.StructType([f for f in ranged.schema.fields if f.name != "__pid"] +
-                          [T.StructField(out_col, T.LongType(), False)])
-    return ranged.mapInPandas(_local_fn(order_cols, weight_col, out_col, bc, exclusive), schema)
+    ranged = ranged.withColumn("__mid", F.monotonically_increasing_id())
+    if weight_col:
+        ranged = ranged.withColumn("__w", F.col(weight_col).cast("bigint"))
+        ranged = ranged.mapInArrow(_running("__w"), T.StructType(
+            [*ranged.schema.fields, T.StructField("__sum", T.LongType())]))
+        local = F.col("__sum")
+    else:
+        local = F.col("__mid").bitwiseAND(F.lit((1 << LOCAL_BITS) - 1)) + 1
+    fixed = write_once(ranged, "positions")
+    part = F.shiftright("__mid", LOCAL_BITS).cast("int")
+    totals = {r["p"]: int(r["t"]) for r in fixed.groupBy(part.alias("p")).agg(F.max(local).alias("t")).collect()}
+    offsets, before = [], 0
+    for p in range(max(totals, default=-1) + 1):
+        offsets.append(before)
+        before += totals.get(p, 0)
+    if not offsets:
+        return fixed.withColumn(out_col, F.lit(0).cast("bigint")).drop("__mid", "__w", "__sum")
+    offset = F.expr("array(" + ", ".join(f"{x}L" for x in offsets) + ")")
+    position = local + offset[part]
+    if exclusive:
+        position = position - (F.col("__w") if weight_col else F.lit(1))
+    return fixed.withColumn(out_col, position.cast("bigint")).drop("__mid", "__w", "__sum")
 
 
 def with_row_id(df: DataFrame, order_cols: list[str] | None = None, out_col: str = "row_id"
