@@ -94,8 +94,18 @@ def covered(expr, covered_n: int, idx="idx") -> Column:
 
 def zip_join(frames: list[DataFrame], idx: str = "idx") -> DataFrame:
     """Positional alignment of vectors stored in separate tables: an equi-join
-    on the dense index (Catalyst picks sort-merge or broadcast by size)."""
-    return reduce(lambda a, b: a.join(b, on=idx, how="inner"), frames)
+    on the dense index (Catalyst picks sort-merge or broadcast by size). The
+    vectors must be equally long: a position that one of them lacks fails the
+    job that reads it instead of being dropped."""
+    def pair(a: DataFrame, b: DataFrame) -> DataFrame:
+        left = a.withColumn("__a", F.lit(True))
+        right = b.withColumn("__b", F.lit(True))
+        both = left.join(right, on=idx, how="full")
+        complete = F.col("__a").isNotNull() & F.col("__b").isNotNull()
+        return (both.withColumn(idx, F.when(complete, F.col(idx)).otherwise(
+            F.raise_error(F.concat(F.lit("vectors differ in length at position "), F.col(idx)))))
+            .drop("__a", "__b"))
+    return reduce(pair, frames)
 
 
 def filter_even(df: DataFrame, idx: str = "idx") -> DataFrame:
