@@ -10,11 +10,13 @@ Only O(P * classes) numbers and the bounded training samples reach the driver.
 from __future__ import annotations
 
 import math
+from functools import partial
 from dataclasses import dataclass, field
 from typing import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -342,7 +344,7 @@ def fitness_forest(table: DataFrame, solutions: list[int], cfg: ForestFitness |
             pred = predict(model, test, feature_col=cfg.feature_col)
             acc = pred.agg(F.avg((F.col("prediction") == F.col("label"))
                                  .cast("double"))).first()[0] or 0.0
-        except Exception:          # the reference scores any failure as 0
+        except IllegalArgumentException:      # the model's own refusal (e.g. one class) scores 0
             out.append((s, n_sel, None, 0.0))
             continue
         out.append((s, n_sel, acc, weighted_fitness(acc, n_sel, n, cfg.alpha)))
@@ -365,13 +367,24 @@ class SearchResult:
             self.cached.unpersist()
 
 
+def fitness_custom(custom: Callable[[DataFrame, int], float], table: DataFrame, solutions: list[int],
+                   cfg: KnnFitness, counts: PopStats) -> pd.DataFrame:
+    """A caller's own strategy: ``custom(selected_rows, n_total)`` is the fitness of
+    the solution; ``accuracy`` stays empty."""
+    out = []
+    for s in solutions:
+        n_sel = sum(counts.counts[s].values())
+        out.append((s, n_sel, None, float(custom(table.where(getbit(s) == 1), counts.n))))
+    return pd.DataFrame(out, columns=FITNESS_COLUMNS)
+
+
 def _order_key(f: pd.DataFrame):
     return sorted(zip(f["fitness"], f["solution"]))
 
 
 def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, parents: int = 4,
            mutation_rate: float = 0.10, seed: int = 42, variant: str = "parallel",
-           fitness: KnnFitness | ForestFitness | None = None,
+           fitness: KnnFitness | ForestFitness | Callable | None = None,
            on_generation: Callable[[dict], None] | None = None,
            checkpoint_every: int = 10, patience: int | None = None,
            cache_generations: bool | None = None,
@@ -397,7 +410,12 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
         raise ValueError(variant)
     if fitness is None:
         fitness = KnnFitness(seed=seed) if variant == "parallel" else ForestFitness(seed=seed)
-    score = fitness_knn if isinstance(fitness, KnnFitness) else fitness_forest
+    custom = None if isinstance(fitness, (KnnFitness, ForestFitness)) else fitness
+    if custom is not None:
+        fitness = KnnFitness(seed=seed)       # its hash column and feature name only
+        score = partial(fitness_custom, custom)
+    else:
+        score = fitness_knn if isinstance(fitness, KnnFitness) else fitness_forest
     spark = table.sparkSession
     rng = np.random.default_rng(seed)
     base_cols = [c for c in table.columns if not c.startswith("mask_") and c != "best"
@@ -441,7 +459,8 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
         fit.insert(0, "generation", g)
         all_fit.append(fit)
         ranked = _order_key(fit)               # ascending (fitness, solution)
-        gen_best, gen_arg = ranked[-1]
+        gen_best = ranked[-1][0]
+        gen_arg = min(s for f, s in ranked if f == gen_best)   # first index of the maximum
         improved = gen_best > best_so_far
         if improved:
             best_so_far, stall = gen_best, 0

@@ -138,10 +138,10 @@ def q_top_parents(spark, d):
 
 
 @register("best_solution", f"""
-SELECT arg_max(solution, (fitness, solution)) AS solution, max(fitness) AS fitness FROM ({FIT0})""")
+SELECT arg_max(solution, (fitness, -solution)) AS solution, max(fitness) AS fitness FROM ({FIT0})""")
 def q_best_solution(spark, d):
     f = _gen0_fitness(spark, d)
-    return f.agg(F.max_by("solution", F.struct("fitness", "solution")).alias("solution"),
+    return f.agg(F.max_by("solution", F.struct("fitness", -F.col("solution"))).alias("solution"),
                  F.max("fitness").alias("fitness"))
 
 
@@ -268,13 +268,13 @@ EVO_FIT = EVO["fitness"]
 
 
 @register("best_of_generation", f"""
-SELECT generation, arg_max(solution, (fitness, solution)) AS solution, max(fitness) AS fitness
+SELECT generation, arg_max(solution, (fitness, -solution)) AS solution, max(fitness) AS fitness
 FROM ({EVO_FIT}) GROUP BY generation""")
 def q_best_of_generation(spark, d):
-    """Best fitness and its solution (ties to the larger index) per generation."""
+    """Best fitness and its solution (ties to the smaller index) per generation."""
     f = q_evolve(spark, d)
     return f.groupBy("generation").agg(
-        F.max_by("solution", F.struct("fitness", "solution")).alias("solution"),
+        F.max_by("solution", F.struct("fitness", -F.col("solution"))).alias("solution"),
         F.max("fitness").alias("fitness"))
 
 
@@ -304,7 +304,8 @@ def q_track_best(spark, d):
     best, where = -1.0, None
     for g in sorted(f.generation.unique()):
         gf = f[f.generation == g]
-        top = max(zip(gf.fitness, gf.solution))
+        top = max(zip(gf.fitness, -gf.solution))
+        top = (top[0], -top[1])
         if top[0] > best:
             best, where = top[0], (int(g), int(top[1]))
     return spark.createDataFrame([(where[0], where[1], round(best, 6))],

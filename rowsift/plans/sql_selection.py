@@ -126,8 +126,8 @@ par AS (SELECT solution, pos FROM (
           FROM f0) WHERE pos >= 0),
 g1 AS ({g1}),
 f1 AS ({fitness_table_sql("SELECT * FROM g1", population, seed)}),
-b0 AS (SELECT solution, fitness FROM f0 ORDER BY fitness DESC, solution DESC LIMIT 1),
-b1 AS (SELECT solution, fitness FROM f1 ORDER BY fitness DESC, solution DESC LIMIT 1)"""
+b0 AS (SELECT solution, fitness FROM f0 ORDER BY fitness DESC, solution LIMIT 1),
+b1 AS (SELECT solution, fitness FROM f1 ORDER BY fitness DESC, solution LIMIT 1)"""
     fit = f"""{head}
 SELECT 0 AS generation, solution, n_selected, round(accuracy, 6) AS accuracy, round(fitness, 6) AS fitness FROM f0
 UNION ALL
@@ -175,6 +175,6 @@ def evolve_sequential_sql(seed: int, population: int, parents: int, rate: float,
         f"SELECT {g} AS generation, solution, n_selected, round(accuracy, 6) AS accuracy, "
         f"round(fitness, 6) AS fitness FROM f{g}" for g in range(last + 1))
     rows = head + f""",
-b AS (SELECT solution FROM f{last} ORDER BY fitness DESC, solution DESC LIMIT 1)
+b AS (SELECT solution FROM f{last} ORDER BY fitness DESC, solution LIMIT 1)
 SELECT row_id, label FROM g{last} WHERE ((mask_0 >> (SELECT solution FROM b)) & 1) = 1"""
     return {"fitness": fit, "rows": rows}
