@@ -10,6 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name, dots and blanks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def sql_literal(v) -> str:
     if v is None:
         return "NULL"

@@ -2,7 +2,7 @@
 
 Policy (one dataset at a time):
 1. drop rows with any missing value (null or NaN), over all columns;
-2. numeric columns = integral/fractional types; categorical = strings (dates
+2. numeric columns = integral, fractional and boolean types; categorical = strings (dates
    and timestamps are first rendered as strings, as they would be in a file);
 3. a categorical column with 100 or more distinct values is dropped, the others
    are coded by the rank of their value in code-point order, from 0;
@@ -11,25 +11,27 @@ Policy (one dataset at a time):
 5. every other column is standardised with the population standard deviation
    (a constant column becomes 0).
 
-Exactly two eager aggregates run (see :func:`preprocess`); vocabularies are
+Vocabularies are
 applied as literal maps, so no join touches the data.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.literals import named
+from ..session import write_once
+
 # Accepted target names and the cardinality limit.
 TARGET_NAMES = ("target", "class", "label", "y", "outcome", "diagnosis", "status")
 MAX_CATEGORIES = 100
-# Relative error of the cardinality sketch. Columns are only skipped from the
-# exact count when the estimate is at least twice the limit; with 5% error a
-# column under the limit would need a 20-sigma overestimate to be skipped.
-HLL_RSD = 0.05
 
 
 class PreprocessError(ValueError):
@@ -37,13 +39,19 @@ class PreprocessError(ValueError):
 
 
 def drop_missing(df: DataFrame) -> DataFrame:
-    return df.na.drop(how="any")
+    """Rows without null or NaN in any column."""
+    for f in df.schema.fields:
+        present = named(f.name).isNotNull()
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            present = present & ~F.isnan(named(f.name))
+        df = df.where(present)
+    return df
 
 
 def classify_columns(df: DataFrame) -> tuple[list[str], list[str]]:
     num, cat = [], []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType,
+        if isinstance(f.dataType, (T.BooleanType, T.IntegerType, T.LongType, T.ShortType, T.ByteType,
                                    T.FloatType, T.DoubleType, T.DecimalType)):
             num.append(f.name)
         elif isinstance(f.dataType, (T.StringType, T.DateType, T.TimestampType,
@@ -57,22 +65,61 @@ def as_text(df: DataFrame, cols: list[str]) -> DataFrame:
     out = df
     for c in cols:
         if not isinstance(df.schema[c].dataType, T.StringType):
-            out = out.withColumn(c, F.col(c).cast("string"))
+            out = out.withColumn(c, named(c).cast("string"))
     return out
 
 
-def category_values(df: DataFrame, cols: list[str], limit: int = MAX_CATEGORIES) -> DataFrame:
+def category_values(df: DataFrame, cols: list[str]) -> DataFrame:
     """``(column, value)`` distinct pairs of the categorical columns, in one pass
-    (unpivot + distinct); for columns at or above ``limit`` distinct values only
-    the count matters, so at most ``limit`` values per column are kept."""
+    (unpivot + distinct)."""
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, value string")
     stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+        F.struct(F.lit(c).alias("column"), named(c).cast("string").alias("value"))
         for c in cols])).alias("kv")).select("kv.column", "kv.value")
     return stacked.distinct()
 
 
+def bounded_values(df: DataFrame, cols: list[str], limit: int) -> dict[str, list[tuple[str, int]]]:
+    """Sorted (value, count) of every column with fewer than ``limit`` distinct values.
+
+    Exact: a task stops collecting a column at ``limit`` values and says so (the
+    column is over the limit); the others' values are merged and counted. A free-text
+    column moves at most ``limit`` values of each task, and the driver gets
+    fewer than ``limit`` values of each column."""
+    if not cols:
+        return {}
+    names = list(cols)
+
+    def collect(batches):
+        seen = [Counter() for _ in names]
+        for b in batches:
+            for i, values in enumerate(b.columns):
+                if seen[i] is not None:
+                    counts = pc.value_counts(values)
+                    for v, n in zip(counts.field("values").to_pylist(), counts.field("counts").to_pylist()):
+                        seen[i][v] += n
+                    if len(seen[i]) >= limit:
+                        seen[i] = None
+        rows = [(i, None, 0) if s is None else (i, v, n)
+                for i, s in enumerate(seen) for v, n in ([(None, 0)] if s is None else s.items())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.string()),
+             pa.array([r[2] for r in rows], pa.int64())], names=["col", "value", "n"])
+
+    text = df.select(*(named(c).cast("string").alias(f"v{i}") for i, c in enumerate(names)))
+    found = write_once(text.mapInArrow(collect, "col int, value string, n long")
+                       .groupBy("col", "value").agg(F.sum("n").alias("n")), "categories")
+    sizes = {r.col: r.size for r in found.groupBy("col").agg(
+        F.when(F.count("value") < F.count("*"), limit).otherwise(F.count("*")).alias("size")).collect()}
+    kept = [i for i in range(len(names)) if sizes.get(i, 0) < limit]
+    out: dict[str, list[tuple[str, int]]] = {names[i]: [] for i in kept}
+    if kept:
+        for r in found.filter(F.col("col").isin(kept)).collect():
+            out[names[r.col]].append((r.value, int(r.n)))
+    return {c: sorted(v) for c, v in out.items()}
+
+
 def category_cardinality(df: DataFrame, cols: list[str]) -> DataFrame:
     """Distinct count of every categorical column from a single aggregate."""
     return category_values(df, cols).groupBy("column").agg(
@@ -81,36 +128,17 @@ def category_cardinality(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def vocabulary(df: DataFrame, cols: list[str], limit: int = MAX_CATEGORIES
                ) -> tuple[dict[str, list[str]], dict[str, int]]:
-    """Sorted values of the columns under the limit, and every column's count.
-
-    A HyperLogLog sketch (one small aggregate, rsd 5%) first rules out columns
-    far above the limit (estimate >= 2*limit), so a free-text column is never
-    shuffled through a distinct; the rest are counted exactly. Only columns
-    under the limit ship their values (at most limit-1 each).
-    """
-    if not cols:
-        return {}, {}
-    est = df.agg(*[F.approx_count_distinct(c, HLL_RSD).alias(c) for c in cols]).first()
-    card = {c: int(est[c]) for c in cols}
-    exact = [c for c in cols if card[c] < 2 * limit]
-    if not exact:
-        return {}, card
-    per: dict[str, list] = {}
-    for r in category_values(df, exact).collect():
-        per.setdefault(r["column"], []).append(r["value"])
-    vocab = {}
-    for c in exact:
-        vals = sorted(per.get(c, []))
-        card[c] = len(vals)
-        if len(vals) < limit:
-            vocab[c] = vals
-    return vocab, card
+    """Sorted values of the columns under the limit, and every column's number of
+    distinct values, counted exactly up to ``limit`` (``limit``: that many or more)."""
+    values = bounded_values(df, cols, limit)
+    vocab = {c: [v for v, _ in kv] for c, kv in values.items()}
+    return vocab, {c: len(vocab[c]) if c in vocab else limit for c in cols}
 
 
 def encode_expr(col: str, values: list[str]):
     """Code of each value = its position in the sorted vocabulary."""
     from ..functions.literals import lookup
-    return lookup({v: i for i, v in enumerate(values)}, F.col(col).cast("string"))
+    return lookup({v: i for i, v in enumerate(values)}, named(col).cast("string"))
 
 
 def detect_target(columns: list[str], target: str | None = None) -> str:
@@ -130,14 +158,14 @@ def standardize_exprs(df: DataFrame, cols: list[str]) -> list:
         return []
     aggs = []
     for c in cols:
-        aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
-                 F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")]
+        aggs += [F.avg(named(c).cast("double")).alias(f"m_{c}"),
+                 F.stddev_pop(named(c).cast("double")).alias(f"s_{c}")]
     mom = df.agg(*aggs).first()
     out = []
     for c in cols:
         m, s = mom[f"m_{c}"], mom[f"s_{c}"]
         s = 1.0 if not s else s
-        out.append(((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(c))
+        out.append(((named(c).cast("double") - F.lit(m)) / F.lit(s)).alias(c))
     return out
 
 
@@ -156,11 +184,9 @@ def preprocess(df: DataFrame, target: str | None = None, task: str | None = None
                limit: int = MAX_CATEGORIES, assign_row_id: bool = False) -> Prepared:
     """The whole policy of the module docstring; returns the prepared table.
 
-    Two eager aggregates: (1) row count, a HyperLogLog sketch per categorical
-    column and mean / population std per numeric column; (2) the
-    ``(column, value, count)`` table of the categorical columns that may be
-    under the limit (bounded by ``2 * limit`` values per column). Code moments
-    follow from the value counts, so nothing else is scanned.
+    Eager steps: one aggregate (row count, mean and population std per numeric
+    column) and the exact bounded value counts of the categorical columns
+    (:func:`bounded_values`); code moments follow from the counts.
 
     ``assign_row_id=True`` numbers the rows left after the missing-value drop
     densely, in their current (file) order, as column ``row_id`` (the positions
@@ -174,30 +200,17 @@ def preprocess(df: DataFrame, target: str | None = None, task: str | None = None
     num, cat = classify_columns(clean)
     clean = as_text(clean, cat)
     aggs = [F.count(F.lit(1)).alias("__n")]
-    aggs += [F.approx_count_distinct(c, HLL_RSD).alias(f"h_{c}") for c in cat]
-    for c in num:
-        aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
-                 F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")]
+    for i, c in enumerate(num):
+        aggs += [F.avg(named(c).cast("double")).alias(f"m{i}"),
+                 F.stddev_pop(named(c).cast("double")).alias(f"s{i}")]
     st = clean.agg(*aggs).first()
     n = int(st["__n"])
     if n == 0:
         raise PreprocessError("empty table" if df.isEmpty() else "no row without missing values")
-    card = {c: int(st[f"h_{c}"]) for c in cat}
-    exact = [c for c in cat if card[c] < 2 * limit]
-    vocab, freq = {}, {}
-    if exact:
-        stacked = clean.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in exact
-        ])).alias("kv")).select("kv.column", "kv.value")
-        per = {}
-        for r in stacked.groupBy("column", "value").count().collect():
-            per.setdefault(r["column"], []).append((r["value"], int(r["count"])))
-        for c in exact:
-            vals = sorted(per.get(c, []))
-            card[c] = len(vals)
-            if len(vals) < limit:
-                vocab[c] = [v for v, _ in vals]
-                freq[c] = [k for _, k in vals]
+    values = bounded_values(clean, cat, limit)
+    vocab = {c: [v for v, _ in kv] for c, kv in values.items()}
+    freq = {c: [k for _, k in kv] for c, kv in values.items()}
+    card = {c: len(vocab[c]) if c in vocab else limit for c in cat}
     dropped = [c for c in cat if card.get(c, 0) >= limit]
     if assign_row_id:
         clean = with_row_id(clean)
@@ -212,12 +225,12 @@ def preprocess(df: DataFrame, target: str | None = None, task: str | None = None
             var = sum(k * (i - mean) ** 2 for i, k in enumerate(freq[c])) / n
             moments[c] = (mean, var ** 0.5)
         else:
-            moments[c] = (st[f"m_{c}"], st[f"s_{c}"])
+            moments[c] = (st[f"m{num.index(c)}"], st[f"s{num.index(c)}"])
 
     def col_expr(c):
-        x = encode_expr(c, vocab[c]).cast("int") if c in vocab else F.col(c)
+        x = encode_expr(c, vocab[c]).cast("int") if c in vocab else named(c)
         if c == tgt:
-            return x.alias(c)
+            return (x.cast("int") if isinstance(clean.schema[c].dataType, T.BooleanType) else x).alias(c)
         m, sd = moments[c]
         sd = 1.0 if not sd else sd
         return ((x.cast("double") - F.lit(m)) / F.lit(sd)).alias(c)
@@ -228,5 +241,5 @@ def preprocess(df: DataFrame, target: str | None = None, task: str | None = None
 def to_model_table(prep: Prepared, row_id: str = "row_id") -> DataFrame:
     """``(row_id, label, features array<double>)`` for the row-selection search;
     the table must already carry a dense ``row_id``."""
-    return prep.table.select(F.col(row_id), F.col(prep.target).alias("label"),
-                             F.array(*[F.col(c) for c in prep.features]).alias("features"))
+    return prep.table.select(named(row_id), named(prep.target).alias("label"),
+                             F.array(*[named(c) for c in prep.features]).alias("features"))

@@ -19,6 +19,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.literals import named
+
 # Accepted suffixes, candidate delimiters and missing-value tokens.
 SUFFIXES = ("csv", "data", "txt")
 CANDIDATES = (",", ";", "\t", "whitespace")
@@ -52,10 +54,16 @@ def list_datasets(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "path string, length bigint")
 
 
+# A quoted field, or one that goes on in the next line.
+QUOTED = r'"(?:[^"]|"")*(?:"|$)'
+# Numbers as a CSV reader takes them: no Java type suffixes such as 1d or 2f.
+NUMBER = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
+
+
 def _fields(value, cand: str):
     if cand == "whitespace":
         return F.size(F.split(F.trim(value), r"\s+"))
-    return F.size(F.split(value, re.escape(cand)))
+    return F.size(F.split(F.regexp_replace(value, QUOTED, "q"), re.escape(cand)))
 
 
 def sniff_delimiter(spark: SparkSession, path: str, accept_single_column: bool = False
@@ -71,7 +79,7 @@ def sniff_delimiter(spark: SparkSession, path: str, accept_single_column: bool =
         if cand == "whitespace":
             n = [len(x.split()) for x in head]
         else:
-            n = [len(x.split(cand)) for x in head]
+            n = [len(re.sub(QUOTED, "q", x).split(cand)) for x in head]
         expected = max(n)
         if len(n) > 1 and n[1] > n[0] and cand != "whitespace":
             continue
@@ -85,25 +93,31 @@ def sniff_delimiter(spark: SparkSession, path: str, accept_single_column: bool =
 
 def _typed(df: DataFrame) -> DataFrame:
     """Missing tokens -> null, then bigint / double / string per column from one
-    aggregate counting values and successful casts."""
+    aggregate counting values and successful casts. Text keeps its blanks."""
     cols = df.columns
-    nulls = df.select(*[F.when(F.trim(F.col(c)).isin(list(MISSING_TOKENS)), F.lit(None))
-                        .otherwise(F.trim(F.col(c))).alias(c) for c in cols])
+
+    def missing(c):
+        return named(c).isin(list(MISSING_TOKENS)) | (F.trim(named(c)) == "")
+
+    nulls = df.select(*[F.when(~missing(c), named(c)).alias(c) for c in cols])
+
+    def number(c, kind):
+        return F.when(named(c).rlike(NUMBER), F.trim(named(c)).try_cast(kind))
+
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.count(c).alias(f"n{i}"),
-                 F.count(F.expr(f"try_cast(`{c}` AS BIGINT)")).alias(f"i{i}"),
-                 F.count(F.expr(f"try_cast(`{c}` AS DOUBLE)")).alias(f"d{i}")]
+        aggs += [F.count(named(c)).alias(f"n{i}"), F.count(number(c, "bigint")).alias(f"i{i}"),
+                 F.count(number(c, "double")).alias(f"d{i}")]
     st = nulls.agg(*aggs).first()
     out = []
     for i, c in enumerate(cols):
         n = st[f"n{i}"]
         if n and st[f"i{i}"] == n:
-            out.append(F.col(c).cast("bigint").alias(c))
+            out.append(number(c, "bigint").alias(c))
         elif n and st[f"d{i}"] == n:
-            out.append(F.col(c).cast("double").alias(c))
+            out.append(number(c, "double").alias(c))
         else:
-            out.append(F.col(c))
+            out.append(named(c))
     return nulls.select(*out)
 
 
@@ -118,7 +132,12 @@ def scan_delimited(spark: SparkSession, path: str, sep: str | None = None,
         width = lines.agg(F.max(F.size(parts))).first()[0]
         raw = lines.select(*[parts.getItem(i).alias(f"c{i}") for i in range(width)])
     else:
-        raw = (spark.read.option("sep", sep).option("header", bool(header))
+        # Quoted newlines make a file one split, so they are only allowed for where
+        # some line has an odd number of quotes.
+        open_quote = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
+        several = not spark.read.text(path).filter(open_quote).isEmpty()
+        raw = (spark.read.option("sep", sep).option("header", bool(header)).option("quote", '"')
+               .option("escape", '"').option("multiLine", several)
                .option("inferSchema", "false").option("mode", "PERMISSIVE").csv(path))
     return _typed(raw)
 
@@ -133,7 +152,7 @@ def write_reduced_csv(df: DataFrame, out: str, target: str, features: list[str],
                       partition_by: str | None = None) -> None:
     """Target first, then the features; header, no index column."""
     cols = ([partition_by] if partition_by else []) + [target] + list(features)
-    w = df.select(*cols).write.mode("overwrite").option("header", True)
+    w = df.select(*(named(c) for c in cols)).write.mode("overwrite").option("header", True)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.csv(out)
