@@ -34,6 +34,7 @@ class ForestModel:
     training_time: float
     timestamp: pd.Timestamp
     feature_col: str = "features"
+    settings: dict | None = None     # what the forest was fitted with
 
 
 def _vec(df: DataFrame, feature_col: str) -> DataFrame:
@@ -68,7 +69,9 @@ def fit_forest(train: DataFrame, *, task: str = "classification", num_trees: int
                                     featureSubsetStrategy="all", cacheNodeIds=True,
                                     checkpointInterval=10)
     model = est.fit(data)
-    return ForestModel(model, task, classes, time.time() - t0, started, feature_col)
+    return ForestModel(model, task, classes, time.time() - t0, started, feature_col,
+                       {"num_trees": num_trees, "max_depth": depth, "seed": seed,
+                        "feature_col": feature_col, "max_bins": max_bins})
 
 
 def predict(fm: ForestModel, df: DataFrame, feature_col: str | None = None) -> DataFrame:
@@ -124,14 +127,15 @@ def cross_validate(df: DataFrame, *, task: str = "classification", k: int = 5,
 def evaluate(fm: ForestModel, test: DataFrame, full: DataFrame | None = None,
              **cv_kw) -> tuple[DataFrame, DataFrame]:
     """Tidy metric table ``(metric, class, value)`` and the predictions:
-    training time and start, optional cross-validation mean/std over ``full``,
+    training time and start, optional cross-validation mean/std over ``full`` (forests
+    with the fitted one's settings unless others are given),
     then accuracy + report (classification) or mse + r2 (regression)."""
     spark = _spark()
     pred = predict(fm, test)
     rows = [("training_time", None, float(fm.training_time)),
             ("timestamp", None, float(fm.timestamp.timestamp()))]
     if full is not None:
-        sc = metrics.mean_std(cross_validate(full, task=fm.task, **cv_kw), "score").first()
+        sc = metrics.mean_std(cross_validate(full, task=fm.task, **((fm.settings or {}) | cv_kw)), "score").first()
         rows += [("cv_scores_mean", None, sc["mean"]), ("cv_scores_std", None, sc["std"])]
     if fm.task == "classification":
         rows.append(("accuracy", None, metrics.accuracy(pred).first()[0]))

@@ -10,6 +10,7 @@ from ..operators.preprocess import preprocess
 from ..operators.selection import ForestFitness, evolve, fitness_forest
 from ..sources.tables import prepared_embeddings, scan_table
 from .catalog import register
+from .q_tabular import H_HOLD
 
 # The reference's forest: 100 trees, unlimited depth (Spark caps depth at 30).
 TREES = 100
@@ -63,6 +64,60 @@ def q_feature_importance(spark, d):
     return forest.feature_importance(fm, prep.features)
 
 
+# What SQL can state about the forests' results: the exact hold-out, its labels and
+# class supports, predictions among the known labels, importances that sum to one.
+HELD = f"""
+SELECT vec_id AS row_id, label FROM embeddings
+QUALIFY row_number() OVER (ORDER BY {H_HOLD}, vec_id) <= ceil(CAST('0.2' AS DOUBLE) * (SELECT count(*) FROM embeddings))"""
+
+
+@register("rf_classifier_checks", f"SELECT row_id, label, true AS known_class FROM ({HELD})")
+def q_rf_classifier_checks(spark, d):
+    """Hold-out rows with their labels, and whether each prediction is a class of the table."""
+    classes = prepared_embeddings(spark, d).select(F.col("label").alias("prediction")).distinct()
+    pred = q_rf_classifier(spark, d).withColumn("prediction", F.col("prediction").cast("int"))
+    return (pred.join(classes.withColumn("known_class", F.lit(True)), "prediction", "left")
+            .select("row_id", "label", F.coalesce("known_class", F.lit(False)).alias("known_class")))
+
+
+@register("rf_evaluate_support", f"""
+SELECT CAST(label AS VARCHAR) AS class, CAST(count(*) AS DOUBLE) AS support, true AS in_range
+FROM ({HELD}) GROUP BY label""")
+def q_rf_evaluate_support(spark, d):
+    """Class supports of the evaluation, and whether the class's metrics lie in 0..1."""
+    m = q_rf_evaluate(spark, d).where(F.col("class").rlike("^[0-9]+$"))
+    scores = F.col("metric") != "support"
+    return (m.groupBy("class").agg(
+        F.max(F.when(~scores, F.col("value"))).alias("support"),
+        F.bool_and(F.when(scores, F.col("value").between(0, 1)).otherwise(True)).alias("in_range"))
+        .where("support > 0"))
+
+
+@register("feature_importance_checks", """
+SELECT 3 AS n_features, true AS sums_to_one, true AS none_negative""")
+def q_feature_importance_checks(spark, d):
+    """Number of features, and whether their importances are a distribution."""
+    return q_feature_importance(spark, d).agg(
+        F.count("*").cast("int").alias("n_features"),
+        (F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"),
+        (F.min("importance") >= 0).alias("none_negative"))
+
+
+@register("cross_validate_checks", "SELECT CAST(range AS INTEGER) AS fold, true AS in_range FROM range(5)")
+def q_cross_validate_checks(spark, d):
+    """The folds, and whether their accuracies lie in 0..1."""
+    return q_cross_validate(spark, d).select("fold", F.col("score").between(0, 1).alias("in_range"))
+
+
+@register("rf_evaluate_cv")
+def q_rf_evaluate_cv(spark, d):
+    """Evaluation with cross-validation of the same forest over the whole table."""
+    data = _holdout(spark, d)
+    fm = forest.fit_forest(data.where(~F.col("is_test")), num_trees=TREES, max_depth=DEPTH)
+    table, _ = forest.evaluate(fm, data.where("is_test"), full=data.drop("is_test"))
+    return table.where(~F.col("metric").isin("timestamp", "training_time"))
+
+
 @register("cross_validate")
 def q_cross_validate(spark, d):
     """5 stratified unshuffled folds of the embedding table, forest accuracy per fold."""
