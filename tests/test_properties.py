@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rowsift.operators.population import Mutation, cut_point
+from rowsift.operators.population import EXACT_PRODUCT, Mutation, cut_point
 from rowsift.operators.rowid import ordered_positions
 from rowsift.operators.selection import largest_remainder
 
@@ -28,7 +28,8 @@ def test_largest_remainder(counts, frac):
 def test_mutation_is_a_permutation_and_cut_in_range(n, ua, ub, uc):
     a, b, m = Mutation(ua, ub, rate=0.1).params(n)
     assert math.gcd(a, n) == 1 and 0 <= b < n and m == int(n * 0.1)
-    assert a * (n - 1) + b < 2**63                       # no overflow in the image
+    assert max(1, n // 4) <= a <= n                      # far from 0, so flips form no runs
+    assert n > EXACT_PRODUCT or a * (n - 1) + b < 2**63  # larger products are decimals
     assert 1 <= cut_point(uc, n) <= n - 2
 
 
