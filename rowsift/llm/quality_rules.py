@@ -35,7 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import per_text, quoted, segment_sum, slices, table, words_of
+from .common import per_text, quoted, segment_sum, slices, small_batches, table, words_of
 
 SYMBOLS = r"[#*$%&|<>]"
 SENTENCE_END = r"[.!?…。！？][\"'”’»)\]]*$"
@@ -133,6 +133,7 @@ def judge(texts: pa.Array) -> dict[str, np.ndarray]:
 def clean_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = 50,
                 max_lost: float = 0.5, with_text: bool = True) -> DataFrame:
     """Figures, verdict and (``with_text``) the text without its failed lines."""
+    small_batches(docs.sparkSession)
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
               "n_failed_lines", "lost_chars"]
 
@@ -166,4 +167,55 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "n_failed_lines", "lost_chars")
 
 
+def _sql_text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _count(condition: str) -> str:
+    return f"len([x FOR x IN w IF {condition}])"
+
+
+def _matching(pattern: str) -> str:
+    return _count(f"regexp_matches(x, {_sql_text(pattern)})")
+
+
+SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT rid, i, ls[i] AS line,
+        [x FOR x IN regexp_split_to_array(ls[i], '[\x20\x09-\x0D]+') IF x <> ''] AS w
+      FROM (SELECT rid, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+f AS (SELECT rid, i, w, len(w) AS n, coalesce(list_sum([length(x) FOR x IN w]), 0) AS chars,
+        row_number() OVER (PARTITION BY rid, line ORDER BY i) > 1 AS seen,
+        regexp_matches(line, {_sql_text(BOILERPLATE)}) AS note,
+        {_matching(SENTENCE_END)} AS ends, {_matching(SEPARATOR)} AS seps, {_matching(MENU)} AS menus,
+        {_matching(SYMBOL_RUN)} AS runs, {_matching("!!")} AS bangs,
+        {_count("x = upper(x) AND x <> lower(x)")} AS uppers,
+        len([j FOR j IN range(2, len(w) + 1) IF w[j] = w[j - 1]]) AS same
+      FROM l),
+g AS (SELECT *, n > 0 AND (ends = 0 OR (4 * seps >= n AND seps > 1) OR (2 * menus >= n AND menus > 2)
+        OR note OR 3 * runs >= n OR (2 * uppers >= n AND bangs > 0) OR (n > 3 AND 2 * same >= n) OR seen) AS failed
+      FROM f),
+s AS (SELECT rid, CAST(sum(n) AS BIGINT) AS n_words, CAST(sum(chars) AS BIGINT) AS word_chars,
+        count(*) FILTER (WHERE seen AND n > 0) AS n_dup_lines, count(*) FILTER (WHERE failed) AS n_failed_lines,
+        CAST(coalesce(sum(chars) FILTER (WHERE failed), 0) AS BIGINT) AS lost_chars,
+        CAST(coalesce(sum(chars) FILTER (WHERE note AND n > 0), 0) AS BIGINT) AS notes,
+        flatten(list(w ORDER BY i)) AS w
+      FROM g GROUP BY rid),
+k AS (SELECT rid, p, w[p] AS a, w[p + 1] AS b, w[p + 2] AS c
+      FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS p FROM s)),
+r AS (SELECT rid, count(DISTINCT q) AS n_repeat_words
+      FROM (SELECT rid, unnest([p, p + 1, p + 2]) AS q
+            FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, a, b, c) AS m FROM k) WHERE m > 1) GROUP BY rid),
+o AS (SELECT doc_id, n_words, word_chars,
+        CAST(coalesce(list_sum([length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) FOR x IN w]), 0) AS BIGINT) AS n_symbols,
+        n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_failed_lines, lost_chars, notes
+      FROM s JOIN d USING (rid) LEFT JOIN r USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND word_chars > notes
+    AND lost_chars - notes <= 0.5 * (word_chars - notes) AS kept, n_failed_lines, lost_chars
+FROM o
+"""
+
 QUERIES = {"op8_quality_rules": op8_quality_rules}
+ORACLES = {"op8_quality_rules": SQL}
