@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> int:
     sel.add_argument("--mutation-percent", type=float, default=10.0)
     sel.add_argument("--seed", type=int, default=42)
     sel.add_argument("--target", default=None, help="target column (default: by name)")
+    sel.add_argument("--raw", action="store_true", help="write the chosen rows as they were read")
+    sel.add_argument("--accept-single-column", action="store_true")
     sel.add_argument("--master", default=None, help="only for runs outside spark-submit")
     args = ap.parse_args(argv)
 
@@ -42,7 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     ensure_checkpoint_dir(spark)
     started = time.time()
     results, errors = batch_datasets(
-        spark, args.input, out=args.output, target=args.target, generations=args.generations,
+        spark, args.input, out=args.output, target=args.target, raw=args.raw,
+        accept_single_column=args.accept_single_column, generations=args.generations,
         population=args.population, parents=args.parents,
         mutation_rate=args.mutation_percent / 100.0, seed=args.seed, variant=args.variant)
     for r in results.collect():

@@ -29,25 +29,30 @@ def reduced_table(rows: DataFrame, target: str, features: list[str]) -> DataFram
 
 
 def batch_datasets(spark: SparkSession, folder: str, out: str | None = None,
-                   target: str | None = None, **search_kw) -> tuple[DataFrame, DataFrame]:
+                   target: str | None = None, raw: bool = False, accept_single_column: bool = False,
+                   **search_kw) -> tuple[DataFrame, DataFrame]:
     """Run the search on every dataset under ``folder``; write each reduced
-    dataset to ``out/dataset=<parent>__<file>`` (CSV with header)."""
+    dataset to ``out/dataset=<parent>__<file>`` (CSV with header): encoded target and
+    standardised features, or with ``raw`` the chosen rows as they were read."""
     results, errors = [], []
     paths = sorted(r["path"] for r in list_datasets(spark, folder).collect())
     for path in paths:
         name = dataset_name(path)
         try:
-            raw = scan_delimited(spark, path)
-            prep = preprocess(raw, target=target, assign_row_id=True)
+            table = scan_delimited(spark, path, accept_single_column=accept_single_column)
+            prep = preprocess(table, target=target, assign_row_id=True)
             model = to_model_table(prep).persist()
             rows, res = select_instances(model, **search_kw)
             n_sel = rows.count()
             if out:
                 safe = re.sub(r"[^A-Za-z0-9_.-]", "__", name)
-                (reduced_table(rows, prep.target, prep.features).write.mode("overwrite")
+                chosen = (prep.clean.join(rows.select("row_id"), "row_id", "left_semi").drop("row_id") if raw
+                          else reduced_table(rows, prep.target, prep.features))
+                (chosen.write.mode("overwrite")
                  .option("header", True).csv(os.path.join(out, f"dataset={safe}")))
             results.append((name, path, res.n_rows, n_sel,
                             round((1 - n_sel / res.n_rows) * 100, 2), res.best_fitness))
+            res.release()
             model.unpersist()
         except Exception as e:  # a failing dataset is recorded, the batch goes on
             errors.append((name, path, f"{type(e).__name__}: {e}"[:500]))

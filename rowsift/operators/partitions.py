@@ -40,4 +40,4 @@ def grid_coordinates(idx: str, threads_per_block: int) -> list[Column]:
 def ceil_div(a, b) -> Column:
     a = F.col(a) if isinstance(a, str) else F.lit(a) if isinstance(a, int) else a
     b = F.col(b) if isinstance(b, str) else F.lit(b) if isinstance(b, int) else b
-    return F.floor((a + b - F.lit(1)) / b).cast("bigint")
+    return F.call_function("div", a + b - F.lit(1), b)      # integer division, exact beyond 2^53

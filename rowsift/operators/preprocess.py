@@ -178,6 +178,7 @@ class Prepared:
     dropped: list[str] = field(default_factory=list)
     vocab: dict = field(default_factory=dict)
     cardinality: dict = field(default_factory=dict)
+    clean: DataFrame | None = None    # the rows as read, after the missing-value drop
 
 
 def preprocess(df: DataFrame, target: str | None = None, task: str | None = None,
@@ -235,7 +236,7 @@ def preprocess(df: DataFrame, target: str | None = None, task: str | None = None
         sd = 1.0 if not sd else sd
         return ((x.cast("double") - F.lit(m)) / F.lit(sd)).alias(c)
     table = clean.select(*ids, col_expr(tgt), *[col_expr(c) for c in feats])
-    return Prepared(table, tgt, feats, task or "classification", dropped, vocab, card)
+    return Prepared(table, tgt, feats, task or "classification", dropped, vocab, card, clean)
 
 
 def to_model_table(prep: Prepared, row_id: str = "row_id") -> DataFrame:

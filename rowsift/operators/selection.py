@@ -361,10 +361,13 @@ class SearchResult:
     fitness: pd.DataFrame         # every evaluated (generation, solution, ...)
     n_rows: int
     cached: DataFrame | None = None   # the persisted base under ``table``
+    last: DataFrame | None = None     # the cached last generation
 
     def release(self) -> None:
-        if self.cached is not None:
-            self.cached.unpersist()
+        """Free what the search cached; ``table`` must have been consumed."""
+        for df in (self.cached, self.last):
+            if df is not None:
+                df.unpersist()
 
 
 def fitness_custom(custom: Callable[[DataFrame, int], float], table: DataFrame, solutions: list[int],
@@ -509,7 +512,7 @@ def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, par
         known = {i: known[sl.p0] for i, sl in enumerate(slots) if sl.kind == "copy"}
         known_rows = {i: known_rows[sl.p0] for i, sl in enumerate(slots) if sl.kind == "copy"}
     return SearchResult(final, float(final_best), pd.DataFrame(history),
-                        pd.concat(all_fit, ignore_index=True), n, base)
+                        pd.concat(all_fit, ignore_index=True), n, base, gen_cache)
 
 
 def select_instances(table: DataFrame, **kw) -> tuple[DataFrame, SearchResult]:

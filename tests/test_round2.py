@@ -141,3 +141,25 @@ def test_checkpoint_folder_is_required_off_local_masters(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_batch_writes_raw_rows_and_frees_its_caches(spark, tmp_path):
+    from rowsift.operators.batch import batch_datasets
+    folder = tmp_path / "in" / "d"
+    folder.mkdir(parents=True)
+    lines = ["name,x.y,Class"] + [f'"n, {i % 7}",{i % 13}.5,{i % 2}' for i in range(200)]
+    (folder / "a.csv").write_text("\n".join(lines) + "\n")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    res, err = batch_datasets(spark, str(tmp_path / "in"), out=str(tmp_path / "out"), raw=True, generations=1,
+                              population=4, parents=2)
+    assert err.count() == 0 and res.count() == 1
+    out = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "out" / "dataset=d__a.csv"))
+    assert out.columns == ["name", "x.y", "Class"] and out.count() == res.first().selected_rows
+    assert {r.name for r in out.select("name").collect()} <= {f"n, {i}" for i in range(7)}
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_ceiling_division_is_exact(spark):
+    from rowsift.operators.partitions import ceil_div
+    big = 2**60 + 1
+    assert spark.range(1).select(ceil_div(F.lit(big), F.lit(2)).alias("c")).first().c == 2**59 + 1
