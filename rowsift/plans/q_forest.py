@@ -127,11 +127,11 @@ def q_cross_validate(spark, d):
 
 @register("fitness_rf")
 def q_fitness_rf(spark, d):
-    """Sequential-variant fitness of 4 seeded random subsets (forest on an
+    """Sequential-variant fitness of 20 seeded random subsets (forest on an
     80/20 hold-out of each subset)."""
     from ..functions.bits import random_masks
-    pop = prepared_embeddings(spark, d).select("*", *random_masks(42, 4)).persist()
-    f = fitness_forest(pop, list(range(4)), ForestFitness(num_trees=TREES, max_depth=DEPTH))
+    pop = prepared_embeddings(spark, d).select("*", *random_masks(42, 20)).persist()
+    f = fitness_forest(pop, list(range(20)), ForestFitness(num_trees=TREES, max_depth=DEPTH))
     return spark.createDataFrame(f, "solution int, n_selected bigint, accuracy double, "
                                     "fitness double")
 
