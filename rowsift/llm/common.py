@@ -7,6 +7,7 @@ single text larger than a slice forms a slice of its own).
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 
 from rowsift.session import ensure_checkpoint_dir
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 HASH_BLOCK = 1 << 19
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _FACTOR = 0x9E3779B97F4A7C15
+_libc: dict = {}
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 _A_TO_Z = np.arange(256, dtype=np.uint8)
@@ -41,6 +44,13 @@ def fold(doc_id: str, k: int = 5) -> Column:
     return F.crc32(F.coalesce(quoted(doc_id).cast("string"), F.lit(""))) % k
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand tasks 2,000 rows at a time instead of Spark's default of 10,000 (an explicit
+    setting stays): the rows of a batch are in memory at once, on both sides."""
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, "2000")
+
+
 def stored(df: DataFrame, name: str, batch_rows: int = 0) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared checkpoint folder and
     read it back: cuts the lineage, survives lost executors, computes ``df``
@@ -48,20 +58,20 @@ def stored(df: DataFrame, name: str, batch_rows: int = 0) -> DataFrame:
     rows that a task hands to Python at once while it is written."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(setting)
+    before = spark.conf.get(BATCH_SETTING)
     if batch_rows:
-        spark.conf.set(setting, str(batch_rows))
+        spark.conf.set(BATCH_SETTING, str(batch_rows))
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(setting, before)
+        spark.conf.set(BATCH_SETTING, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def keep_rows(docs: DataFrame, text_col: str, decide: Callable[[pa.Array], np.ndarray]) -> DataFrame:
     """The rows of ``docs`` whose text ``decide`` keeps (a mask for an array of
     texts); all columns stay. One scan, no shuffle."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,15 +94,26 @@ def slices(batches: Iterator[pa.RecordBatch], column: int = 0, max_bytes: int =
     for batch in batches:
         if not batch.num_rows:
             continue
-        texts = texts_of(batch.column(column))
-        ends = np.cumsum(np.asarray(pc.binary_length(texts)), dtype=np.int64)
+        texts = batch.column(column)
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)), dtype=np.int64)
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, base + max_bytes, "right")))
             stop = min(stop, start + max_rows)
-            yield batch.slice(start, stop - start), texts.slice(start, stop - start)
+            yield batch.slice(start, stop - start), texts_of(texts.slice(start, stop - start))
             start = stop
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks, and what
+    their allocators keep counts against the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if "trim" not in _libc:
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        _libc["trim"] = trim or (lambda _: 0)
+    _libc["trim"](0)
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -36,8 +36,8 @@ def sparse_rows(families: Families, presence: bool) -> list[tuple[np.ndarray, np
                 u, c = np.unique(slots(hashes[a:b]), return_counts=True)
                 idx.append(u)
                 val.append(np.ones(len(u)) if presence else c / (b - a))
-        out.append((np.concatenate(idx), np.concatenate(val)) if idx
-                   else (np.zeros(0, np.int64), np.zeros(0)))
+        out.append((np.concatenate(idx).astype(np.int32), np.concatenate(val).astype(np.float32)) if idx
+                   else (np.zeros(0, np.int32), np.zeros(0, np.float32)))
     return out
 
 

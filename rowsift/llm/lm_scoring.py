@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, mix, per_text, quoted, segment_sum, slices, span_hashes, stored, table, word_spans
+from .common import fold, mix, per_text, quoted, segment_sum, slices, small_batches, span_hashes, stored, table, word_spans
 
 DEPTH = 3
 SHARE = 2e-6
@@ -281,6 +281,7 @@ def lm_scores(docs: DataFrame, learn_from: Column, text_col: str = "text", id_co
               depth: int = DEPTH, share: float = SHARE, discount: float = DISCOUNT) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark = docs.sparkSession
+    small_batches(spark)
     text = F.coalesce(quoted(text_col), F.lit("")).alias("text")
     tree, counts = learn(docs.filter(learn_from).select(text), depth, share, discount)
     shared = spark.sparkContext.broadcast(tree)

@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, per_text, quoted, slices, span_hashes, stored, table, texts_of, word_spans
+from .common import mix, per_text, quoted, slices, small_batches, span_hashes, stored, table, texts_of, word_spans
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -201,6 +201,7 @@ def signed_rows(docs: DataFrame, idf) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(sig))
             yield pa.RecordBatch.from_arrays([*rows.columns[1:], pa.array(weight), lists],
                                              names=[*rows.schema.names[1:], "weight", "sig"])
+        _tables.clear()  # the worker lives on, its next task may be another operator's
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(run, f"id {kind}, row long, key binary, weight double, sig array<int>")
@@ -347,6 +348,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     ``row`` is a unique number, taken from ``row_col`` if named; ``keep`` marks one row
     of each class."""
     spark = docs.sparkSession
+    small_batches(spark)
     text = F.coalesce(quoted(text_col), F.lit("")).alias("text")
     row = quoted(row_col) if row_col else F.monotonically_increasing_id()
     plain = docs.select(text, quoted(id_col).alias("id"), row.alias("row"))

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import quoted, slices, stored, table, word_spans
+from .common import quoted, slices, small_batches, stored, table, word_spans
 from .token_counts import lookup, word_table
 from .tokenizer import WordTable, encoder
 
@@ -77,6 +77,7 @@ def encode_texts(texts: pa.Array, words: WordTable | None, enc, separator: int
 def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, separator: int, text_col: str, id_col: str,
               with_ids: bool, table_size: int) -> DataFrame:
     spark = docs.sparkSession
+    small_batches(spark)
     enc = encoder(tokenizer)
     shared = spark.sparkContext.broadcast(word_table(docs, enc, text_col, table_size))
 

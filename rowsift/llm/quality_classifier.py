@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, hash_words, keep_rows, mix, per_text, quoted, slices, table, words_of
+from .common import fold, hash_words, keep_rows, mix, per_text, quoted, slices, small_batches, table, words_of
 from .linear import DIM, Families, ftrl, logistic, margins, sparse_rows
 
 MAX_TRAIN = 8000
@@ -114,6 +114,7 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
 def score(docs: DataFrame, weights: np.ndarray, bias: float, text_col: str = "text",
           id_col: str = "doc_id") -> DataFrame:
     """(id, score) of every row: one scan, no shuffle."""
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast((weights, bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,12 +24,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_texts, quoted, segment_sum, slices, span_hashes, table, word_spans
+from .common import hash_texts, quoted, segment_sum, slices, small_batches, span_hashes, table, word_spans
 from .tokenizer import WordTable, encoder
 
 MAX_WORD_BYTES = 64
 TABLE_SIZE = 1 << 18
-TASK_SUMMARY = 1 << 16
+TASK_SUMMARY = 1 << 15
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", table_size: int = TABLE_SIZE,
@@ -89,6 +89,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", id_col
                  table_size: int = TABLE_SIZE) -> DataFrame:
     """(id, n_bytes, n_tokens) of every row of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     enc = encoder(tokenizer)
     words = word_table(docs, enc, text_col, table_size)
     words.ids = None  # only the lengths are needed

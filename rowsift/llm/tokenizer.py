@@ -16,7 +16,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-WORD_CACHE = 200_000
+WORD_CACHE = 80_000
 # Fixed value: the pre-token pattern for which plain words can skip the normaliser.
 PLAIN_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # Letters whose lower case and composed form are the letter itself or one fixed

@@ -34,12 +34,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, hash_words, keep_rows, mix, per_text, quoted, segment_sum, slices, stored, table, words_of
+from .common import fold, hash_words, keep_rows, mix, per_text, quoted, segment_sum, slices, small_batches, stored, table, words_of
 from .linear import DIM, Families, ftrl, logistic, margins, sparse_rows
 from .quality_classifier import bounded_labels
 
 MAX_TRAIN = 10_000
-REPLICAS = 2
+REPLICAS = 3
 EPOCHS = 5
 EM_STEPS = 6
 THRESHOLD = 0.5
@@ -271,6 +271,7 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, text_col: str
           id_col: str = "doc_id", label_col: str = "toxic", max_train: int = MAX_TRAIN,
           replicas: int = REPLICAS, epochs: int = EPOCHS) -> tuple[np.ndarray, float, Voters]:
     """Weights, bias and the voters. ``learn_from``: which rows of ``docs`` and ``labels`` may be used."""
+    small_batches(docs.sparkSession)
     labels = labels.filter(learn_from)
     sample = sample_texts(docs, labels, text_col, id_col, label_col, max_train)
     voters = mine(sample)
@@ -315,6 +316,7 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, text_col: str
 def score(docs: DataFrame, weights: np.ndarray, bias: float, voters: Voters, text_col: str = "text",
           id_col: str = "doc_id") -> DataFrame:
     """(id, score) of every row: one scan, no shuffle."""
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast((weights, bias, voters))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
