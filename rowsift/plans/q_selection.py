@@ -52,7 +52,7 @@ import numpy as np  # noqa: E402
 
 from ..functions.bits import getbit, pack_bits  # noqa: E402
 from ..operators.population import Mutation, Slot, parallel_plan, slot_bit  # noqa: E402
-from .sql_selection import (evolve_two_generations_sql, next_population_sql,  # noqa: E402
+from .sql_selection import (evolve_parallel_rows_sql, evolve_two_generations_sql, next_population_sql,  # noqa: E402
                             population_sql as _pop_sql)
 
 PARENTS = 4
@@ -312,7 +312,7 @@ def q_track_best(spark, d):
                                  "generation int, solution int, fitness double")
 
 
-@register("search_defaults")
+@register("search_defaults", evolve_parallel_rows_sql(SEED, POPULATION, PARENTS, RATE, 50))
 def q_search_defaults(spark, d):
     """The reference's configuration of the parallel search: 50 generations of
     20 solutions, 4 parents, 10% mutation, 5-NN fitness; rows of the best-ever

@@ -148,6 +148,34 @@ WHERE NOT ((SELECT fitness FROM b1) > (SELECT fitness FROM b0))
     return {"fitness": fit, "history": hist, "rows": rows}
 
 
+def evolve_parallel_rows_sql(seed: int, population: int, parents: int, rate: float, generations: int,
+                             base: str = EMBEDDINGS_BASE) -> str:
+    """Oracle of a parallel search of any length: the rows of the best-ever solution
+    (the first generation and the first index that reach the highest fitness)."""
+    import numpy as np
+
+    from ..operators.population import parallel_plan
+    rng = np.random.default_rng(seed)
+    ctes = [f"g0 AS MATERIALIZED ({population_sql(seed, population, base)})"]
+    for g in range(generations):
+        ctes.append(f"f{g} AS MATERIALIZED ({fitness_table_sql(f'SELECT * FROM g{g}', population, seed)})")
+        if g == generations - 1:
+            break
+        ctes.append(f"""par{g} AS MATERIALIZED (SELECT solution, pos FROM (
+          SELECT solution, row_number() OVER (ORDER BY fitness, solution) - 1 - {population - parents} AS pos
+          FROM f{g}) WHERE pos >= 0)""")
+        slots = parallel_plan(rng, list(range(parents)), population, rate)
+        par = {j: f"(SELECT solution FROM par{g} WHERE pos = {j})" for j in range(parents)}
+        nxt = next_population_sql(f"SELECT * FROM g{g}", slots, population, seed, g, par)
+        ctes.append(f"g{g + 1} AS MATERIALIZED ({nxt})")
+    every = " UNION ALL ".join(f"SELECT {g} AS generation, solution, fitness FROM f{g}" for g in range(generations))
+    ctes.append(f"best AS MATERIALIZED (SELECT generation, solution FROM ({every}) "
+                "ORDER BY fitness DESC, generation, solution LIMIT 1)")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT row_id, label FROM g{g} WHERE (SELECT generation FROM best) = {g} "
+        f"AND ((mask_0 >> (SELECT solution FROM best)) & 1) = 1" for g in range(generations))
+
+
 def evolve_sequential_sql(seed: int, population: int, parents: int, rate: float,
                           generations: int, base: str = EMBEDDINGS_BASE) -> dict[str, str]:
     """Oracles of the sequential variant with 5-NN fitness: ``generations + 1``
