@@ -9,8 +9,14 @@ back on the value.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .rowid import ordered_positions
 
@@ -48,9 +54,32 @@ def scatter_by_position(df: DataFrame, n: int, value: str = "value") -> DataFram
 
 
 def is_sorted(df: DataFrame, value: str = "value", idx: str = "idx") -> DataFrame:
-    """No i with v[i-1] > v[i]: an equi-join of the vector with itself shifted
-    by one (both sides hash-partitioned on idx), then one aggregate."""
-    prev = df.select((F.col(idx) + 1).alias(idx), F.col(value).alias("__prev"))
-    joined = df.select(idx, value).join(prev, on=idx, how="inner")
-    inv = F.count_if(F.col("__prev") > F.col(value))
-    return joined.agg((inv == 0).alias("is_sorted"), inv.alias("n_inversions"))
+    """No i with v[i-1] > v[i]: one range partitioning on idx, neighbours compared
+    inside the partitions, then the partitions' edges (one row each) in order."""
+    ranged = df.select(idx, value).repartitionByRange(idx).sortWithinPartitions(idx)
+    kind = df.schema[value].dataType
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = None
+        bad = 0
+        for b in batches:
+            v = b.column(1)
+            if not len(v):
+                continue
+            if first is None:
+                first = v[:1]
+            else:
+                bad += bool(pc.greater(last, v[0]).as_py())
+            bad += pc.sum(pc.greater(v[:-1], v[1:])).as_py() or 0
+            last = v[-1]
+        if first is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId()]), first, pa.array([last.as_py()], first.type),
+                 pa.array([int(bad)])], names=["part", "first", "last", "bad"])
+
+    schema = T.StructType([T.StructField("part", T.LongType()), T.StructField("first", kind),
+                           T.StructField("last", kind), T.StructField("bad", T.LongType())])
+    edges = sorted(ranged.mapInArrow(scan, schema).collect(), key=lambda r: r["part"])
+    n = sum(r["bad"] for r in edges) + sum(
+        a["last"] is not None and b["first"] is not None and a["last"] > b["first"] for a, b in zip(edges, edges[1:]))
+    return df.sparkSession.createDataFrame([(n == 0, int(n))], "is_sorted boolean, n_inversions long")
