@@ -187,7 +187,8 @@ def _group_key_expr(plans: dict[int, TrainPlan], classes: list):
 
 def _chosen_key_expr(plans: dict[int, TrainPlan], classes: list, cut: dict, h, rid):
     """Groups in which the row is among the sampled ones. Cut-offs are looked up
-    by class slot in per-solution literal arrays (O(1), generated code)."""
+    by class slot in per-solution literal arrays (generated code); the slot itself
+    comes from a literal map of the classes."""
     C = len(classes)
     big = 1 << 62
     items = []
@@ -275,6 +276,22 @@ def weighted_fitness(accuracy: float, n_selected: int, n_total: int, alpha: floa
     return alpha * accuracy + beta * (1.0 - n_selected / n_total)
 
 
+def _within_budget(solutions: list[int], plans: dict, width: int | None, budget: int) -> list[list[int]]:
+    """Groups of solutions whose samples together fit the budget, known before
+    anything is fetched: sample rows x longest feature array x 8 bytes. Without a known
+    width each solution is a group."""
+    groups: list[list[int]] = []
+    used = 0
+    for s in solutions:
+        size = plans[s].train_size * width * 8 if width else budget
+        if not groups or used + size > budget:
+            groups.append([])
+            used = 0
+        groups[-1].append(s)
+        used += size
+    return groups
+
+
 def fitness_knn(table: DataFrame, solutions: list[int], cfg: KnnFitness | None = None,
                 counts: tuple | None = None) -> pd.DataFrame:
     """Fitness of the listed solutions (parallel variant); one row per solution.
@@ -293,10 +310,10 @@ def fitness_knn(table: DataFrame, solutions: list[int], cfg: KnnFitness | None =
     plans = plan_knn_training(counts, cfg)
     ok = [s for s in solutions if plans[s].eligible]
     scores = {}
-    if ok:
-        sample = collect_knn_sample(table, plans, classes, cfg, stats)
-        scores = evaluate_population(table, sample, ok, feature_col=cfg.feature_col, k=cfg.k,
-                                     broadcast_budget=cfg.broadcast_budget)
+    for group in _within_budget(ok, plans, stats.width, cfg.broadcast_budget):
+        sample = collect_knn_sample(table, {s: plans[s] for s in group}, classes, cfg, stats)
+        scores |= evaluate_population(table, sample, group, feature_col=cfg.feature_col, k=cfg.k,
+                                      broadcast_budget=cfg.broadcast_budget)
     out = []
     for s in solutions:
         p = plans[s]

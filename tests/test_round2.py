@@ -163,3 +163,12 @@ def test_ceiling_division_is_exact(spark):
     from rowsift.operators.partitions import ceil_div
     big = 2**60 + 1
     assert spark.range(1).select(ceil_div(F.lit(big), F.lit(2)).alias("c")).first().c == 2**59 + 1
+
+
+def test_samples_are_fetched_in_groups_that_fit(spark):
+    from rowsift.functions.bits import random_masks
+    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").selectExpr("vec_id AS row_id", "label", "embedding AS features")
+    pop = emb.select("*", *random_masks(42, 6))
+    whole = selection.fitness_knn(pop, list(range(6)), selection.KnnFitness(seed=42))
+    small = selection.fitness_knn(pop, list(range(6)), selection.KnnFitness(seed=42, broadcast_budget=300_000))
+    assert whole.equals(small)
