@@ -24,7 +24,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_texts, quoted, segment_sum, slices, small_batches, span_hashes, table, word_spans
+from .common import hash_texts, quoted, segment_sum, slices, small_batches, span_hashes, stored, table, word_spans
 from .tokenizer import WordTable, encoder
 
 MAX_WORD_BYTES = 64
@@ -57,10 +57,20 @@ def frequent_words(docs: DataFrame, text_col: str = "text", table_size: int = TA
             [pa.array([names[k].decode() for k, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())],
             names=["word", "n"])
 
-    top = (docs.select(quoted(text_col).alias("text")).mapInArrow(summary, "word string, n long")
-           .groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(table_size).select("word"))
-    return top.toArrow().column("word").to_pylist()
+    merged = stored(docs.select(quoted(text_col).alias("text")).mapInArrow(summary, "word string, n long")
+                    .groupBy("word").agg(F.sum("n").alias("n"))
+                    .withColumn("step", F.floor(F.log2("n") * 16).cast("int")), "frequent-words")
+    # A histogram of the counts says from which count on the words fit the table, so
+    # nothing is sorted and no task returns more than what is kept.
+    sizes = {r.step: r["count"] for r in merged.groupBy("step").count().collect()}
+    room, least = table_size, max(sizes, default=0) + 1
+    for step in sorted(sizes, reverse=True):
+        if sizes[step] > room:
+            break
+        room, least = room - sizes[step], step
+    top = merged.filter(F.col("step") >= least)
+    rest = merged.filter(F.col("step") == max((s for s in sizes if s < least), default=-1)).limit(room)
+    return top.union(rest).select("word").toArrow().column("word").to_pylist()
 
 
 def word_table(docs: DataFrame, enc, text_col: str, table_size: int, task_summary: int = TASK_SUMMARY) -> WordTable:

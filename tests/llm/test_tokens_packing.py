@@ -62,8 +62,12 @@ def test_query_over_the_whole_table(spark, library):
 
 
 def test_frequent_words_are_counted_over_all_rows(spark):
-    df = spark.createDataFrame([("a a b",), ("b b c c c c",), (None,)], "text string").repartition(3)
-    assert frequent_words(df, table_size=2) == ["c", "b"] or frequent_words(df, table_size=2)[0] == "c"
+    text = " ".join(w for w, n in (("a", 2), ("b", 40), ("c", 300), ("d", 41)) for _ in range(n))
+    df = spark.createDataFrame([(text,), (text,), (None,)], "text string").repartition(2)
+    assert set(frequent_words(df, table_size=1)) == {"c"}
+    assert set(frequent_words(df, table_size=3)) == {"b", "c", "d"}
+    assert set(frequent_words(df, table_size=10)) == {"a", "b", "c", "d"}
+    assert len(frequent_words(df, table_size=2)) == 2 and frequent_words(df.limit(0)) == []
 
 
 @settings(max_examples=200, deadline=None)
