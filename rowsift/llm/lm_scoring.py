@@ -36,7 +36,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +44,7 @@ from .common import fold, mix, per_text, quoted, segment_sum, slices, small_batc
 DEPTH = 3
 SHARE = 2e-6
 DISCOUNT = 0.5
-BLOCK = 2_000_000
+BLOCK = 1_500_000
 GROUP = 2_000_000
 END = np.uint64(0x656E64206F662074)  # stands for the end token
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -112,8 +111,24 @@ def sorted_find(table_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table_keys[at] == keys, at, -1)
 
 
-def hashed_find(table_keys: pa.Array, keys: np.ndarray) -> np.ndarray:
-    return np.asarray(pc.fill_null(pc.index_in(pa.array(keys), value_set=table_keys), -1), dtype=np.int64)
+class Index:
+    """Sorted keys with an index by their leading bits: built once, then a few
+    memory accesses for each key looked up."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.append(keys, np.uint64(0xFFFFFFFFFFFFFFFF))
+        self.shift = np.uint64(64 - max(1, int(len(keys)).bit_length()))
+        slots = np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift
+        self.first = np.searchsorted(keys, slots).astype(np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Position of every key, -1 where absent."""
+        at = self.first[(h >> self.shift).astype(np.int64)].astype(np.int64)
+        left = np.flatnonzero(self.keys[at] < h)
+        while len(left):
+            at[left] += 1
+            left = left[self.keys[at[left]] < h[left]]
+        return np.where((self.keys[at] == h) & (at < len(self.keys) - 1), at, -1)
 
 
 def candidates(texts: DataFrame, frequent, longest: int, share: float) -> DataFrame:
@@ -121,30 +136,36 @@ def candidates(texts: DataFrame, frequent, longest: int, share: float) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = frequent.value
-        found: dict[int, list[np.ndarray]] = {n: [] for n in range(2, longest + 1)}
-        tokens = 0
+        levels = range(2, longest + 1)
 
-        def name(size: int) -> pa.RecordBatch:
+        def name(block: list[dict[int, np.ndarray]], size: int) -> pa.RecordBatch:
             out = []
-            for n, parts in found.items():
-                u, c = np.unique(np.concatenate(parts), return_counts=True)
+            for n in levels:
+                u, c = np.unique(np.concatenate([x.pop(n) for x in block]), return_counts=True)
                 out.append(u[c >= share * size])
-                parts.clear()
             return pa.RecordBatch.from_arrays([signed(np.concatenate(out))], names=["g"])
 
+        # A finished block waits for the next one, so that a short rest joins it: a block
+        # of few tokens would name nearly everything it holds.
+        waiting, waiting_size = [], 0
+        block, size = [], 0
         for _, t in slices(batches):
             h, bounds = token_hashes(t)
             common = sorted_find(known, h) >= 0
             run_ok = common
+            found = {}
             for n, g, inside in grams(h, bounds, longest):
                 run_ok = common & np.concatenate(([False], run_ok[:-1]))
-                found[n].append(g[run_ok & inside])
-            tokens += len(h) - len(t)
-            if tokens >= BLOCK:
-                yield name(tokens)
-                tokens = 0
-        if tokens:
-            yield name(tokens)
+                found[n] = g[run_ok & inside]
+            block.append(found)
+            size += len(h) - len(t)
+            if size >= BLOCK:
+                if waiting:
+                    yield name(waiting, waiting_size)
+                waiting, waiting_size = block, size
+                block, size = [], 0
+        if waiting or block:
+            yield name(waiting + block, waiting_size + size)
 
     return texts.mapInArrow(run, "g long").distinct()
 
@@ -156,7 +177,7 @@ def exact_counts(texts: DataFrame, group: DataFrame, longest: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
-        lookup = pa.array(wanted)
+        index = Index(wanted)
         c = np.zeros(len(wanted), np.int64)
         about = np.zeros((len(wanted), 3), np.uint64)
         size = np.zeros(len(wanted), np.int32)
@@ -165,7 +186,7 @@ def exact_counts(texts: DataFrame, group: DataFrame, longest: int) -> DataFrame:
             last = h
             for n, g, inside in grams(h, bounds, longest):
                 places = np.flatnonzero(inside)
-                at = hashed_find(lookup, g[places])
+                at = index.find(g[places])
                 places, at = places[at >= 0], at[at >= 0]
                 c += np.bincount(at, minlength=len(wanted))
                 about[at, 0], about[at, 1], about[at, 2] = last[places - 1], last[places], h[places]
@@ -190,6 +211,13 @@ class SuffixTree:
         self.base = (self.counts + 0.5) / self.denominator
         self.contexts, self.left = np.zeros(0, np.uint64), np.zeros(0)
         self.entries, self.mass = np.zeros(0, np.uint64), np.zeros(0)
+        self._indexes: tuple[Index, Index] | None = None
+
+    def indexes(self) -> tuple[Index, Index]:
+        """Of contexts and entries, built once in each worker."""
+        if self._indexes is None:
+            self._indexes = Index(self.contexts), Index(self.entries)
+        return self._indexes
 
     @property
     def denominator(self) -> float:
@@ -243,7 +271,9 @@ def learn(texts: DataFrame, depth: int = DEPTH, share: float = SHARE, discount:
     if not len(words):
         return tree, counts
     frequent = spark.sparkContext.broadcast(tree.words)
-    named = stored(candidates(texts, frequent, depth + 1, share), "ngram-candidates")
+    # Small input splits are read together: a block needs tokens to tell what is frequent.
+    splits = max(1, -(-row.n // BLOCK))
+    named = stored(candidates(texts.coalesce(splits), frequent, depth + 1, share), "ngram-candidates")
     groups = max(1, -(-named.count() // GROUP))
     parts = []
     for i in range(groups):
@@ -265,13 +295,13 @@ def token_scores(h: np.ndarray, bounds: np.ndarray, tree: SuffixTree, depth: int
     word = sorted_find(tree.words, h)
     base = np.append(tree.base, 1.0)[word]
     p = base.copy()
-    contexts, entries = pa.array(tree.contexts), pa.array(tree.entries)
+    contexts, entries = tree.indexes()
     last = h
     for _, g, inside in grams(h, bounds, depth + 1):
         places = np.flatnonzero(inside)
-        at = hashed_find(contexts, last[places - 1])
+        at = contexts.find(last[places - 1])
         places, at = places[at >= 0], at[at >= 0]
-        e = hashed_find(entries, g[places])
+        e = entries.find(g[places])
         p[places] = np.append(tree.mass, 0.0)[e] + tree.left[at] * p[places]
         last = g
     return word, base, p
