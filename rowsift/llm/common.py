@@ -22,6 +22,7 @@ from rowsift.session import ensure_checkpoint_dir
 
 SLICE_BYTES = 2 << 20
 HASH_BLOCK = 1 << 19
+FREE_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _FACTOR = 0x9E3779B97F4A7C15
 _libc: dict = {}
@@ -51,20 +52,24 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, "2000")
 
 
-def stored(df: DataFrame, name: str, batch_rows: int = 0) -> DataFrame:
+def stored(df: DataFrame, name: str, batch_rows: int = 0, free: bool = False) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared checkpoint folder and
     read it back: cuts the lineage, survives lost executors, computes ``df``
     only once and is identical for every later reader. ``batch_rows`` bounds the
-    rows that a task hands to Python at once while it is written."""
+    rows that a task hands to Python at once while it is written; ``free`` drops its
+    shuffle files once it is."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(BATCH_SETTING)
+    before, freed = spark.conf.get(BATCH_SETTING), spark.conf.get(FREE_SETTING, "false")
     if batch_rows:
         spark.conf.set(BATCH_SETTING, str(batch_rows))
+    if free:
+        spark.conf.set(FREE_SETTING, "true")
     try:
         df.write.parquet(path)
     finally:
         spark.conf.set(BATCH_SETTING, before)
+        spark.conf.set(FREE_SETTING, freed)
     return spark.read.schema(df.schema).parquet(path)
 
 

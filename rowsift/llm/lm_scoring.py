@@ -10,17 +10,18 @@ suffix's: ``count * KL`` must exceed half a log of the count for each of its sym
 left over, so every state sums to one with its suffix. A token is scored in the state
 of the longest retained suffix of the words before it (a text begins after an end token).
 
-Counting. Unigram counts are exact over all training texts (task-side counts, one
-shuffle of distinct words per task). An n-gram can enter the tree if it makes up
-at least ``share`` of all tokens (the tree's probability floor), so the tree has
-at most ``depth / share`` entries at every input size and can be broadcast. They
-are found exactly in two scans: an n-gram with that share of all tokens has it in at
-least one block of tokens, so each block names its candidates, and the second scan counts
-the candidates everywhere (in groups of bounded size, each broadcast).
-
-Scoring looks up frequent words and the tree in task memory; the other
-words' counts come from an equi-join on the word (their hashes only), spread over
-rare words by construction.
+Counting. Every n-gram that occurs at least twice in the training texts can enter the
+tree, at every input size (``share`` > 0 asks for that share of all tokens besides; the default
+is none). Nothing of the model is collected or broadcast: it lives in parts of the contexts'
+hash range, about ``PART`` n-grams each. Texts are cut into blocks once. Level by level each block sends its distinct
+contexts and n-grams (last word, count, the probability one level below) to the parts of the
+contexts; a part adds up the counts, tests its contexts, and answers each block with the counts it
+asked for and what the contexts leave over. A context is sent only if it occurs often enough to
+be a state, an n-gram only if its last words do too, which the level below has answered. A common n-gram is one entry per block, so no part
+follows a common word; rows are at most blocks x parts, and never more than n-grams.
+The divergence test reads the lower probability as a 32-bit float, scores use 64 bits.
+
+``learn`` builds the same tree in one place, for a corpus or share whose tree fits a worker.
 
 Words and n-grams are identified by 64-bit hashes.
 
@@ -36,16 +37,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, mix, per_text, quoted, segment_sum, slices, small_batches, span_hashes, stored, table, word_spans
 
 DEPTH = 3
-SHARE = 2e-6
+SHARE = 0.0
 DISCOUNT = 0.5
 BLOCK = 1_500_000
 GROUP = 2_000_000
+PART = 2_000_000
+BLOCK_BYTES = 8 << 20
 END = np.uint64(0x656E64206F662074)  # stands for the end token
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -307,49 +311,261 @@ def token_scores(h: np.ndarray, bounds: np.ndarray, tree: SuffixTree, depth: int
     return word, base, p
 
 
-def lm_scores(docs: DataFrame, learn_from: Column, text_col: str = "text", id_col: str = "doc_id",
-              depth: int = DEPTH, share: float = SHARE, discount: float = DISCOUNT) -> DataFrame:
-    """(id, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    text = F.coalesce(quoted(text_col), F.lit("")).alias("text")
-    tree, counts = learn(docs.filter(learn_from).select(text), depth, share, discount)
-    shared = spark.sparkContext.broadcast(tree)
+BLOCK_FIELDS = "block long, tokens long, lengths binary, train binary, words binary, codes binary"
+CODEC = pa.Codec("zstd", compression_level=1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for rows, t in slices(batches):
-            h, bounds = token_hashes(t)
-            word, base, p = token_scores(h, bounds, model, depth)
-            token = np.ones(len(h), bool)
-            token[bounds[:-1]] = False
 
-            def total(x: np.ndarray) -> np.ndarray:
-                return segment_sum(np.where(token, x, 0).astype(x.dtype), bounds)
+def packed(x: np.ndarray) -> bytes:
+    return x.nbytes.to_bytes(8, "little") + CODEC.compress(x.tobytes(), asbytes=True)
+
+
+def unpacked(cell: bytes, kind) -> np.ndarray:
+    size = int.from_bytes(cell[:8], "little")
+    return np.frombuffer(CODEC.decompress(cell[8:], size, asbytes=True) if size else b"", kind)
+
+
+def cells(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
+    return [unpacked(x, kind) for x in column.to_pylist()]
+
+
+def joined(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *cells(column, kind)])
+
 
-            rare = token & (word < 0)
-            offsets = np.concatenate(([0], np.cumsum(rare)))[bounds]
+def column_of(arrays) -> pa.Array:
+    return pa.array([packed(x) for x in arrays], pa.binary())
+
+
+def gaps(keys: np.ndarray) -> np.ndarray:
+    """Sorted keys as the first one and the distances between them: fewer bytes once packed."""
+    return np.diff(keys, prepend=np.zeros(1, np.uint64))
+
+
+def text_blocks(rows: DataFrame, kind: str) -> DataFrame:
+    """One row per slice of texts: ids, lengths in tokens, training marks, distinct words, their places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for part, t in slices(batches, max_bytes=BLOCK_BYTES):
+            h, bounds = token_hashes(t)
+            words, codes = np.unique(h, return_inverse=True)
+            learned = np.asarray(part.column(2).fill_null(False).cast(pa.uint8()))
             yield pa.RecordBatch.from_arrays(
-                [rows.column(1), rows.column(2), pa.array(np.diff(bounds) - 1),
-                 pa.array(total((word >= 0).astype(np.int64))),
-                 pa.array(total(np.log10(base))), pa.array(total(np.log10(p))),
-                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), signed(h[rare]))],
-                names=["id", "row", "n_tokens", "n_frequent", "base_part", "part", "rare"])
+                [pa.ListArray.from_arrays(pa.array([0, len(t)], pa.int32()), part.column(1)), pa.array([block]), pa.array([len(h)]),
+                 *(pa.array([packed(x)], pa.binary()) for x in (
+                     np.diff(bounds).astype(np.int64), learned, words, codes.astype(np.uint32)))],
+                names=["ids", "block", "tokens", "lengths", "train", "words", "codes"])
+            block += 1
+
+    return rows.mapInArrow(run, f"ids array<{kind}>, {BLOCK_FIELDS}")
+
+
+def parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Bounds of the hash range's parts among sorted keys."""
+    at = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    return np.searchsorted(at, np.arange(parts + 1))
+
+
+def asked_words(block: int, words: np.ndarray, c: np.ndarray, parts: int) -> pa.Table:
+    """One row for each part that a block's distinct words (sorted) fall into."""
+    cut = parts_of(words, parts)
+    some = np.flatnonzero(np.diff(cut))
+    return pa.table({"part": pa.array(some, pa.int64()), "block": pa.array(np.full(len(some), block), pa.int64()),
+                     "g": column_of(gaps(words[cut[i]:cut[i + 1]]) for i in some),
+                     "c": column_of(c[cut[i]:cut[i + 1]] for i in some)})
+
+
+def word_answer(rows: pa.Table, parts: int) -> pa.Table:
+    """Training counts and numbers of a part's words (unique over all parts); the part's tokens
+    and distinct words on its first row."""
+    sent = [np.cumsum(x, dtype=np.uint64) for x in cells(rows.column("g"), np.uint64)]
+    words, at = np.unique(np.concatenate(sent), return_inverse=True)
+    c = np.zeros(len(words), np.int64)
+    np.add.at(c, at, joined(rows.column("c"), np.int64))
+    number = np.arange(len(words)) * parts + rows.column("part")[0].as_py()
+    at = np.split(at, np.cumsum([len(x) for x in sent])[:-1])
+    one = np.zeros(rows.num_rows, np.int64)
+    one[0] = 1
+    return pa.table({"part": rows.column("part"), "block": rows.column("block"), "c": column_of(c[x] for x in at),
+                     "rest": column_of(number[x] for x in at), "kept": pa.array([b""] * len(at), pa.binary()),
+                     "n": pa.array(one * c.sum()), "v": pa.array(one * np.count_nonzero(c))})
+
+
+ASKED = {"context": np.uint64, "total": np.int64, "runs": np.uint32, "word": np.int64, "q": np.float32, "c": np.int64}
+
+
+def asked_rows(block: int, asked: dict[str, np.ndarray], parts: int) -> pa.Table:
+    """One row for each part that a block's contexts (sorted) and their n-grams fall into."""
+    cut = parts_of(asked["context"], parts)
+    inner = np.concatenate(([0], np.cumsum(asked["runs"], dtype=np.int64)))[cut]
+    some = np.flatnonzero(np.diff(cut))
+    out = {"part": pa.array(some, pa.int64()), "block": pa.array(np.full(len(some), block), pa.int64())}
+    for k, kind in ASKED.items():
+        x, at = asked[k].astype(kind, copy=False), inner if k in ("word", "q", "c") else cut
+        out[k] = column_of((gaps if k == "context" else np.asarray)(x[at[i]:at[i + 1]]) for i in some)
+    return pa.table(out)
+
+
+def answer(rows: pa.Table, floor: int, discount: float) -> pa.Table:
+    """Counts of the n-grams asked for; for every context the training count outside its
+    entries (``rest``) and the number of its entries (``kept``, 0 unless it is a state)."""
+    sent = [np.cumsum(x, dtype=np.uint64) for x in cells(rows.column("context"), np.uint64)]
+    x = {k: joined(rows.column(k), ASKED[k]) for k in ASKED if k != "context"}
+    grams_in = [len(v) for v in cells(rows.column("c"), np.int64)]
+    contexts, where = np.unique(np.concatenate(sent), return_inverse=True)
+    total = np.zeros(len(contexts), np.int64)
+    total[where] = x["total"]
+    group = np.repeat(where, x["runs"])
+    _, first, at = np.unique(mix(contexts[group] * STEP + x["word"].astype(np.uint64) + np.uint64(1)),
+                             return_index=True, return_inverse=True)
+    c = np.zeros(len(first), np.int64)
+    np.add.at(c, at, x["c"])
+    some = c >= floor
+    group, size = group[first][some], len(contexts)
+    seen = np.maximum(total, 1).astype(float)
+    own, q = np.maximum(c[some] - discount, 0) / seen[group], x["q"][first][some].astype(float)
+    symbols = np.bincount(group, minlength=size)
+    rest = total.copy()
+    np.subtract.at(rest, group, c[some])
+    p = own + ((rest + discount * symbols) / seen)[group] * q
+    rest_p = np.maximum(1 - np.bincount(group, p, size), 1e-12)
+    rest_q = np.maximum(1 - np.bincount(group, q, size), 1e-12)
+    divergence = np.bincount(group, p * np.log(p / q), size) + rest_p * np.log(rest_p / rest_q)
+    retained = (symbols > 0) & (seen * divergence > 0.5 * np.log(seen + 1) * symbols)
+    at = np.split(at, np.cumsum(grams_in)[:-1])
+    where = np.split(where, np.cumsum([len(v) for v in sent])[:-1])
+    rest, kept = np.where(retained, rest, 0), np.where(retained, symbols, 0)
+    return pa.table({"part": rows.column("part"), "block": rows.column("block"), "c": column_of(c[i] for i in at),
+                     "rest": column_of(rest[i] for i in where), "kept": column_of(kept[i] for i in where)})
+
+
+class BlockTokens:
+    """A block's tokens, with counts and probabilities of the levels answered so far."""
+
+    def __init__(self, row: pa.Table):
+        self.block = row.column("block")[0].as_py()
+        self.words, codes = joined(row.column("words"), np.uint64), joined(row.column("codes"), np.uint32)
+        self.codes = codes.astype(np.int64)
+        lengths = joined(row.column("lengths"), np.int64)
+        self.bounds = np.concatenate(([0], np.cumsum(lengths)))
+        self.h = self.words[self.codes]
+        self.train = np.repeat(joined(row.column("train"), np.uint8), lengths)
+        self.token = np.ones(len(self.h), bool)
+        self.token[self.bounds[:-1]] = False
+
+    def word_counts(self) -> np.ndarray:
+        return np.bincount(self.codes, self.train * self.token, len(self.words)).astype(np.int64)
+
+    def take_words(self, c: np.ndarray, number: np.ndarray, denominator: float) -> None:
+        self.count, self.number = c[self.codes], number[self.codes]
+        self.p = (self.count + 0.5) / denominator
+        self.base = self.p.copy()
+        self.known, self.grams = self.count > 0, self.h
+
+    def ask(self, n: int, floor: int) -> dict[str, np.ndarray]:
+        """The block's contexts of ``n - 1`` words that occur ``floor`` times, sorted, and their
+        n-grams whose last ``n - 1`` words do."""
+        place = np.arange(len(self.h)) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
+        before = np.concatenate((np.zeros(1, np.uint64), self.grams[:-1]))
+        counted = np.concatenate(([0], self.count[:-1]))
+        self.grams = mix(before * STEP + self.h + np.uint64(n))
+        self.places = np.flatnonzero((place >= n - 1) & (counted >= floor))
+        context, begin, self.owner = np.unique(before[self.places], return_index=True, return_inverse=True)
+        self.total = counted[self.places[begin]]
+        self.asked = np.flatnonzero(self.count[self.places] >= floor)
+        _, first, at = np.unique(self.grams[self.places[self.asked]], return_index=True, return_inverse=True)
+        owner = self.owner[self.asked[first]]
+        order = np.argsort(owner, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.at, first = rank[at], self.places[self.asked[first[order]]]
+        return {"context": context, "total": self.total, "runs": np.bincount(owner, minlength=len(context)),
+                "word": self.number[first], "q": self.p[first],
+                "c": np.bincount(self.at, self.train[self.places[self.asked]], len(order))}
+
+    def take(self, c: np.ndarray, rest: np.ndarray, kept: np.ndarray, floor: int, discount: float) -> None:
+        count = np.zeros(len(self.places), np.int64)
+        count[self.asked] = c[self.at]
+        state = kept[self.owner] > 0
+        places, total = self.places[state], self.total[self.owner][state]
+        own = np.where(count[state] >= floor, (count[state] - discount) / total, 0)
+        left = ((rest + discount * kept)[self.owner])[state] / total
+        self.p[places] = own + left * self.p[places]
+        self.count = np.zeros(len(self.h), np.int64)
+        self.count[self.places] = count
+
 
-    rows = docs.select(text, quoted(id_col).alias("id"), F.monotonically_increasing_id().alias("row"))
+def lm_scores(docs: DataFrame, learn_from: Column, text_col: str = "text", id_col: str = "doc_id",
+              depth: int = DEPTH, share: float = SHARE, discount: float = DISCOUNT) -> DataFrame:
+    """(id, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    small_batches(docs.sparkSession)
+    text = F.coalesce(quoted(text_col), F.lit("")).alias("text")
+    rows = docs.select(text, quoted(id_col).alias("id"), learn_from.alias("train"))
     kind = rows.schema["id"].dataType.simpleString()
-    parts = stored(rows.mapInArrow(run, f"id {kind}, row long, n_tokens long, n_frequent long, "
-                                        "base_part double, part double, rare array<long>"), "lm-parts")
-    rare = (parts.select("row", F.explode("rare").alias("h")).join(counts, "h", "left")
-            .groupBy("row").agg(
-                F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(tree.denominator))).alias("rare_score"),
-                F.count("c").alias("n_rare")))
-    rest = F.coalesce("rare_score", F.lit(0.0))
-    return (parts.drop("rare").join(rare, "row", "left")
-            .select(F.col("id").alias(id_col), "n_tokens",
-                    (F.col("n_frequent") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
-                    F.lit(tree.total).cast("long").alias("train_tokens"),
-                    (F.col("base_part") + rest).alias("base_score"), (F.col("part") + rest).alias("score")))
+    blocks = stored(text_blocks(rows, kind), "lm-blocks")
+    tokens = blocks.agg(F.sum("tokens")).first()[0] or 0
+    parts = max(1, -(-tokens // PART))
+    sent = "part long, block long, " + ", ".join(f"{k} binary" for k in ASKED)
+    replies = "part long, block long, c binary, rest binary, kept binary"
+
+    def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tokens_of = BlockTokens(pa.Table.from_batches([batch.slice(i, 1)]))
+                yield from asked_words(tokens_of.block, tokens_of.words, tokens_of.word_counts(), parts).to_batches()
+
+    words = (blocks.drop("ids").mapInArrow(ask_words, "part long, block long, g binary, c binary").groupBy("part")
+             .applyInArrow(lambda x: word_answer(x, parts), f"{replies}, n long, v long"))
+    words = stored(words, "lm-words", free=True)
+    size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
+    denominator, floor = size.n + 0.5 * (size.v + 1), max(2, int(np.ceil(share * size.n)))
+    answers = words.select(F.lit(1).alias("n"), "part", "block", "c", "rest", "kept")
+
+    def caught_up(block: pa.Table, said: pa.Table, n: int) -> BlockTokens:
+        """The block with the answers of the levels below ``n``."""
+        out = BlockTokens(block)
+        order = np.lexsort((np.asarray(said.column("part")), np.asarray(said.column("n"))))
+        said = said.take(pa.array(order))
+        level = np.asarray(said.column("n"))
+        for k in range(1, n):
+            a, b = np.searchsorted(level, (k, k + 1))
+            mine = said.slice(a, b - a)
+            c, rest = joined(mine.column("c"), np.int64), joined(mine.column("rest"), np.int64)
+            if k == 1:
+                out.take_words(c, rest, denominator)
+            else:
+                out.ask(k, floor)
+                out.take(c, rest, joined(mine.column("kept"), np.int64), floor, discount)
+        return out
+
+    def every(f, schema: str, *extra: str) -> DataFrame:
+        return (blocks.select(*extra, "block", "lengths", "train", "words", "codes").groupBy("block")
+                .cogroup(answers.groupBy("block")).applyInArrow(f, schema))
+
+    def asking(n: int):
+        def ask(block: pa.Table, said: pa.Table) -> pa.Table:
+            state = caught_up(block, said, n)
+            return asked_rows(state.block, state.ask(n, floor), parts)
+
+        return ask
+
+    for n in range(2, depth + 2):
+        found = every(asking(n), sent).groupBy("part").applyInArrow(lambda x: answer(x, floor, discount), replies)
+        answers = answers.union(stored(found, "lm-answers", free=True).select(F.lit(n).alias("n"), "part", "block", "c", "rest", "kept"))
+
+    def score(block: pa.Table, said: pa.Table) -> pa.Table:
+        state = caught_up(block, said, depth + 2)
+
+        def total(x: np.ndarray) -> pa.Array:
+            return pa.array(segment_sum(np.where(state.token, x, 0).astype(x.dtype), state.bounds))
+
+        return pa.table({"id": block.column("ids").combine_chunks().flatten(), "n_tokens": np.diff(state.bounds) - 1,
+                         "n_known": total(state.known.astype(np.int64)),
+                         "base_score": total(np.log10(state.base)), "score": total(np.log10(state.p))})
+
+    out = every(score, f"id {kind}, n_tokens long, n_known long, base_score double, score double", "ids")
+    return out.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(size.n).cast("long").alias("train_tokens"),
+                      "base_score", "score")
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

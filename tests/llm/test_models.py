@@ -193,3 +193,15 @@ def test_next_symbol_distributions_sum_to_one(spark):
         word, base, p = lm_scoring.token_scores(h, bounds, tree, 2)
         total = p[bounds[1:] - 1].sum()
         assert 1 - 0.5 / tree.denominator - 1e-9 <= total <= 1 + 1e-9  # the rest is the unknown word's
+
+
+def test_rare_ngrams_count_at_every_corpus_size(spark):
+    """Padding far above 2 / 2e-6 tokens must not push a repeated passage out of the tree."""
+    passage = "alpha beta gamma delta epsilon zeta"
+    padding = " ".join(["pad"] * 50_000)
+    texts = [passage, passage, passage] + [padding] * 40
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    rows = {r.doc_id: r for r in lm_scoring.lm_scores(df, F.col("doc_id") != 2).collect()}
+    assert rows[2].train_tokens * 2e-6 > 3 and rows[2].n_tokens == 7
+    # the passage's contexts were seen twice: its words cost less than half of what they do without
+    assert rows[2].score > rows[2].base_score / 2
