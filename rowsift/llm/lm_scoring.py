@@ -41,7 +41,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, mix, per_text, quoted, segment_sum, slices, small_batches, span_hashes, stored, table, word_spans
+from .common import (cells, column_of, fold, gaps, joined, mix, packed, parts_of, per_text, quoted, segment_sum, slices,
+                     small_batches, span_hashes, stored, table, word_spans)
 
 DEPTH = 3
 SHARE = 0.0
@@ -312,35 +313,6 @@ def token_scores(h: np.ndarray, bounds: np.ndarray, tree: SuffixTree, depth: int
 
 
 BLOCK_FIELDS = "block long, tokens long, lengths binary, train binary, words binary, codes binary"
-CODEC = pa.Codec("zstd", compression_level=1)
-
-
-def packed(x: np.ndarray) -> bytes:
-    return x.nbytes.to_bytes(8, "little") + CODEC.compress(x.tobytes(), asbytes=True)
-
-
-def unpacked(cell: bytes, kind) -> np.ndarray:
-    size = int.from_bytes(cell[:8], "little")
-    return np.frombuffer(CODEC.decompress(cell[8:], size, asbytes=True) if size else b"", kind)
-
-
-def cells(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
-    return [unpacked(x, kind) for x in column.to_pylist()]
-
-
-def joined(column: pa.ChunkedArray, kind) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *cells(column, kind)])
-
-
-def column_of(arrays) -> pa.Array:
-    return pa.array([packed(x) for x in arrays], pa.binary())
-
-
-def gaps(keys: np.ndarray) -> np.ndarray:
-    """Sorted keys as the first one and the distances between them: fewer bytes once packed."""
-    return np.diff(keys, prepend=np.zeros(1, np.uint64))
-
-
 def text_blocks(rows: DataFrame, kind: str) -> DataFrame:
     """One row per slice of texts: ids, lengths in tokens, training marks, distinct words, their places."""
 
@@ -360,12 +332,6 @@ def text_blocks(rows: DataFrame, kind: str) -> DataFrame:
     return rows.mapInArrow(run, f"ids array<{kind}>, {BLOCK_FIELDS}")
 
 
-def parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Bounds of the hash range's parts among sorted keys."""
-    at = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    return np.searchsorted(at, np.arange(parts + 1))
-
-
 def asked_words(block: int, words: np.ndarray, c: np.ndarray, parts: int) -> pa.Table:
     """One row for each part that a block's distinct words (sorted) fall into."""
     cut = parts_of(words, parts)

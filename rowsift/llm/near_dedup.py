@@ -2,9 +2,10 @@
 
 Shingles are five lower-cased words in a row (a shorter text is one shingle). A
 shingle weighs ``(1 + ln tf) * (1 + idf / 2)``, idf scaled to 0..1, taken to the nearest of a
-geometric grid of weights. Document frequencies come from all documents, in a hashed table
-of ``2**20`` cells (its size is fixed, so it can be broadcast; shingles that share
-a cell share its count, and equal shingles always get equal weights).
+geometric grid of weights. Document frequencies are exact, from all documents: blocks of
+texts send their distinct shingles with the number of texts that hold them to parts of the
+hash range (``PART`` shingles each, a common one is one entry per block), which answer each
+block with the idf of what it sent. Every text keeps its shingles' weights, one byte each.
 
 Signatures: 64 samples by improved consistent weighted sampling; the Gamma and
 uniform draws come from a fixed table of ``2**16`` entries addressed by the
@@ -44,13 +45,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, per_text, quoted, slices, small_batches, span_hashes, stored, table, texts_of, word_spans
+from .common import (cells, column_of, gaps, joined, mix, parts_of, per_text, quoted, slices, small_batches,
+                     span_hashes, stored, table, texts_of, word_spans)
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
 DF_BITS = 20
+PART = 2_000_000
+BLOCK_BYTES = 4 << 20
 BLOCK_BITS = 12
 GRID = 0.05
 LEVELS = 80
@@ -88,12 +92,12 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                     g = mix(g * np.uint64(0x9E3779B97F4A7C15) + h[k:k + 1])
                 whole.append(g[0] ^ np.uint64(n[t]))
             out, doc = np.concatenate((out, np.array(whole, np.uint64))), np.concatenate((doc, short))
-    packed = np.sort((doc.astype(np.uint64) << np.uint64(48)) | (out >> np.uint64(16)))
-    new = np.ones(len(packed), bool)
-    new[1:] = packed[1:] != packed[:-1]
+    owned = np.sort((doc.astype(np.uint64) << np.uint64(48)) | (out >> np.uint64(16)))
+    new = np.ones(len(owned), bool)
+    new[1:] = owned[1:] != owned[:-1]
     at = np.flatnonzero(new)
-    often = np.diff(np.append(at, len(packed)))
-    unique = packed[at]
+    often = np.diff(np.append(at, len(owned)))
+    unique = owned[at]
     owner = (unique >> np.uint64(48)).astype(np.int64)
     offsets = np.searchsorted(owner, np.arange(len(starts)))
     return unique & np.uint64((1 << 48) - 1), often, offsets
@@ -104,7 +108,8 @@ def cell(s: np.ndarray) -> np.ndarray:
 
 
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Cells of hashed document frequencies over all rows, and the number of rows.
+    """Cells of hashed document frequencies over all rows, and the number of rows: an
+    estimate of bounded size (near_duplicates uses exact ones).
 
     Every task sums its own cells; arrays of 4096 cells are added up in two steps,
     so that no group holds more than a few hundred of them per step."""
@@ -149,9 +154,14 @@ def idf_levels(cells: np.ndarray, rows: int) -> np.ndarray:
     return np.round(np.log1p(np.minimum(idf, 1) / 2) / GRID).astype(np.uint8)
 
 
-def levels(s: np.ndarray, often: np.ndarray, idf: np.ndarray) -> np.ndarray:
+def weight_levels(often: np.ndarray, idf: np.ndarray) -> np.ndarray:
     tf = np.where(often > 1, np.round(np.log1p(np.log(often)) / GRID), 0).astype(np.int64)
-    return np.minimum(tf + idf[cell(s)], LEVELS - 1)
+    return np.minimum(tf + idf, LEVELS - 1)
+
+
+def levels(s: np.ndarray, often: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Weight levels by a table of hashed document frequencies."""
+    return weight_levels(often, idf[cell(s)])
 
 
 def draw_table() -> np.ndarray:
@@ -184,39 +194,107 @@ def signatures(s: np.ndarray, level: np.ndarray, offsets: np.ndarray) -> np.ndar
     return out
 
 
-def signed_rows(docs: DataFrame, idf) -> DataFrame:
-    """(id, row, key, weight, sig): a signature per row, null without words."""
+def shingle_blocks(docs: DataFrame) -> DataFrame:
+    """One row per slice of texts: their ids, row numbers, keys and shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf_level = idf.value
-        for rows, texts in slices(batches):
+        block = TaskContext.get().partitionId() << 32
+        for rows, texts in slices(batches, max_bytes=BLOCK_BYTES):
             s, often, offsets = shingles(texts)
-            level = levels(s, often, idf_level)
-            some = np.diff(offsets) > 0
-            sig = signatures(s, level, offsets).view(np.int32).reshape(-1)
-            weight = np.zeros(len(texts))
-            if some.any():
-                weight[some] = np.add.reduceat(np.exp(level * GRID), offsets[:-1][some])
-            places = np.concatenate(([0], np.cumsum(np.where(some, SAMPLES, 0))))
-            lists = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(sig))
-            yield pa.RecordBatch.from_arrays([*rows.columns[1:], pa.array(weight), lists],
-                                             names=[*rows.schema.names[1:], "weight", "sig"])
-        _tables.clear()  # the worker lives on, its next task may be another operator's
+            whole = pa.array([0, len(texts)], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block]), pa.array([len(texts)]), pa.array([len(s)]),
+                 *(pa.ListArray.from_arrays(whole, c) for c in rows.columns[1:]),
+                 column_of([np.diff(offsets)]), column_of([(s >> np.uint64(32)).astype(np.uint16)]),
+                 column_of([s.astype(np.uint32)]), column_of([often.astype(np.uint32)])],
+                names=["block", "texts", "size", "id", "row", "key", "lengths", "high", "low", "often"])
+            block += 1
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"block long, texts long, size long, id array<{kind}>, row array<long>, "
+                                "key array<binary>, lengths binary, high binary, low binary, often binary")
+
+
+def block_shingles(block: pa.Table) -> np.ndarray:
+    return (joined(block.column("high"), np.uint16).astype(np.uint64) << np.uint64(32)) | joined(
+        block.column("low"), np.uint32)
+
+
+def weighed_blocks(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The blocks, and for each part of the hash range and block the idf levels (``idf``) of the
+    block's distinct shingles there, from exact document frequencies."""
+    size = blocks.agg(F.coalesce(F.sum("texts"), F.lit(0)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("s")).first()
+    parts, rows = max(1, -(-size.s // PART)), size.n
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = pa.Table.from_batches([batch.slice(i, 1)])
+                s, c = np.unique(block_shingles(one), return_counts=True)
+                cut = parts_of(s << np.uint64(16), parts)
+                some = np.flatnonzero(np.diff(cut))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int64()), pa.array(np.full(len(some), one.column("block")[0].as_py()), pa.int64()),
+                     column_of(gaps(s[cut[k]:cut[k + 1]]) for k in some), column_of(c[cut[k]:cut[k + 1]] for k in some)],
+                    names=["part", "block", "s", "c"])
+
+    def answer(group: pa.Table) -> pa.Table:
+        sent = [np.cumsum(x, dtype=np.uint64) for x in cells(group.column("s"), np.uint64)]
+        _, at = np.unique(np.concatenate(sent), return_inverse=True)
+        idf = idf_levels(np.bincount(at, joined(group.column("c"), np.int64)), rows)[at]
+        return pa.table({"part": group.column("part"), "block": group.column("block"),
+                         "idf": column_of(np.split(idf, np.cumsum([len(x) for x in sent])[:-1]))})
+
+    asked = blocks.select("block", "high", "low").mapInArrow(ask, "part long, block long, s binary, c binary")
+    return blocks, stored(asked.groupBy("part").applyInArrow(answer, "part long, block long, idf binary"), "idf", free=True)
+
+
+def signed_rows(docs: DataFrame) -> DataFrame:
+    """(id, row, key, weight, sig, levels): a signature per row, null without words, and
+    the weight levels of its shingles, in the order of ``shingles``."""
+
+    def sign(block: pa.Table, said: pa.Table) -> pa.Table:
+        s, often = block_shingles(block), joined(block.column("often"), np.uint32).astype(np.int64)
+        lengths = joined(block.column("lengths"), np.int64)
+        offsets = np.concatenate(([0], np.cumsum(lengths)))
+        said = said.take(pa.array(np.argsort(np.asarray(said.column("part")))))
+        _, at = np.unique(s, return_inverse=True)
+        level = weight_levels(often, joined(said.column("idf"), np.uint8)[at])
+        some = lengths > 0
+        sig = signatures(s, level, offsets).view(np.int32).reshape(-1)
+        weight = np.zeros(len(lengths))
+        if some.any():
+            weight[some] = np.add.reduceat(np.exp(level * GRID), offsets[:-1][some])
+        places = np.concatenate(([0], np.cumsum(np.where(some, sig.size // max(1, some.sum()), 0))))
+        own = level.astype(np.uint8).tobytes()
+        return pa.table({**{k: block.column(k).combine_chunks().flatten() for k in ("id", "row", "key")},
+                         "weight": weight, "sig": pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(sig)),
+                         "levels": pa.array([own[a:b] for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())})
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, row long, key binary, weight double, sig array<int>")
+    blocks, idf = weighed_blocks(stored(shingle_blocks(docs), "shingle-blocks"))
+    return (blocks.groupBy("block").cogroup(idf.groupBy("block")).applyInArrow(
+        sign, f"id {kind}, row long, key binary, weight double, sig array<int>, levels binary"))
+
+
+def stored_levels(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).astype(np.int64)
 
 
 def similarities(a: pa.Array, b: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weighted and plain Jaccard similarity of the texts in equal places."""
-    sides = []
-    for texts in (a, b):
-        s, often, offsets = shingles(texts)
-        w = np.exp(levels(s, often, idf) * GRID)
-        pair = np.repeat(np.arange(len(texts)), np.diff(offsets)).astype(np.uint64)
+    sides = [shingles(x) for x in (a, b)]
+    return jaccards(sides, [levels(s, often, idf) for s, often, _ in sides])
+
+
+def jaccards(texts: list[tuple], level: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The same from both sides' shingles and their weight levels."""
+    sides, n = [], len(texts[0][2]) - 1
+    for (s, _, offsets), x in zip(texts, level):
+        w = np.exp(x * GRID)
+        pair = np.repeat(np.arange(n), np.diff(offsets)).astype(np.uint64)
         sides.append(((pair << np.uint64(48)) | s, w, pair.astype(np.int64)))
     (ka, wa, pa_), (kb, wb, pb) = sides
-    n = len(a)
     _, ia, ib = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
     both = np.bincount(pa_[ia], minlength=n)
     plain = both / np.maximum(np.bincount(pa_, minlength=n) + np.bincount(pb, minlength=n) - both, 1)
@@ -249,14 +327,14 @@ def agreement_needed(similarity: float) -> float:
 
 
 def whole_texts(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """(rep, text) of the representatives in ``nodes`` (column ``rep``)."""
+    """(rep, text, levels) of the representatives in ``nodes`` (column ``rep``)."""
     wanted = stored(nodes.distinct().join(reps.select("rep", "key"), "rep"), "wanted")
     few = wanted.count() * 40 <= BROADCAST_BYTES
     return stored(docs.select("key", "text").join(F.broadcast(wanted) if few else wanted, "key")
-                  .groupBy("rep").agg(F.first("text").alias("text")), "pair-texts")
+                  .groupBy("rep").agg(F.first("text").alias("text")).join(reps.select("rep", "levels"), "rep"), "pair-texts")
 
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, idf, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) that are links, checked on whole texts."""
     sig = reps.select("rep", "sig")
     agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0),
@@ -267,20 +345,19 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, idf, similarity
     texts = whole_texts(likely.select(F.col("a").alias("rep")).union(likely.select("b")), reps, docs)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf_level = idf.value
         for rows, left in slices(batches, 2, max_rows=2000):
             right = rows.column(3).cast(pa.large_string())
-            weighted, plain = similarities(left, right, idf_level)
+            weighted, plain = jaccards([shingles(left), shingles(right)], [stored_levels(rows.column(k)) for k in (4, 5)])
             ok = pa.array(np.maximum(weighted, plain) >= similarity - 1e-9)
             yield pa.RecordBatch.from_arrays([rows.column(0).filter(ok), rows.column(1).filter(ok)],
                                              names=["a", "b"])
 
-    full = (likely.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-            .select("a", "b", "text_a", "text_b"))
+    full = (likely.join(texts.toDF("a", "text_a", "levels_a"), "a")
+            .join(texts.toDF("b", "text_b", "levels_b"), "b").select("a", "b", "text_a", "text_b", "levels_a", "levels_b"))
     return stored(full.mapInArrow(check, "a long, b long"), "links", batch_rows=1000)
 
 
-def block_links(rows: DataFrame, reps: DataFrame, docs: DataFrame, idf, similarity: float) -> DataFrame:
+def block_links(rows: DataFrame, reps: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """Links of members outside their bucket's main component with members of other
     components, found block against block inside tasks: only links come out.
 
@@ -309,8 +386,8 @@ def block_links(rows: DataFrame, reps: DataFrame, docs: DataFrame, idf, similari
         ask = np.asarray(cell.column("asks"))
         rep, label = np.asarray(cell.column("rep")), np.asarray(cell.column("label"))
         sig = np.asarray(cell.column("sig").combine_chunks().flatten()).reshape(-1, SAMPLES)
-        s, often, offsets = shingles(texts_of(cell.column("text")))
-        w = np.exp(levels(s, often, idf.value) * GRID)
+        s, _, offsets = shingles(texts_of(cell.column("text")))
+        w = np.exp(stored_levels(cell.column("levels")) * GRID)
         keys, column = np.unique(s, return_inverse=True)
         where = [slice(a, b) for a, b in zip(offsets[:-1], offsets[1:])]
         total = np.array([w[x].sum() for x in where])
@@ -353,11 +430,9 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     row = quoted(row_col) if row_col else F.monotonically_increasing_id()
     plain = docs.select(text, quoted(id_col).alias("id"), row.alias("row"))
     plain = plain.withColumn("key", F.unhex(F.md5("text")))
-    cells, rows = document_frequencies(plain)
-    idf = spark.sparkContext.broadcast(idf_levels(cells, rows))
-    base = stored(signed_rows(plain, idf), "signatures")
-    reps = stored(base.groupBy("key").agg(F.min(F.struct("row", "weight", "sig")).alias("r"))
-                  .select("key", F.col("r.row").alias("rep"), "r.weight", "r.sig"), "representatives")
+    base = stored(signed_rows(plain.select("text", "id", "row", "key")), "signatures", free=True)
+    reps = stored(base.groupBy("key").agg(F.min(F.struct("row", "weight", "sig", "levels")).alias("r"))
+                  .select("key", F.col("r.row").alias("rep"), "r.weight", "r.sig", "r.levels"), "representatives")
 
     bands = F.array(*(F.xxhash64(F.lit(b), *(F.col("sig")[b * ROWS + r] for r in range(ROWS)))
                       for b in range(BANDS)))
@@ -376,7 +451,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
         return (tall.filter((F.col("rep") != F.col("l.rep")) & other)
                 .select(*ordered("rep", "l.rep")).distinct())
 
-    links = verified(with_leaders(members, LEADERS, F.lit(True)), reps, plain, idf, similarity)
+    links = verified(with_leaders(members, LEADERS, F.lit(True)), reps, plain, similarity)
     members = members.select("bucket", "rep", "weight")
     labels = components(links)
 
@@ -391,7 +466,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     def grow(pairs: DataFrame) -> None:
         """Verify the pairs and join the classes that their links connect."""
         nonlocal labels, links
-        new = verified(pairs, reps, plain, idf, similarity)
+        new = verified(pairs, reps, plain, similarity)
         if not new.isEmpty():
             links = links.union(new)
             labels = components(links)
@@ -413,8 +488,8 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     pairs = (mine.join(little, "bucket")
              .filter((F.col("label") != F.col("lx")) & (~F.col("outside") | (F.col("x") < F.col("rep"))))
              .select(*ordered("rep", "x")).distinct())
-    new = verified(pairs, reps, plain, idf, similarity).union(
-        block_links(rows_open.filter(F.col("n") > SMALL), reps, plain, idf, similarity))
+    new = verified(pairs, reps, plain, similarity).union(
+        block_links(rows_open.filter(F.col("n") > SMALL), reps, plain, similarity))
     if not new.isEmpty():
         labels = components(links.union(new))
 

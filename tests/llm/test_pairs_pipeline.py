@@ -129,6 +129,20 @@ def test_components_and_frequencies(spark):
     assert rows == 3 and sorted(cells[cells > 0].tolist()) == [1, 2]
 
 
+def test_document_frequencies_do_not_collide(spark):
+    """With 2 M other shingles a unique shingle still weighs more than one of half the texts."""
+    rng = random.Random(9)
+    shared = " ".join(f"s{i}" for i in range(30))
+    texts = [" ".join(f"u{rng.getrandbits(60)}" for _ in range(10_000)) + (" " + shared if i % 2 else "") for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(4)
+    rows = near_dedup.signed_rows(df.select("text", "id", F.col("id").cast("long").alias("row"), F.unhex(F.md5("text")).alias("key")))
+    for r in rows.select("id", "levels").filter("id < 20").collect():
+        s, _, _ = near_dedup.shingles(pa.array([texts[r.id]], pa.large_string()))
+        common = set(near_dedup.shingles(pa.array([shared], pa.large_string()))[0].tolist()) & set(s.tolist())
+        want = near_dedup.idf_levels(np.array([100 if x in common else 1 for x in s.tolist()]), 200)
+        assert list(r.levels) == want.tolist() and len(set(want.tolist())) == 1 + r.id % 2
+
+
 def brute_leaks(docs, items):
     out = {}
     for d in docs:
