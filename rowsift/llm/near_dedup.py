@@ -9,12 +9,13 @@ block with the idf of what it sent. Every text keeps its shingles' weights, one
 
 Signatures: 64 samples by improved consistent weighted sampling; the Gamma and
 uniform draws come from a fixed table of ``2**16`` entries addressed by the
-shingle's hash, so a sample costs one multiplication and one lookup. 16 bands
-of 4 samples: two texts with weighted similarity 0.8 meet in a band with
-probability 0.9998.
+shingle's hash, so a sample costs one multiplication and one lookup. 64 more samples give
+every shingle the same weight, so they estimate the plain similarity. 16 bands
+of 4 samples each: two texts with weighted or with plain similarity 0.8 meet in a band
+with probability 0.9998.
 
-Pairs that meet in a band and whose signatures do not rule the similarity out (five
-standard errors below it) are verified on their whole texts: a pair is a link if the
+Pairs that meet in a band and whose signatures do not rule both similarities out (five
+standard errors below them) are verified on their whole texts: a pair is a link if the
 weighted Jaccard similarity is 0.8 or more, or the plain one of the same shingles is (idf lowers the
 weights of what a large group of copies shares, which must not split the group).
 
@@ -182,7 +183,8 @@ def draw_table() -> np.ndarray:
 
 
 def signatures(s: np.ndarray, level: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Samples of every text with shingles: rows of ``SAMPLES`` 32-bit numbers."""
+    """Samples of every text with shingles: rows of ``SAMPLES`` 32-bit numbers (plain ones if
+    all levels are equal)."""
     draws, start = draw_table(), offsets[:-1][np.diff(offsets) > 0]
     spread = mix(s + np.uint64(1))
     base = level << 16
@@ -250,8 +252,8 @@ def weighed_blocks(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def signed_rows(docs: DataFrame) -> DataFrame:
-    """(id, row, key, weight, sig, levels): a signature per row, null without words, and
-    the weight levels of its shingles, in the order of ``shingles``."""
+    """(id, row, key, weight, sig, levels): weighted, then plain samples of every row, none
+    without words, and the weight levels of its shingles, in the order of ``shingles``."""
 
     def sign(block: pa.Table, said: pa.Table) -> pa.Table:
         s, often = block_shingles(block), joined(block.column("often"), np.uint32).astype(np.int64)
@@ -261,11 +263,12 @@ def signed_rows(docs: DataFrame) -> DataFrame:
         _, at = np.unique(s, return_inverse=True)
         level = weight_levels(often, joined(said.column("idf"), np.uint8)[at])
         some = lengths > 0
-        sig = signatures(s, level, offsets).view(np.int32).reshape(-1)
+        sig = np.concatenate([signatures(s, x, offsets) for x in (level, np.zeros_like(level))], axis=1)
+        sig = sig.view(np.int32).reshape(-1)
         weight = np.zeros(len(lengths))
         if some.any():
             weight[some] = np.add.reduceat(np.exp(level * GRID), offsets[:-1][some])
-        places = np.concatenate(([0], np.cumsum(np.where(some, sig.size // max(1, some.sum()), 0))))
+        places = np.concatenate(([0], np.cumsum(np.where(some, 2 * SAMPLES, 0))))
         own = level.astype(np.uint8).tobytes()
         return pa.table({**{k: block.column(k).combine_chunks().flatten() for k in ("id", "row", "key")},
                          "weight": weight, "sig": pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(sig)),
@@ -337,8 +340,9 @@ def whole_texts(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame
 def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) that are links, checked on whole texts."""
     sig = reps.select("rep", "sig")
-    agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0),
-                        lambda x, y: x + y)
+    same = F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int"))
+    agree = F.greatest(*(F.aggregate(F.slice(same, 1 + k * SAMPLES, SAMPLES), F.lit(0), lambda x, y: x + y)
+                         for k in range(2)))
     likely = stored(
         pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
         .filter(agree >= agreement_needed(similarity)).select("a", "b"), "likely-pairs")
@@ -385,7 +389,7 @@ def block_links(rows: DataFrame, reps: DataFrame, docs: DataFrame, similarity: f
     def link(cell: pa.Table) -> pa.Table:
         ask = np.asarray(cell.column("asks"))
         rep, label = np.asarray(cell.column("rep")), np.asarray(cell.column("label"))
-        sig = np.asarray(cell.column("sig").combine_chunks().flatten()).reshape(-1, SAMPLES)
+        sig = np.asarray(cell.column("sig").combine_chunks().flatten()).reshape(-1, 2, SAMPLES)
         s, _, offsets = shingles(texts_of(cell.column("text")))
         w = np.exp(stored_levels(cell.column("levels")) * GRID)
         keys, column = np.unique(s, return_inverse=True)
@@ -395,7 +399,7 @@ def block_links(rows: DataFrame, reps: DataFrame, docs: DataFrame, similarity: f
         found = []
         mine = np.zeros(len(keys))
         for q in np.flatnonzero(ask):
-            near = others[((sig[others] == sig[q]).sum(axis=1) >= needed) & (label[others] != label[q])]
+            near = others[((sig[others] == sig[q]).sum(axis=2).max(axis=1) >= needed) & (label[others] != label[q])]
             if not len(near):
                 continue
             mine[column[where[q]]] = w[where[q]]
@@ -435,7 +439,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                   .select("key", F.col("r.row").alias("rep"), "r.weight", "r.sig", "r.levels"), "representatives")
 
     bands = F.array(*(F.xxhash64(F.lit(b), *(F.col("sig")[b * ROWS + r] for r in range(ROWS)))
-                      for b in range(BANDS)))
+                      for b in range(2 * BANDS)))
     buckets = (reps.filter(F.size("sig") > 0).select("rep", "weight", F.explode(bands).alias("bucket")))
 
     def leaders(rows: DataFrame, seed: int, n: int, *extra: str) -> list:

@@ -143,6 +143,22 @@ def test_document_frequencies_do_not_collide(spark):
         assert list(r.levels) == want.tolist() and len(set(want.tolist())) == 1 + r.id % 2
 
 
+def test_plain_similarity_alone_makes_a_link(spark):
+    """Texts equal but for how often one line repeats: plain above 0.8, weighted far below."""
+    line = " ".join(f"l{i}" for i in range(20))
+    texts = []
+    for k in range(10):
+        head = " ".join(f"h{k}x{i}" for i in range(30))
+        texts += [head + " " + (line + f" e{k} ") * 2, head + " " + (line + f" e{k} ") * 100]
+    idf = np.full(1 << near_dedup.DF_BITS, 8, np.uint8)
+    weighted, plain = near_dedup.similarities(
+        pa.array(texts[0::2], pa.large_string()), pa.array(texts[1::2], pa.large_string()), idf)
+    assert plain.min() >= 0.8 and weighted.max() < 0.7
+    rows = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    cls = {r.doc_id: r.class_id for r in rows}
+    assert all(cls[i] == cls[i + 1] == i for i in range(0, 20, 2))
+
+
 def brute_leaks(docs, items):
     out = {}
     for d in docs:
