@@ -6,12 +6,12 @@ from conftest import SF_SMALL
 
 from rowsift.llm import catalog
 
-CLASH = ["row", "key", "id", "h", "w", "label", "score", "bucket", "split", "rank", "shard", "slot", "host", "canon", "item"]
+CLASH = ["row", "key", "id", "h", "w", "label", "score", "bucket", "split", "rank", "shard", "slot", "host", "canon", "item", "v", "n", "code"]
 
 
 def write(spark, path, odd):
     from pyspark.sql import functions as F
-    for name in ("documents", "labels", "pages", "benchmark"):
+    for name in ("documents", "labels", "pages", "benchmark", "embeddings"):
         df = spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
         if not odd:
             df = df.limit(0)
@@ -48,5 +48,7 @@ def test_nulls_repeats_and_clashing_names(spark, folders, name):
         assert sum(r.piece == 0 for r in rows) == docs
     elif name.startswith("op6_"):
         assert len(rows) == spark.read.parquet(f"{folders[True]}/pages.parquet").count()
+    elif name.startswith("op11_"):
+        assert len(rows) == spark.read.parquet(f"{folders[True]}/embeddings.parquet").filter("embedding is not null").count()
     elif name == "pipeline":
         assert 0 < sum(r.piece == 0 for r in rows) < docs
