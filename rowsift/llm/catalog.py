@@ -6,7 +6,7 @@ from importlib import import_module
 
 MODULES = ("token_counts", "sharding", "quality_rules", "url_filter", "quality_classifier",
            "packing", "toxicity", "lm_scoring", "near_dedup",
-           "decontamination", "vector_codes")
+           "decontamination", "vector_codes", "spelling_variants", "language_id")
 
 
 def queries() -> dict:
