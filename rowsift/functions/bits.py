@@ -12,6 +12,7 @@ reproduce the Spark values bit for bit.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,6 +35,38 @@ def sql_seeded_hash(seed: int, tag: str, *exprs: str) -> str:
     return f"CAST(('0x' || substr(md5({inner}), 1, 15)) AS BIGINT)"
 
 
+# Odd multipliers below 2**31, so that products of 32-bit numbers fit a bigint.
+KEY_BITS = 32
+_LOW = (1 << KEY_BITS) - 1
+_MULTIPLIERS = (0x7FEB352D, 0x31848BAB, 0x2C1B3C6D)
+
+
+def _keyed(ident: str, key0: int, key1: int, xor: str) -> str:
+    a, b, c = _MULTIPLIERS
+    x = f"(((({ident} & {_LOW}) + {key0}) & {_LOW}) * {a} & {_LOW})"
+    x = f"((({xor.format(x, f'({x} >> 15)')} + ({ident} >> {KEY_BITS}) + {key1}) & {_LOW}) * {b} & {_LOW})"
+    return f"({xor.format(x, f'({x} >> 14)')} * {c} & {_LOW})"
+
+
+def keyed_hash(id_col: str, key0: int, key1: int) -> str:
+    """Spark SQL text of a keyed 32-bit hash of a non-negative bigint: multiplications and
+    shifted xors in generated code, a permutation of ids that agree above 32 bits."""
+    return _keyed(f"`{id_col}`", key0, key1, "({} ^ {})")
+
+
+def sql_keyed_hash(id_expr: str, key0: int, key1: int) -> str:
+    """DuckDB spelling of :func:`keyed_hash`."""
+    return _keyed(f"CAST({id_expr} AS BIGINT)", key0, key1, "xor({}, {})")
+
+
+def keyed_hashes(ids: np.ndarray, key0: int, key1: int) -> np.ndarray:
+    """:func:`keyed_hash` of an int64 array."""
+    a, b, c = _MULTIPLIERS
+    x = ((ids & _LOW) + key0 & _LOW) * a & _LOW
+    x = ((x ^ (x >> 15)) + (ids >> KEY_BITS) + key1 & _LOW) * b & _LOW
+    return (x ^ (x >> 14)) * c & _LOW
+
+
 def n_words(population: int) -> int:
     return (population + WORD_BITS - 1) // WORD_BITS
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..sources.delimited import dataset_name, list_datasets, scan_delimited
 from .preprocess import preprocess, to_model_table
-from .selection import select_instances
+from .search import select_instances
 
 RESULT_SCHEMA = ("dataset string, path string, original_rows bigint, selected_rows bigint, "
                  "reduction_pct double, best_fitness double")

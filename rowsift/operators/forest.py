@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.literals import lookup
 from . import metrics
-from .guards import collect_per_class
+from .classes import require_classes
 
 MAX_SPARK_DEPTH = 30
 
@@ -56,7 +56,8 @@ def fit_forest(train: DataFrame, *, task: str = "classification", num_trees: int
     data = _vec(train, feature_col)
     if task == "classification":
         if classes is None:
-            classes = sorted(r[0] for r in collect_per_class(train.select("label").distinct()))
+            require_classes(train)
+            classes = sorted(r[0] for r in train.select("label").distinct().collect())
         data = data.withColumn("__y", _index(classes))
         est = RandomForestClassifier(featuresCol="__vec", labelCol="__y", numTrees=num_trees,
                                      maxDepth=depth, seed=seed, impurity="gini", maxBins=max_bins,
@@ -109,7 +110,7 @@ def cross_validate(df: DataFrame, *, task: str = "classification", k: int = 5,
     else:
         folded = kfolds(df, df.count(), k)
     folded = folded.persist()
-    classes = (sorted(r[0] for r in collect_per_class(df.select("label").distinct()))
+    classes = (sorted(r[0] for r in df.select("label").distinct().collect())
                if task == "classification" else None)
     scores = []
     for f in range(k):

@@ -74,12 +74,11 @@ def neighbours(xq: np.ndarray, xt: np.ndarray, tid: np.ndarray, k: int,
     return top
 
 
-def vote(nbr_labels: np.ndarray, n_classes: int) -> np.ndarray:
+def vote(nbr_labels: np.ndarray) -> np.ndarray:
     """Majority class index per row; ties go to the smallest class index."""
-    counts = np.zeros((nbr_labels.shape[0], n_classes), dtype=np.int64)
-    for j in range(nbr_labels.shape[1]):
-        np.add.at(counts, (np.arange(nbr_labels.shape[0]), nbr_labels[:, j]), 1)
-    return counts.argmax(axis=1)
+    votes = (nbr_labels[:, :, None] == nbr_labels[:, None, :]).sum(axis=2)
+    most = votes == votes.max(axis=1, keepdims=True)
+    return np.where(most, nbr_labels, np.iinfo(np.int64).max).min(axis=1)
 
 
 def arrow_matrix(arr) -> np.ndarray:
@@ -104,7 +103,6 @@ def _eval_fn(bc, solutions: list[int], feature_col: str, k: int, chunk_rows: int
 
     def run(batches):
         smp: KnnSample = bc.value
-        n_cls = len(smp.classes)
         for rb in batches:
             if rb.num_rows == 0:
                 continue
@@ -124,7 +122,7 @@ def _eval_fn(bc, solutions: list[int], feature_col: str, k: int, chunk_rows: int
                 for lo in range(0, len(sel), chunk_rows):
                     part = sel[lo:lo + chunk_rows]
                     top = neighbours(x_all[part], xt, tid, k)
-                    pred = smp.classes[vote(tlab[top], n_cls)]
+                    pred = smp.classes[vote(tlab[top])]
                     correct += int((pred == lab[part]).sum())
                 out_s.append(s)
                 out_c.append(correct)
@@ -226,7 +224,7 @@ def _predict_fn(bc, feature_col, id_col, k, chunk, neighbours_out, label_type="i
                         pa.array(dist.ravel(), pa.float64())],
                         names=[id_col, "rank", "train_id", "distance"])
                 else:
-                    pred = smp.classes[vote(tlab[top], len(smp.classes))]
+                    pred = smp.classes[vote(tlab[top])]
                     extra = [rb.column(c).slice(lo, len(xq)) for c in keep]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids[lo:lo + chunk], pa.int64()), *extra,
@@ -307,8 +305,7 @@ def knn_topk(table: DataFrame, train: DataFrame, *, k: int = 5, feature_col: str
         keyed = keyed.withColumn("__chunk", F.floor(F.col("__pos") / F.lit(per_chunk))).persist()
     else:
         keyed = train.select(id_col, label_col, feature_col, F.lit(0).alias("__chunk"))
-    from .guards import collect_per_class
-    classes = sorted(r[0] for r in collect_per_class(keyed.select(label_col).distinct()))
+    classes = sorted(r[0] for r in keyed.select(label_col).distinct().collect())
     schema = f"{id_col} long, train_id long, d2 double, train_label {label_type}"
     parts = []
     sc = table.sparkSession.sparkContext

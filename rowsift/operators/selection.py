@@ -1,18 +1,18 @@
-"""Row selection by a genetic search over bit-packed candidate subsets.
+"""Fitness of bit-packed candidate subsets (all solutions of a population at once).
 
 Input is a *prepared table* ``(row_id bigint dense 0..n-1, label, features
-array<float|double>)``. Each generation is: one aggregate for the sizes and
-class counts of every solution, a bounded exact sample per solution, one
-distributed evaluation pass, and a narrow projection building the next masks.
-Only O(P * classes) numbers and the bounded training samples reach the driver.
+array<float|double>)`` with mask words. A fitness pass is: one aggregate for the sizes and
+class counts of every solution, a bounded exact sample per solution, and one
+distributed evaluation pass. Only the bounded training samples and, for solutions whose sample is
+stratified (no more classes than sample rows), their class counts reach the driver; a
+target may have any number of classes.
 """
 
 from __future__ import annotations
 
 import math
-from functools import partial
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from typing import Callable
 
 import numpy as np
 import pandas as pd
@@ -20,23 +20,17 @@ from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bits import HASH_BITS, getbit, random_masks, seeded_hash, word_cols
-from ..functions.literals import lookup
-from .guards import TooManyClasses, collect_per_class
+from ..functions.bits import HASH_RANGE, getbit, seeded_hash
+from ..session import write_once
+from .classes import require_classes
 from .knn import KnnSample, evaluate_population
 from .order_stats import smallest_k_cutoffs, within_cutoff
-from .population import pack_slots_sql, parallel_plan, steady_state_plan
 
 FITNESS_COLUMNS = ["solution", "n_selected", "accuracy", "fitness"]
 SPLIT_HASH = "__h_split"       # cached seeded hash of the training-sample order
 HOLD_HASH = "__h_holdout"      # cached seeded hash of the hold-out order
 
 
-def _hist_source(table: DataFrame, _cfg=None) -> str | None:
-    """The cached sample-order hash column, when the table carries it."""
-    return SPLIT_HASH if SPLIT_HASH in table.columns else None
-
-
 def hcol_name(fitness) -> str:
     return SPLIT_HASH if isinstance(fitness, KnnFitness) else HOLD_HASH
 
@@ -72,60 +66,57 @@ class ForestFitness:
 
 # ---------------------------------------------------------------- aggregates
 
-HIST_ROWS = 1 << 16   # most (label, bucket) rows the fused counts may ship
+@dataclass
+class SolutionStats:
+    n_selected: int = 0
+    n_classes: int = 0
+    smallest: int = 0                 # rows of the smallest class
+    classes: dict | None = None       # {label: rows}; None if there are more than were asked for
 
 
 @dataclass
 class PopStats:
-    """One aggregate's worth of population statistics."""
+    """Sizes of all solutions."""
     n: int
-    counts: dict                      # {solution: {label: rows}}
+    solutions: dict[int, SolutionStats]
     width: int | None = None          # longest feature array
-    hist: dict | None = None          # {(solution, label): {bucket: rows}}
-    hist_bits: int = 8
 
 
-def population_counts(table: DataFrame, solutions: list[int], width_col: str | None = None,
-                      hist_col: str | None = None, hist_bits: int = 8):
-    """``(n_rows, {solution: {label: count}})`` from a single aggregate.
+def population_stats(table: DataFrame, solutions: list[int], width_col: str | None = None,
+                     most_classes: int = 1000) -> PopStats:
+    """Rows, classes and smallest class of every solution, and the rows per class of those with at
+    most ``most_classes`` classes.
 
-    With ``width_col`` and/or ``hist_col`` a :class:`PopStats` is returned; the
-    histogram of the top ``hist_bits`` bits of ``hist_col`` per (solution,
-    label) comes from the same aggregate (grouping by label and bucket; output
-    bounded by classes * 2**hist_bits rows, independent of the table size) and
-    serves as the first level of the exact sample cut-offs.
-    """
+    One aggregate by label. Up to ``most_classes`` of its rows are fetched; a larger one is
+    written, summed up to one row, and only the classes of the solutions that have few of them are fetched."""
     aggs = [F.sum(getbit(s)).alias(f"c{s}") for s in solutions] + [F.count(F.lit(1)).alias("n")]
     if width_col:
-        aggs.append(F.max(F.size(width_col)).alias("__w"))
-    keys = [F.col("label")]
-    if hist_col:
-        keys.append(F.shiftright(F.col(hist_col), HASH_BITS - hist_bits).alias("__b"))
-    if hist_col:
-        try:
-            rows = collect_per_class(table.groupBy(*keys).agg(*aggs), limit=HIST_ROWS)
-        except TooManyClasses:
-            # many classes: counts alone; the cut-offs then scan their own first level
-            if width_col:
-                return population_counts(table, solutions, width_col)
-            return PopStats(*population_counts(table, solutions))
-    else:
-        rows = collect_per_class(table.groupBy(*keys).agg(*aggs))
-    n = sum(int(r["n"]) for r in rows)
-    counts = {s: {} for s in solutions}
-    hist = {} if hist_col else None
-    for r in rows:
-        lab = r["label"]
-        for s in solutions:
-            c = int(r[f"c{s}"] or 0)
-            if c:
-                counts[s][lab] = counts[s].get(lab, 0) + c
-                if hist_col:
-                    hist.setdefault((s, lab), {})[int(r["__b"])] = c
-    if width_col or hist_col:
-        width = max((int(r["__w"] or 0) for r in rows), default=0) if width_col else None
-        return PopStats(n, counts, width, hist, hist_bits)
-    return n, counts
+        aggs.append(F.max(F.size(width_col)).alias("w"))
+    per_class = table.groupBy("label").agg(*aggs)
+    rows = per_class.limit(most_classes + 1).collect()
+    if len(rows) <= most_classes:
+        out = {s: SolutionStats(classes={}) for s in solutions}
+        for r in rows:
+            for s in solutions:
+                c = int(r[f"c{s}"] or 0)
+                if c:
+                    out[s].classes[r["label"]] = c
+        for st in out.values():
+            if st.classes:
+                st.n_selected, st.n_classes = sum(st.classes.values()), len(st.classes)
+                st.smallest = min(st.classes.values())
+        n, width = sum(int(r["n"]) for r in rows), max((int(r["w"] or 0) for r in rows), default=0) if width_col else None
+        return PopStats(n, out, width)
+    per_class = write_once(per_class, "class-counts")
+    total = per_class.agg(F.sum("n").alias("n"), F.max("w").alias("w") if width_col else F.lit(None).alias("w"),
+                          *[e for s in solutions for e in (F.sum(f"c{s}").alias(f"n{s}"), F.count_if(F.col(f"c{s}") > 0).alias(f"k{s}"),
+                                                           F.min(F.when(F.col(f"c{s}") > 0, F.col(f"c{s}"))).alias(f"m{s}"))]).first()
+    out = {s: SolutionStats(int(total[f"n{s}"]), int(total[f"k{s}"]), int(total[f"m{s}"] or 0)) for s in solutions}
+    few = [s for s in solutions if out[s].n_classes <= most_classes]
+    for s in few:
+        out[s].classes = {r["label"]: int(r["c"]) for r in
+                          per_class.where(F.col(f"c{s}") > 0).select("label", F.col(f"c{s}").alias("c")).collect()}
+    return PopStats(int(total["n"]), out, total["w"])
 
 
 def largest_remainder(total: int, counts: dict) -> dict:
@@ -150,124 +141,82 @@ class TrainPlan:
     alloc: dict = field(default_factory=dict)
 
 
-def plan_knn_training(counts: dict, cfg: KnnFitness) -> dict[int, TrainPlan]:
+def plan_knn_training(stats: dict[int, SolutionStats], cfg: KnnFitness) -> dict[int, TrainPlan]:
     plans = {}
-    for s, by_label in counts.items():
-        n_sel = sum(by_label.values())
-        if n_sel < cfg.min_rows or len(by_label) < cfg.min_classes:
-            plans[s] = TrainPlan(s, n_sel, False)
-            continue
-        t = min(cfg.train_cap, int(cfg.train_fraction * n_sel))
-        if t < 2:
-            plans[s] = TrainPlan(s, n_sel, False)
+    for s, st in stats.items():
+        t = min(cfg.train_cap, int(cfg.train_fraction * st.n_selected))
+        if st.n_selected < cfg.min_rows or st.n_classes < cfg.min_classes or t < 2:
+            plans[s] = TrainPlan(s, st.n_selected, False)
             continue
-        ncls = len(by_label)
-        strat = min(by_label.values()) >= 2 and t >= ncls and n_sel - t >= ncls
-        alloc = largest_remainder(t, by_label) if strat else {None: t}
-        plans[s] = TrainPlan(s, n_sel, True, t, strat, alloc)
+        strat = st.smallest >= 2 and t >= st.n_classes and st.n_selected - t >= st.n_classes
+        alloc = largest_remainder(t, st.classes) if strat else {None: t}
+        plans[s] = TrainPlan(s, st.n_selected, True, t, strat, alloc)
     return plans
 
 
-def _slot_expr(p: TrainPlan, classes: list):
-    C = len(classes)
-    if not p.stratified:
-        return F.lit(C)
-    return lookup({c: i for i, c in enumerate(classes)}, F.col("label"))
-
-
-def _group_key_expr(plans: dict[int, TrainPlan], classes: list):
-    """Array of the sample groups a row belongs to: solution * (C+1) + class
-    slot (C when the solution's sample is not stratified); ``array_compact``
-    keeps it in generated code."""
-    C = len(classes)
-    items = [F.when(getbit(s) == 1, F.lit(s * (C + 1)) + _slot_expr(p, classes))
-             for s, p in plans.items() if p.eligible]
-    return F.array_compact(F.array(*items))
-
-
-def _chosen_key_expr(plans: dict[int, TrainPlan], classes: list, cut: dict, h, rid):
-    """Groups in which the row is among the sampled ones. Cut-offs are looked up
-    by class slot in per-solution literal arrays (generated code); the slot itself
-    comes from a literal map of the classes."""
-    C = len(classes)
-    big = 1 << 62
-    items = []
-    for s, p in plans.items():
-        if not p.eligible:
-            continue
-        ch, ci = [], []
-        for slot in range(C + 1):
-            c = cut.get(s * (C + 1) + slot, "absent")
-            if c == "absent":
-                ch.append(-1), ci.append(-1)            # no row of this group is taken
-            elif c is None:
-                ch.append(big), ci.append(big)          # the whole group is taken
-            else:
-                ch.append(c[0]), ci.append(c[1])
-        slot = _slot_expr(p, classes)
-        pos = (slot + 1).cast("int")
-        chv = F.element_at(F.expr("array(" + ", ".join(f"{x}L" for x in ch) + ")"), pos)
-        civ = F.element_at(F.expr("array(" + ", ".join(f"{x}L" for x in ci) + ")"), pos)
-        take = (getbit(s) == 1) & ((h < chv) | ((h == chv) & (rid <= civ)))
-        items.append(F.when(take, F.lit(s * (C + 1)) + slot))
-    return F.array_compact(F.array(*items))
-
-
-def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], classes: list,
-                       cfg: KnnFitness, stats: PopStats | None = None) -> KnnSample:
-    """Exact stratified sample of every eligible solution: per (solution,
-    class) the ``alloc`` rows with the smallest (seeded hash, row id).
-
-    Cut-offs come from the bounded radix histogram; only the chosen sample
-    rows (at most ``train_cap`` per solution) are fetched, whatever the table
-    size.
-    """
-    C = len(classes)
-    k_by_group = {}
-    for s, p in plans.items():
-        if p.eligible:
-            for lab, a in p.alloc.items():
-                slot = C if lab is None else classes.index(lab)
-                k_by_group[s * (C + 1) + slot] = a
+def _limit(k: int, n: int, slack: float) -> int:
+    """A hash below which, of ``n`` uniform ones, at least ``k`` lie almost surely (and few more)."""
+    wanted = k + (6.0 * math.sqrt(k) + 12.0) * slack
+    return HASH_RANGE if wanted >= n else int(wanted / n * HASH_RANGE)
+
+
+def _sample_ids(table: DataFrame, plans: dict[int, TrainPlan], stats: dict[int, SolutionStats], cfg: KnnFitness
+                ) -> dict[int, list[int]]:
+    """Row ids of every solution's sample: per (solution, class) the ``alloc`` rows with the smallest
+    (seeded hash, row id). One pass fetches (solution, label, hash, id) of the rows below a hash that at
+    least ``alloc`` rows lie below almost surely; a group that has fewer is asked again with a higher one."""
     h = _hash_col(table, SPLIT_HASH, cfg.seed, "split")
-    keys = _group_key_expr(plans, classes)
-    keyed = table.select("row_id", h.alias("h"), F.explode(keys).alias("grp"))
-    first = None
-    if stats is not None and stats.hist is not None:
-        first = {}
-        for s, p in plans.items():
-            if not p.eligible:
+    need = {(s, lab): a for s, p in plans.items() if p.eligible for lab, a in p.alloc.items() if a}
+    chosen: dict[int, list[int]] = {s: [] for s, p in plans.items() if p.eligible}
+    slack = 1.0
+    while need:
+        limit = {(s, lab): _limit(a, stats[s].n_selected if lab is None else stats[s].classes[lab], slack)
+                 for (s, lab), a in need.items()}
+        labels = sorted({lab for _, lab in need if lab is not None})
+        at = {s: i for i, s in enumerate(sorted({s for s, lab in need if lab is not None}))}
+        rows = table.select("row_id", "label", h.alias("h"), *[c for c in table.columns if c.startswith("mask_")])
+        if at:
+            # at most solutions x train_cap labels, as a class is only listed with a sample row
+            limits = [(lab, [limit.get((s, lab), 0) for s in at]) for lab in labels]
+            kind = table.schema["label"].dataType.simpleString()
+            small = table.sparkSession.createDataFrame(limits, f"label {kind}, limits array<bigint>")
+            rows = rows.join(F.broadcast(small), "label", "left")
+        takes = [F.when((getbit(s) == 1) & (F.col("h") < (F.lit(limit[(s, None)]) if (s, None) in limit
+                                                          else F.col("limits")[at[s]])), F.lit(s))
+                 for s in sorted({s for s, _ in need})]
+        got = (rows.select("row_id", "label", "h", F.array_compact(F.array(*takes)).alias("s")).where(F.size("s") > 0)
+               .select("row_id", "label", "h", F.explode("s").alias("s")).toPandas())
+        missing = {}
+        groups = {(s, None): part for s, part in got.groupby("s") if (s, None) in need}
+        groups |= {key: part for key, part in got.groupby(["s", "label"]) if key in need}
+        for key, a in need.items():
+            part = groups.get(key)
+            if part is None or len(part) < a:
+                missing[key] = a
                 continue
-            for lab in stats.counts[s]:
-                slot = classes.index(lab) if p.stratified else C
-                dst = first.setdefault(s * (C + 1) + slot, {})
-                for b, c in stats.hist.get((s, lab), {}).items():
-                    dst[b] = dst.get(b, 0) + c
-        first = {g: sorted(v.items()) for g, v in first.items()}
-    cut = smallest_k_cutoffs(keyed, k_by_group, first_level=first,
-                             bits_per_level=stats.hist_bits if first is not None else 8)
-    # keep only the sampled (row, group) pairs before the feature column is
-    # exploded, then fetch the bounded sample through Arrow
-    chosen = _chosen_key_expr(plans, classes, cut, h, F.col("row_id"))
-    picked = (table.select("row_id", "label", cfg.feature_col, chosen.alias("keys"))
-              .where(F.size("keys") > 0)
-              .select(F.explode("keys").alias("grp"), "row_id", "label", cfg.feature_col))
-    return _sample_from(picked.toPandas(), plans, classes, cfg, C)
-
-
-def _sample_from(pdf: pd.DataFrame, plans, classes, cfg, C) -> KnnSample:
-    cls = np.array(sorted(classes))
-    pos = {c: i for i, c in enumerate(cls.tolist())}
-    sample = KnnSample(cls)
-    pdf["s"] = pdf["grp"] // (C + 1)
-    for s, part in pdf.sort_values("row_id").groupby("s", sort=False):
-        s = int(s)
-        sample.feats[s] = np.vstack(part[cfg.feature_col].to_numpy()).astype(np.float64)
-        sample.ids[s] = part["row_id"].to_numpy(dtype=np.int64)
-        sample.labels[s] = np.asarray([pos[x] for x in part["label"].tolist()], dtype=np.int64)
-        if len(part) != plans[s].train_size:
-            raise RuntimeError(f"sample of solution {s}: {len(part)} rows, "
-                               f"expected {plans[s].train_size}")
+            order = np.lexsort((part["row_id"].to_numpy(), part["h"].to_numpy()))[:a]
+            chosen[key[0]] += part["row_id"].to_numpy()[order].tolist()
+        need, slack = missing, slack * 16
+    return chosen
+
+
+def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], stats: dict[int, SolutionStats],
+                       cfg: KnnFitness, masks: DataFrame | None = None) -> KnnSample:
+    """Exact stratified sample of every eligible solution, fetched whole (at most ``train_cap`` rows
+    a solution, whatever the table size)."""
+    ids = _sample_ids(table if masks is None else masks, plans, stats, cfg)
+    wanted = pd.DataFrame({"row_id": sorted({i for x in ids.values() for i in x})}, dtype="int64")
+    small = table.sparkSession.createDataFrame(wanted, "row_id bigint")
+    rows = (table.select("row_id", "label", cfg.feature_col).join(F.broadcast(small), "row_id")
+            .toPandas().sort_values("row_id").reset_index(drop=True))
+    labels, code = np.unique(np.array(rows["label"].tolist()), return_inverse=True)
+    feats = np.vstack(rows[cfg.feature_col].to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, 0))
+    sample, known = KnnSample(labels), rows["row_id"].to_numpy(dtype=np.int64)
+    for s, mine in ids.items():
+        if len(mine) != plans[s].train_size:
+            raise RuntimeError(f"sample of solution {s}: {len(mine)} rows, expected {plans[s].train_size}")
+        at = np.searchsorted(known, np.sort(np.array(mine, np.int64)))
+        sample.feats[s], sample.ids[s], sample.labels[s] = feats[at], known[at], code[at]
     return sample
 
 
@@ -293,25 +242,20 @@ def _within_budget(solutions: list[int], plans: dict, width: int | None, budget:
 
 
 def fitness_knn(table: DataFrame, solutions: list[int], cfg: KnnFitness | None = None,
-                counts: tuple | None = None) -> pd.DataFrame:
+                stats: PopStats | None = None, masks: DataFrame | None = None) -> pd.DataFrame:
     """Fitness of the listed solutions (parallel variant); one row per solution.
-    ``counts`` may carry a ``population_counts`` result already computed."""
+    ``stats`` may carry a ``population_stats`` result already computed, ``masks`` the narrow columns
+    of ``table`` (row_id, label, hash, mask words) for the passes that need no features."""
     cfg = cfg or KnnFitness()
-    if counts is None:
-        stats = population_counts(table, solutions, cfg.feature_col,
-                                  _hist_source(table, cfg))
-    elif isinstance(counts, PopStats):
-        stats = counts
-    else:
-        stats = PopStats(counts[0], counts[1])
-    n, counts = stats.n, stats.counts
-    counts = {s: counts[s] for s in solutions}
-    classes = sorted({lab for c in counts.values() for lab in c})
-    plans = plan_knn_training(counts, cfg)
+    if stats is None:
+        require_classes(table)
+        stats = population_stats(table, solutions, cfg.feature_col, cfg.train_cap)
+    mine = {s: stats.solutions[s] for s in solutions}
+    plans = plan_knn_training(mine, cfg)
     ok = [s for s in solutions if plans[s].eligible]
     scores = {}
     for group in _within_budget(ok, plans, stats.width, cfg.broadcast_budget):
-        sample = collect_knn_sample(table, {s: plans[s] for s in group}, classes, cfg, stats)
+        sample = collect_knn_sample(table, {s: plans[s] for s in group}, mine, cfg, masks)
         scores |= evaluate_population(table, sample, group, feature_col=cfg.feature_col, k=cfg.k,
                                       broadcast_budget=cfg.broadcast_budget)
     out = []
@@ -320,30 +264,27 @@ def fitness_knn(table: DataFrame, solutions: list[int], cfg: KnnFitness | None =
         if p.eligible:
             correct, total = scores.get(s, (0, 0))
             acc = correct / total if total else 0.0
-            out.append((s, p.n_selected, acc, weighted_fitness(acc, p.n_selected, n, cfg.alpha)))
+            out.append((s, p.n_selected, acc, weighted_fitness(acc, p.n_selected, stats.n, cfg.alpha)))
         else:
             out.append((s, p.n_selected, None, 0.0))
     return pd.DataFrame(out, columns=FITNESS_COLUMNS)
 
 
 def fitness_forest(table: DataFrame, solutions: list[int], cfg: ForestFitness | None = None,
-                   counts: tuple | None = None) -> pd.DataFrame:
+                   stats: PopStats | None = None, masks: DataFrame | None = None) -> pd.DataFrame:
     """Fitness of the sequential variant: per solution a seeded hold-out of
     ``ceil(test_fraction * n)`` rows, a random forest on the rest, accuracy on the
     hold-out, weighted with the share of removed rows."""
     from .forest import fit_forest, predict
     cfg = cfg or ForestFitness()
-    if counts is None:
-        counts = population_counts(table, solutions)
-    n, counts = (counts.n, counts.counts) if isinstance(counts, PopStats) else counts[:2]
-    counts = {s: counts[s] for s in solutions}
-    sizes = {s: sum(c.values()) for s, c in counts.items()}
+    if stats is None:
+        stats = population_stats(table, solutions)
+    n = stats.n
+    sizes = {s: stats.solutions[s].n_selected for s in solutions}
     n_test = {s: math.ceil(cfg.test_fraction * sizes[s]) for s in solutions}
     h = _hash_col(table, HOLD_HASH, cfg.seed, "holdout")
-    keyed = table.select("row_id", h.alias("h"),
-                         F.explode(F.filter(F.array(*[F.when(getbit(s) == 1, F.lit(s))
-                                                      for s in solutions]),
-                                            lambda x: x.isNotNull())).alias("grp"))
+    keyed = (table if masks is None else masks).select("row_id", h.alias("h"),
+                         F.explode(F.array_compact(F.array(*[F.when(getbit(s) == 1, F.lit(s)) for s in solutions]))).alias("grp"))
     cut = smallest_k_cutoffs(keyed, {s: n_test[s] for s in solutions if sizes[s] > 1})
     out = []
     for s in solutions:
@@ -368,182 +309,12 @@ def fitness_forest(table: DataFrame, solutions: list[int], cfg: ForestFitness |
     return pd.DataFrame(out, columns=FITNESS_COLUMNS)
 
 
-# ---------------------------------------------------------------- the search
-
-@dataclass
-class SearchResult:
-    table: DataFrame              # final population table, ``best`` column = chosen rows
-    best_fitness: float
-    history: pd.DataFrame         # generation, best, best_so_far, stall
-    fitness: pd.DataFrame         # every evaluated (generation, solution, ...)
-    n_rows: int
-    cached: DataFrame | None = None   # the persisted base under ``table``
-    last: DataFrame | None = None     # the cached last generation
-
-    def release(self) -> None:
-        """Free what the search cached; ``table`` must have been consumed."""
-        for df in (self.cached, self.last):
-            if df is not None:
-                df.unpersist()
-
-
 def fitness_custom(custom: Callable[[DataFrame, int], float], table: DataFrame, solutions: list[int],
-                   cfg: KnnFitness, counts: PopStats) -> pd.DataFrame:
+                   stats: PopStats) -> pd.DataFrame:
     """A caller's own strategy: ``custom(selected_rows, n_total)`` is the fitness of
     the solution; ``accuracy`` stays empty."""
     out = []
     for s in solutions:
-        n_sel = sum(counts.counts[s].values())
-        out.append((s, n_sel, None, float(custom(table.where(getbit(s) == 1), counts.n))))
+        n_sel = stats.solutions[s].n_selected
+        out.append((s, n_sel, None, float(custom(table.where(getbit(s) == 1), stats.n))))
     return pd.DataFrame(out, columns=FITNESS_COLUMNS)
-
-
-def _order_key(f: pd.DataFrame):
-    return sorted(zip(f["fitness"], f["solution"]))
-
-
-def evolve(table: DataFrame, *, generations: int = 50, population: int = 20, parents: int = 4,
-           mutation_rate: float = 0.10, seed: int = 42, variant: str = "parallel",
-           fitness: KnnFitness | ForestFitness | Callable | None = None,
-           on_generation: Callable[[dict], None] | None = None,
-           checkpoint_every: int = 10, patience: int | None = None,
-           cache_generations: bool | None = None,
-           cache_bytes: int = 2 << 30) -> SearchResult:
-    """Genetic search for a row subset.
-
-    ``variant="parallel"``: all parents kept, one-point crossover, exactly
-    ``int(n*rate)`` flips, best-ever solution returned, the last population is
-    not evaluated. ``variant="sequential"``: one elite, uniform crossover of
-    parents (i, i+1), at least one flip, the best of the last (evaluated)
-    population returned.
-
-    Storage: the features are cached once (with the sample-order hash). Each
-    generation's masks are a narrow projection of the previous ones. When the
-    table is small (``rows * (feature width * 4 + 64) <= cache_bytes``, both
-    known from the first counts aggregate) each generation is cached too, which
-    keeps the plans shallow; otherwise generations stay lazy projections over
-    the cached base (the feature vectors are never rewritten per generation)
-    and a reliable checkpoint every ``checkpoint_every`` generations bounds
-    lineage and plan depth. ``cache_generations`` forces either mode.
-    """
-    if variant not in ("parallel", "sequential"):
-        raise ValueError(variant)
-    if fitness is None:
-        fitness = KnnFitness(seed=seed) if variant == "parallel" else ForestFitness(seed=seed)
-    custom = None if isinstance(fitness, (KnnFitness, ForestFitness)) else fitness
-    if custom is not None:
-        fitness = KnnFitness(seed=seed)       # its hash column and feature name only
-        score = partial(fitness_custom, custom)
-    else:
-        score = fitness_knn if isinstance(fitness, KnnFitness) else fitness_forest
-    spark = table.sparkSession
-    rng = np.random.default_rng(seed)
-    base_cols = [c for c in table.columns if not c.startswith("mask_") and c != "best"
-                 and c not in (SPLIT_HASH, HOLD_HASH)]
-    # The features and the sample-order hash are cached ONCE; every generation
-    # is a lazy narrow projection of the mask words over this base, so the
-    # feature vectors are never rewritten per generation. A reliable
-    # checkpoint every ``checkpoint_every`` generations cuts lineage and plan.
-    if isinstance(fitness, KnnFitness):
-        hcol = seeded_hash(fitness.seed, "split", "row_id").alias(SPLIT_HASH)
-    else:
-        hcol = seeded_hash(fitness.seed, "holdout", "row_id").alias(HOLD_HASH)
-    base = table.select(*base_cols, hcol, *random_masks(seed, population),
-                        F.lit(0).alias("best")).persist()
-    carry = base_cols + [hcol_name(fitness)]
-    pop = base
-    knn = isinstance(fitness, KnnFitness)
-    stats = population_counts(pop, list(range(population)), fitness.feature_col,
-                              SPLIT_HASH if knn else None)   # also fills the cache
-    n, width = stats.n, stats.width
-    if n < 3:
-        raise ValueError("the search needs at least 3 rows")
-    if cache_generations is None:
-        cache_generations = n * ((width or 1) * 4 + 64) <= cache_bytes
-    gen_cache = None
-    known: dict[int, float] = {}
-    known_rows: dict[int, tuple] = {}
-    history, all_fit = [], []
-    best_so_far, stall = -1.0, 0
-    rounds = generations + (1 if variant == "sequential" else 0)
-    final_best = None
-    for g in range(rounds):
-        todo = [s for s in range(population) if s not in known]
-        if todo:
-            f = score(pop, todo, fitness, counts=stats)
-            for r in f.itertuples(index=False):
-                known[r.solution] = r.fitness
-                known_rows[r.solution] = (r.n_selected, r.accuracy)
-        fit = pd.DataFrame([(s, *known_rows[s], known[s]) for s in range(population)],
-                           columns=FITNESS_COLUMNS)
-        fit.insert(0, "generation", g)
-        all_fit.append(fit)
-        ranked = _order_key(fit)               # ascending (fitness, solution)
-        gen_best = ranked[-1][0]
-        gen_arg = min(s for f, s in ranked if f == gen_best)   # first index of the maximum
-        improved = gen_best > best_so_far
-        if improved:
-            best_so_far, stall = gen_best, 0
-        else:
-            stall += 1
-        rec = {"generation": g, "best": gen_best, "best_so_far": best_so_far, "stall": stall}
-        history.append(rec)
-        if on_generation:
-            on_generation(rec)
-        last = g == rounds - 1
-        stop = patience is not None and stall >= patience
-        best_bit = (getbit(int(gen_arg)) if (improved and variant == "parallel") or
-                    (variant == "sequential" and (last or stop)) else F.col("best"))
-        if last or stop:
-            final_best = gen_best if variant == "sequential" else best_so_far
-            # a lazy projection over the cached population; no extra pass
-            final = pop.select(*base_cols, *word_cols(population), best_bit.alias("best"))
-            break
-        if variant == "parallel":
-            par = [int(s) for _, s in ranked[-parents:]]
-            slots = parallel_plan(rng, par, population, mutation_rate)
-        else:
-            par = [int(s) for _, s in reversed(ranked[-parents:])]
-            slots = steady_state_plan(rng, par, population, mutation_rate * 100)
-        nxt = pop.select(*carry, *pack_slots_sql(slots, n, seed, g), best_bit.alias("best"))
-        if checkpoint_every and (g + 1) % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True).persist()
-            stats = population_counts(nxt, list(range(population)), fitness.feature_col,
-                                      SPLIT_HASH if knn else None)  # fills the cache
-            if gen_cache is not None:
-                gen_cache.unpersist()
-                gen_cache = None
-            base.unpersist()
-            base = nxt
-        elif cache_generations:
-            nxt = nxt.persist()
-            stats = population_counts(nxt, list(range(population)), fitness.feature_col,
-                                      SPLIT_HASH if knn else None)  # fills the cache
-            if gen_cache is not None:
-                gen_cache.unpersist()
-            gen_cache = nxt
-        else:
-            stats = population_counts(nxt, list(range(population)), fitness.feature_col,
-                                      SPLIT_HASH if knn else None)
-        pop = nxt
-        known = {i: known[sl.p0] for i, sl in enumerate(slots) if sl.kind == "copy"}
-        known_rows = {i: known_rows[sl.p0] for i, sl in enumerate(slots) if sl.kind == "copy"}
-    return SearchResult(final, float(final_best), pd.DataFrame(history),
-                        pd.concat(all_fit, ignore_index=True), n, base, gen_cache)
-
-
-def select_instances(table: DataFrame, **kw) -> tuple[DataFrame, SearchResult]:
-    """Run the search and return the rows of the chosen solution."""
-    res = evolve(table, **kw)
-    keep = [c for c in res.table.columns if not c.startswith("mask_") and c != "best"]
-    return res.table.where(F.col("best") == 1).select(*keep), res
-
-
-def selection_summary(table: DataFrame, flag_col: str = "best") -> DataFrame:
-    """Original rows, kept rows and reduction percentage (2 decimals), from one
-    aggregate over a table whose ``flag_col`` marks the kept rows."""
-    return table.agg(F.count(F.lit(1)).alias("original_rows"),
-                     F.sum(F.col(flag_col).cast("bigint")).alias("selected_rows")).select(
-        "original_rows", F.coalesce("selected_rows", F.lit(0)).alias("selected_rows"),
-        F.round((F.lit(1.0) - F.coalesce("selected_rows", F.lit(0)) / F.col("original_rows"))
-                * 100, 2).alias("reduction_pct"))

@@ -2,8 +2,10 @@
 
 Randomness is the seeded 60-bit hash of the row id, so a split is the set of
 rows with the smallest hashes; exact cut-offs come from
-:func:`smallest_k_cutoffs` (radix refinement, no global sort), positions from
-:func:`ordered_positions` (per-partition offsets, no single-task window).
+:func:`smallest_k_cutoffs` (radix refinement, no global sort) or, per class, from
+:func:`class_cutoffs`, positions from :func:`ordered_positions` (per-partition offsets, no
+single-task window). Per-class numbers are tables joined on the label, so a target may have any
+number of classes.
 """
 
 from __future__ import annotations
@@ -14,37 +16,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bits import seeded_hash
-from .guards import collect_per_class
+from ..functions.literals import named
+from ..session import write_once
+from .classes import allocated, class_cutoffs, class_table, join_classes, require_classes
 from .order_stats import smallest_k_cutoffs, within_cutoff
 from .rowid import ordered_positions
 
 
-def _label_map(values: dict, key: str = "label"):
-    from ..functions.literals import lookup
-    return lookup(values, F.col(key))
-
-
 def holdout_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42,
                   id_col: str = "row_id") -> DataFrame:
     """Adds ``is_test``: the ``ceil(test_fraction * n)`` rows with the smallest
     seeded hash are the hold-out."""
-    n = df.count()
-    n_test = math.ceil(test_fraction * n)
-    h = seeded_hash(seed, "holdout", id_col)
+    return _smallest(df, math.ceil(test_fraction * df.count()), seeded_hash(seed, "holdout", id_col), id_col, "is_test")
+
+
+def _smallest(df: DataFrame, k: int, h, id_col: str, out_col: str) -> DataFrame:
+    """Adds ``out_col``: whether the row is among the ``k`` smallest (h, id)."""
     keyed = df.select(F.lit(0).alias("grp"), h.alias("h"), F.col(id_col).alias("row_id"))
-    cut = smallest_k_cutoffs(keyed, {0: n_test})
+    cut = smallest_k_cutoffs(keyed, {0: k})
     return (df.withColumn("__h", h).withColumn("__g", F.lit(0))
-            .withColumn("is_test", within_cutoff(cut, group_col="__g", order_col="__h",
-                                                 id_col=id_col))
+            .withColumn(out_col, within_cutoff(cut, group_col="__g", order_col="__h", id_col=id_col))
             .drop("__h", "__g"))
 
 
-def class_counts(df: DataFrame, label: str = "label", id_col: str = "row_id") -> dict:
-    """``{label: (count, first row id)}`` from one aggregate."""
-    return {r[0]: (int(r[1]), int(r[2])) for r in
-            collect_per_class(df.groupBy(label).agg(F.count(F.lit(1)), F.min(id_col)))}
-
-
 def stratified_split(df: DataFrame, train_size: int | None = None, seed: int = 42,
                      label: str = "label", id_col: str = "row_id", cap: int = 1000,
                      fraction: float = 0.75) -> DataFrame:
@@ -53,54 +47,41 @@ def stratified_split(df: DataFrame, train_size: int | None = None, seed: int = 4
     ties to the smallest label, smallest seeded hashes within each class. Falls
     back to an unstratified sample when a class has one member or there are
     fewer train or test slots than classes."""
-    from .guards import TooManyClasses
-    from .selection import largest_remainder
-    try:
-        counts = {k: c for k, (c, _) in class_counts(df, label, id_col).items()}
-        n, ncls, minc = sum(counts.values()), len(counts), min(counts.values())
-    except TooManyClasses:
-        # too many classes to ship: feasibility from one aggregate row
-        st = (df.groupBy(label).count()
-              .agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("k"),
-                   F.min("count").alias("m")).first())
-        counts, n, ncls, minc = None, int(st["n"]), int(st["k"]), int(st["m"])
+    require_classes(df, label)
+    classes = class_table(df, label, id_col)
+    size = classes.agg(F.sum("class_rows").alias("n"), F.count(F.lit(1)).alias("k"), F.min("class_rows").alias("least")).first()
+    n, k = size["n"] or 0, size["k"]
     t = train_size if train_size is not None else min(cap, int(fraction * n))
-    strat = minc >= 2 and t >= ncls and n - t >= ncls
-    if strat and counts is None:
-        raise TooManyClasses(f"stratified allocation over {ncls} classes")
     h = seeded_hash(seed, "split", id_col)
-    if strat:
-        alloc = largest_remainder(t, counts)
-        labels = sorted(counts)
-        gid = {lab: i for i, lab in enumerate(labels)}
-        grp = _label_map(gid, label)
-        k_by = {gid[lab]: a for lab, a in alloc.items()}
-    else:
-        grp = F.lit(0)
-        k_by = {0: t}
-    keyed = df.select(grp.alias("grp"), h.alias("h"), F.col(id_col).alias("row_id"))
-    cut = smallest_k_cutoffs(keyed, k_by)
-    return (df.withColumn("__h", h).withColumn("__g", grp)
-            .withColumn("in_train", F.coalesce(within_cutoff(cut, group_col="__g", order_col="__h",
-                                                             id_col=id_col), F.lit(False)))
-            .drop("__h", "__g"))
+    if not (n and size["least"] >= 2 and t >= k and n - t >= k):
+        return _smallest(df, t, h, id_col, "in_train")
+    rows = df.select(named(label).alias("label"), h.alias("h"), F.col(id_col).alias("row_id"))
+    cuts = class_cutoffs(rows, allocated(classes, t))        # t >= k: every class has a row
+    alloc = classes.select("label", "class_rows").join(cuts.drop("class_rows"), "label", "left")
+    found = join_classes(df.withColumn("__h", h), write_once(alloc, "cutoffs"), label)
+    hit = (F.col("__h") < F.col("cut_hash")) | ((F.col("__h") == F.col("cut_hash")) & (F.col(id_col) <= F.col("cut_id")))
+    return found.withColumn("in_train", F.coalesce(hit, F.lit(False))).select(*df.columns, "in_train")
+
+
+def _class_positions(df: DataFrame, order: list[str], label: str) -> DataFrame:
+    """Adds ``__place``: 0-based position of the row within its class in the given order.
+    Global positions over (label, order) minus the class's first one: no window
+    partitioned by class (a class may hold a third of the table)."""
+    placed = ordered_positions(df, [label, *order], out_col="__pos")
+    first = write_once(placed.groupBy(named(label).alias("label")).agg(
+        F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("class_rows")), "first")
+    return (join_classes(placed, first, label).withColumn("__place", F.col("__pos") - F.col("__first"))
+            .drop("__pos", "__first"))
 
 
 def stratified_rank(df: DataFrame, seed: int = 42, label: str = "label",
                     id_col: str = "row_id") -> DataFrame:
     """Adds ``class_rank``: 1-based order of the row within its class by
-    (seeded hash, row id). Global positions over (label, hash, id) minus the
-    class offset: no window partitioned by class (a class may hold a third of
-    the table)."""
-    counts = class_counts(df, label, id_col)
-    off, run = {}, 0
-    for lab in sorted(counts):
-        off[lab] = run
-        run += counts[lab][0]
-    h = seeded_hash(seed, "split", id_col)
-    pos = ordered_positions(df.withColumn("__h", h), [label, "__h", id_col], out_col="__pos")
-    return pos.withColumn("class_rank", F.col("__pos") - _label_map(off, label) + 1).drop(
-        "__pos", "__h")
+    (seeded hash, row id)."""
+    require_classes(df, label)
+    hashed = df.withColumn("__h", seeded_hash(seed, "split", id_col))
+    ranked = _class_positions(hashed, ["__h", id_col], label)
+    return ranked.select(*df.columns, (F.col("__place") + 1).alias("class_rank"))
 
 
 def stratified_folds(df: DataFrame, k: int = 5, label: str = "label",
@@ -109,30 +90,16 @@ def stratified_folds(df: DataFrame, k: int = 5, label: str = "label",
     appearance; the sorted class codes are dealt round-robin to the folds, which
     fixes how many rows of each class every fold gets; within a class, rows go to
     the folds in row order."""
-    counts = class_counts(df, label, id_col)
-    order = sorted(counts, key=lambda lab: counts[lab][1])
-    cum_by, off_by, o = {}, {}, 0
-    for lab in order:
-        c = counts[lab][0]
-        per = [((o + c - i + k - 1) // k) - ((o - i + k - 1) // k) for i in range(k)]
-        run, cum = 0, []
-        for x in per:
-            run += x
-            cum.append(run)
-        cum_by[lab] = cum
-        off_by[lab] = o
-        o += c
-    grp_order = {lab: i for i, lab in enumerate(order)}
-    pos = ordered_positions(df.withColumn("__g", _label_map(grp_order, label)),
-                            ["__g", id_col], out_col="__pos")
-    r = F.col("__pos") - _label_map(off_by, label)
-    from ..functions.literals import sql_literal
-    keys = ", ".join(sql_literal(lab) for lab in cum_by)
-    vals = ", ".join("array(" + ", ".join(sql_literal(x) for x in cum) + ")"
-                     for cum in cum_by.values())
-    cums = F.element_at(F.expr(f"map_from_arrays(array({keys}), array({vals}))"), F.col(label))
-    fold = F.size(F.filter(cums, lambda x: x <= r)).cast("int")
-    return pos.withColumn("fold", fold).drop("__pos", "__g")
+    require_classes(df, label)
+    classes = ordered_positions(class_table(df, label, id_col), ["first_id"], weight_col="class_rows", out_col="__before")
+    placed = _class_positions(df, [id_col], label).drop("class_rows")
+    dealt = join_classes(placed, write_once(classes.select("label", "class_rows", "__before"), "dealt"), label)
+    upto, fold = F.lit(0), F.lit(0)
+    for i in range(k):
+        # rows of this class that the dealing gives to fold i
+        upto = upto + F.expr(f"(__before + class_rows - {i} + {k - 1}) div {k} - (__before - {i} + {k - 1}) div {k}")
+        fold = fold + (upto <= F.col("__place")).cast("int")
+    return dealt.select(*df.columns, fold.alias("fold"))
 
 
 def kfolds(df: DataFrame, n: int, k: int = 5, id_col: str = "row_id") -> DataFrame:

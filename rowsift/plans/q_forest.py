@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import forest, split
 from ..operators.preprocess import preprocess
-from ..operators.selection import ForestFitness, evolve, fitness_forest
+from ..operators.search import evolve
+from ..operators.selection import ForestFitness, fitness_forest
 from ..sources.tables import prepared_embeddings, scan_table
 from .catalog import register
 from .q_tabular import H_HOLD

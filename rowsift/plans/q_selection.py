@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.bits import random_masks
-from ..operators.selection import KnnFitness, evolve, fitness_knn, selection_summary
+from ..operators.search import (best_of_generation, evolve, fitness_history, log_folder, search_log, select_instances,
+                                selection_summary, track_best)
+from ..operators.selection import KnnFitness, fitness_knn
 from ..sources.tables import prepared_embeddings
 from .catalog import register
 from .sql_selection import fitness_knn_sql, population_sql
@@ -38,12 +40,25 @@ def q_fitness_knn(spark, sf_dir):
     return _rounded(_to_frame(spark, f, FITNESS_SCHEMA))
 
 
-def flagship(spark, sf_dir, generations: int = 2):
-    """The selected rows of a seeded parallel search (5-NN fitness)."""
-    from ..operators.selection import select_instances
-    rows, _ = select_instances(prepared_embeddings(spark, sf_dir), generations=generations,
-                               population=POPULATION, parents=4, mutation_rate=0.10, seed=SEED)
-    return rows.select("row_id", "label")
+# The reference's configuration of the parallel search; one logged search serves all queries that read it.
+PARENTS = 4
+RATE = 0.10
+DEFAULTS = dict(generations=50, population=POPULATION, parents=PARENTS, mutation_rate=RATE, seed=SEED)
+
+
+def _search(spark, sf_dir):
+    """The finished search, replayed from its log where that is whole."""
+    table = prepared_embeddings(spark, sf_dir)
+    return evolve(table, log=log_folder(table, **DEFAULTS), **DEFAULTS)
+
+
+def _log(spark, sf_dir):
+    return search_log(prepared_embeddings(spark, sf_dir), **DEFAULTS)
+
+
+def flagship(spark, sf_dir):
+    """The selected rows of the seeded parallel search (5-NN fitness, 50 generations of 20 solutions)."""
+    return _search(spark, sf_dir).table.where(F.col("best") == 1).select("row_id", "label")
 
 
 # ------------------------------------------------------------------ population operators
@@ -51,12 +66,8 @@ def flagship(spark, sf_dir, generations: int = 2):
 import numpy as np  # noqa: E402
 
 from ..functions.bits import getbit, pack_bits  # noqa: E402
-from ..operators.population import Mutation, Slot, parallel_plan, slot_bit  # noqa: E402
-from .sql_selection import (evolve_parallel_rows_sql, evolve_two_generations_sql, next_population_sql,  # noqa: E402
-                            population_sql as _pop_sql)
-
-PARENTS = 4
-RATE = 0.10
+from ..operators.population import Mutation, Slot, parallel_plan, slot_bit, slot_cutoffs  # noqa: E402
+from .sql_selection import evolve_parallel_sql, next_population_sql, population_sql as _pop_sql  # noqa: E402
 
 
 def _population(spark, d):
@@ -148,7 +159,8 @@ def q_best_solution(spark, d):
 def _apply(spark, d, slots, generation=0):
     pop = _population(spark, d)
     n = pop.count()
-    bits = [slot_bit(sl, n, SEED, generation) for sl in slots]
+    cuts = slot_cutoffs(spark, n, slots)
+    bits = [slot_bit(sl, n, SEED, generation, cuts) for sl in slots]
     return pop.select("row_id", *pack_bits(bits))
 
 
@@ -206,40 +218,35 @@ def q_next_population(spark, d):
     return _apply(spark, d, NEXT_POP)
 
 
-# ------------------------------------------------------------------ the search (2 generations)
+# ------------------------------------------------------------------ the search (50 generations)
 
-EVO = evolve_two_generations_sql(SEED, POPULATION, PARENTS, RATE)
+EVO = evolve_parallel_sql(SEED, POPULATION, PARENTS, RATE, DEFAULTS["generations"])
 
 
-def _search(spark, d):
-    from ..operators.selection import evolve
-    return evolve(prepared_embeddings(spark, d), generations=2, population=POPULATION,
-                  parents=PARENTS, mutation_rate=RATE, seed=SEED)
+def _rounded_log(log):
+    return log.select("generation", "solution", "n_selected", F.round("accuracy", 6).alias("accuracy"),
+                      F.round("fitness", 6).alias("fitness"))
 
 
 @register("evolve", EVO["fitness"])
 def q_evolve(spark, d):
-    """Fitness of every solution of both generations of a 2-generation search."""
-    res = _search(spark, d)
-    f = spark.createDataFrame(res.fitness, "generation int, solution int, n_selected bigint, "
-                                           "accuracy double, fitness double")
-    return f.select("generation", "solution", "n_selected", F.round("accuracy", 6).alias("accuracy"),
-                    F.round("fitness", 6).alias("fitness"))
+    """Fitness of every solution of all 50 generations, from the search's log."""
+    return _rounded_log(_log(spark, d))
 
 
 @register("fitness_history", EVO["history"])
 def q_fitness_history(spark, d):
     """Per generation best, best so far and generations without improvement."""
-    res = _search(spark, d)
-    h = spark.createDataFrame(res.history, "generation int, best double, best_so_far double, stall int")
-    return h.select("generation", F.round("best", 6).alias("best"),
-                    F.round("best_so_far", 6).alias("best_so_far"), "stall")
+    return fitness_history(_log(spark, d)).select(
+        "generation", F.round("best", 6).alias("best"), F.round("best_so_far", 6).alias("best_so_far"), "stall")
 
 
 @register("select_instances", EVO["rows"])
 def q_select_instances(spark, d):
-    """Rows of the best solution found by a 2-generation parallel search."""
-    return flagship(spark, d, generations=2)
+    """Rows of the best solution found by the 50 generations of the parallel search."""
+    rows, _ = select_instances(prepared_embeddings(spark, d),
+                               log=log_folder(prepared_embeddings(spark, d), **DEFAULTS), **DEFAULTS)
+    return rows.select("row_id", "label")
 
 
 # ------------------------------------------------------------------ more selection operators
@@ -264,18 +271,10 @@ def q_select_parents(spark, d):
                                  "slot int, solution int")
 
 
-EVO_FIT = EVO["fitness"]
-
-
-@register("best_of_generation", f"""
-SELECT generation, arg_max(solution, (fitness, -solution)) AS solution, max(fitness) AS fitness
-FROM ({EVO_FIT}) GROUP BY generation""")
+@register("best_of_generation", EVO["of_generation"])
 def q_best_of_generation(spark, d):
     """Best fitness and its solution (ties to the smaller index) per generation."""
-    f = q_evolve(spark, d)
-    return f.groupBy("generation").agg(
-        F.max_by("solution", F.struct("fitness", -F.col("solution"))).alias("solution"),
-        F.max("fitness").alias("fitness"))
+    return best_of_generation(_rounded_log(_log(spark, d)))
 
 
 @register("selection_summary", f"""
@@ -283,77 +282,43 @@ SELECT (SELECT count(*) FROM embeddings) AS original_rows, count(*) AS selected_
        round((1 - count(*) / (SELECT count(*) FROM embeddings)) * 100, 2) AS reduction_pct
 FROM ({EVO["rows"]})""")
 def q_selection_summary(spark, d):
-    """Original and kept rows of the 2-generation search and the reduction in
-    percent (2 decimals), from one aggregate over the flagged table."""
-    from ..operators.selection import selection_summary
-    res = _search(spark, d)
-    return selection_summary(res.table, "best")
-
-
-@register("track_best", f"""
-{EVO["rows"].split("SELECT row_id, label FROM g1")[0]}
-SELECT CASE WHEN b1.fitness > b0.fitness THEN 1 ELSE 0 END AS generation,
-       CASE WHEN b1.fitness > b0.fitness THEN b1.solution ELSE b0.solution END AS solution,
-       round(greatest(b0.fitness, b1.fitness), 6) AS fitness
-FROM b0, b1""")
+    """Original and kept rows of the search and the reduction in percent (2 decimals),
+    from one aggregate over the flagged table."""
+    return selection_summary(_search(spark, d).table, "best")
+
+
+@register("track_best", EVO["best"])
 def q_track_best(spark, d):
     """Best-ever solution of the search (strict improvement): the generation
     it was found in, its index then, its fitness."""
-    res = _search(spark, d)
-    f = res.fitness
-    best, where = -1.0, None
-    for g in sorted(f.generation.unique()):
-        gf = f[f.generation == g]
-        top = max(zip(gf.fitness, -gf.solution))
-        top = (top[0], -top[1])
-        if top[0] > best:
-            best, where = top[0], (int(g), int(top[1]))
-    return spark.createDataFrame([(where[0], where[1], round(best, 6))],
-                                 "generation int, solution int, fitness double")
-
-
-@register("search_defaults", evolve_parallel_rows_sql(SEED, POPULATION, PARENTS, RATE, 50))
-def q_search_defaults(spark, d):
-    """The reference's configuration of the parallel search: 50 generations of
-    20 solutions, 4 parents, 10% mutation, 5-NN fitness; rows of the best-ever
-    solution (lineage cut by a checkpoint every 10 generations)."""
-    rows, _ = select_instances_defaults(spark, d)
-    return rows.select("row_id", "label")
+    return track_best(_log(spark, d)).withColumn("fitness", F.round("fitness", 6))
 
 
-def select_instances_defaults(spark, d):
-    from ..operators.selection import select_instances
-    return select_instances(prepared_embeddings(spark, d), generations=50, population=POPULATION,
-                            parents=PARENTS, mutation_rate=RATE, seed=SEED, checkpoint_every=10)
+@register("search_defaults", EVO["rows"])
+def q_search_defaults(spark, d):
+    """The reference's configuration of the parallel search: 50 generations of 20 solutions, 4
+    parents, 10% mutation, 5-NN fitness; rows of the best-ever solution, searched without a log."""
+    rows, _ = select_instances(prepared_embeddings(spark, d), **DEFAULTS)
+    return rows.select("row_id", "label")
 
 
 from .sql_selection import evolve_sequential_sql  # noqa: E402
 
-SEQ = evolve_sequential_sql(SEED, POPULATION, PARENTS, RATE, 2)
-
-
-def _sequential_knn(spark, d):
-    from ..operators.selection import evolve
-    return evolve(prepared_embeddings(spark, d), generations=2, population=POPULATION,
-                  parents=PARENTS, mutation_rate=RATE, seed=SEED, variant="sequential",
-                  fitness=KnnFitness(seed=SEED))
+SEQ = evolve_sequential_sql(SEED, POPULATION, PARENTS, RATE, DEFAULTS["generations"])
+SEQUENTIAL = DEFAULTS | dict(variant="sequential", fitness=KnnFitness(seed=SEED))
 
 
 @register("evolve_sequential_knn", SEQ["fitness"])
 def q_evolve_sequential_knn(spark, d):
     """Sequential variant (one elite, uniform crossover, at-least-one-gene
-    mutation) scored by 5-NN: fitness of the 3 evaluated populations of a
-    2-generation search."""
-    res = _sequential_knn(spark, d)
-    f = spark.createDataFrame(res.fitness, "generation int, solution int, n_selected bigint, "
-                                           "accuracy double, fitness double")
-    return f.select("generation", "solution", "n_selected", F.round("accuracy", 6).alias("accuracy"),
-                    F.round("fitness", 6).alias("fitness"))
+    mutation) scored by 5-NN: fitness of the 51 evaluated populations of the search, from its log."""
+    return _rounded_log(search_log(prepared_embeddings(spark, d), **SEQUENTIAL))
 
 
 @register("select_instances_sequential", SEQ["rows"])
 def q_select_instances_sequential(spark, d):
     """Rows of the best solution of the last population of the sequential
-    variant (5-NN fitness, 2 generations)."""
-    res = _sequential_knn(spark, d)
+    variant (5-NN fitness, 50 generations)."""
+    table = prepared_embeddings(spark, d)
+    res = evolve(table, log=log_folder(table, **SEQUENTIAL), **SEQUENTIAL)
     return res.table.where(F.col("best") == 1).select("row_id", "label")

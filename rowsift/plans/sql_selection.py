@@ -108,72 +108,55 @@ def next_population_sql(pop_sql: str, slots, population: int, seed: int, generat
             f"CAST({packed} AS BIGINT) AS mask_0 FROM prev_rows")
 
 
-def evolve_two_generations_sql(seed: int, population: int, parents: int, rate: float,
-                               base: str = EMBEDDINGS_BASE) -> dict[str, str]:
-    """Oracles of a two-generation parallel search: per-generation fitness,
-    history and the chosen rows. The driver-side draws are replayed here."""
-    import numpy as np
-
-    from ..operators.population import parallel_plan
-    slots = parallel_plan(np.random.default_rng(seed), list(range(parents)), population, rate)
-    par = {j: f"(SELECT solution FROM par WHERE pos = {j})" for j in range(parents)}
-    g1 = next_population_sql("SELECT * FROM g0", slots, population, seed, 0, par)
-    head = f"""
-WITH g0 AS ({population_sql(seed, population, base)}),
-f0 AS ({fitness_table_sql("SELECT * FROM g0", population, seed)}),
-par AS (SELECT solution, pos FROM (
-          SELECT solution, row_number() OVER (ORDER BY fitness, solution) - 1 - {population - parents} AS pos
-          FROM f0) WHERE pos >= 0),
-g1 AS ({g1}),
-f1 AS ({fitness_table_sql("SELECT * FROM g1", population, seed)}),
-b0 AS (SELECT solution, fitness FROM f0 ORDER BY fitness DESC, solution LIMIT 1),
-b1 AS (SELECT solution, fitness FROM f1 ORDER BY fitness DESC, solution LIMIT 1)"""
-    fit = f"""{head}
-SELECT 0 AS generation, solution, n_selected, round(accuracy, 6) AS accuracy, round(fitness, 6) AS fitness FROM f0
-UNION ALL
-SELECT 1, solution, n_selected, round(accuracy, 6), round(fitness, 6) FROM f1"""
-    hist = f"""{head}
-SELECT 0 AS generation, round(b0.fitness, 6) AS best, round(b0.fitness, 6) AS best_so_far, 0 AS stall FROM b0
-UNION ALL
-SELECT 1, round(b1.fitness, 6), round(greatest(b0.fitness, b1.fitness), 6),
-       CASE WHEN b1.fitness > b0.fitness THEN 0 ELSE 1 END FROM b0, b1"""
-    rows = f"""{head}
-SELECT row_id, label FROM g1
-WHERE (SELECT fitness FROM b1) > (SELECT fitness FROM b0)
-  AND ((mask_0 >> (SELECT solution FROM b1)) & 1) = 1
-UNION ALL
-SELECT row_id, label FROM g0
-WHERE NOT ((SELECT fitness FROM b1) > (SELECT fitness FROM b0))
-  AND ((mask_0 >> (SELECT solution FROM b0)) & 1) = 1"""
-    return {"fitness": fit, "history": hist, "rows": rows}
-
-
-def evolve_parallel_rows_sql(seed: int, population: int, parents: int, rate: float, generations: int,
-                             base: str = EMBEDDINGS_BASE) -> str:
-    """Oracle of a parallel search of any length: the rows of the best-ever solution
-    (the first generation and the first index that reach the highest fitness)."""
-    import numpy as np
-
-    from ..operators.population import parallel_plan
-    rng = np.random.default_rng(seed)
+def _search_sql(seed: int, population: int, generations: int, plans: list, parent_order: str, positions: str,
+                base: str) -> str:
+    """The CTEs g0, f0, g1, f1, ... of a search: populations and their fitness, parents by rank."""
     ctes = [f"g0 AS MATERIALIZED ({population_sql(seed, population, base)})"]
     for g in range(generations):
         ctes.append(f"f{g} AS MATERIALIZED ({fitness_table_sql(f'SELECT * FROM g{g}', population, seed)})")
         if g == generations - 1:
             break
         ctes.append(f"""par{g} AS MATERIALIZED (SELECT solution, pos FROM (
-          SELECT solution, row_number() OVER (ORDER BY fitness, solution) - 1 - {population - parents} AS pos
-          FROM f{g}) WHERE pos >= 0)""")
-        slots = parallel_plan(rng, list(range(parents)), population, rate)
-        par = {j: f"(SELECT solution FROM par{g} WHERE pos = {j})" for j in range(parents)}
-        nxt = next_population_sql(f"SELECT * FROM g{g}", slots, population, seed, g, par)
+          SELECT solution, row_number() OVER (ORDER BY {parent_order}) - 1 - {positions} AS pos FROM f{g}) WHERE pos >= 0)""")
+        used = {p for sl in plans[g] for p in (sl.p0, sl.p1) if p >= 0}
+        par = {j: f"(SELECT solution FROM par{g} WHERE pos = {j})" for j in used}
+        nxt = next_population_sql(f"SELECT * FROM g{g}", plans[g], population, seed, g, par)
         ctes.append(f"g{g + 1} AS MATERIALIZED ({nxt})")
-    every = " UNION ALL ".join(f"SELECT {g} AS generation, solution, fitness FROM f{g}" for g in range(generations))
-    ctes.append(f"best AS MATERIALIZED (SELECT generation, solution FROM ({every}) "
-                "ORDER BY fitness DESC, generation, solution LIMIT 1)")
-    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(
+    every = " UNION ALL ".join(f"SELECT {g} AS generation, * FROM f{g}" for g in range(generations))
+    ctes.append(f"every AS MATERIALIZED ({every})")
+    return "WITH " + ",\n".join(ctes)
+
+
+FITNESS_OF_SEARCH = """
+SELECT generation, solution, n_selected, round(accuracy, 6) AS accuracy, round(fitness, 6) AS fitness FROM every"""
+
+
+def evolve_parallel_sql(seed: int, population: int, parents: int, rate: float, generations: int,
+                        base: str = EMBEDDINGS_BASE) -> dict[str, str]:
+    """Oracles of a parallel search of any length: the fitness of all solutions, the history, the best-ever
+    solution (the first generation and the first index that reach the highest fitness) and its rows.
+    The driver-side draws are replayed here."""
+    import numpy as np
+
+    from ..operators.population import parallel_plan
+    rng = np.random.default_rng(seed)
+    plans = [parallel_plan(rng, list(range(parents)), population, rate) for _ in range(generations - 1)]
+    head = _search_sql(seed, population, generations, plans, "fitness, solution", str(population - parents), base) + """,
+best AS MATERIALIZED (SELECT generation, solution, fitness FROM every ORDER BY fitness DESC, generation, solution LIMIT 1)"""
+    rows = head + "\n" + "\nUNION ALL\n".join(
         f"SELECT row_id, label FROM g{g} WHERE (SELECT generation FROM best) = {g} "
         f"AND ((mask_0 >> (SELECT solution FROM best)) & 1) = 1" for g in range(generations))
+    history = head + """,
+top AS (SELECT generation, max(fitness) AS best FROM every GROUP BY generation),
+run AS (SELECT *, max(best) OVER (ORDER BY generation) AS best_so_far FROM top),
+new AS (SELECT *, best_so_far > coalesce(lag(best_so_far) OVER (ORDER BY generation), -1) AS better FROM run)
+SELECT generation, round(best, 6) AS best, round(best_so_far, 6) AS best_so_far,
+       generation - max(CASE WHEN better THEN generation END) OVER (ORDER BY generation) AS stall FROM new"""
+    of_generation = f"""{head}
+SELECT generation, arg_max(solution, (fitness, -solution)) AS solution, max(fitness) AS fitness
+FROM ({FITNESS_OF_SEARCH}) GROUP BY generation"""
+    return {"fitness": head + FITNESS_OF_SEARCH, "history": history, "rows": rows, "of_generation": of_generation,
+            "best": f"{head}\nSELECT generation, solution, round(fitness, 6) AS fitness FROM best"}
 
 
 def evolve_sequential_sql(seed: int, population: int, parents: int, rate: float,
@@ -186,23 +169,9 @@ def evolve_sequential_sql(seed: int, population: int, parents: int, rate: float,
 
     from ..operators.population import steady_state_plan
     rng = np.random.default_rng(seed)
-    ctes = [f"g0 AS ({population_sql(seed, population, base)})",
-            f"f0 AS ({fitness_table_sql('SELECT * FROM g0', population, seed)})"]
-    for g in range(generations):
-        slots = steady_state_plan(rng, list(range(parents)), population, rate * 100)
-        ctes.append(f"""par{g} AS (SELECT solution, pos FROM (
-          SELECT solution, row_number() OVER (ORDER BY fitness DESC, solution DESC) - 1 AS pos
-          FROM f{g}) WHERE pos < {parents})""")
-        par = {j: f"(SELECT solution FROM par{g} WHERE pos = {j})" for j in range(parents)}
-        nxt = next_population_sql(f"SELECT * FROM g{g}", slots, population, seed, g, par)
-        ctes.append(f"g{g + 1} AS ({nxt})")
-        ctes.append(f"f{g + 1} AS ({fitness_table_sql(f'SELECT * FROM g{g + 1}', population, seed)})")
-    last = generations
-    head = "WITH " + ",\n".join(ctes)
-    fit = head + "\n" + "\nUNION ALL\n".join(
-        f"SELECT {g} AS generation, solution, n_selected, round(accuracy, 6) AS accuracy, "
-        f"round(fitness, 6) AS fitness FROM f{g}" for g in range(last + 1))
+    plans = [steady_state_plan(rng, list(range(parents)), population, rate * 100) for _ in range(generations)]
+    head = _search_sql(seed, population, generations + 1, plans, "fitness DESC, solution DESC", "0", base)
     rows = head + f""",
-b AS (SELECT solution FROM f{last} ORDER BY fitness DESC, solution LIMIT 1)
-SELECT row_id, label FROM g{last} WHERE ((mask_0 >> (SELECT solution FROM b)) & 1) = 1"""
-    return {"fitness": fit, "rows": rows}
+b AS (SELECT solution FROM f{generations} ORDER BY fitness DESC, solution LIMIT 1)
+SELECT row_id, label FROM g{generations} WHERE ((mask_0 >> (SELECT solution FROM b)) & 1) = 1"""
+    return {"fitness": head + FITNESS_OF_SEARCH, "rows": rows}

@@ -50,16 +50,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = _configured(spark)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="rowsift-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def _configured(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that outlives the application: the configured one, of which each application's
+    checkpoint folder is a part; in tests, where none is configured, the scratch folder."""
+    own = ensure_checkpoint_dir(spark)
+    return _configured(spark) or own
+
+
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table under the shared checkpoint folder and read
     it back: computed once, the same for every reader, safe from lost executors."""
