@@ -11,16 +11,18 @@ target may have any number of classes.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions.bits import HASH_RANGE, getbit, seeded_hash
+from ..functions.bits import HASH_RANGE, WORD_BITS, getbit, seeded_hash
 from ..session import write_once
 from .classes import require_classes
 from .knn import KnnSample, evaluate_population
@@ -28,6 +30,7 @@ from .order_stats import smallest_k_cutoffs, within_cutoff
 
 FITNESS_COLUMNS = ["solution", "n_selected", "accuracy", "fitness"]
 SPLIT_HASH = "__h_split"       # cached seeded hash of the training-sample order
+HELD_CLASSES = 50_000          # classes that a task counts before it sends them
 HOLD_HASH = "__h_holdout"      # cached seeded hash of the hold-out order
 
 
@@ -82,41 +85,81 @@ class PopStats:
     width: int | None = None          # longest feature array
 
 
+def _selected(rb: pa.RecordBatch, solutions: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(solution, places of the rows it keeps)"""
+    words = {}
+    for s in solutions:
+        w, b = divmod(s, WORD_BITS)
+        if w not in words:
+            words[w] = np.asarray(rb.column(f"mask_{w}"))
+        yield s, np.flatnonzero((words[w] >> b) & 1)
+
+
+def _mask_cols(solutions: list[int]) -> list[str]:
+    return [f"mask_{w}" for w in sorted({s // WORD_BITS for s in solutions})]
+
+
+def _class_counts(solutions: list[int], kind: pa.DataType):
+    """Rows per (class, solution) of a task's rows; sent on when many classes have come up."""
+    def table(held: dict) -> pa.RecordBatch:
+        counts = np.stack(list(held.values()))
+        return pa.RecordBatch.from_arrays([pa.array(list(held), kind), *[pa.array(counts[:, j]) for j in range(counts.shape[1])]],
+                                          names=["label", *[f"c{s}" for s in solutions], "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for rb in batches:
+            d = rb.column("label").dictionary_encode()
+            code = np.asarray(d.indices)
+            counts = np.zeros((len(d.dictionary), len(solutions) + 1), np.int64)
+            for j, (_, at) in enumerate(_selected(rb, solutions)):
+                counts[:, j] = np.bincount(code[at], minlength=len(counts))
+            counts[:, -1] = np.bincount(code, minlength=len(counts))
+            for lab, c in zip(d.dictionary.to_pylist(), counts):
+                held[lab] = held[lab] + c if lab in held else c
+            if len(held) > HELD_CLASSES:
+                yield table(held)
+                held = {}
+        if held:
+            yield table(held)
+    return run
+
+
 def population_stats(table: DataFrame, solutions: list[int], width_col: str | None = None,
                      most_classes: int = 1000) -> PopStats:
     """Rows, classes and smallest class of every solution, and the rows per class of those with at
     most ``most_classes`` classes.
 
-    One aggregate by label. Up to ``most_classes`` of its rows are fetched; a larger one is
-    written, summed up to one row, and only the classes of the solutions that have few of them are fetched."""
-    aggs = [F.sum(getbit(s)).alias(f"c{s}") for s in solutions] + [F.count(F.lit(1)).alias("n")]
-    if width_col:
-        aggs.append(F.max(F.size(width_col)).alias("w"))
-    per_class = table.groupBy("label").agg(*aggs)
+    Classes are counted inside the tasks and added up by label. Up to ``most_classes`` rows of that are
+    fetched; a larger one is written, summed up to one row, and only the classes of the solutions that
+    have few of them are fetched."""
+    kind = table.schema["label"].dataType
+    counted = table.select("label", *_mask_cols(solutions)).where("label is not null").mapInArrow(
+        _class_counts(solutions, to_arrow_type(kind)),
+        ", ".join([f"label {kind.simpleString()}", *[f"c{s} long" for s in solutions], "n long"]))
+    per_class = counted.groupBy("label").agg(*[F.expr(f"sum({c}) as {c}") for c in counted.columns[1:]])
+    width = table.agg(F.max(F.size(width_col))).first()[0] if width_col else None
     rows = per_class.limit(most_classes + 1).collect()
     if len(rows) <= most_classes:
         out = {s: SolutionStats(classes={}) for s in solutions}
         for r in rows:
             for s in solutions:
-                c = int(r[f"c{s}"] or 0)
-                if c:
-                    out[s].classes[r["label"]] = c
+                if r[f"c{s}"]:
+                    out[s].classes[r["label"]] = int(r[f"c{s}"])
         for st in out.values():
             if st.classes:
                 st.n_selected, st.n_classes = sum(st.classes.values()), len(st.classes)
                 st.smallest = min(st.classes.values())
-        n, width = sum(int(r["n"]) for r in rows), max((int(r["w"] or 0) for r in rows), default=0) if width_col else None
-        return PopStats(n, out, width)
+        return PopStats(sum(int(r["n"]) for r in rows), out, width)
     per_class = write_once(per_class, "class-counts")
-    total = per_class.agg(F.sum("n").alias("n"), F.max("w").alias("w") if width_col else F.lit(None).alias("w"),
-                          *[e for s in solutions for e in (F.sum(f"c{s}").alias(f"n{s}"), F.count_if(F.col(f"c{s}") > 0).alias(f"k{s}"),
-                                                           F.min(F.when(F.col(f"c{s}") > 0, F.col(f"c{s}"))).alias(f"m{s}"))]).first()
+    sums = [F.expr(e) for s in solutions for e in (f"sum(c{s}) as n{s}", f"count_if(c{s} > 0) as k{s}", f"min(nullif(c{s}, 0)) as m{s}")]
+    total = per_class.agg(F.sum("n").alias("n"), *sums).first()
     out = {s: SolutionStats(int(total[f"n{s}"]), int(total[f"k{s}"]), int(total[f"m{s}"] or 0)) for s in solutions}
     few = [s for s in solutions if out[s].n_classes <= most_classes]
     for s in few:
         out[s].classes = {r["label"]: int(r["c"]) for r in
                           per_class.where(F.col(f"c{s}") > 0).select("label", F.col(f"c{s}").alias("c")).collect()}
-    return PopStats(int(total["n"]), out, total["w"])
+    return PopStats(int(total["n"]), out, width)
 
 
 def largest_remainder(total: int, counts: dict) -> dict:
@@ -168,27 +211,20 @@ def _sample_ids(table: DataFrame, plans: dict[int, TrainPlan], stats: dict[int,
     h = _hash_col(table, SPLIT_HASH, cfg.seed, "split")
     need = {(s, lab): a for s, p in plans.items() if p.eligible for lab, a in p.alloc.items() if a}
     chosen: dict[int, list[int]] = {s: [] for s, p in plans.items() if p.eligible}
-    slack = 1.0
+    kind, slack = table.schema["label"].dataType.simpleString(), 1.0
     while need:
-        limit = {(s, lab): _limit(a, stats[s].n_selected if lab is None else stats[s].classes[lab], slack)
-                 for (s, lab), a in need.items()}
-        labels = sorted({lab for _, lab in need if lab is not None})
-        at = {s: i for i, s in enumerate(sorted({s for s, lab in need if lab is not None}))}
-        rows = table.select("row_id", "label", h.alias("h"), *[c for c in table.columns if c.startswith("mask_")])
-        if at:
-            # at most solutions x train_cap labels, as a class is only listed with a sample row
-            limits = [(lab, [limit.get((s, lab), 0) for s in at]) for lab in labels]
-            kind = table.schema["label"].dataType.simpleString()
-            small = table.sparkSession.createDataFrame(limits, f"label {kind}, limits array<bigint>")
-            rows = rows.join(F.broadcast(small), "label", "left")
-        takes = [F.when((getbit(s) == 1) & (F.col("h") < (F.lit(limit[(s, None)]) if (s, None) in limit
-                                                          else F.col("limits")[at[s]])), F.lit(s))
-                 for s in sorted({s for s, _ in need})]
-        got = (rows.select("row_id", "label", "h", F.array_compact(F.array(*takes)).alias("s")).where(F.size("s") > 0)
-               .select("row_id", "label", "h", F.explode("s").alias("s")).toPandas())
+        limits: dict[int, dict] = {}           # at most train_cap labels a solution, as each has a sample row
+        for (s, lab), a in need.items():
+            n = stats[s].n_selected if lab is None else stats[s].classes[lab]
+            limits.setdefault(s, {})[lab] = _limit(a, n, slack)
+        rows = table.select("row_id", "label", h.alias("h"), *_mask_cols(list(limits))).where("label is not null")
+        sent = table.sparkSession.sparkContext.broadcast(limits)
+        got = rows.mapInArrow(_below(sent), f"s int, label {kind}, h long, row_id long").toPandas()
+        sent.unpersist()
+        whole = {s for s, x in limits.items() if None in x}
+        groups = {(s, None): part for s, part in got[got.s.isin(whole)].groupby("s")}
+        groups |= {(int(s), lab): part for (s, lab), part in got[~got.s.isin(whole)].groupby(["s", "label"])}
         missing = {}
-        groups = {(s, None): part for s, part in got.groupby("s") if (s, None) in need}
-        groups |= {key: part for key, part in got.groupby(["s", "label"]) if key in need}
         for key, a in need.items():
             part = groups.get(key)
             if part is None or len(part) < a:
@@ -200,6 +236,26 @@ def _sample_ids(table: DataFrame, plans: dict[int, TrainPlan], stats: dict[int,
     return chosen
 
 
+def _below(sent):
+    """(s, label, h, row_id) of the rows whose hash is below their group's limit."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        limits = sent.value
+        for rb in batches:
+            d = rb.column("label").dictionary_encode()
+            code, names, h = np.asarray(d.indices), d.dictionary.to_pylist(), np.asarray(rb.column("h"))
+            for s, at in _selected(rb, list(limits)):
+                mine = limits[s]
+                if None in mine:
+                    low = at[h[at] < mine[None]]
+                else:
+                    low = at[h[at] < np.array([mine.get(x, 0) for x in names], np.int64)[code[at]]]
+                if len(low):
+                    part = rb.take(pa.array(low))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(low), s, np.int32)), part.column("label"), part.column("h"),
+                                                      part.column("row_id")], names=["s", "label", "h", "row_id"])
+    return run
+
+
 def collect_knn_sample(table: DataFrame, plans: dict[int, TrainPlan], stats: dict[int, SolutionStats],
                        cfg: KnnFitness, masks: DataFrame | None = None) -> KnnSample:
     """Exact stratified sample of every eligible solution, fetched whole (at most ``train_cap`` rows

@@ -59,14 +59,12 @@ ranked AS (
   LEFT JOIN alloc2 a ON a.solution = s.solution AND a.label = s.label
   WHERE p.eligible),
 train AS (SELECT solution, row_id, label, features FROM ranked WHERE rn <= lim),
-pairs AS (
-  SELECT q.solution, q.row_id AS qid, q.label AS qlabel, t.label AS tlabel,
-         row_number() OVER (PARTITION BY q.solution, q.row_id
-                            ORDER BY list_distance(q.features, t.features), t.row_id) AS r
-  FROM sel q JOIN train t ON q.solution = t.solution),
+nearest AS (
+  SELECT q.solution, q.row_id AS qid, any_value(q.label) AS qlabel,
+         unnest(min(struct_pack(dist := list_distance(q.features, t.features), id := t.row_id, label := t.label), {k})) AS x
+  FROM sel q JOIN train t ON q.solution = t.solution GROUP BY q.solution, q.row_id),
 votes AS (
-  SELECT solution, qid, qlabel, tlabel, count(*) AS v FROM pairs WHERE r <= {k}
-  GROUP BY solution, qid, qlabel, tlabel),
+  SELECT solution, qid, qlabel, x.label AS tlabel, count(*) AS v FROM nearest GROUP BY ALL),
 pred AS (
   SELECT *, row_number() OVER (PARTITION BY solution, qid ORDER BY v DESC, tlabel) AS pr
   FROM votes),
@@ -92,20 +90,20 @@ def fitness_table_sql(pop_sql: str, population: int, seed: int = 42) -> str:
 
 
 def next_population_sql(pop_sql: str, slots, population: int, seed: int, generation: int,
-                        parent_sql: dict | None = None) -> str:
-    """Population built from ``slots``; ``parent_sql`` maps a solution id used
-    in the slots to a SQL expression of the actual solution (rank lookups)."""
+                        parent_sql: dict | None = None, parent_row: str = "") -> str:
+    """Population built from ``slots``; ``parent_sql`` maps a solution id used in the slots to a
+    column of the one-row table ``parent_row`` that holds the actual solution."""
     from ..functions.bits import WORD_BITS
     from ..operators.population import sql_slot_bit
     if population > WORD_BITS:
         raise ValueError("oracle supports one mask word")
-    n = "(SELECT count(*) FROM prev_rows)"
+    n = "n_rows"
     ps = parent_sql or {}
     bits = [sql_slot_bit(sl, n, seed, generation, "row_id", ps.get(sl.p0), ps.get(sl.p1))
             for sl in slots]
     packed = " | ".join(f"({b} << {i})" for i, b in enumerate(bits))
-    return (f"WITH prev_rows AS ({pop_sql}) SELECT row_id, label, features, "
-            f"CAST({packed} AS BIGINT) AS mask_0 FROM prev_rows")
+    return (f"SELECT row_id, label, features, CAST({packed} AS BIGINT) AS mask_0 "
+            f"FROM (SELECT *, count(*) OVER () AS n_rows FROM ({pop_sql})){parent_row and ', ' + parent_row}")
 
 
 def _search_sql(seed: int, population: int, generations: int, plans: list, parent_order: str, positions: str,
@@ -116,11 +114,10 @@ def _search_sql(seed: int, population: int, generations: int, plans: list, paren
         ctes.append(f"f{g} AS MATERIALIZED ({fitness_table_sql(f'SELECT * FROM g{g}', population, seed)})")
         if g == generations - 1:
             break
-        ctes.append(f"""par{g} AS MATERIALIZED (SELECT solution, pos FROM (
-          SELECT solution, row_number() OVER (ORDER BY {parent_order}) - 1 - {positions} AS pos FROM f{g}) WHERE pos >= 0)""")
-        used = {p for sl in plans[g] for p in (sl.p0, sl.p1) if p >= 0}
-        par = {j: f"(SELECT solution FROM par{g} WHERE pos = {j})" for j in used}
-        nxt = next_population_sql(f"SELECT * FROM g{g}", plans[g], population, seed, g, par)
+        used = sorted({p for sl in plans[g] for p in (sl.p0, sl.p1) if p >= 0})
+        ctes.append(f"""par{g} AS MATERIALIZED (SELECT {", ".join(f"max(CASE WHEN pos = {j} THEN solution END) AS p{j}" for j in used)}
+          FROM (SELECT solution, row_number() OVER (ORDER BY {parent_order}) - 1 - {positions} AS pos FROM f{g}))""")
+        nxt = next_population_sql(f"SELECT * FROM g{g}", plans[g], population, seed, g, {j: f"p{j}" for j in used}, f"par{g}")
         ctes.append(f"g{g + 1} AS MATERIALIZED ({nxt})")
     every = " UNION ALL ".join(f"SELECT {g} AS generation, * FROM f{g}" for g in range(generations))
     ctes.append(f"every AS MATERIALIZED ({every})")

@@ -64,7 +64,7 @@ def test_forest_fitness_edge_cases(spark):
 
 
 def test_patience_stops_early(spark):
-    from rowsift.operators.selection import evolve
+    from rowsift.operators.search import evolve
     res = evolve(prepared_embeddings(spark, SF_SMALL), generations=30, population=4, parents=2,
                  seed=3, patience=2)
     h = res.history

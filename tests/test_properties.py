@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rowsift.operators.population import EXACT_PRODUCT, Mutation, cut_point
+from rowsift.operators.population import Mutation, cut_point
 from rowsift.operators.rowid import ordered_positions
 from rowsift.operators.selection import largest_remainder
 
@@ -23,13 +23,11 @@ def test_largest_remainder(counts, frac):
         assert math.floor(exact) <= a <= math.floor(exact) + 1 and a <= counts[lab]
 
 
-@given(st.integers(3, 10**12), st.floats(0, 1, exclude_max=True),
-       st.floats(0, 1, exclude_max=True), st.floats(0, 1, exclude_max=True))
-def test_mutation_is_a_permutation_and_cut_in_range(n, ua, ub, uc):
-    a, b, m = Mutation(ua, ub, rate=0.1).params(n)
-    assert math.gcd(a, n) == 1 and 0 <= b < n and m == int(n * 0.1)
-    assert max(1, n // 4) <= a <= n                      # far from 0, so flips form no runs
-    assert n > EXACT_PRODUCT or a * (n - 1) + b < 2**63  # larger products are decimals
+@given(st.integers(3, 10**12), st.floats(0, 1, exclude_max=True), st.floats(0, 1, exclude_max=True))
+def test_keys_and_cut_in_range(n, ua, uc):
+    mu = Mutation(ua, uc, rate=0.1)
+    assert all(0 <= k < 1 << 31 for k in mu.keys()) and mu.count(n) == int(n * 0.1)
+    assert Mutation(ua, uc, percent=0.0).count(n) == 1
     assert 1 <= cut_point(uc, n) <= n - 2
 
 

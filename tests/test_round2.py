@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from rowsift.operators import preprocess as pp
-from rowsift.operators import selection, vectors
-from rowsift.operators.population import Mutation, flip_expr
+from rowsift.operators import search, selection, vectors
 from rowsift.operators.ranks import scatter_by_position
 from rowsift.operators.rowid import ordered_positions, with_row_id
 from rowsift.sources import delimited
@@ -46,40 +45,6 @@ def test_zip_join_refuses_unequal_lengths(spark):
     assert vectors.zip_join([a, b.filter("idx < 10")], "idx").count() == 10
 
 
-@pytest.mark.parametrize("n", [20, 997, 100_003])
-def test_mutation_flips_exactly_and_spread_out(spark, n):
-    for u in (0.0, 0.3, 0.999):
-        mu = Mutation(u, 0.4, rate=0.1)
-        rows = spark.range(n).select("id", flip_expr(mu, n, "id").alias("f")).filter("f = 1").orderBy("id").collect()
-        assert len(rows) == int(n * 0.1)
-        gaps = [b.id - a.id for a, b in zip(rows, rows[1:])]
-        assert all(g > 1 for g in gaps)
-
-
-def test_mutation_multiplier_is_large_at_any_size():
-    for n in (10**6, 10**10, 10**12, 10**15):
-        for u in (0.0, 0.5, 0.999):
-            a, b, m = Mutation(u, 0.5, rate=0.1).params(n)
-            assert n // 4 <= a <= n and m == int(n * 0.1)
-    n = 10**12
-    a, b, m = Mutation(0.2, 0.5, rate=0.1).params(n)
-    run = max_run = 0
-    for i in range(200_000):
-        run = run + 1 if (a * i + b) % n < m else 0
-        max_run = max(max_run, run)
-    assert max_run <= 2
-
-
-def test_mutation_beyond_64_bit_products(spark):
-    n = 10**12 + 39
-    mu = Mutation(0.7, 0.1, rate=0.1)
-    a, b, m = mu.params(n)
-    ids = [0, 1, 5, n - 1, n // 2, 123_456_789_012]
-    df = spark.createDataFrame([(i,) for i in ids], "row_id long")
-    got = {r.row_id: r.f for r in df.select("row_id", flip_expr(mu, n).alias("f")).collect()}
-    assert got == {i: int((a * i + b) % n < m) for i in ids}
-
-
 def test_best_is_the_first_index_of_the_maximum(spark, monkeypatch):
     emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").selectExpr("vec_id AS row_id", "label", "embedding AS features")
     seen = []
@@ -88,7 +53,7 @@ def test_best_is_the_first_index_of_the_maximum(spark, monkeypatch):
         seen.append(rows.count())
         return 0.9 if len(seen) in (2, 3) else 0.1
 
-    res = selection.evolve(emb, generations=1, population=4, parents=2, fitness=fitness)
+    res = search.evolve(emb, generations=1, population=4, parents=2, fitness=fitness)
     best = res.table.where("best = 1").count()
     assert len(seen) == 4 and res.best_fitness == 0.9 and best == seen[1]
 

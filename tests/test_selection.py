@@ -9,8 +9,9 @@ from conftest import SF_SMALL
 from rowsift.functions.bits import getbit, pack_bits, random_masks, seeded_hash
 from rowsift.operators.knn import neighbours, vote
 from rowsift.operators.order_stats import smallest_k_cutoffs, within_cutoff
-from rowsift.operators.population import Mutation, Slot, flip_expr, slot_bit
-from rowsift.operators.selection import (KnnFitness, evolve, fitness_knn, largest_remainder,
+from rowsift.operators.population import Mutation, Slot, flip_expr, mutation_cutoffs, slot_bit
+from rowsift.operators.search import evolve
+from rowsift.operators.selection import (KnnFitness, SolutionStats, fitness_knn, largest_remainder,
                                          plan_knn_training, weighted_fitness)
 from rowsift.sources.tables import prepared_embeddings
 
@@ -44,7 +45,9 @@ def test_fitness_knn_small_subsets(spark):
 
 def test_train_sizes_and_fallback():
     cfg = KnnFitness()
-    plans = plan_knn_training({0: {0: 10, 1: 10}, 1: {0: 1000, 1: 1000}, 2: {0: 1, 1: 30}}, cfg)
+    stats = {s: SolutionStats(sum(c.values()), len(c), min(c.values()), c)
+             for s, c in enumerate([{0: 10, 1: 10}, {0: 1000, 1: 1000}, {0: 1, 1: 30}])}
+    plans = plan_knn_training(stats, cfg)
     assert plans[0].train_size == 15 and plans[0].stratified
     assert sum(plans[0].alloc.values()) == 15
     assert plans[1].train_size == 1000 and plans[1].alloc == {0: 500, 1: 500}
@@ -53,12 +56,12 @@ def test_train_sizes_and_fallback():
 
 
 def test_sample_is_stratified_and_exact(spark):
-    from rowsift.operators.selection import collect_knn_sample, population_counts
+    from rowsift.operators.selection import collect_knn_sample, population_stats
     df = table(spark, 400, [0, 1, 1, 2])
     pop = df.select("*", *random_masks(5, 3)).persist()
-    n, counts = population_counts(pop, [0, 1, 2])
-    plans = plan_knn_training(counts, KnnFitness())
-    smp = collect_knn_sample(pop, plans, sorted({0, 1, 2}), KnnFitness())
+    stats = population_stats(pop, [0, 1, 2]).solutions
+    plans = plan_knn_training(stats, KnnFitness())
+    smp = collect_knn_sample(pop, plans, stats, KnnFitness())
     for s in range(3):
         assert len(smp.ids[s]) == plans[s].train_size
         got = {c: int((smp.labels[s] == i).sum()) for i, c in enumerate(smp.classes)}
@@ -90,16 +93,18 @@ def test_neighbours_brute_force():
         d = ((xq[r] - xt) ** 2).sum(1)
         exp = np.lexsort((tid, d))[:5]
         assert list(top[r]) == list(exp)
-    assert list(vote(np.array([[1, 1, 0, 0, 2]]), 3)) == [0]
+    assert list(vote(np.array([[1, 1, 0, 0, 2], [4, 3, 2, 1, 0], [9, 9, 9, 1, 1]]))) == [0, 0, 9]
 
 
 def test_exact_flip_count(spark):
     n = 997
     df = spark.range(n).withColumnRenamed("id", "row_id")
-    for u in (0.1, 0.5, 0.93):
-        mu = Mutation(u, 1 - u, rate=0.10)
-        assert df.where(flip_expr(mu, n) == 1).count() == 99
-    assert df.where(flip_expr(Mutation(0.3, 0.3, percent=0.01), n) == 1).count() == 1
+    mutations = [Mutation(u, 1 - u, rate=0.10) for u in (0.0, 0.1, 0.5, 0.93)] + [Mutation(0.3, 0.3, percent=0.01)]
+    cuts = mutation_cutoffs(spark, n, [*mutations, Mutation(0.2, 0.2, rate=0.0001)])
+    assert len(cuts) == 5
+    got = df.select(*[F.sum(flip_expr(mu, n, cuts)) for mu in mutations]).first()
+    assert list(got) == [99, 99, 99, 99, 1]
+    assert df.where(flip_expr(Mutation(0.2, 0.2, rate=0.0001), n, cuts) == 1).count() == 0
 
 
 def test_one_point_child(spark):
@@ -108,7 +113,7 @@ def test_one_point_child(spark):
         "row_id", F.lit(0b01).cast("bigint").alias("mask_0"))     # parent 0 all 1, parent 1 all 0
     sl = Slot("one_point", 0, 1, u_cut=0.5)
     cut = 1 + int(0.5 * (n - 2))
-    bits = {r.row_id: r.b for r in df.select("row_id", slot_bit(sl, n, 1, 0).alias("b")).collect()}
+    bits = {r.row_id: r.b for r in df.select("row_id", slot_bit(sl, n, 1, 0, {}).alias("b")).collect()}
     assert all(bits[i] == (1 if i < cut else 0) for i in range(n))
 
 
@@ -168,43 +173,15 @@ def test_population_wider_than_one_word(spark):
     assert sorted(cur.loc[[0, 1, 2, 3], "fitness"]) == sorted(prev["fitness"])
 
 
-def test_lazy_and_cached_generations_agree(spark):
-    emb = prepared_embeddings(spark, SF_SMALL)
-    a = evolve(emb, generations=4, population=6, parents=2, seed=12, cache_generations=True,
-               checkpoint_every=3)
-    b = evolve(emb, generations=4, population=6, parents=2, seed=12, cache_generations=False,
-               checkpoint_every=3)
-    assert a.fitness.equals(b.fitness)
-    ra = sorted(r.row_id for r in a.table.where("best = 1").collect())
-    rb = sorted(r.row_id for r in b.table.where("best = 1").collect())
-    assert ra == rb
-
-
-def test_fused_histogram_gives_the_same_sample(spark):
-    from rowsift.operators.selection import SPLIT_HASH, collect_knn_sample, population_counts
-    df = table(spark, 700, [0, 1, 1, 2, 3], d=3, seed=8)
-    pop = df.select("*", seeded_hash(42, "split", "row_id").alias(SPLIT_HASH),
-                    *random_masks(6, 5)).persist()
-    fused = population_counts(pop, list(range(5)), "features", SPLIT_HASH)
-    plain = population_counts(pop, list(range(5)), "features")
-    assert fused.counts == plain.counts and fused.n == plain.n == 700 and fused.hist
-    plans = plan_knn_training(fused.counts, KnnFitness())
-    a = collect_knn_sample(pop, plans, [0, 1, 2, 3], KnnFitness(), fused)
-    b = collect_knn_sample(pop, plans, [0, 1, 2, 3], KnnFitness(), plain)
-    for s in range(5):
-        assert list(a.ids[s]) == list(b.ids[s])
-
-
-def test_sql_text_slots_equal_column_slots(spark):
-    from rowsift.operators.population import pack_slots_sql, parallel_plan, steady_state_plan
+def test_next_words_equal_the_column_expressions(spark):
+    from rowsift.operators.population import next_masks, parallel_plan, slot_cutoffs, steady_state_plan
     n = 333
-    df = spark.range(n).withColumnRenamed("id", "row_id").select(
-        "row_id", *random_masks(4, 70))
+    df = spark.range(n).withColumnRenamed("id", "row_id").select("row_id", *random_masks(4, 70))
     rng = np.random.default_rng(5)
-    for slots in (parallel_plan(rng, [3, 61, 8, 65], 70, 0.1),
-                  steady_state_plan(rng, [62, 1, 2, 69], 70, 10.0)):
-        a = df.select("row_id", *pack_bits([slot_bit(sl, n, 4, 2) for sl in slots]))
-        b = df.select("row_id", *pack_slots_sql(slots, n, 4, 2))
+    for slots in (parallel_plan(rng, [3, 61, 8, 65], 70, 0.1), steady_state_plan(rng, [62, 1, 2, 69], 70, 10.0)):
+        cuts = slot_cutoffs(spark, n, slots)
+        a = df.select("row_id", *pack_bits([slot_bit(sl, n, 4, 2, cuts) for sl in slots]))
+        b = df.select("row_id", *next_masks(slots, n, 4, 2, cuts, ["mask_0", "mask_1"]))
         assert sorted(a.collect()) == sorted(b.collect())
 
 
@@ -218,7 +195,7 @@ def test_string_labels_search(spark):
 
 
 def test_selected_rows_match_the_best_solution(spark):
-    from rowsift.operators.selection import select_instances, selection_summary
+    from rowsift.operators.search import select_instances, selection_summary
     emb = prepared_embeddings(spark, SF_SMALL)
     rows, res = select_instances(emb, generations=3, population=8, parents=4, seed=21)
     f = res.fitness
