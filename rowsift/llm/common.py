@@ -24,6 +24,8 @@ SLICE_BYTES = 2 << 20
 HASH_BLOCK = 1 << 19
 FREE_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 _FACTOR = 0x9E3779B97F4A7C15
 CODEC = pa.Codec("zstd", compression_level=1)
 _libc: dict = {}
@@ -57,34 +59,38 @@ def stored(df: DataFrame, name: str, batch_rows: int = 0, free: bool = False) ->
     """Write ``df`` once as a Parquet table in the shared checkpoint folder and
     read it back: cuts the lineage, survives lost executors, computes ``df``
     only once and is identical for every later reader. ``batch_rows`` bounds the
-    rows that a task hands to Python at once while it is written; ``free`` drops its
+    rows that a task hands to Python at once while it is written (their bytes are always
+    bounded: a row may hold a whole block of texts); ``free`` drops its
     shuffle files once it is."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before, freed = spark.conf.get(BATCH_SETTING), spark.conf.get(FREE_SETTING, "false")
+    wanted = {BYTES_SETTING: str(BATCH_BYTES)}
     if batch_rows:
-        spark.conf.set(BATCH_SETTING, str(batch_rows))
+        wanted[BATCH_SETTING] = str(batch_rows)
     if free:
-        spark.conf.set(FREE_SETTING, "true")
+        wanted[FREE_SETTING] = "true"
+    before = {k: spark.conf.get(k, None) for k in wanted}
     try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        spark.conf.set(BATCH_SETTING, before)
-        spark.conf.set(FREE_SETTING, freed)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def keep_rows(docs: DataFrame, text_col: str, decide: Callable[[pa.Array], np.ndarray]) -> DataFrame:
     """The rows of ``docs`` whose text ``decide`` keeps (a mask for an array of
-    texts); all columns stay. One scan, no shuffle."""
+    texts); all columns stay. One scan, no shuffle: only the text goes to Python and only a
+    boolean comes back."""
     small_batches(docs.sparkSession)
-    at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in slices(batches, at):
-            yield rows.filter(pa.array(np.asarray(decide(texts), bool)))
+    def kept(texts: pa.Array) -> pa.Array:
+        rows = pa.RecordBatch.from_arrays([texts], names=["text"])
+        return pa.array(np.concatenate([np.asarray(decide(part), bool) for _, part in slices(iter([rows]))] or [np.zeros(0, bool)]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(F.arrow_udf(kept, "boolean")(quoted(text_col)))
 
 
 def texts_of(column: pa.Array) -> pa.Array:
