@@ -1,8 +1,9 @@
 """Toxicity by weak supervision.
 
 1. Voters. Many lexicon and pattern voters look at a text; each votes toxic or abstains:
-   public insult words, words and word beginnings mined from a bounded labelled
-   sample (lower confidence bound of their log-odds), and "several hits" patterns.
+   public insult words, words and word beginnings of any of ``STEMS`` letters mined from a bounded
+   labelled sample (lower confidence bound of their log-odds times their number; of nested beginnings the one
+   that gives most evidence), and "several hits" patterns. The number of voters is a parameter.
 2. Label model. A generative model of the votes: latent class, each voter's
    firing rate in either class (its accuracy), and the correlation of every
    pair of voters within a class. A voter's evidence is discounted by its
@@ -12,8 +13,9 @@
    patterns of all training rows (labelled rows have a fixed class), as
    distributed sums of bounded size (voters x voters).
 3. Classifier. A linear model over hashed words and word beginnings, trained with
-   follow-the-regularised-leader updates on the label model's posteriors of at
-   most ``max_train`` labelled rows; scored as sparse dot products over every row.
+   follow-the-regularised-leader updates on the label model's posteriors of at most ``max_train``
+   labelled rows and as many others: of all training rows, half that the votes call toxic and
+   half that they call clean (smallest seeded hashes); scored as sparse dot products over every row.
 
 Only the rows passed as ``labels`` are learnt from. Votes and statistics cover
 all training rows; the bound holds for mining and fitting only.
@@ -44,8 +46,10 @@ EPOCHS = 5
 EM_STEPS = 6
 THRESHOLD = 0.5
 PRIOR = 0.05
-PREFIXES = (5, 6, 7)
-MINED_WORDS, MINED_PREFIXES = 84, 16
+PREFIXES = (4, 5, 6)              # word beginnings that the classifier sees
+STEMS = (3, 4, 5, 6, 7, 8)        # word beginnings that may become voters
+MINED_WORDS, MINED_PREFIXES = 100, 60
+SURE_TOXIC, SURE_CLEAN = 0.9, 0.02
 LANE = 62  # voters per long
 
 # Public insult words, one voter each, and lists per language.
@@ -69,19 +73,32 @@ def cores_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 class Voters:
-    """Word lists and word beginnings; the votes of a text are bits of two longs."""
+    """Word lists and word beginnings; the votes of a text are bits of some longs."""
 
     def __init__(self, words: Sequence[str], prefixes: Sequence[str]):
+        """Mined words and beginnings, those that give most evidence first."""
         mined = [w for w in words if w not in SEED_WORDS][:MINED_WORDS]
         self.lists = [(w,) for w in SEED_WORDS] + [*SEED_LISTS] + [(w,) for w in mined]
-        new = [p for p in prefixes if not any(w.startswith(p) for w in SEED_WORDS)]
-        self.prefixes = [p for i, p in enumerate(new)  # the shortest of nested ones
-                         if not any(p != q and p.startswith(q) for q in new)][:MINED_PREFIXES]
+        self.prefixes: list[str] = []
+        for p in prefixes:
+            nested = any(p.startswith(q) or q.startswith(p) for q in self.prefixes)
+            if len(self.prefixes) < MINED_PREFIXES and not nested and not any(w.startswith(p) for w in SEED_WORDS):
+                self.prefixes.append(p)
         self.count = len(self.lists) + len(self.prefixes) + 4
 
+    def shaped(self, words: pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Occurrences of words with a mined beginning, and which (beginnings x occurrences)."""
+        begins = np.zeros((len(self.prefixes), len(words)), bool)
+        for i, p in enumerate(self.prefixes):
+            begins[i] = np.asarray(pc.starts_with(words, p))
+        at = np.flatnonzero(begins.any(axis=0)[codes])
+        return at, begins[:, codes[at]]
+
     def votes(self, texts: pa.Array) -> np.ndarray:
         """Boolean matrix: texts x voters."""
-        words, codes, starts = cores_of(texts)
+        return self.votes_of(*cores_of(texts))
+
+    def votes_of(self, words: pa.Array, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         n, texts_of = len(starts) - 1, per_text(starts)
         out = np.zeros((n, self.count), bool)
         of = {w: i for i, ws in enumerate(self.lists) for w in ws}
@@ -91,30 +108,38 @@ class Voters:
         hit = voter[codes]
         at = np.flatnonzero(hit >= 0)
         out[texts_of[at], hit[at]] = True
-        any_prefix = np.zeros(len(words), bool)
         base = len(self.lists)
-        for i, p in enumerate(self.prefixes):
-            starts_so = np.asarray(pc.starts_with(words, p))
-            any_prefix |= starts_so
-            out[texts_of[np.flatnonzero(starts_so[codes])], base + i] = True
+        occurrences, begins = self.shaped(words, codes)
+        which, place = np.nonzero(begins)
+        out[texts_of[occurrences[place]], base + which] = True
         lexical = segment_sum((hit >= 0).astype(np.int64), starts)
-        shaped = segment_sum(any_prefix[codes].astype(np.int64), starts)
+        shaped = np.bincount(texts_of[occurrences], minlength=n)
         kinds, length = out[:, :base].sum(axis=1), np.diff(starts)
         out[:, -4:] = np.stack([kinds >= 2, (kinds >= 2) & (100 * lexical >= length),
                                 (shaped >= 2) & (100 * shaped >= length), shaped >= 4], axis=1)
         return out
 
 
-def lanes(votes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    bit = np.int64(1) << np.arange(LANE, dtype=np.int64)
-    wide = np.zeros((len(votes), 2 * LANE), np.int64)
+def lanes(votes: np.ndarray) -> np.ndarray:
+    """Votes as rows of longs."""
+    n = -(-votes.shape[1] // LANE)
+    wide = np.zeros((len(votes), n * LANE), np.int64)
     wide[:, :votes.shape[1]] = votes
-    return wide[:, :LANE] @ bit, wide[:, LANE:] @ bit
+    return wide.reshape(len(votes), n, LANE) @ (np.int64(1) << np.arange(LANE, dtype=np.int64))
+
+
+def unlanes(longs: np.ndarray, count: int) -> np.ndarray:
+    wide = longs[:, :, None] >> np.arange(LANE, dtype=np.int64) & 1
+    return wide.reshape(len(longs), -1)[:, :count]
 
 
-def unlanes(a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
-    bit = np.arange(LANE, dtype=np.int64)
-    return np.concatenate((a[:, None] >> bit & 1, b[:, None] >> bit & 1), axis=1)[:, :count]
+def lane_column(longs: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(longs) + 1, dtype=np.int32) * longs.shape[1]), pa.array(longs.ravel()))
+
+
+def votes_in(column: pa.Array, count: int) -> np.ndarray:
+    n = -(-count // LANE)
+    return unlanes(np.asarray(column.flatten()).reshape(-1, n), count).astype(float)
 
 
 def sample_texts(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str, label_col: str,
@@ -134,7 +159,7 @@ def mine(sample: DataFrame) -> Voters:
             toxic = np.asarray(rows.column(1)) >= 0.5
             words, codes, starts = cores_of(texts)
             text = per_text(starts)
-            for size in (0, *PREFIXES):
+            for size in (0, *STEMS):
                 terms = words if size == 0 else pc.utf8_slice_codeunits(words, 0, size)
                 long_enough = np.asarray(pc.utf8_length(words)) >= max(size + 1, 3)
                 d = terms.dictionary_encode()
@@ -158,13 +183,14 @@ def mine(sample: DataFrame) -> Voters:
     p, q = float(totals.p), float(totals.n - totals.p)
     pos, neg = F.col("pos"), F.col("neg")
     odds = F.log((pos + 0.5) / (p - pos + 0.5)) - F.log((neg + 0.5) / (q - neg + 0.5))
-    sure = odds - 1.64 * F.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
+    sure = odds - 2.0 * F.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
     terms = (sample.select("text", "label").mapInArrow(count, "size int, term string, pos long, neg long")
              .groupBy("size", "term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-             .filter("pos >= 3").withColumn("sure", sure).filter("sure > 1"))
-    words = terms.filter("size = 0").orderBy(F.desc("sure"), "term").limit(MINED_WORDS + len(SEED_WORDS))
-    heads = terms.filter("size > 0").orderBy(F.desc("sure"), "term").limit(8 * MINED_PREFIXES)
-    rows = words.unionByName(heads).orderBy(F.desc("sure"), "term").collect()
+             .filter("pos >= 3").withColumn("sure", sure).filter("sure > 1")
+             .withColumn("worth", F.col("pos") * F.col("sure")))      # how much evidence it gives in all
+    words = terms.filter("size = 0").orderBy(F.desc("worth"), "term").limit(MINED_WORDS + len(SEED_WORDS))
+    heads = terms.filter("size > 0").orderBy(F.desc("worth"), "term").limit(20 * MINED_PREFIXES)
+    rows = words.unionByName(heads).orderBy(F.desc("worth"), "term").collect()
     return Voters([r.term for r in rows if r["size"] == 0], [r.term for r in rows if r["size"]])
 
 
@@ -212,7 +238,7 @@ def fit_label_model(patterns: DataFrame, count: int, steps: int = EM_STEPS) -> L
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pairs, mass = np.zeros((2, count, count)), np.zeros(2)
             for b in batches:
-                v = unlanes(np.asarray(b.column("a")), np.asarray(b.column("b")), count).astype(float)
+                v = votes_in(b.column("v"), count)
                 n, known = np.asarray(b.column("n"), dtype=float), np.asarray(b.column("known"))
                 q = np.where(known < 0, current.posterior(v), known)
                 for y, w in ((0, n * (1 - q)), (1, n * q)):
@@ -238,6 +264,19 @@ def fit_label_model(patterns: DataFrame, count: int, steps: int = EM_STEPS) -> L
     return model
 
 
+def unlabelled(voted: DataFrame, model: LabelModel, max_train: int) -> DataFrame:
+    """Ids of at most ``max_train`` rows without a label: of those that the votes call toxic and
+    of those that they call clean the ones with the smallest seeded hashes."""
+    def sure(v: pa.Array) -> pa.Array:
+        q = model.posterior(votes_in(v, len(model.discount)))
+        return pa.array(np.where(q >= SURE_TOXIC, 1, np.where(q <= SURE_CLEAN, 0, -1)).astype(np.int32))
+
+    said = voted.filter("known < 0 and id is not null").select("id", F.arrow_udf(sure, "int")("v").alias("said"))
+    each = [said.filter(F.col("said") == k).select("id").distinct().orderBy(F.xxhash64("id", F.lit(19)), "id").limit(max_train // 2)
+            for k in (1, 0)]
+    return each[0].unionByName(each[1])
+
+
 def features(texts: pa.Array, voters: Voters) -> Families:
     """Hashed words, word beginnings, how often and how densely a mined beginning
     occurs, and the fired voters."""
@@ -250,14 +289,15 @@ def features(texts: pa.Array, voters: Voters) -> Families:
         out.append((h[codes] if len(codes) else np.zeros(0, np.uint64), starts))
     text, length = per_text(starts), np.maximum(np.diff(starts), 1)
     at, made = [], []
-    for i, p in enumerate(voters.prefixes):
-        n = np.bincount(text[np.asarray(pc.starts_with(words, p))[codes]], minlength=len(length))
+    occurrences, begins = voters.shaped(words, codes)
+    for i, mine in enumerate(begins):
+        n = np.bincount(text[occurrences[mine]], minlength=len(length))
         some = np.flatnonzero(n)
         often, dense = np.minimum(n[some], 5), np.minimum(400 * n[some] // length[some], 8)
         for kind, value in ((0, often), (1, dense)):
             at.append(some)
             made.append(mix((np.uint64(i * 64 + kind * 32) + value.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)))
-    row, voter = np.nonzero(voters.votes(texts))
+    row, voter = np.nonzero(voters.votes_of(words, codes, starts))
     at.append(row)
     made.append(mix((voter.astype(np.uint64) + np.uint64(1 << 20)) * np.uint64(0x9E3779B97F4A7C15)))
     at, made = np.concatenate(at), np.concatenate(made)
@@ -278,18 +318,20 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, text_col: str
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches):
-            a, b = lanes(voters.votes(texts))
-            yield pa.RecordBatch.from_arrays([rows.column(1), pa.array(a), pa.array(b)], names=["id", "a", "b"])
+            yield pa.RecordBatch.from_arrays([rows.column(1), lane_column(lanes(voters.votes(texts)))], names=["id", "v"])
 
     rows = docs.filter(learn_from).select(quoted(text_col).alias("text"), quoted(id_col).alias("id"))
     kind = rows.schema["id"].dataType.simpleString()
     known = (labels.select(quoted(id_col).alias("id"), quoted(label_col).cast("double").alias("known"))
              .filter("id is not null and known is not null").groupBy("id").agg(F.min("known").alias("known")))
-    patterns = stored(
-        rows.mapInArrow(vote, f"id {kind}, a long, b long").join(known, "id", "left")
-        .groupBy(F.coalesce("known", F.lit(-1.0)).alias("known"), "a", "b").agg(F.count("*").alias("n")),
-        "vote-patterns")
+    voted = stored(rows.mapInArrow(vote, f"id {kind}, v array<long>").join(known, "id", "left")
+                   .withColumn("known", F.coalesce("known", F.lit(-1.0))), "votes")
+    patterns = stored(voted.groupBy("known", "v").agg(F.count("*").alias("n")), "vote-patterns")
     model = fit_label_model(patterns, voters.count)
+    others = unlabelled(voted, model, max_train)
+    sample = sample.select("id", "text").unionByName(
+        rows.join(F.broadcast(others), "id").groupBy("id").agg(F.min("text").alias("text"))
+        .select("id", F.coalesce("text", F.lit("")).alias("text")))
 
     def fit(group: pa.Table) -> pa.Table:
         group = group.sort_by("id")

@@ -82,15 +82,47 @@ def test_label_model_recovers_accuracies(spark):
     y = rng.random(6000) < 0.2
     votes = np.stack([rng.random(6000) < np.where(y, a, b) for a, b in ((.8, .02), (.7, .05), (.6, .01), (.5, .03))], 1)
     votes = np.concatenate((votes, votes[:, :1]), axis=1)  # a copy of the first voter
-    a, b = toxicity.lanes(votes)
-    counts = collections.Counter(zip(a.tolist(), b.tolist()))
-    df = spark.createDataFrame([(-1.0, p, q, n) for (p, q), n in counts.items()], "known double, a long, b long, n long")
+    counts = collections.Counter(tuple(x) for x in toxicity.lanes(votes).tolist())
+    df = spark.createDataFrame([(-1.0, list(v), n) for v, n in counts.items()], "known double, v array<long>, n long")
     model = toxicity.fit_label_model(df, 5, steps=25)
     assert abs(model.prior - 0.2) < 0.04
     assert np.allclose(model.rates[1], [.8, .7, .6, .5, .8], atol=0.25)
     assert model.discount[0] < 0.7 and model.discount[4] < 0.7 and model.discount[2] > 0.9
     assert auc(y, model.posterior(votes.astype(float))) > 0.95
-    assert (toxicity.unlanes(a, b, 5) == votes).all()
+    for wide in (votes, rng.random((50, 62)) < 0.5, rng.random((50, 200)) < 0.5):
+        assert (toxicity.votes_in(toxicity.lane_column(toxicity.lanes(wide)), wide.shape[1]) == wide).all()
+
+
+def test_nested_beginnings_give_way_to_the_one_with_most_evidence():
+    v = toxicity.Voters(["zorg", "idiot"], ["blark", "blarkx", "bla", "quin", "idio", "quinto"])
+    assert v.prefixes == ["blark", "quin"] and ("zorg",) in v.lists and v.lists.count(("idiot",)) == 1
+    many = toxicity.Voters([f"w{i}" for i in range(500)], [f"{chr(97 + i % 26)}{i:03d}" for i in range(500)])
+    assert many.count == len(toxicity.SEED_WORDS) + 3 + toxicity.MINED_WORDS + toxicity.MINED_PREFIXES + 4 > 124
+
+
+def test_votes_equal_a_plain_version():
+    v = toxicity.Voters(["zorg", "blah"], ["qui", "mop"])
+    texts = ["Zorg! you QUINTO, quix mopping", "blah", "", "idiot (stupid) zorg", "quia quib quic quid " + "x " * 900, "ordure cretin mop"]
+    got = v.votes(pa.array(texts, pa.large_string()))
+    for t, row in zip(texts, got):
+        words = [re.sub(r"^[\W_]+|[\W_]+$", "", w.lower()) for w in t.split()]
+        kinds = [any(w in ws for w in words) for ws in v.lists]
+        heads = [any(w.startswith(p) for w in words) for p in v.prefixes]
+        lexical = sum(any(w in ws for ws in v.lists) for w in words)
+        shaped = sum(any(w.startswith(p) for p in v.prefixes) for w in words)
+        several = [sum(kinds) >= 2, sum(kinds) >= 2 and 100 * lexical >= len(words), shaped >= 2 and 100 * shaped >= len(words), shaped >= 4]
+        assert row.tolist() == kinds + heads + several
+
+
+def test_a_quarter_of_the_labels_still_finds_most_toxic_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    few = labels.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) == 0)
+    model = toxicity.train(docs, few, fold("doc_id") != 0)
+    rows = toxicity.score(docs.filter(fold("doc_id") == 0), *model).join(labels, "doc_id").collect()
+    y, q = np.array([r.toxic for r in rows]), np.array([r.score for r in rows])
+    assert (q[y == 1] > np.quantile(q[y == 0], 0.9)).mean() > 0.8 and (q[y == 0] >= 0.5).mean() < 0.01
 
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
