@@ -22,6 +22,7 @@ from rowsift.session import ensure_checkpoint_dir
 
 SLICE_BYTES = 2 << 20
 HASH_BLOCK = 1 << 19
+LONG_WORD = 256
 FREE_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -208,7 +209,8 @@ def _powers(n: int, cache: dict = {}) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of every span: a polynomial in its bytes, from running sums over
-    blocks of bounded size, mixed with its length."""
+    blocks of bounded size, mixed with its length. Spans of over ``LONG_WORD`` bytes, for which words of equal
+    polynomials are easily written down whatever its factor, get a hash of their bytes instead."""
     out = np.empty(len(begin), np.uint64)
     i = 0
     while i < len(begin):
@@ -220,6 +222,8 @@ def span_hashes(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
         np.cumsum((buf[first:first + int(b[-1])].astype(np.uint64) + np.uint64(1)) * up, out=run[1:])
         out[i:j] = mix((run[b] - run[a]) * down[a] ^ (b - a).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
         i = j
+    for i in np.flatnonzero(end - begin > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(buf[begin[i]:end[i]].tobytes())
     return out
 
 
