@@ -22,10 +22,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bits import WORD_BITS
+from ..session import write_once
 
 EVAL_SCHEMA = "solution int, correct long, total long"
 
@@ -177,12 +178,11 @@ def collect_train(train: DataFrame, *, feature_col: str = "features", id_col: st
                   label_col: str = "label", classes: list | None = None,
                   budget: int = 512 << 20) -> KnnSample:
     """Fetch a bounded training set (size checked before it is fetched)."""
-    n = train.count()
+    n, d = _matrix_size(train, feature_col)
     if n == 0:
         raise ValueError("empty training set")
-    first = train.select(F.size(feature_col)).first()[0] or 1
-    if n * first * 8 > budget:
-        raise ValueError(f"training set of {n} rows x {first} exceeds the broadcast budget")
+    if n * d * 8 > budget:
+        raise ValueError(f"training set of {n} rows x {d} exceeds the broadcast budget")
     pdf = train.select(id_col, label_col, feature_col).toPandas().sort_values(id_col)
     labels = pdf[label_col].tolist()
     cls = np.array(sorted(classes if classes is not None else set(labels)))
@@ -287,41 +287,37 @@ def knn_topk(table: DataFrame, train: DataFrame, *, k: int = 5, feature_col: str
     """``(id, rank, train_id, distance, train_label)``: the k nearest training
     rows of every row of ``table``, for a training set of any size.
 
-    The training set is cut into chunks whose matrix fits ``budget``; each
-    chunk is broadcast in turn and yields k candidates per row; the union
-    (k * chunks rows per query id) is reduced to the exact k nearest by
-    (distance, train id) with a window over those few rows.
+    The training set is cut into blocks whose matrix fits ``budget`` and written; one block at a time
+    is fetched and broadcast, its k candidates per row are merged with the k nearest so far (at most
+    2 * k rows per query id), and that state is written before the block's broadcast is
+    destroyed. So neither the driver nor an executor ever holds more than one block.
     """
-    n = train.count()
+    n, d = _matrix_size(train, feature_col)
     if n == 0:
         raise ValueError("empty training set")
-    d = train.select(F.size(feature_col)).first()[0] or 1
     per_chunk = max(k, budget // (d * 8 + 16))
     chunks = -(-n // per_chunk)
     if chunks > 1:
         from .rowid import ordered_positions
         keyed = ordered_positions(train.select(id_col, label_col, feature_col), [id_col],
                                   out_col="__pos")
-        keyed = keyed.withColumn("__chunk", F.floor(F.col("__pos") / F.lit(per_chunk))).persist()
+        keyed = write_once(keyed.withColumn("__chunk", F.floor(F.col("__pos") / F.lit(per_chunk))), "training-blocks")
     else:
         keyed = train.select(id_col, label_col, feature_col, F.lit(0).alias("__chunk"))
     classes = sorted(r[0] for r in keyed.select(label_col).distinct().collect())
     schema = f"{id_col} long, train_id long, d2 double, train_label {label_type}"
-    parts = []
-    sc = table.sparkSession.sparkContext
+    w = Window.partitionBy(id_col).orderBy("d2", "train_id")
+    best = None
     for c in range(chunks):
         smp = collect_train(keyed.where(F.col("__chunk") == c), feature_col=feature_col,
                             id_col=id_col, label_col=label_col, classes=classes, budget=budget)
-        bc = sc.broadcast(smp)
-        parts.append(table.select(id_col, feature_col).mapInArrow(
-            _candidates_fn(bc, feature_col, id_col, k, 2048, label_type), schema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    from pyspark.sql import Window
-    w = Window.partitionBy(id_col).orderBy("d2", "train_id")
-    # each id has at most k * chunks candidate rows, so no window group is large
-    cand = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        bc = table.sparkSession.sparkContext.broadcast(smp)
+        new = table.select(id_col, feature_col).mapInArrow(
+            _candidates_fn(bc, feature_col, id_col, k, 2048, label_type), schema)
+        both = new if best is None else best.unionByName(new)
+        best = write_once(both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank"), "nearest")
+        bc.destroy()
+    cand = best.withColumn("rank", F.row_number().over(w))
     return cand.select(id_col, F.col("rank").cast("int").alias("rank"), "train_id",
                        F.sqrt("d2").alias("distance"), "train_label")
 
@@ -334,9 +330,14 @@ def vote_predictions(cand: DataFrame, id_col: str = "row_id") -> DataFrame:
         .alias("prediction"))
 
 
+def _matrix_size(train: DataFrame, feature_col: str) -> tuple[int, int]:
+    """Rows and longest feature array of a training set."""
+    size = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(feature_col)).alias("d")).first()
+    return size["n"], max(size["d"] or 1, 1)
+
+
 def _fits(train: DataFrame, feature_col: str, budget: int) -> bool:
-    n = train.count()
-    d = train.select(F.size(feature_col)).first()[0] or 1 if n else 1
+    n, d = _matrix_size(train, feature_col)
     return n * d * 8 <= budget
 
 

@@ -2,7 +2,8 @@
 
 Each metric is one aggregate (partial + final); the classification report
 is built from the confusion counts ``groupBy(label, prediction)``, whose size is
-bounded by classes squared, then assembled as a tidy table.
+bounded by classes squared: they are written once, in one scan of the predictions, and every
+figure follows from them by conditional sums.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import write_once
+
 
 def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     return df.agg(F.avg((F.col(label) == F.col(pred)).cast("double")).alias("accuracy"))
@@ -37,15 +40,14 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
     """Per class precision, recall, F1 and support, then the rows ``accuracy``
     (f1 = accuracy, support = all rows), ``macro avg`` and ``weighted avg``.
     A zero denominator gives 0."""
-    conf = confusion(df, label, pred)
-    tp = conf.where(F.col("label") == F.col("prediction")).select(
-        F.col("label").alias("cls"), F.col("n").alias("tp"))
-    sup = conf.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    pcount = conf.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    per = (sup.join(pcount, "cls", "full").join(tp, "cls", "left")
-           .select("cls", F.coalesce("tp", F.lit(0)).alias("tp"),
-                   F.coalesce("support", F.lit(0)).alias("support"),
-                   F.coalesce("predicted", F.lit(0)).alias("predicted")))
+    conf = write_once(confusion(df, label, pred), "confusion")
+    # each count goes to its label's and its prediction's class: one aggregate, no join
+    both = conf.select(F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), "n", F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("tp"),
+                 F.lit(0).cast("bigint").alias("predicted")),
+        F.struct(F.col("prediction").cast(conf.schema["label"].dataType).alias("cls"), F.lit(0).cast("bigint").alias("n"),
+                 F.lit(0).cast("bigint").alias("tp"), F.col("n").alias("predicted")))).alias("c")).select("c.*")
+    per = both.groupBy("cls").agg(F.sum("tp").alias("tp"), F.sum("n").alias("support"), F.sum("predicted").alias("predicted"))
 
     def ratio(a, b):
         return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
@@ -55,7 +57,6 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
                                       2 * F.col("precision") * F.col("recall")
                                       / (F.col("precision") + F.col("recall")))
                          .otherwise(F.lit(0.0)))
-    per = per.persist()
     classes = per.select(F.col("cls").cast("string").alias("class"), "precision", "recall",
                          "f1", F.col("support").cast("bigint").alias("support"))
     tot = per.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"),

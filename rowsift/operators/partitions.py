@@ -30,13 +30,6 @@ def cyclic_partition(idx: str, parts: int) -> Column:
     return F.pmod(F.col(idx), F.lit(parts))
 
 
-def grid_coordinates(idx: str, threads_per_block: int) -> list[Column]:
-    """(thread, block) of a global index in a 1-D launch."""
-    i = F.col(idx)
-    return [F.pmod(i, F.lit(threads_per_block)).alias("thread"),
-            F.expr(f"`{idx}` div {int(threads_per_block)}").alias("block")]
-
-
 def ceil_div(a, b) -> Column:
     a = F.col(a) if isinstance(a, str) else F.lit(a) if isinstance(a, int) else a
     b = F.col(b) if isinstance(b, str) else F.lit(b) if isinstance(b, int) else b

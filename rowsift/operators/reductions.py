@@ -9,19 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 256
-
-
-def sum_partial_blocks(df: DataFrame, n: int, block: int = BLOCK, idx: str = "idx",
-                       value: str = "value") -> DataFrame:
-    """Per-block partial sums of a grid-stride loop: ``blocks = ceil(n/block)``
-    blocks of ``block`` threads; index i is summed by block
-    ``(i mod (blocks*block)) div block``."""
-    blocks = -(-n // block)
-    stride = blocks * block
-    b = F.floor(F.pmod(F.col(idx), F.lit(stride)) / F.lit(block)).cast("bigint")
-    return df.groupBy(b.alias("block")).agg(F.sum(F.col(value).cast("bigint")).alias("partial"))
-
 
 def sum_total(df: DataFrame, value: str = "value") -> DataFrame:
     return df.agg(F.sum(F.col(value).cast("bigint")).alias("total"))

@@ -110,7 +110,3 @@ def zip_join(frames: list[DataFrame], idx: str = "idx") -> DataFrame:
 
 def filter_even(df: DataFrame, idx: str = "idx") -> DataFrame:
     return df.where(F.pmod(F.col(idx), F.lit(2)) == 0)
-
-
-def in_bounds(df: DataFrame, n, idx: str = "idx") -> DataFrame:
-    return df.where(F.col(idx) < (F.lit(n) if not isinstance(n, Column) else n))

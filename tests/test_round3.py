@@ -222,3 +222,64 @@ def test_features_and_masks_meet_without_a_shuffle(spark):
         assert "SortMergeJoin" in above and "Exchange" not in above
         assert "features" not in masks.columns
     base.unpersist()
+
+
+# ---------------------------------------------------------------- batch, blocks of training rows, report
+
+def test_datasets_run_at_the_same_time_and_failures_leave_no_cache(spark, tmp_path):
+    import threading
+
+    from rowsift.operators.batch import batch_datasets
+    for i in range(5):
+        folder = tmp_path / "in" / f"d{i}"
+        folder.mkdir(parents=True)
+        lines = ["x,y0,Class"] + [f"{k % 13}.5,{k % (i + 2)},{k % 2 if i != 3 else 'abc'}" for k in range(120)]
+        (folder / "a.csv").write_text("\n".join(lines[:2] if i == 2 else lines) + "\n")
+    inside, most, lock = [0], [0], threading.Lock()
+
+    def fitness(rows, n_total):
+        with lock:
+            inside[0] += 1
+            most[0] = max(most[0], inside[0])
+        try:
+            if rows.count() and rows.select("label").distinct().count() < 2:
+                raise RuntimeError("one class only")
+            return 0.5
+        finally:
+            with lock:
+                inside[0] -= 1
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    res, err = batch_datasets(spark, str(tmp_path / "in"), out=str(tmp_path / "out"), generations=2, population=4, parents=2, fitness=fitness)
+    assert {r.dataset for r in res.collect()} == {"d0/a.csv", "d1/a.csv", "d4/a.csv"}
+    failed = {r.dataset: r.error for r in err.collect()}
+    assert set(failed) == {"d2/a.csv", "d3/a.csv"} and "one class only" in failed["d3/a.csv"] and most[0] >= 2
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_ten_training_blocks_equal_one(spark):
+    from rowsift.operators import knn
+    emb = prepared_embeddings(spark, SF_SMALL)
+    q, t = emb.where("row_id % 3 = 0"), emb.where("row_id % 3 > 0")
+    one = knn.knn_rank(q, t)
+    size = knn._matrix_size(t, "features")
+    many = knn.knn_rank(q, t, budget=(size[0] // 10 + 1) * (size[1] * 8 + 16))
+    rows = [sorted((r.row_id, r.rank, r.train_id, round(r.distance, 9)) for r in df.select("row_id", "rank", "train_id", "distance").collect())
+            for df in (one, many)]
+    assert rows[0] == rows[1] and len(rows[0]) == 5 * q.count()
+
+
+def test_the_report_scans_the_predictions_once(spark):
+    from rowsift.operators import metrics
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(0, 0)] * 5 + [(0, 1)] * 2 + [(1, 1)] * 3 + [(2, 0)], "label int, prediction int").mapInArrow(note, "label int, prediction int")
+    got = {r["class"]: r for r in metrics.classification_report(df).collect()}
+    assert seen.value == 11
+    assert got["0"].precision == 5 / 6 and got["0"].recall == 5 / 7 and got["2"].f1 == 0 and got["2"].support == 1
+    assert got["accuracy"].f1 == 8 / 11 and abs(got["macro avg"].recall - (5 / 7 + 1) / 3) < 1e-12
