@@ -27,6 +27,7 @@ FREE_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 4 << 20
+ROW_GROUP = 16 << 20    # bytes that a task holds of a table it writes
 _FACTOR = 0x9E3779B97F4A7C15
 CODEC = pa.Codec("zstd", compression_level=1)
 _libc: dict = {}
@@ -74,7 +75,7 @@ def stored(df: DataFrame, name: str, batch_rows: int = 0, free: bool = False) ->
     try:
         for k, v in wanted.items():
             spark.conf.set(k, v)
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (cells, column_of, gaps, joined, mix, parts_of, per_text, quoted, slices, small_batches,
+from .common import (cells, column_of, gaps, give_back, joined, mix, parts_of, per_text, quoted, slices, small_batches,
                      span_hashes, stored, table, texts_of, word_spans)
 
 WORDS = 5
@@ -172,13 +172,15 @@ def draw_table() -> np.ndarray:
         rng = np.random.default_rng(20)
         r, c = rng.gamma(2, 1, 1 << 16), rng.gamma(2, 1, 1 << 16)
         beta = rng.random(1 << 16)
-        log_w = np.arange(LEVELS)[:, None] * GRID
-        step = np.floor(log_w / r + beta)
-        order = (np.log(c) - r * (step - beta) - r).astype(np.float32)
-        bits = order.view(np.uint32)
-        bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31)).astype(np.uint64)
-        spread = step.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B1) & np.uint64(0xFFFFFFFF)
-        _tables["draws"] = ((bits << np.uint64(32)) | spread).reshape(-1)
+        table = np.empty((LEVELS, 1 << 16), np.uint64)
+        for level in range(LEVELS):          # one level at a time: the table is all that is held
+            step = np.floor(level * GRID / r + beta)
+            order = (np.log(c) - r * (step - beta) - r).astype(np.float32)
+            bits = order.view(np.uint32)
+            bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31)).astype(np.uint64)
+            spread = step.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B1) & np.uint64(0xFFFFFFFF)
+            table[level] = (bits << np.uint64(32)) | spread
+        _tables["draws"] = table.reshape(-1)
     return _tables["draws"]
 
 
@@ -270,6 +272,7 @@ def signed_rows(docs: DataFrame) -> DataFrame:
             weight[some] = np.add.reduceat(np.exp(level * GRID), offsets[:-1][some])
         places = np.concatenate(([0], np.cumsum(np.where(some, 2 * SAMPLES, 0))))
         own = level.astype(np.uint8).tobytes()
+        give_back()
         return pa.table({**{k: block.column(k).combine_chunks().flatten() for k in ("id", "row", "key")},
                          "weight": weight, "sig": pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(sig)),
                          "levels": pa.array([own[a:b] for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())})
@@ -412,6 +415,7 @@ def block_links(rows: DataFrame, reps: DataFrame, docs: DataFrame, similarity: f
                 if max(low / (total[q] + total[m] - low), shared / size) >= similarity - 1e-9:
                     found.append((min(rep[q], rep[m]), max(rep[q], rep[m])))
             mine[column[where[q]]] = 0
+        give_back()
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     links = cells.groupBy("bucket", "bm", "bq").applyInArrow(link, "a long, b long").distinct()

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, hash_words, keep_rows, mix, per_text, quoted, slices, small_batches, table, words_of
+from .common import fold, give_back, hash_words, keep_rows, mix, per_text, quoted, slices, small_batches, table, words_of
 from .linear import DIM, Families, ftrl, logistic, margins, sparse_rows
 
 MAX_TRAIN = 8000
@@ -98,6 +98,8 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
             out += sparse_rows(quality_features(texts), presence=False)
         w, b = ftrl(out, np.asarray(group.column("label")), epochs, alpha=0.5, beta=1.0, l1=0.02, l2=1e-4)
         at = np.flatnonzero(w)
+        out.clear()
+        give_back()
         return pa.table({"slot": pa.array(np.append(at, DIM), pa.int64()),
                          "w": pa.array(np.append(w[at], b), pa.float64())})
 

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, hash_words, keep_rows, mix, per_text, quoted, segment_sum, slices, small_batches, stored, table, words_of
+from .common import fold, give_back, hash_words, keep_rows, mix, per_text, quoted, segment_sum, slices, small_batches, stored, table, words_of
 from .linear import DIM, Families, ftrl, logistic, margins, sparse_rows
 from .quality_classifier import bounded_labels
 
@@ -341,6 +341,8 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, text_col: str
             soft.append(model.posterior(voters.votes(texts).astype(float)))
         w, b = ftrl(out, np.concatenate(soft), epochs, alpha=0.3, beta=1.0, l1=2.0, l2=1e-3)
         at = np.flatnonzero(w)
+        out.clear()
+        give_back()
         return pa.table({"slot": pa.array(np.append(at, DIM), pa.int64()),
                          "w": pa.array(np.append(w[at], b), pa.float64())})
 
