@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted, table
+from .common import quoted, stored, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BITS_PER_URL = 16
@@ -96,7 +96,9 @@ def possible_hits(urls: DataFrame, listed: DataFrame, broadcast_bytes: int = BRO
     filter_rows = bloom(listed, blocks)
     if blocks * BLOCK_BYTES <= broadcast_bytes:
         filter_rows = F.broadcast(filter_rows)
-    wanted = urls.withColumn("block", F.pmod(F.xxhash64("canon"), F.lit(blocks)))
+    # rows without a canonical URL meet no block; their ids spread them, so that they are no hot key
+    key = F.coalesce("canon", F.concat(F.lit("://"), F.col("id").cast("string")), F.lit(""))
+    wanted = urls.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks)))
     hit = F.lit(True)
     for j, m in enumerate(masks(F.col("canon"))):
         hit = hit & (F.col(f"w{j}").bitwiseAND(m) == m)
@@ -119,7 +121,8 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
     urls = (pages.select(quoted(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"),
                          canonical(url).alias("canon"))
             .withColumn("rule", rule).withColumn("ruled", verdict))
-    block = (listed.select(canonical(quoted(listed_col)).alias("canon")).filter("canon is not null").distinct())
+    block = stored(listed.select(canonical(quoted(listed_col)).alias("canon")).filter("canon is not null").distinct(),
+                   "listed-urls")
     tested = possible_hits(urls, block, broadcast_bytes)
     sure = block.withColumn("listed", F.lit(True))
     hits = tested.filter("maybe").join(sure, "canon", "left")
