@@ -14,7 +14,7 @@ A line (split at ``\\n``) with at least one word fails if any rule holds:
 
 A document is kept unless its base figures fail (fewer than ``min_words``
 words, or more than half of the words in repeated three-word windows) or the
-removed lines hold more than ``max_lost`` of its word characters. Boilerplate
+removed lines hold more than ``max_lost`` of its word characters, or leave fewer than ``min_left`` words. Boilerplate
 lines do not count as lost text of the document: a licence note says nothing
 about the prose around it (a document of notes only loses everything).
 
@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import per_text, quoted, segment_sum, slices, small_batches, table, words_of
 
+MIN_LEFT = 10       # words
 SYMBOLS = r"[#*$%&|<>]"
 SENTENCE_END = r"[.!?…。！？][\"'”’»)\]]*$"
 SYMBOL_RUN = r"[#*$%&|<>~^=+_]{2,}"
@@ -126,12 +127,13 @@ def judge(texts: pa.Array) -> dict[str, np.ndarray]:
         "lost_chars": segment_sum(line_chars * anyhow, first),
         "lost_notes": segment_sum(line_chars * note, first),
         "n_failed_lines": segment_sum(anyhow.astype(np.int64), first),
+        "left_words": segment_sum(n * ~anyhow, first),
         "lines": (lines, first, failed, anyhow),
     }
 
 
 def clean_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = 50,
-                max_lost: float = 0.5, with_text: bool = True) -> DataFrame:
+                max_lost: float = 0.5, min_left: int = MIN_LEFT, with_text: bool = True) -> DataFrame:
     """Figures, verdict and (``with_text``) the text without its failed lines."""
     small_batches(docs.sparkSession)
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -142,7 +144,7 @@ def clean_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
             x = judge(texts)
             base = (x["n_words"] < min_words) | (100 * x["n_repeat_words"] > 50 * x["n_words"])
             lost, own = x["lost_chars"] - x["lost_notes"], x["word_chars"] - x["lost_notes"]
-            kept = ~base & (own > 0) & (lost <= max_lost * own)
+            kept = ~base & (x["left_words"] >= min_left) & (own > 0) & (lost <= max_lost * own)
             cols = [rows.column(1), *(pa.array(x[c]) for c in counts), pa.array(base), pa.array(kept)]
             names = ["id", *counts, "base_failed", "kept"]
             if with_text:
@@ -197,6 +199,7 @@ g AS (SELECT *, n > 0 AND (ends = 0 OR (4 * seps >= n AND seps > 1) OR (2 * menu
       FROM f),
 s AS (SELECT rid, CAST(sum(n) AS BIGINT) AS n_words, CAST(sum(chars) AS BIGINT) AS word_chars,
         count(*) FILTER (WHERE seen AND n > 0) AS n_dup_lines, count(*) FILTER (WHERE failed) AS n_failed_lines,
+        coalesce(sum(n) FILTER (WHERE NOT failed), 0) AS left_words,
         CAST(coalesce(sum(chars) FILTER (WHERE failed), 0) AS BIGINT) AS lost_chars,
         CAST(coalesce(sum(chars) FILTER (WHERE note AND n > 0), 0) AS BIGINT) AS notes,
         flatten(list(w ORDER BY i)) AS w
@@ -208,11 +211,11 @@ r AS (SELECT rid, count(DISTINCT q) AS n_repeat_words
             FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, a, b, c) AS m FROM k) WHERE m > 1) GROUP BY rid),
 o AS (SELECT doc_id, n_words, word_chars,
         CAST(coalesce(list_sum([length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) FOR x IN w]), 0) AS BIGINT) AS n_symbols,
-        n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_failed_lines, lost_chars, notes
+        n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_failed_lines, lost_chars, notes, left_words
       FROM s JOIN d USING (rid) LEFT JOIN r USING (rid))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND word_chars > notes
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND word_chars > notes AND left_words >= {MIN_LEFT}
     AND lost_chars - notes <= 0.5 * (word_chars - notes) AS kept, n_failed_lines, lost_chars
 FROM o
 """

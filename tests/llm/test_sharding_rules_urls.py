@@ -114,6 +114,7 @@ def test_quality_figures(spark, edge_docs, source):
 
 def test_line_rules(spark, prose, no_docs):
     good = "\n".join(prose(30, i) for i in range(4))
+    notes = "".join(f"{i}a {i}b {i}c {i}d {i}e all rights reserved.\n" for i in range(12))
     cases = {
         1: (good, True), 2: (good + "\nHome | About | Contact | Login", True),
         3: ("\n".join(prose(30, i).replace(" ", " | ") for i in range(4)), False),
@@ -122,6 +123,7 @@ def test_line_rules(spark, prose, no_docs):
         6: (good + "\nLicensed under the Apache License, Version 2.0.", True),
         7: (" ".join(w for w in good.split() for _ in range(2)), False),
         8: ("no sentence ends here " * 20, False), 9: (None, False), 10: ("", False),
+        11: (notes + "Alone.", False), 12: (notes + " ".join(good.split()[:11]) + ".", True),
     }
     df = spark.createDataFrame([(k, t) for k, (t, _) in cases.items()], "doc_id int, text string")
     got = {r.doc_id: r for r in clean_lines(df).collect()}
