@@ -6,7 +6,8 @@ slow-but-obvious way, so they can check the distributed implementation.
 
 from __future__ import annotations
 
-from ..functions.bits import sql_getbit, sql_random_masks, sql_seeded_hash
+from ..functions.bits import sql_getbit, sql_keyed_hash, sql_random_masks, sql_seeded_hash
+from ..operators.population import _dbl
 
 EMBEDDINGS_BASE = "SELECT vec_id AS row_id, label, CAST(embedding AS DOUBLE[]) AS features FROM embeddings"
 
@@ -17,19 +18,20 @@ def population_sql(seed: int, population: int, base: str = EMBEDDINGS_BASE) -> s
 
 
 def fitness_knn_sql(pop_sql: str, population: int, *, seed: int = 42, k: int = 5,
-                    min_rows: int = 20, train_cap: int = 1000, alpha: float = 0.7) -> str:
+                    min_rows: int = 20, train_cap: int = 1000, alpha: float = 0.7, kept: str | None = None) -> str:
     """Fitness of every solution of the population table given by ``pop_sql``
-    (columns row_id, label, features DOUBLE[], mask_0..)."""
+    (columns row_id, label, features DOUBLE[], mask_0..). ``kept`` may give the rows that each solution keeps
+    (solution, row_id, label, features)."""
     bit = " ".join(f"WHEN {s} THEN {sql_getbit(s, 'p')}" for s in range(population))
     h = sql_seeded_hash(seed, "split", "row_id")
+    kept = kept or f"""SELECT s.solution, p.row_id, p.label, p.features
+  FROM pop p JOIN (SELECT CAST(range AS INTEGER) AS solution FROM range(0, {population})) s ON (CASE s.solution {bit} END) = 1"""
     beta = round(1.0 - alpha, 12)
     return f"""
 WITH pop AS ({pop_sql}),
 tot AS (SELECT count(*) AS n FROM pop),
 sel AS (
-  SELECT s.solution, p.row_id, p.label, p.features, {h.replace('row_id', 'p.row_id')} AS h
-  FROM pop p JOIN (SELECT CAST(range AS INTEGER) AS solution FROM range(0, {population})) s
-    ON (CASE s.solution {bit} END) = 1),
+  SELECT *, {h} AS h FROM ({kept})),
 cls AS (SELECT solution, label, count(*) AS c FROM sel GROUP BY solution, label),
 agg AS (SELECT solution, sum(c) AS n_sel, count(*) AS ncls, min(c) AS minc
         FROM cls GROUP BY solution),
@@ -80,9 +82,9 @@ FROM plan2 p CROSS JOIN tot LEFT JOIN acc a USING (solution)
 """
 
 
-def fitness_table_sql(pop_sql: str, population: int, seed: int = 42) -> str:
+def fitness_table_sql(pop_sql: str, population: int, seed: int = 42, kept: str | None = None) -> str:
     """Unrounded fitness (for rankings inside other oracles)."""
-    return fitness_knn_sql(pop_sql, population, seed=seed).replace(
+    return fitness_knn_sql(pop_sql, population, seed=seed, kept=kept).replace(
         "CASE WHEN p.eligible THEN round(coalesce(a.accuracy, 0.0), 6) END AS accuracy",
         "CASE WHEN p.eligible THEN coalesce(a.accuracy, 0.0) END AS accuracy").replace(
         "round(CASE WHEN p.eligible", "(CASE WHEN p.eligible").replace(
@@ -106,24 +108,48 @@ def next_population_sql(pop_sql: str, slots, population: int, seed: int, generat
             f"FROM (SELECT *, count(*) OVER () AS n_rows FROM ({pop_sql})){parent_row and ', ' + parent_row}")
 
 
-def _search_sql(seed: int, population: int, generations: int, plans: list, parent_order: str, positions: str,
+def _search_sql(seed: int, population: int, generations: int, plans: list, parent_order: str, best_last: bool,
                 base: str) -> str:
-    """The CTEs g0, f0, g1, f1, ... of a search: populations and their fitness, parents by rank."""
-    ctes = [f"g0 AS MATERIALIZED ({population_sql(seed, population, base)})"]
-    for g in range(generations):
-        ctes.append(f"f{g} AS MATERIALIZED ({fitness_table_sql(f'SELECT * FROM g{g}', population, seed)})")
-        if g == generations - 1:
-            break
-        used = sorted({p for sl in plans[g] for p in (sl.p0, sl.p1) if p >= 0})
-        ctes.append(f"""par{g} AS MATERIALIZED (SELECT {", ".join(f"max(CASE WHEN pos = {j} THEN solution END) AS p{j}" for j in used)}
-          FROM (SELECT solution, row_number() OVER (ORDER BY {parent_order}) - 1 - {positions} AS pos FROM f{g}))""")
-        nxt = next_population_sql(f"SELECT * FROM g{g}", plans[g], population, seed, g, {j: f"p{j}" for j in used}, f"par{g}")
-        ctes.append(f"g{g + 1} AS MATERIALIZED ({nxt})")
-    every = " UNION ALL ".join(f"SELECT {g} AS generation, * FROM f{g}" for g in range(generations))
-    ctes.append(f"every AS MATERIALIZED ({every})")
-    return "WITH " + ",\n".join(ctes)
-
-
+    """The CTEs of a search, one recursive step per generation: ``search`` (g, row_id, mask_0) and ``every``, the
+    fitness of all solutions of all generations. ``plans`` hold the slots for the parents' ranks, in
+    ``parent_order`` (with ``best_last`` the last ranks of the order)."""
+    rows = []
+    for g, plan in enumerate(plans):
+        for i, sl in enumerate(plan):
+            mu = sl.mutation
+            k0, k1 = mu.keys() if mu else (0, 0)
+            m = ("0" if mu is None else f"floor(n * {_dbl(mu.rate)})" if mu.rate is not None
+                 else f"greatest(1, floor({_dbl(float(mu.percent))} * n / 100))")
+            rows.append(f"({g}, {i}, '{sl.kind}', {sl.p0}, {max(sl.p1, 0)}, {_dbl(sl.u_cut)}, {max(sl.coin, 0)}, {k0}, {k1}, CAST({m} AS BIGINT))")
+    coin = f"CAST(('0x' || substr(md5('{seed}:coin' || c.g || '.0:' || CAST(c.row_id AS VARCHAR)), 1, 15)) AS BIGINT)"
+    place = f"row_number() OVER (ORDER BY {parent_order}) - 1" + (f" - {population - 1 - max(sl.p0 for p in plans for sl in p)}" if best_last else "")
+    one = fitness_table_sql("SELECT row_id, b.label, b.features, p.mask_0 FROM now p JOIN base b USING (row_id)", population, seed)
+    return f"""WITH RECURSIVE base AS MATERIALIZED ({base}),
+n AS MATERIALIZED (SELECT count(*) AS n FROM base),
+slots(g, i, kind, p0, p1, u_cut, coin, k0, k1, m) AS MATERIALIZED (SELECT t.* FROM n, LATERAL (VALUES {", ".join(rows)}) t),
+steps AS (
+  SELECT 0 AS g, row_id, mask_0, NULL::INTEGER AS solution, NULL::BIGINT AS n_selected, NULL::DOUBLE AS accuracy, NULL::DOUBLE AS fitness
+  FROM ({population_sql(seed, population, 'SELECT * FROM base')})
+  UNION ALL
+  (WITH now AS MATERIALIZED (SELECT g, row_id, mask_0 FROM steps WHERE solution IS NULL),
+  scored AS MATERIALIZED ({one}),
+  r AS MATERIALIZED (SELECT list(solution ORDER BY place) AS parents FROM (SELECT solution, {place} AS place FROM scored) WHERE place >= 0)
+  SELECT (SELECT max(g) FROM now) AS g, NULL, NULL, solution, n_selected, accuracy, fitness FROM scored WHERE (SELECT count(*) FROM now) > 0
+  UNION ALL
+  SELECT g + 1, row_id, CAST(sum((CASE WHEN place <= m THEN 1 - bit ELSE bit END) << i) AS BIGINT), NULL, NULL, NULL, NULL FROM (
+    SELECT c.g, c.row_id, s.i, s.m,
+           row_number() OVER (PARTITION BY s.i ORDER BY {sql_keyed_hash('c.row_id', 's.k0', 's.k1')}, c.row_id) AS place,
+           (c.mask_0 >> CASE WHEN s.kind = 'copy' OR (s.kind = 'one_point' AND c.row_id < 1 + CAST(floor(s.u_cut * (n.n - 2)) AS BIGINT))
+                                  OR (s.kind = 'uniform' AND ({coin} >> s.coin) & 1 = 0)
+                             THEN r.parents[s.p0 + 1] ELSE r.parents[s.p1 + 1] END) & 1 AS bit
+    FROM now c JOIN slots s ON s.g = c.g, n, r)
+  GROUP BY g, row_id)),
+search AS MATERIALIZED (SELECT g, row_id, mask_0 FROM steps WHERE solution IS NULL),
+every AS MATERIALIZED (SELECT g AS generation, solution, n_selected, accuracy, fitness FROM steps WHERE solution IS NOT NULL)"""
+
+
+ROWS_OF_BEST = """SELECT s.row_id, b.label FROM search s JOIN base b USING (row_id) JOIN best t ON s.g = t.generation
+WHERE (s.mask_0 >> t.solution) & 1 = 1"""
 FITNESS_OF_SEARCH = """
 SELECT generation, solution, n_selected, round(accuracy, 6) AS accuracy, round(fitness, 6) AS fitness FROM every"""
 
@@ -138,11 +164,9 @@ def evolve_parallel_sql(seed: int, population: int, parents: int, rate: float, g
     from ..operators.population import parallel_plan
     rng = np.random.default_rng(seed)
     plans = [parallel_plan(rng, list(range(parents)), population, rate) for _ in range(generations - 1)]
-    head = _search_sql(seed, population, generations, plans, "fitness, solution", str(population - parents), base) + """,
+    head = _search_sql(seed, population, generations, plans, "fitness, solution", True, base) + """,
 best AS MATERIALIZED (SELECT generation, solution, fitness FROM every ORDER BY fitness DESC, generation, solution LIMIT 1)"""
-    rows = head + "\n" + "\nUNION ALL\n".join(
-        f"SELECT row_id, label FROM g{g} WHERE (SELECT generation FROM best) = {g} "
-        f"AND ((mask_0 >> (SELECT solution FROM best)) & 1) = 1" for g in range(generations))
+    rows = f"{head}\n{ROWS_OF_BEST}"
     history = head + """,
 top AS (SELECT generation, max(fitness) AS best FROM every GROUP BY generation),
 run AS (SELECT *, max(best) OVER (ORDER BY generation) AS best_so_far FROM top),
@@ -167,8 +191,8 @@ def evolve_sequential_sql(seed: int, population: int, parents: int, rate: float,
     from ..operators.population import steady_state_plan
     rng = np.random.default_rng(seed)
     plans = [steady_state_plan(rng, list(range(parents)), population, rate * 100) for _ in range(generations)]
-    head = _search_sql(seed, population, generations + 1, plans, "fitness DESC, solution DESC", "0", base)
+    head = _search_sql(seed, population, generations + 1, plans, "fitness DESC, solution DESC", False, base)
     rows = head + f""",
-b AS (SELECT solution FROM f{generations} ORDER BY fitness DESC, solution LIMIT 1)
-SELECT row_id, label FROM g{generations} WHERE ((mask_0 >> (SELECT solution FROM b)) & 1) = 1"""
+best AS (SELECT generation, solution FROM every WHERE generation = {generations} ORDER BY fitness DESC, solution LIMIT 1)
+{ROWS_OF_BEST}"""
     return {"fitness": head + FITNESS_OF_SEARCH, "rows": rows}
