@@ -164,8 +164,9 @@ def evolve_parallel_sql(seed: int, population: int, parents: int, rate: float, g
     from ..operators.population import parallel_plan
     rng = np.random.default_rng(seed)
     plans = [parallel_plan(rng, list(range(parents)), population, rate) for _ in range(generations - 1)]
-    head = _search_sql(seed, population, generations, plans, "fitness, solution", True, base) + """,
+    best = """,
 best AS MATERIALIZED (SELECT generation, solution, fitness FROM every ORDER BY fitness DESC, generation, solution LIMIT 1)"""
+    head = _search_sql(seed, population, generations, plans, "fitness, solution", True, base) + best
     rows = f"{head}\n{ROWS_OF_BEST}"
     history = head + """,
 top AS (SELECT generation, max(fitness) AS best FROM every GROUP BY generation),
@@ -176,7 +177,7 @@ SELECT generation, round(best, 6) AS best, round(best_so_far, 6) AS best_so_far,
     of_generation = f"""{head}
 SELECT generation, arg_max(solution, (fitness, -solution)) AS solution, max(fitness) AS fitness
 FROM ({FITNESS_OF_SEARCH}) GROUP BY generation"""
-    return {"fitness": head + FITNESS_OF_SEARCH, "history": history, "rows": rows, "of_generation": of_generation,
+    return {"search": head.removesuffix(best), "fitness": head + FITNESS_OF_SEARCH, "history": history, "rows": rows, "of_generation": of_generation,
             "best": f"{head}\nSELECT generation, solution, round(fitness, 6) AS fitness FROM best"}
 
 
@@ -195,4 +196,4 @@ def evolve_sequential_sql(seed: int, population: int, parents: int, rate: float,
     rows = head + f""",
 best AS (SELECT generation, solution FROM every WHERE generation = {generations} ORDER BY fitness DESC, solution LIMIT 1)
 {ROWS_OF_BEST}"""
-    return {"fitness": head + FITNESS_OF_SEARCH, "rows": rows}
+    return {"search": head, "fitness": head + FITNESS_OF_SEARCH, "rows": rows}
