@@ -231,16 +231,19 @@ class LabelModel:
 
 
 def fit_label_model(patterns: DataFrame, count: int, steps: int = EM_STEPS) -> LabelModel:
-    """EM over (known class or -1, vote lanes, number of rows)."""
+    """EM over (known class or -1, vote lanes, number of rows). Rows of known class, if there are some of both, give the
+    first rates: from set ones the silence of many voters outweighs the few that fire in any toxic text."""
     model = LabelModel(count)
 
-    def expect(current: LabelModel):
+    def expect(current: LabelModel, first: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pairs, mass = np.zeros((2, count, count)), np.zeros(2)
             for b in batches:
                 v = votes_in(b.column("v"), count)
                 n, known = np.asarray(b.column("n"), dtype=float), np.asarray(b.column("known"))
                 q = np.where(known < 0, current.posterior(v), known)
+                if first:
+                    n = np.where(known < 0, 0, n)
                 for y, w in ((0, n * (1 - q)), (1, n * q)):
                     pairs[y] += (v * w[:, None]).T @ v
                     mass[y] += w.sum()
@@ -251,8 +254,8 @@ def fit_label_model(patterns: DataFrame, count: int, steps: int = EM_STEPS) -> L
                 names=["i", "j", "c0", "c1"])
         return run
 
-    for _ in range(steps):
-        sums = (patterns.mapInArrow(expect(model), "i long, j long, c0 double, c1 double")
+    for step in range(-1, steps):
+        sums = (patterns.mapInArrow(expect(model, step < 0), "i long, j long, c0 double, c1 double")
                 .groupBy("i", "j").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).collect())
         pairs, mass = np.zeros((2, count, count)), np.zeros(2)
         for r in sums:
@@ -260,7 +263,8 @@ def fit_label_model(patterns: DataFrame, count: int, steps: int = EM_STEPS) -> L
                 mass[:] = r.c0, r.c1
             else:
                 pairs[:, r.i, r.j] = pairs[:, r.j, r.i] = r.c0, r.c1
-        model.update(pairs, mass)
+        if step >= 0 or mass.all():
+            model.update(pairs, mass)
     return model
 
 

@@ -93,6 +93,21 @@ def test_label_model_recovers_accuracies(spark):
         assert (toxicity.votes_in(toxicity.lane_column(toxicity.lanes(wide)), wide.shape[1]) == wide).all()
 
 
+def test_silent_voters_of_another_language_do_not_acquit(spark):
+    """Ten common voters in one language, 150 rare ones in the other; three rows in ten have a label."""
+    rng = np.random.default_rng(5)
+    n = 6000
+    y, one, labelled = rng.random(n) < 0.1, rng.random(n) < 0.6, rng.random(n) < 0.3
+    common = rng.random((n, 10)) < np.where(y & one, 0.5, 0)[:, None]
+    rare = rng.random((n, 150)) < np.where(y & ~one, 0.1, 0)[:, None]
+    votes = np.concatenate((common, rare), axis=1)
+    known = np.where(labelled, y, -1).astype(float).tolist()
+    counts = collections.Counter((k, *x) for k, x in zip(known, toxicity.lanes(votes).tolist()))
+    df = spark.createDataFrame([(k, list(v), c) for (k, *v), c in counts.items()], "known double, v array<long>, n long")
+    q = toxicity.fit_label_model(df, 160).posterior(votes.astype(float))
+    assert all((q[y & mine] > 0.5).mean() > 0.95 for mine in (one, ~one)) and q[~y].max() < 0.01
+
+
 def test_nested_beginnings_give_way_to_the_one_with_most_evidence():
     v = toxicity.Voters(["zorg", "idiot"], ["blark", "blarkx", "bla", "quin", "idio", "quinto"])
     assert v.prefixes == ["blark", "quin"] and ("zorg",) in v.lists and v.lists.count(("idiot",)) == 1
