@@ -64,3 +64,18 @@ def test_neighbours_are_exact(kind):
     assert np.allclose(best, np.sort(d, axis=1)[:, :5])
     if kind in ("whole", "normal"):
         assert (knn.neighbours(xq, xt, tid, 5) == np.lexsort((np.broadcast_to(tid, d.shape), d), axis=1)[:, :5]).all()
+
+
+def test_few_rows_get_few_tasks(spark, table):
+    fm = forest.fit_forest(table, num_trees=8)
+    assert fm.model.parts.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert forest._cell_tasks(spark, 300) == 1 and forest._cell_tasks(spark, 1 << 30) == 1 << 14
+
+
+def test_forests_side_by_side_as_one_by_one(spark, monkeypatch):
+    rows = spark.range(120).select(F.col("id").alias("row_id"), (F.col("id") % 3).cast("int").alias("label"),
+                                   F.array(*[F.sin(F.col("id") * i).cast("float") for i in (1, 2, 3)]).alias("features"))
+    many = forest.cross_validate(rows, num_trees=3).collect()
+    monkeypatch.setattr(forest, "AT_ONCE", 1)
+    assert many == forest.cross_validate(rows, num_trees=3).collect()
+    assert [r["fold"] for r in many] == [0, 1, 2, 3, 4]
