@@ -50,6 +50,7 @@ DISCOUNT = 0.5
 BLOCK = 1_500_000
 GROUP = 2_000_000
 PART = 2_000_000
+TURNS = {3: 2}                     # of a level's parts, one after another: trigrams take the most disk when all are asked at once
 BLOCK_BYTES = 8 << 20
 END = np.uint64(0x656E64206F662074)  # stands for the end token
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -320,12 +321,15 @@ def text_blocks(rows: DataFrame, kind: str) -> DataFrame:
         block = TaskContext.get().partitionId() << 32
         for part, t in slices(batches, max_bytes=BLOCK_BYTES):
             h, bounds = token_hashes(t)
-            words, codes = np.unique(h, return_inverse=True)
+            words, codes, c = np.unique(h, return_inverse=True, return_counts=True)
+            order = np.argsort(-c, kind="stable")          # common words get small codes, which pack well
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order))
             learned = np.asarray(part.column(2).fill_null(False).cast(pa.uint8()))
             yield pa.RecordBatch.from_arrays(
                 [pa.ListArray.from_arrays(pa.array([0, len(t)], pa.int32()), part.column(1)), pa.array([block]), pa.array([len(h)]),
-                 *(pa.array([packed(x)], pa.binary()) for x in (
-                     np.diff(bounds).astype(np.int64), learned, words, codes.astype(np.uint32)))],
+                 *(pa.array([packed(x, True)], pa.binary()) for x in (
+                     np.diff(bounds).astype(np.int64), learned, words[order], rank[codes]))],
                 names=["ids", "block", "tokens", "lengths", "train", "words", "codes"])
             block += 1
 
@@ -337,8 +341,8 @@ def asked_words(block: int, words: np.ndarray, c: np.ndarray, parts: int) -> pa.
     cut = parts_of(words, parts)
     some = np.flatnonzero(np.diff(cut))
     return pa.table({"part": pa.array(some, pa.int64()), "block": pa.array(np.full(len(some), block), pa.int64()),
-                     "g": column_of(gaps(words[cut[i]:cut[i + 1]]) for i in some),
-                     "c": column_of(c[cut[i]:cut[i + 1]] for i in some)})
+                     "g": column_of((gaps(words[cut[i]:cut[i + 1]]) for i in some), True),
+                     "c": column_of((c[cut[i]:cut[i + 1]] for i in some), True)})
 
 
 def word_answer(rows: pa.Table, parts: int) -> pa.Table:
@@ -348,36 +352,62 @@ def word_answer(rows: pa.Table, parts: int) -> pa.Table:
     words, at = np.unique(np.concatenate(sent), return_inverse=True)
     c = np.zeros(len(words), np.int64)
     np.add.at(c, at, joined(rows.column("c"), np.int64))
-    number = np.arange(len(words)) * parts + rows.column("part")[0].as_py()
+    number = np.empty(len(words), np.int64)
+    number[np.argsort(-c, kind="stable")] = np.arange(len(words)) * parts + rows.column("part")[0].as_py()
     at = np.split(at, np.cumsum([len(x) for x in sent])[:-1])
     one = np.zeros(rows.num_rows, np.int64)
     one[0] = 1
-    return pa.table({"part": rows.column("part"), "block": rows.column("block"), "c": column_of(c[x] for x in at),
-                     "rest": column_of(number[x] for x in at), "kept": pa.array([b""] * len(at), pa.binary()),
+    return pa.table({"part": rows.column("part"), "block": rows.column("block"), "c": column_of((c[x] for x in at), True),
+                     "rest": column_of((number[x] for x in at), True), "kept": pa.array([b""] * len(at), pa.binary()),
                      "n": pa.array(one * c.sum()), "v": pa.array(one * np.count_nonzero(c))})
 
 
 ASKED = {"context": np.uint64, "total": np.int64, "runs": np.uint32, "word": np.int64, "q": np.float32, "c": np.int64}
 
 
-def asked_rows(block: int, asked: dict[str, np.ndarray], parts: int) -> pa.Table:
-    """One row for each part that a block's contexts (sorted) and their n-grams fall into."""
+def asked_rows(block: int, asked: dict[str, np.ndarray], parts: int, n: int, turn: int = 0, turns: int = 1) -> pa.Table:
+    """One row for each part (of this turn's) that a block's contexts (sorted) and their n-grams fall into. Words
+    are sent as the distances between those of a context. The lower probabilities of bigrams are those of
+    their last words: one for each distinct word, in order."""
     cut = parts_of(asked["context"], parts)
-    inner = np.concatenate(([0], np.cumsum(asked["runs"], dtype=np.int64)))[cut]
+    inner = np.concatenate(([0], np.cumsum(asked["runs"], dtype=np.int64)))
+    word, q = asked["word"], asked["q"].astype(ASKED["q"])
+    steps = np.diff(word, prepend=0)
+    begin = inner[:-1][asked["runs"] > 0]
+    steps[begin] = word[begin]
+    inner = inner[cut]
     some = np.flatnonzero(np.diff(cut))
+    some = some[some % turns == turn]
     out = {"part": pa.array(some, pa.int64()), "block": pa.array(np.full(len(some), block), pa.int64())}
+
+    def lower(a: int, b: int) -> np.ndarray:
+        return q[a:b][np.unique(word[a:b], return_index=True)[1]] if n == 2 else q[a:b]
+
     for k, kind in ASKED.items():
-        x, at = asked[k].astype(kind, copy=False), inner if k in ("word", "q", "c") else cut
-        out[k] = column_of((gaps if k == "context" else np.asarray)(x[at[i]:at[i + 1]]) for i in some)
+        x = (steps if k == "word" else asked[k]).astype(kind, copy=False)
+        at = inner if k in ("word", "q", "c") else cut
+        out[k] = column_of((lower(at[i], at[i + 1]) if k == "q" else gaps(x[at[i]:at[i + 1]]) if k == "context" else x[at[i]:at[i + 1]]
+                            for i in some), True)
     return pa.table(out)
 
 
-def answer(rows: pa.Table, floor: int, discount: float) -> pa.Table:
+def asked_words_of(steps: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """The words of all contexts from the distances between them."""
+    upto, size = np.cumsum(steps), runs[runs > 0]
+    begin = np.cumsum(size) - size
+    return upto - np.repeat(upto[begin] - steps[begin], size)
+
+
+def answer(rows: pa.Table, n: int, floor: int, discount: float) -> pa.Table:
     """Counts of the n-grams asked for; for every context the training count outside its
     entries (``rest``) and the number of its entries (``kept``, 0 unless it is a state)."""
     sent = [np.cumsum(x, dtype=np.uint64) for x in cells(rows.column("context"), np.uint64)]
     x = {k: joined(rows.column(k), ASKED[k]) for k in ASKED if k != "context"}
     grams_in = [len(v) for v in cells(rows.column("c"), np.int64)]
+    x["word"] = asked_words_of(x["word"], x["runs"].astype(np.int64))
+    if n == 2:
+        mine = np.split(x["word"], np.cumsum(grams_in)[:-1])
+        x["q"] = np.concatenate([q[np.unique(w, return_inverse=True)[1]] for q, w in zip(cells(rows.column("q"), ASKED["q"]), mine)])
     contexts, where = np.unique(np.concatenate(sent), return_inverse=True)
     total = np.zeros(len(contexts), np.int64)
     total[where] = x["total"]
@@ -401,8 +431,20 @@ def answer(rows: pa.Table, floor: int, discount: float) -> pa.Table:
     at = np.split(at, np.cumsum(grams_in)[:-1])
     where = np.split(where, np.cumsum([len(v) for v in sent])[:-1])
     rest, kept = np.where(retained, rest, 0), np.where(retained, symbols, 0)
-    return pa.table({"part": rows.column("part"), "block": rows.column("block"), "c": column_of(c[i] for i in at),
-                     "rest": column_of(rest[i] for i in where), "kept": column_of(kept[i] for i in where)})
+    return pa.table({"part": rows.column("part"), "block": rows.column("block"), "c": column_of((c[i] for i in at), True),
+                     "rest": column_of((rest[i] for i in where), True), "kept": column_of((kept[i] for i in where), True)})
+
+
+def grouped(keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of the keys (below ``limit``), and where in it a new one begins."""
+    bits = len(keys).bit_length()
+    if int(limit).bit_length() + bits < 64:                # one plain sort of keys and places
+        both = np.sort(keys << bits | np.arange(len(keys)))
+        order, keys = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+    return order, np.diff(keys, prepend=-1) != 0
 
 
 class BlockTokens:
@@ -410,8 +452,11 @@ class BlockTokens:
 
     def __init__(self, row: pa.Table):
         self.block = row.column("block")[0].as_py()
-        self.words, codes = joined(row.column("words"), np.uint64), joined(row.column("codes"), np.uint32)
-        self.codes = codes.astype(np.int64)
+        words = joined(row.column("words"), np.uint64)
+        order = np.argsort(words)
+        self.words, rank = words[order], np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        self.codes = rank[joined(row.column("codes"), np.uint32)]
         lengths = joined(row.column("lengths"), np.int64)
         self.bounds = np.concatenate(([0], np.cumsum(lengths)))
         self.h = self.words[self.codes]
@@ -427,27 +472,41 @@ class BlockTokens:
         self.p = (self.count + 0.5) / denominator
         self.base = self.p.copy()
         self.known, self.grams = self.count > 0, self.h
+        self.place = np.arange(len(self.h)) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
+        self.ids, self.hashes = self.codes, self.words     # of the n-gram that ends at each position, one level below
+        self.rank = np.empty(len(number), np.int64)
+        self.rank[np.argsort(number)] = np.arange(len(number))
 
     def ask(self, n: int, floor: int) -> dict[str, np.ndarray]:
         """The block's contexts of ``n - 1`` words that occur ``floor`` times, sorted, and their
         n-grams whose last ``n - 1`` words do."""
-        place = np.arange(len(self.h)) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
         before = np.concatenate((np.zeros(1, np.uint64), self.grams[:-1]))
         counted = np.concatenate(([0], self.count[:-1]))
         self.grams = mix(before * STEP + self.h + np.uint64(n))
-        self.places = np.flatnonzero((place >= n - 1) & (counted >= floor))
-        context, begin, self.owner = np.unique(before[self.places], return_index=True, return_inverse=True)
-        self.total = counted[self.places[begin]]
+        self.places = np.flatnonzero((self.place >= n - 1) & (counted >= floor))
+        below = self.ids[self.places - 1]
+        used = np.zeros(len(self.hashes), bool)
+        used[below] = True
+        used = np.flatnonzero(used)
+        context = self.hashes[used]
+        order = np.argsort(context)
+        context, rank = context[order], np.empty(len(self.hashes), np.int64)
+        rank[used[order]] = np.arange(len(used))
+        self.owner = rank[below]
+        self.total = np.empty(len(context), np.int64)
+        self.total[self.owner] = counted[self.places]
         self.asked = np.flatnonzero(self.count[self.places] >= floor)
-        _, first, at = np.unique(self.grams[self.places[self.asked]], return_index=True, return_inverse=True)
-        owner = self.owner[self.asked[first]]
-        order = np.argsort(owner, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        self.at, first = rank[at], self.places[self.asked[first[order]]]
-        return {"context": context, "total": self.total, "runs": np.bincount(owner, minlength=len(context)),
-                "word": self.number[first], "q": self.p[first],
-                "c": np.bincount(self.at, self.train[self.places[self.asked]], len(order))}
+        ends = self.places[self.asked]
+        owner = self.owner[self.asked]
+        order, new = grouped(owner * len(self.words) + self.rank[self.codes[ends]], len(context) * len(self.words))
+        self.at = np.empty(len(order), np.int64)
+        self.at[order] = np.cumsum(new) - 1
+        one = order[new]
+        first = ends[one]
+        self.ids = np.full(len(self.h), -1)
+        self.ids[ends], self.hashes = self.at, self.grams[first]
+        return {"context": context, "total": self.total, "runs": np.bincount(owner[one], minlength=len(context)),
+                "word": self.number[first], "q": self.p[first], "c": np.bincount(self.at, self.train[ends], len(first))}
 
     def take(self, c: np.ndarray, rest: np.ndarray, kept: np.ndarray, floor: int, discount: float) -> None:
         count = np.zeros(len(self.places), np.int64)
@@ -508,16 +567,23 @@ def lm_scores(docs: DataFrame, learn_from: Column, text_col: str = "text", id_co
         return (blocks.select(*extra, "block", "lengths", "train", "words", "codes").groupBy("block")
                 .cogroup(answers.groupBy("block")).applyInArrow(f, schema))
 
-    def asking(n: int):
+    def asking(n: int, turn: int, turns: int):
         def ask(block: pa.Table, said: pa.Table) -> pa.Table:
             state = caught_up(block, said, n)
-            return asked_rows(state.block, state.ask(n, floor), parts)
+            return asked_rows(state.block, state.ask(n, floor), parts, n, turn, turns)
 
         return ask
 
+    def answering(n: int):
+        return lambda x: answer(x, n, floor, discount)
+
     for n in range(2, depth + 2):
-        found = every(asking(n), sent).groupBy("part").applyInArrow(lambda x: answer(x, floor, discount), replies)
-        answers = answers.union(stored(found, "lm-answers", free=True).select(F.lit(n).alias("n"), "part", "block", "c", "rest", "kept"))
+        told, turns = [], min(TURNS.get(n, 1), parts)
+        for turn in range(turns):
+            found = every(asking(n, turn, turns), sent).groupBy("part").applyInArrow(answering(n), replies)
+            told.append(stored(found, "lm-answers", free=True).select(F.lit(n).alias("n"), "part", "block", "c", "rest", "kept"))
+        for x in told:
+            answers = answers.union(x)
 
     def score(block: pa.Table, said: pa.Table) -> pa.Table:
         state = caught_up(block, said, depth + 2)

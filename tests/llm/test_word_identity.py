@@ -1,5 +1,6 @@
 """Long words whose polynomials modulo 2**64 are equal for any odd factor stay different words."""
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -43,3 +44,20 @@ def test_four_operators_tell_them_apart(spark):
     scored = {r.doc_id: r for r in lm_scoring.lm_scores(docs, F.col("doc_id") < 4).collect()}
     known = {i: len(t.split()) + 1 for i, t in rows if i < 4}
     assert {i: scored[i].n_known for i in known} == known and scored[0].train_tokens == sum(known.values())
+
+
+def test_packed_planes_and_word_steps():
+    rng = np.random.default_rng(5)
+    for kind in (np.uint64, np.int64, np.uint32, np.float32, np.uint8):
+        for size in (0, 1, 1000):
+            x = (rng.random(size) * 200).astype(kind)
+            for planes in (False, True):
+                assert (lm_scoring.joined(pa.chunked_array([lm_scoring.column_of([x], planes)]), kind) == x).all()
+    small = rng.integers(0, 100, 5000)
+    assert len(lm_scoring.packed(small, True)) < 0.8 * len(lm_scoring.packed(small))
+    runs, words = np.array([2, 0, 3, 1]), np.array([4, 9, 1, 5, 8, 3])
+    assert (lm_scoring.asked_words_of(np.array([4, 5, 1, 4, 3, 3]), runs) == words).all()
+    keys = rng.integers(0, 50, 400)
+    for limit in (50, 1 << 62):
+        order, new = lm_scoring.grouped(keys, limit)
+        assert (order == np.argsort(keys, kind="stable")).all() and new.sum() == len(np.unique(keys))
