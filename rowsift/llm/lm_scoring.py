@@ -50,7 +50,7 @@ DISCOUNT = 0.5
 BLOCK = 1_500_000
 GROUP = 2_000_000
 PART = 2_000_000
-TURNS = {3: 2}                     # of a level's parts, one after another: trigrams take the most disk when all are asked at once
+TURNS = {3: 2, 4: 2}               # of a level's parts, one after another: these take the most disk when all are asked at once
 BLOCK_BYTES = 8 << 20
 END = np.uint64(0x656E64206F662074)  # stands for the end token
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -468,53 +468,66 @@ class BlockTokens:
         return np.bincount(self.codes, self.train * self.token, len(self.words)).astype(np.int64)
 
     def take_words(self, c: np.ndarray, number: np.ndarray, denominator: float) -> None:
-        self.count, self.number = c[self.codes], number[self.codes]
-        self.p = (self.count + 0.5) / denominator
+        self.count, self.number = c[self.codes], number
+        self.p = ((c + 0.5) / denominator)[self.codes]
         self.base = self.p.copy()
         self.known, self.grams = self.count > 0, self.h
         self.place = np.arange(len(self.h)) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
         self.ids, self.hashes = self.codes, self.words     # of the n-gram that ends at each position, one level below
-        self.rank = np.empty(len(number), np.int64)
-        self.rank[np.argsort(number)] = np.arange(len(number))
-
-    def ask(self, n: int, floor: int) -> dict[str, np.ndarray]:
-        """The block's contexts of ``n - 1`` words that occur ``floor`` times, sorted, and their
-        n-grams whose last ``n - 1`` words do."""
-        before = np.concatenate((np.zeros(1, np.uint64), self.grams[:-1]))
-        counted = np.concatenate(([0], self.count[:-1]))
-        self.grams = mix(before * STEP + self.h + np.uint64(n))
-        self.places = np.flatnonzero((self.place >= n - 1) & (counted >= floor))
-        below = self.ids[self.places - 1]
+        rank = np.empty(len(number), np.int64)
+        rank[np.argsort(number)] = np.arange(len(number))
+        self.ranked = rank[self.codes]
+
+    def find(self, n: int, floor: int) -> None:
+        """Places whose context of ``n - 1`` words occurs ``floor`` times, and of them those whose last ``n - 1``
+        words do: the n-grams to ask for, and each place's number among them and among the sorted contexts."""
+        grams = np.concatenate((np.zeros(1, np.uint64), self.grams[:-1]))
+        grams *= STEP
+        grams += self.h
+        grams += np.uint64(n)
+        self.grams = mix(grams)
+        often = self.count >= floor
+        use = self.place >= n - 1
+        use[1:] &= often[:-1]
+        self.places = np.flatnonzero(use)
+        before = self.places - 1
+        self.total = self.count[before]
+        below = self.ids[before]
         used = np.zeros(len(self.hashes), bool)
         used[below] = True
         used = np.flatnonzero(used)
         context = self.hashes[used]
         order = np.argsort(context)
-        context, rank = context[order], np.empty(len(self.hashes), np.int64)
+        self.context, rank = context[order], np.empty(len(self.hashes), np.int64)
         rank[used[order]] = np.arange(len(used))
         self.owner = rank[below]
-        self.total = np.empty(len(context), np.int64)
-        self.total[self.owner] = counted[self.places]
-        self.asked = np.flatnonzero(self.count[self.places] >= floor)
-        ends = self.places[self.asked]
-        owner = self.owner[self.asked]
-        order, new = grouped(owner * len(self.words) + self.rank[self.codes[ends]], len(context) * len(self.words))
+        self.asked = np.flatnonzero(often[self.places])
+        ends, owner = self.places[self.asked], self.owner[self.asked]
+        order, new = grouped(owner * len(self.words) + self.ranked[ends], len(context) * len(self.words))
         self.at = np.empty(len(order), np.int64)
         self.at[order] = np.cumsum(new) - 1
-        one = order[new]
-        first = ends[one]
+        self.one = self.asked[order[new]]
         self.ids = np.full(len(self.h), -1)
-        self.ids[ends], self.hashes = self.at, self.grams[first]
-        return {"context": context, "total": self.total, "runs": np.bincount(owner[one], minlength=len(context)),
-                "word": self.number[first], "q": self.p[first], "c": np.bincount(self.at, self.train[ends], len(first))}
+        self.ids[ends], self.hashes = self.at, self.grams[self.places[self.one]]
+
+    def ask(self, n: int, floor: int) -> dict[str, np.ndarray]:
+        """The block's contexts of ``n - 1`` words that occur ``floor`` times, sorted, and their
+        n-grams whose last ``n - 1`` words do."""
+        self.find(n, floor)
+        first = self.places[self.one]
+        total = np.empty(len(self.context), np.int64)
+        total[self.owner] = self.total
+        return {"context": self.context, "total": total, "runs": np.bincount(self.owner[self.one], minlength=len(self.context)),
+                "word": self.number[self.codes[first]], "q": self.p[first],
+                "c": np.bincount(self.at, self.train[self.places[self.asked]], len(first))}
 
     def take(self, c: np.ndarray, rest: np.ndarray, kept: np.ndarray, floor: int, discount: float) -> None:
         count = np.zeros(len(self.places), np.int64)
         count[self.asked] = c[self.at]
-        state = kept[self.owner] > 0
-        places, total = self.places[state], self.total[self.owner][state]
-        own = np.where(count[state] >= floor, (count[state] - discount) / total, 0)
-        left = ((rest + discount * kept)[self.owner])[state] / total
+        state = np.flatnonzero((kept > 0)[self.owner])
+        places, total, mine = self.places[state], self.total[state], count[state]
+        own = np.where(mine >= floor, (mine - discount) / total, 0)
+        left = (rest + discount * kept)[self.owner[state]] / total
         self.p[places] = own + left * self.p[places]
         self.count = np.zeros(len(self.h), np.int64)
         self.count[self.places] = count
@@ -559,7 +572,7 @@ def lm_scores(docs: DataFrame, learn_from: Column, text_col: str = "text", id_co
             if k == 1:
                 out.take_words(c, rest, denominator)
             else:
-                out.ask(k, floor)
+                out.find(k, floor)
                 out.take(c, rest, joined(mine.column("kept"), np.int64), floor, discount)
         return out
 
