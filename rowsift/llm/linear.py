@@ -25,8 +25,9 @@ def slots(hashes: np.ndarray) -> np.ndarray:
 
 
 def sparse_rows(families: Families, presence: bool) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(distinct slots, values) of every text."""
+    """(distinct slots, values) of every text; those of ``presence`` are one shared 1."""
     n = len(families[0][1]) - 1
+    one = np.ones(1, np.float32)
     out = []
     for t in range(n):
         idx, val = [], []
@@ -35,9 +36,13 @@ def sparse_rows(families: Families, presence: bool) -> list[tuple[np.ndarray, np
             if b > a:
                 u, c = np.unique(slots(hashes[a:b]), return_counts=True)
                 idx.append(u)
-                val.append(np.ones(len(u)) if presence else c / (b - a))
-        out.append((np.concatenate(idx).astype(np.int32), np.concatenate(val).astype(np.float32)) if idx
-                   else (np.zeros(0, np.int32), np.zeros(0, np.float32)))
+                if not presence:
+                    val.append(c / (b - a))
+        at = np.concatenate(idx).astype(np.int32) if idx else np.zeros(0, np.int32)
+        if presence:
+            out.append((at, np.broadcast_to(one, len(at))))
+        else:
+            out.append((at, np.concatenate(val).astype(np.float32) if val else np.zeros(0, np.float32)))
     return out
 
 

@@ -1,4 +1,4 @@
-"""Public tokenizers inside tasks: loaded once per worker, with bounded caches.
+"""Public tokenizers inside tasks: loaded once per worker and stage, with bounded caches.
 
 Kinds by file name: ``.json`` (library tokenizers) and ``.model``
 (sentencepiece). Where a tokenizer drops white space and never merges across
@@ -16,13 +16,14 @@ from collections.abc import Callable
 
 import numpy as np
 
+from .common import stage_kept
+
 WORD_CACHE = 80_000
 # Fixed value: the pre-token pattern for which plain words can skip the normaliser.
 PLAIN_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # Letters whose lower case and composed form are the letter itself or one fixed
 # letter, then punctuation: two pre-tokens at most, for any such word.
 PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?$%&*#|]*)$")
-_loaded: dict = {}
 
 
 def splits_at_space(path: str) -> bool:
@@ -167,9 +168,7 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+    return stage_kept(f"encoder {path}", lambda: Encoder(path))
 
 
 class WordTable:

@@ -188,6 +188,7 @@ def mine(sample: DataFrame) -> Voters:
              .groupBy("size", "term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
              .filter("pos >= 3").withColumn("sure", sure).filter("sure > 1")
              .withColumn("worth", F.col("pos") * F.col("sure")))      # how much evidence it gives in all
+    terms = stored(terms, "mined-terms")                              # counted once for words and beginnings
     words = terms.filter("size = 0").orderBy(F.desc("worth"), "term").limit(MINED_WORDS + len(SEED_WORDS))
     heads = terms.filter("size > 0").orderBy(F.desc("worth"), "term").limit(20 * MINED_PREFIXES)
     rows = words.unionByName(heads).orderBy(F.desc("worth"), "term").collect()
